@@ -124,11 +124,19 @@ def inverted_index_nested(posts: DataFrame, voc: DataFrame) -> DataFrame:
 
 
 class Index:
-    """Counts, postings and vocabulary of a text table (all lazy)."""
+    """Counts, postings and vocabulary of a text table.
 
-    def __init__(self, texts: DataFrame, stem: bool = True):
+    ``term_counts`` is written once as a table under the shared checkpoint
+    folder (the persisted document artefact): postings and vocabulary both
+    read it, so the text is tokenised and stemmed once, and a lost executor
+    does not send the job back to the raw text.
+    """
+
+    def __init__(self, texts: DataFrame, stem: bool = True, persist: bool = True):
+        from ..plans.pipeline import materialise
         self.texts = texts
-        self.counts = term_counts(texts, stem=stem)
+        counts = term_counts(texts, stem=stem)
+        self.counts = materialise(counts, "term_counts") if persist else counts
         self.postings = postings(self.counts)
         self.n_docs = document_count(texts)
         self.vocab = vocab(self.postings, self.n_docs)
