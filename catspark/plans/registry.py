@@ -192,3 +192,292 @@ EVAL_SQL = O.render(
 @register("evaluation", EVAL_SQL)
 def q_evaluation(spark, sf_dir):
     return _p(spark, sf_dir).summary()
+
+
+# ---------------------------------------------------------------------------
+# Catalogue
+# ---------------------------------------------------------------------------
+
+from ..operators import catalog as C  # noqa: E402
+
+CAT = O.BASE
+
+
+def _cat(spark, sf_dir):
+    return _p(spark, sf_dir).cat
+
+
+@register("scan_pages", O.render(CAT, "SELECT title FROM page_titles"))
+def q_scan_pages(spark, sf_dir):
+    return C.scan(_cat(spark, sf_dir).pages, "pages")
+
+
+@register("scan_categories", O.render(CAT, "SELECT name FROM categories"))
+def q_scan_categories(spark, sf_dir):
+    return C.scan(_cat(spark, sf_dir).categories, "categories")
+
+
+@register("scan_catpage", O.render(CAT, "SELECT cat_name, pag_title FROM catpage"))
+def q_scan_catpage(spark, sf_dir):
+    return C.scan(_cat(spark, sf_dir).catpage, "catpage")
+
+
+@register("scan_catsub", O.render(CAT, "SELECT cat_name, cat_name_sub FROM catsub"))
+def q_scan_catsub(spark, sf_dir):
+    return C.scan(_cat(spark, sf_dir).catsub, "catsub")
+
+
+@register("n_categories", O.render(CAT, "SELECT count(*) AS n FROM categories"))
+def q_n_categories(spark, sf_dir):
+    return C.row_count(_cat(spark, sf_dir).categories)
+
+
+@register("n_pages", O.render(CAT, "SELECT count(*) AS n FROM page_titles"))
+def q_n_pages(spark, sf_dir):
+    return C.row_count(_cat(spark, sf_dir).pages)
+
+
+ASKED_TITLES_SQL = ("SELECT DISTINCT CAST(item_id AS VARCHAR) AS title FROM benchmark UNION "
+                    "SELECT DISTINCT CAST(conv_id AS VARCHAR) FROM conversations")
+
+
+def _asked_titles(spark, sf_dir):
+    from ..sources.tables import read_table
+    b = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("title"))
+    c = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("title"))
+    return b.union(c).distinct()
+
+
+@register("is_in_pages", O.render(
+    CAT + [("asked", ASKED_TITLES_SQL)],
+    "SELECT a.title, (p.title IS NOT NULL) AS found FROM asked a "
+    "LEFT JOIN page_titles p ON p.title = a.title"))
+def q_is_in_pages(spark, sf_dir):
+    return C.is_in_pages(_asked_titles(spark, sf_dir), _cat(spark, sf_dir).pages)
+
+
+@register("top_categories", O.render(
+    CAT, "SELECT DISTINCT cat_name FROM catsub WHERE cat_name NOT IN "
+         "(SELECT cat_name_sub FROM catsub)"))
+def q_top_categories(spark, sf_dir):
+    return C.top_categories(_cat(spark, sf_dir).catsub)
+
+
+@register("biggest_categories", O.render(
+    CAT, "SELECT cat_name, count(*) AS c FROM catpage WHERE cat_name NOT ILIKE '%birth%' "
+         "AND cat_name NOT ILIKE '%death%' AND cat_name NOT IN (SELECT cat_name FROM catsub) "
+         "GROUP BY cat_name HAVING count(*) >= 5"))
+def q_biggest(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return C.biggest_categories(c.catpage, c.catsub, 5)
+
+
+@register("avg_categories_per_page", O.render(
+    CAT, f"SELECT {O.r6('avg(c)', 'avg_categories')} FROM (SELECT pag_title, count(*) AS c "
+         "FROM catpage GROUP BY pag_title)"))
+def q_avg_cats(spark, sf_dir):
+    return C.avg_categories_per_page(_cat(spark, sf_dir).catpage)
+
+
+@register("pages_of_category", O.render(
+    CAT, "SELECT cat_name, pag_title FROM catpage WHERE cat_name IN "
+         "(SELECT cat_name_sub FROM catsub WHERE cat_name = 'languages')"))
+def q_pages_of_category(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    asked = c.catsub.where(F.col("cat_name") == "languages").select(
+        F.col("cat_name_sub").alias("cat_name"))
+    return C.pages_of_category(c.catpage, asked)
+
+
+@register("categories_of_page", O.render(
+    CAT + O.HOLDOUT, "SELECT pag_title, cat_name FROM catpage WHERE pag_title IN "
+                     "(SELECT title FROM holdout)"))
+def q_categories_of_page(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return C.categories_of_page(p.cat.catpage, p.holdout)
+
+
+@register("category_sizes", O.render(
+    CAT, "SELECT cat_name, count(*) AS c FROM catpage GROUP BY cat_name HAVING count(*) >= 1"))
+def q_category_sizes(spark, sf_dir):
+    return C.category_sizes_at_least(_cat(spark, sf_dir).catpage, 1)
+
+
+@register("categories_by_page", O.render(
+    CAT, "SELECT pag_title, array_to_string(list_sort(list(DISTINCT cat_name)), ' | ') "
+         "AS categories_text FROM catpage WHERE pag_title IN (SELECT pag_title FROM catpage "
+         "WHERE cat_name IN (SELECT cat_name FROM catpage GROUP BY cat_name "
+         "HAVING count(*) >= 50)) GROUP BY pag_title"))
+def q_categories_by_page(spark, sf_dir):
+    return C.categories_by_page(_cat(spark, sf_dir).catpage, 50).select(
+        "pag_title", "categories_text")
+
+
+@register("small_categories", O.render(
+    CAT, "SELECT cat_name FROM catpage GROUP BY cat_name HAVING count(*) < 5"))
+def q_small_categories(spark, sf_dir):
+    return C.small_categories(_cat(spark, sf_dir).catpage, 5)
+
+
+NEIGHBOURS = [("neighbours", "SELECT DISTINCT cat_a, cat_b FROM (SELECT cat_name AS cat_a, "
+                             "lead(cat_name) OVER (PARTITION BY pag_title ORDER BY cat_name) "
+                             "AS cat_b FROM catpage) WHERE cat_b IS NOT NULL")]
+
+
+@register("father_son", O.render(
+    CAT + NEIGHBOURS, "SELECT cat_a, cat_b FROM neighbours n WHERE EXISTS (SELECT 1 FROM "
+                      "catsub s WHERE (s.cat_name = n.cat_a AND s.cat_name_sub = n.cat_b) OR "
+                      "(s.cat_name = n.cat_b AND s.cat_name_sub = n.cat_a))"))
+def q_father_son(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return C.father_son(C.neighbour_pairs(c.catpage), c.catsub)
+
+
+@register("brothers", O.render(
+    CAT + NEIGHBOURS, "SELECT cat_a, cat_b FROM neighbours n WHERE n.cat_a <> n.cat_b AND "
+                      "EXISTS (SELECT 1 FROM catsub s1 JOIN catsub s2 ON s1.cat_name = "
+                      "s2.cat_name WHERE s1.cat_name_sub = n.cat_a AND "
+                      "s2.cat_name_sub = n.cat_b)"))
+def q_brothers(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    return C.brothers(C.neighbour_pairs(c.catpage), c.catsub)
+
+
+UPSERT = [
+    ("existing", "SELECT cat_name, pag_title FROM catpage WHERE cat_name NOT LIKE 'quality_%' "
+                 "AND cat_name NOT LIKE 'toxic_%'"),
+    ("incoming", "SELECT cat_name, pag_title FROM catpage WHERE cat_name LIKE 'quality_%' "
+                 "OR cat_name LIKE 'toxic_%' OR cat_name LIKE 'lang_%'"),
+]
+
+
+def _upsert_inputs(c):
+    q = F.col("cat_name").like("quality_%") | F.col("cat_name").like("toxic_%")
+    return c.catpage.where(~q), c.catpage.where(q | F.col("cat_name").like("lang_%"))
+
+
+@register("bulk_upsert", O.render(
+    CAT + UPSERT, "SELECT * FROM existing UNION ALL (SELECT DISTINCT cat_name, pag_title "
+                  "FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE "
+                  "e.cat_name = i.cat_name AND e.pag_title = i.pag_title))"))
+def q_bulk_upsert(spark, sf_dir):
+    existing, incoming = _upsert_inputs(_cat(spark, sf_dir))
+    return C.bulk_upsert(existing, incoming, ["cat_name", "pag_title"])
+
+
+CONFLICTS = [
+    ("old_pages", "SELECT pag_title AS title FROM catpage WHERE cat_name = 'lang_en'"),
+    ("new_pages", "SELECT pag_title AS title FROM catpage WHERE cat_name LIKE 'quality_%' "
+                  "UNION ALL SELECT pag_title FROM catpage WHERE cat_name LIKE 'toxic_%'"),
+]
+
+
+@register("insert_conflicts", O.render(
+    CAT + CONFLICTS, "SELECT DISTINCT title, 'exists' AS reason FROM new_pages WHERE title IN "
+                     "(SELECT title FROM old_pages) UNION ALL SELECT title, 'duplicate' FROM "
+                     "new_pages GROUP BY title HAVING count(*) > 1"))
+def q_insert_conflicts(spark, sf_dir):
+    cp = _cat(spark, sf_dir).catpage
+    old = cp.where(F.col("cat_name") == "lang_en").select(F.col("pag_title").alias("title"))
+    new = (cp.where(F.col("cat_name").like("quality_%")).select(F.col("pag_title").alias("title"))
+           .union(cp.where(F.col("cat_name").like("toxic_%"))
+                  .select(F.col("pag_title").alias("title"))))
+    return C.insert_conflicts(old, new, ["title"])
+
+
+APPEND_CP = [
+    ("base_cats", "SELECT name FROM categories WHERE name NOT LIKE 'toxic_%'"),
+    ("base_cp", "SELECT * FROM catpage WHERE cat_name NOT LIKE 'toxic_%'"),
+    ("new_pairs", "SELECT cat_name, pag_title FROM catpage WHERE cat_name LIKE 'toxic_%' "
+                  "OR cat_name = 'lang_en'"),
+]
+
+
+@register("append_catpage", O.render(
+    CAT + APPEND_CP,
+    "SELECT 'categories' AS \"table\", name AS key1, CAST(NULL AS VARCHAR) AS key2 FROM "
+    "(SELECT DISTINCT cat_name AS name FROM new_pairs) WHERE name NOT IN "
+    "(SELECT name FROM base_cats) UNION ALL SELECT 'catpage', cat_name, pag_title FROM "
+    "(SELECT DISTINCT cat_name, pag_title FROM new_pairs) n WHERE NOT EXISTS (SELECT 1 FROM "
+    "base_cp b WHERE b.cat_name = n.cat_name AND b.pag_title = n.pag_title)"))
+def q_append_catpage(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    tox = F.col("cat_name").like("toxic_%")
+    return C.append_catpage(c.categories.where(~F.col("name").like("toxic_%")),
+                            c.catpage.where(~tox),
+                            c.catpage.where(tox | (F.col("cat_name") == "lang_en")))
+
+
+APPEND_CS = [
+    ("base_cs", "SELECT * FROM catsub WHERE cat_name <> 'labels'"),
+    ("base_cats2", "SELECT name FROM categories WHERE name NOT IN "
+                   "('labels', 'quality_0', 'quality_1', 'toxic_0', 'toxic_1')"),
+    ("new_edges", "SELECT cat_name, cat_name_sub FROM catsub WHERE cat_name = 'labels' "
+                  "UNION ALL SELECT cat_name, cat_name_sub FROM catsub WHERE cat_name = "
+                  "'languages' UNION ALL SELECT 'languages', 'languages'"),
+    ("bad_edges", "SELECT DISTINCT cat_name, cat_name_sub FROM (SELECT * FROM new_edges n "
+                  "WHERE EXISTS (SELECT 1 FROM base_cs b WHERE b.cat_name = n.cat_name AND "
+                  "b.cat_name_sub = n.cat_name_sub) UNION ALL SELECT * FROM new_edges WHERE "
+                  "cat_name = cat_name_sub UNION ALL SELECT cat_name, cat_name_sub FROM "
+                  "new_edges GROUP BY ALL HAVING count(*) > 1)"),
+]
+
+
+@register("append_catsub", O.render(
+    CAT + APPEND_CS,
+    "SELECT 'categories' AS \"table\", name AS key1, CAST(NULL AS VARCHAR) AS key2 FROM "
+    "(SELECT cat_name AS name FROM new_edges UNION SELECT cat_name_sub FROM new_edges) "
+    "WHERE name NOT IN (SELECT name FROM base_cats2) "
+    "UNION ALL SELECT 'catsub', cat_name, cat_name_sub FROM (SELECT DISTINCT * FROM new_edges) "
+    "n WHERE NOT EXISTS (SELECT 1 FROM bad_edges b WHERE b.cat_name = n.cat_name AND "
+    "b.cat_name_sub = n.cat_name_sub) "
+    "UNION ALL SELECT 'error', cat_name, cat_name_sub FROM bad_edges"))
+def q_append_catsub(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    spark_ = c.spark
+    labels_cats = ["labels", "quality_0", "quality_1", "toxic_0", "toxic_1"]
+    loop = spark_.range(1).select(F.lit("languages").alias("cat_name"),
+                                  F.lit("languages").alias("cat_name_sub"))
+    edges = (c.catsub.where(F.col("cat_name") == "labels")
+             .union(c.catsub.where(F.col("cat_name") == "languages")).union(loop))
+    return C.append_catsub(c.categories.where(~F.col("name").isin(*labels_cats)),
+                           c.catsub.where(F.col("cat_name") != "labels"), edges)
+
+
+CHECK = [
+    ("cp_faulty", "SELECT cat_name, pag_title FROM catpage UNION ALL SELECT 'lang_en', '-1'"),
+    ("cs_faulty", "SELECT cat_name, cat_name_sub FROM catsub UNION ALL "
+                  "SELECT 'languages', 'languages'"),
+]
+
+
+def _violation(rule, sql):
+    return f"SELECT '{rule}' AS rule, count(*) AS n FROM ({sql})"
+
+
+@register("check_constraints", O.render(CAT + CHECK, " UNION ALL ".join([
+    _violation("pk_pages", "SELECT title FROM page_titles GROUP BY title HAVING count(*) > 1"),
+    _violation("pk_categories", "SELECT name FROM categories GROUP BY name HAVING count(*) > 1"),
+    _violation("pk_catpage", "SELECT cat_name, pag_title FROM cp_faulty GROUP BY ALL "
+                             "HAVING count(*) > 1"),
+    _violation("pk_catsub", "SELECT cat_name, cat_name_sub FROM cs_faulty GROUP BY ALL "
+                            "HAVING count(*) > 1"),
+    _violation("fk_catpage_page", "SELECT pag_title FROM cp_faulty WHERE pag_title NOT IN "
+                                  "(SELECT title FROM page_titles)"),
+    _violation("fk_catpage_category", "SELECT cat_name FROM cp_faulty WHERE cat_name NOT IN "
+                                      "(SELECT name FROM categories)"),
+    _violation("fk_catsub_parent", "SELECT cat_name FROM cs_faulty WHERE cat_name NOT IN "
+                                   "(SELECT name FROM categories)"),
+    _violation("fk_catsub_child", "SELECT cat_name_sub FROM cs_faulty WHERE cat_name_sub "
+                                  "NOT IN (SELECT name FROM categories)"),
+    _violation("check_self_loop", "SELECT * FROM cs_faulty WHERE cat_name = cat_name_sub"),
+])))
+def q_check_constraints(spark, sf_dir):
+    c = _cat(spark, sf_dir)
+    one = c.spark.range(1)
+    cp = c.catpage.union(one.select(F.lit("lang_en").alias("cat_name"),
+                                    F.lit("-1").alias("pag_title")))
+    cs = c.catsub.union(one.select(F.lit("languages").alias("cat_name"),
+                                   F.lit("languages").alias("cat_name_sub")))
+    return C.check_constraints(c.pages, c.categories, cp, cs)
