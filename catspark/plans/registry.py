@@ -481,3 +481,120 @@ def q_check_constraints(spark, sf_dir):
     cs = c.catsub.union(one.select(F.lit("languages").alias("cat_name"),
                                    F.lit("languages").alias("cat_name_sub")))
     return C.check_constraints(c.pages, c.categories, cp, cs)
+
+
+# ---------------------------------------------------------------------------
+# Dump ingest
+# ---------------------------------------------------------------------------
+
+from ..operators import ingest as G  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import dump as D  # noqa: E402
+from ..sources.tables import WIKI_PAGES_SQL, wiki_pages  # noqa: E402
+
+
+def _dump(spark, sf_dir):
+    """Pages written as an XML dump under the shared folder and scanned back."""
+    path = D.write_dump(wiki_pages(spark, sf_dir), scratch_path(spark, "dump"))
+    return D.read_dump(spark, path)
+
+
+def _split(spark, sf_dir):
+    return G.split_body(G.valid_pages(_dump(spark, sf_dir)))
+
+
+N = O.T.norm_name_sql
+INGEST = [
+    ("wiki", WIKI_PAGES_SQL),
+    ("valid", f"SELECT {N('title')} AS title, ns, id, CASE WHEN ns = 14 THEN 'category' "
+              "ELSE 'article' END AS kind, text FROM wiki WHERE ns IN (0, 14) "
+              "AND redirect_title IS NULL"),
+    ("split", "SELECT id, title, kind, substr(text, 1, instr(text, '[[Category:') - 1) AS body, "
+              "substr(text, instr(text, '[[Category:')) AS cat_text FROM valid "
+              "WHERE text IS NOT NULL AND instr(text, '[[Category:') > 0"),
+    ("x_catpage", f"SELECT DISTINCT {N('raw')} AS cat_name, pag_title FROM (SELECT unnest("
+                  f"{O.T.category_links_sql('cat_text')}) AS raw, title AS pag_title "
+                  "FROM split WHERE kind = 'article')"),
+    ("x_catsub", f"SELECT DISTINCT {N('raw')} AS cat_name, cat_name_sub FROM (SELECT unnest("
+                 f"{O.T.category_links_sql('cat_text')}) AS raw, {N('substr(title, 10)')} "
+                 "AS cat_name_sub FROM split WHERE kind = 'category')"),
+    ("x_catsub_t", f"SELECT DISTINCT {N('raw')} AS cat_name, cat_name_sub FROM (SELECT unnest("
+                   f"{O.T.category_links_sql('cat_text', True)}) AS raw, "
+                   f"{N('substr(title, 10)')} AS cat_name_sub FROM split "
+                   "WHERE kind = 'category')"),
+]
+
+
+@register("dump_pages")
+def q_dump_pages(spark, sf_dir):
+    return _dump(spark, sf_dir).select("title", "ns", "id", "text",
+                                       F.col("redirect._title").alias("redirect_title"))
+
+
+@register("valid_pages", O.render(INGEST, "SELECT title, ns, id, kind FROM valid"))
+def q_valid_pages(spark, sf_dir):
+    return G.valid_pages(_dump(spark, sf_dir)).select("title", "ns", "id", "kind")
+
+
+@register("split_body", O.render(INGEST, "SELECT id, title, kind, body, cat_text FROM split"))
+def q_split_body(spark, sf_dir):
+    return _split(spark, sf_dir)
+
+
+@register("norm_name", O.render(INGEST, f"SELECT id, {N('title')} AS name FROM wiki"))
+def q_norm_name(spark, sf_dir):
+    return wiki_pages(spark, sf_dir).select("id", O.T.norm_name(F.col("title")).alias("name"))
+
+
+@register("extract_catpage", O.render(INGEST, "SELECT cat_name, pag_title FROM x_catpage"))
+def q_extract_catpage(spark, sf_dir):
+    return G.extract_catpage(_split(spark, sf_dir))
+
+
+@register("extract_catsub", O.render(INGEST, "SELECT cat_name, cat_name_sub FROM x_catsub"))
+def q_extract_catsub(spark, sf_dir):
+    return G.extract_catsub(_split(spark, sf_dir))
+
+
+@register("extract_catsub_truncated", O.render(INGEST, "SELECT cat_name, cat_name_sub "
+                                                       "FROM x_catsub_t"))
+def q_extract_catsub_truncated(spark, sf_dir):
+    return G.extract_catsub(_split(spark, sf_dir), truncate=True)
+
+
+@register("plain_text", O.render(INGEST, f"SELECT title, {O.T.plain_text_sql('body')} AS text "
+                                         "FROM split WHERE kind = 'article'"))
+def q_plain_text(spark, sf_dir):
+    return G.plain_texts(_split(spark, sf_dir))
+
+
+@register("plain_text_html", f"SELECT page_id, {O.T.plain_text_sql('html')} AS text FROM pages")
+def q_plain_text_html(spark, sf_dir):
+    from ..sources.tables import read_table
+    return read_table(spark, sf_dir, "pages").select(
+        "page_id", O.T.plain_text(F.col("html")).alias("text"))
+
+
+@register("limit_pages")
+def q_limit_pages(spark, sf_dir):
+    return G.limit_pages(_dump(spark, sf_dir), 100000).select("title", "ns", "id", "kind")
+
+
+@register("ingest_stats", O.render(
+    INGEST, "SELECT count(*) AS total_pages, count(*) FILTER (WHERE ns IN (0, 14) AND "
+            "redirect_title IS NULL) AS valid_pages FROM wiki"))
+def q_ingest_stats(spark, sf_dir):
+    return G.ingest_stats(_dump(spark, sf_dir))
+
+
+@register("derive_pages", O.render(INGEST, "SELECT DISTINCT title FROM split "
+                                           "WHERE kind = 'article'"))
+def q_derive_pages(spark, sf_dir):
+    return G.derive_pages(_split(spark, sf_dir))
+
+
+@register("derive_categories", O.render(
+    INGEST, "SELECT cat_name AS name FROM x_catpage UNION SELECT cat_name FROM x_catsub "
+            f"UNION SELECT {N('substr(title, 10)')} FROM split WHERE kind = 'category'"))
+def q_derive_categories(spark, sf_dir):
+    return G.derive_categories(_split(spark, sf_dir))

@@ -131,3 +131,64 @@ def with_bindings(body: str) -> str:
     return (f"WITH texts AS ({TEXTS_SQL}),\ncatpage AS ({CATPAGE_SQL}),\n"
             f"catsub AS ({CATSUB_SQL}),\npage_titles AS ({PAGES_SQL}),\n"
             f"categories AS ({CATEGORIES_SQL})\n{body}")
+
+
+# ---------------------------------------------------------------------------
+# Encyclopedia pages derived from documents (the dump binding)
+# ---------------------------------------------------------------------------
+# Articles: every document, titled "Doc  <id>" (two spaces), its whole text
+# followed by three category links; category pages: one per language, with
+# parent links; redirects and template pages: one per source.
+
+def _link_text(source, lang):
+    nl = F.lit("\n")
+    return F.concat(nl, F.lit("[[Category:"), source, F.lit("|"), lang, F.lit("]]"), nl,
+                    F.lit("[[Category:  Lang   "), lang, F.lit(" (x) ]][[Category:U.S. "),
+                    source, F.lit("]]"))
+
+
+def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(title, ns, id, redirect_title, text) pages built from ``documents``."""
+    from pyspark.sql import Window
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    none = F.lit(None).cast("string")
+    articles = docs.select(F.concat(F.lit("Doc  "), F.col("doc_id").cast("string")).alias("title"),
+                           F.lit(0).alias("ns"), F.col("doc_id").alias("id"),
+                           none.alias("redirect_title"),
+                           F.concat("text", _link_text(F.col("source"), F.col("lang")))
+                           .alias("text"))
+    langs = docs.select("lang").distinct()
+    cats = langs.select(
+        F.concat(F.lit("Category:Lang  "), "lang", F.lit(" (x)")).alias("title"),
+        F.lit(14).alias("ns"),
+        (F.lit(1 << 40) + F.row_number().over(Window.orderBy("lang"))).alias("id"),
+        none.alias("redirect_title"),
+        F.lit("intro [[Category:Languages (all)|x]][[Category:U.S. folks]][[Category:All]]")
+        .alias("text"))
+    sources = docs.select("source").distinct()
+    sid = F.row_number().over(Window.orderBy("source"))
+    redirects = sources.select(
+        F.concat(F.lit("Src "), "source").alias("title"), F.lit(0).alias("ns"),
+        (F.lit(2 << 40) + sid).alias("id"),
+        F.concat(F.lit("Category:"), "source").alias("redirect_title"),
+        F.lit("#REDIRECT [[Category:X]]").alias("text"))
+    templates = sources.select(
+        F.concat(F.lit("Template:"), "source").alias("title"), F.lit(10).alias("ns"),
+        (F.lit(3 << 40) + sid).alias("id"), none.alias("redirect_title"),
+        F.lit("[[Category:T]]").alias("text"))
+    return articles.unionByName(cats).unionByName(redirects).unionByName(templates)
+
+
+WIKI_PAGES_SQL = f"""SELECT concat('Doc  ', CAST(doc_id AS VARCHAR)) AS title, 0 AS ns,
+  doc_id AS id, CAST(NULL AS VARCHAR) AS redirect_title,
+  concat(text, chr(10), '[[Category:', source, '|', lang, ']]', chr(10),
+         '[[Category:  Lang   ', lang, ' (x) ]][[Category:U.S. ', source, ']]') AS text
+  FROM documents
+UNION ALL SELECT concat('Category:Lang  ', lang, ' (x)'), 14,
+  {1 << 40} + row_number() OVER (ORDER BY lang), CAST(NULL AS VARCHAR),
+  'intro [[Category:Languages (all)|x]][[Category:U.S. folks]][[Category:All]]'
+  FROM (SELECT DISTINCT lang FROM documents)
+UNION ALL SELECT concat('Src ', source), 0, {2 << 40} + row_number() OVER (ORDER BY source),
+  concat('Category:', source), '#REDIRECT [[Category:X]]' FROM (SELECT DISTINCT source FROM documents)
+UNION ALL SELECT concat('Template:', source), 10, {3 << 40} + row_number() OVER (ORDER BY source),
+  CAST(NULL AS VARCHAR), '[[Category:T]]' FROM (SELECT DISTINCT source FROM documents)"""
