@@ -233,3 +233,19 @@ def recommend(vectors: DataFrame, pages: DataFrame, catpage: DataFrame,
     page_vecs = vectors.join(pages.select("title"), "title", "left_semi")
     scores = category_scores(page_vecs, cents)
     return recommendations(scores, counts, cent_cats), counts
+
+
+def categorise_texts(texts: DataFrame, voc: DataFrame, cents: DataFrame,
+                     cent_cats: DataFrame, catsub: DataFrame, n: int | None = None,
+                     stem: bool = True):
+    """Recommend categories for unseen ``texts(title, text, categories)``
+    (vectors = raw counts x corpus idf) and score them against the texts' own
+    category lists.  Returns (recommendations, measures)."""
+    from .index import vector_of_text
+    own = texts.select(F.explode(F.array_distinct("categories")).alias("cat_name"),
+                       F.col("title").alias("pag_title"))
+    vecs = vector_of_text(texts.select("title", "text"), voc, stem=stem)
+    pages = texts.select("title")
+    counts = suggestion_counts(pages, own, cent_cats, n)
+    recs = recommendations(category_scores(vecs, cents), counts, cent_cats)
+    return recs, measures(recs, own, catsub, counts)

@@ -39,7 +39,11 @@ def content_tokens(toks: DataFrame) -> DataFrame:
 def stems(words: DataFrame, word: str = "token") -> DataFrame:
     """T4: (token, word) = Porter stem of each distinct token."""
     distinct = words.select(F.col(word).alias("token")).distinct()
-    return stem_words(distinct, "token", "word")
+    stemmed = stem_words(distinct, "token", "word")
+    # Aggregate barrier: predicates on the stem (e.g. a join's inferred
+    # isnotnull) stay above it instead of being substituted through the
+    # step projections.  Input is already partitioned by token: no shuffle.
+    return stemmed.groupBy("token").agg(F.max("word").alias("word"))
 
 
 # ---------------------------------------------------------------------------

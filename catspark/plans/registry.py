@@ -598,3 +598,180 @@ def q_derive_pages(spark, sf_dir):
             f"UNION SELECT {N('substr(title, 10)')} FROM split WHERE kind = 'category'"))
 def q_derive_categories(spark, sf_dir):
     return G.derive_categories(_split(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Text completion (T6-T9, S2-S4), vectors (V3-V7), unseen texts
+# ---------------------------------------------------------------------------
+
+from ..operators import similarity as V  # noqa: E402
+from ..sources import artefacts as A  # noqa: E402
+from ..sources import textdir as TD  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+
+@register("freq_dist")
+def q_freq_dist(spark, sf_dir):
+    return I.freq_dist(_p(spark, sf_dir).index.counts)
+
+
+@register("dedupe_documents", O.render(
+    CAT, "SELECT title, doc_id, text FROM (SELECT source AS title, doc_id, text, "
+         "row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS rn FROM documents) "
+         "WHERE rn = 1"))
+def q_dedupe(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.col("source").alias("title"), "doc_id", "text")
+    return I.dedupe_documents(docs, "title", "doc_id")
+
+
+def _text_dir_lines(spark, sf_dir):
+    path = TD.write_text_dir(_p(spark, sf_dir).cat.texts, scratch_path(spark, "textdir"))
+    return TD.read_text_dir(spark, path)
+
+
+@register("text_dir_scan")
+def q_text_dir_scan(spark, sf_dir):
+    lines = _text_dir_lines(spark, sf_dir)
+    return lines.select(TD.file_key(F.col("file")).alias("title"), "line")
+
+
+LINES = CAT + [("lines_t", "SELECT title, unnest(string_split(text, chr(10))) AS text "
+                           "FROM texts")] + O.index_ctes("lines_t", "l_")
+
+
+@register("file_word_count", O.render(LINES, "SELECT word, title, n FROM l_counts"))
+def q_file_word_count(spark, sf_dir):
+    counts = I.file_word_count(_text_dir_lines(spark, sf_dir))
+    return counts.select("word", TD.file_key(F.col("file")).alias("title"), "n")
+
+
+@register("file_word_lists")
+def q_file_word_lists(spark, sf_dir):
+    counts = I.file_word_count(_text_dir_lines(spark, sf_dir))
+    return I.file_word_lists(counts.withColumn("file", TD.file_key(F.col("file"))))
+
+
+@register("artefact_roundtrip", O.render(O.INDEX + O.HOLDOUT + O.centroid_ctes(5, True),
+                                         f"SELECT cat_name, word, {O.r6('weight')} "
+                                         "FROM centroids"))
+def q_artefact_roundtrip(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    path = scratch_path(spark, "centroids")
+    return A.load_artefact(spark, path, build=lambda: p.centroids)
+
+
+@register("vector_of_page", O.render(
+    O.INDEX + O.HOLDOUT, f"SELECT title, word, {O.r6('weight')} FROM vectors "
+                         "WHERE title IN (SELECT title FROM holdout)"))
+def q_vector_of_page(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return I.vector_of_page(p.vectors, p.holdout)
+
+
+CONV = [("conv_texts", "SELECT concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) "
+                       "AS title, text, role FROM conversations")]
+CONV_INDEX = O.INDEX + CONV + O.index_ctes("conv_texts", "c_") + [
+    ("conv_vectors", "SELECT title, word, n * idf AS weight FROM c_counts "
+                     "JOIN vocab USING (word)")]
+
+
+def _conv_texts(spark, sf_dir):
+    return read_table(spark, sf_dir, "conversations").select(
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+        .alias("title"), "text", "role", "conv_id", "turn")
+
+
+@register("vector_of_text", O.render(CONV_INDEX, f"SELECT title, word, {O.r6('weight')} "
+                                                 "FROM conv_vectors"))
+def q_vector_of_text(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return I.vector_of_text(_conv_texts(spark, sf_dir).select("title", "text"), p.index.vocab)
+
+
+COS_PAIRS = CONV_INDEX + [
+    ("turn_pairs", "SELECT DISTINCT a, b FROM (SELECT title AS a, lag(title) OVER "
+                   "(PARTITION BY conv_id ORDER BY turn) AS b FROM (SELECT concat(CAST(conv_id "
+                   "AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS title, conv_id, turn "
+                   "FROM conversations)) WHERE b IS NOT NULL"),
+    ("nv", "SELECT title, word, weight / sqrt(sum(weight * weight) OVER (PARTITION BY title)) "
+           "AS w FROM conv_vectors WHERE weight <> 0"),
+    ("dots", "SELECT p.a, p.b, sum(x.w * y.w) AS score FROM turn_pairs p JOIN nv x ON "
+             "x.title = p.a JOIN nv y ON y.title = p.b AND y.word = x.word GROUP BY p.a, p.b"),
+]
+
+
+@register("cosine_pairs", O.render(
+    COS_PAIRS, "SELECT p.a, p.b, round(coalesce(d.score, 0.0), 6) AS score FROM turn_pairs p "
+               "LEFT JOIN dots d ON d.a = p.a AND d.b = p.b"))
+def q_cosine_pairs(spark, sf_dir):
+    from pyspark.sql import Window
+    p = _p(spark, sf_dir)
+    conv = _conv_texts(spark, sf_dir)
+    vecs = I.vector_of_text(conv.select("title", "text"), p.index.vocab)
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    pairs = (conv.select(F.col("title").alias("a"), F.lag("title").over(w).alias("b"))
+             .where(F.col("b").isNotNull()))
+    return V.cosine_pairs(vecs, pairs)
+
+
+SIM = O.INDEX + [
+    ("nvec", "SELECT title, word, weight / sqrt(sum(weight * weight) OVER (PARTITION BY title)) "
+             "AS w FROM vectors WHERE weight <> 0"),
+    ("sims", "SELECT x.title AS a, y.title AS b, sum(x.w * y.w) AS sim FROM nvec x JOIN nvec y "
+             "ON x.word = y.word AND x.title < y.title GROUP BY x.title, y.title"),
+]
+
+
+@register("similarity_pairs", O.render(SIM, f"SELECT a, b, {O.r6('sim')} FROM sims "
+                                            "WHERE sim > 0.1"))
+def q_similarity_pairs(spark, sf_dir):
+    return V.similarity_pairs(_p(spark, sf_dir).vectors, min_sim=0.1)
+
+
+@register("dbscan_clusters")
+def q_dbscan(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return V.dbscan_clusters(p.vectors, p.cat.texts, eps=0.5, min_pts=5)
+
+
+@register("categorise_texts", O.render(
+    CONV_INDEX + [("conv_catpage", "SELECT DISTINCT role AS cat_name, title AS pag_title "
+                                   "FROM conv_texts")]
+    + O.centroid_ctes(5, holdout=False)
+    + O.scoring_ctes("conv_texts", "conv_vectors", catpage="conv_catpage")
+    + O.measure_ctes("conv_catpage"),
+    "SELECT r.title, CAST(r.rank AS INTEGER) AS rank, r.cat_name, round(r.score, 6) AS score, "
+    "m.boolean, round(m.fractional, 6) AS fractional, round(m.hierarchical, 6) AS hierarchical "
+    "FROM recs r JOIN measures m USING (title)"))
+def q_categorise_texts(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    conv = _conv_texts(spark, sf_dir).select("title", "text",
+                                             F.array("role").alias("categories"))
+    cents = K.centroids(p.vectors, p.cat.catpage, 5)
+    recs, meas = K.categorise_texts(conv, p.index.vocab, cents, p.cent_cats, p.cat.catsub)
+    return recs.join(meas.select("title", "boolean", "fractional", "hierarchical"), "title")
+
+
+# ---------------------------------------------------------------------------
+# Sampling and the sweep
+# ---------------------------------------------------------------------------
+
+@register("sample_pages", O.render(CAT, "SELECT title FROM page_titles ORDER BY "
+                                        "md5(concat(title, '42')), title LIMIT 100"))
+def q_sample_pages(spark, sf_dir):
+    return E.sample_pages(_cat(spark, sf_dir).pages, 100)
+
+
+SWEEP_T = list(range(4, 51))
+THR_SQL = ("SELECT unnest(generate_series(4, 50)) AS t")
+
+
+@register("per_threshold_samples", O.render(
+    CAT + O.HOLDOUT + [("thr", THR_SQL)],
+    "SELECT t, title FROM (SELECT thr.t, h.title, row_number() OVER (PARTITION BY thr.t ORDER "
+    "BY md5(concat(h.title, '42', CAST(thr.t AS VARCHAR))), h.title) AS rn FROM holdout h "
+    "CROSS JOIN thr) WHERE rn <= 100"))
+def q_per_threshold_samples(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return E.per_threshold_samples(p.holdout, SWEEP_T, 100)
