@@ -104,7 +104,12 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     counts = (sampled.join(actual, "title").join(n_cent, "t")
               .withColumn("n", F.least("n_actual", "n_centroids"))
               .select("t", "title", "n_actual", "n"))
-    recs = K.recommendations(scores, counts, cats_t, group=["t"])
+    # small intermediates, written once: every later step reads them several
+    # times (and a lost executor does not recompute the scoring)
+    from ..plans.pipeline import materialise
+    scores = materialise(scores, "sweep_scores")
+    counts = materialise(counts, "sweep_counts")
+    recs = materialise(K.recommendations(scores, counts, cats_t, group=["t"]), "sweep_recs")
     meas = K.measures(recs, catpage, catsub, counts, group=["t"])
     return (meas.groupBy("t").agg(
         F.avg("boolean").alias("mean_boolean"),

@@ -775,3 +775,31 @@ THR_SQL = ("SELECT unnest(generate_series(4, 50)) AS t")
 def q_per_threshold_samples(spark, sf_dir):
     p = _p(spark, sf_dir)
     return E.per_threshold_samples(p.holdout, SWEEP_T, 100)
+
+
+SWEEP_COLS = ["mean_boolean", "std_boolean", "mean_fractional", "std_fractional",
+              "mean_hierarchical", "std_hierarchical"]
+
+
+def _sweep(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return E.threshold_sweep(p.vectors, p.cat.catpage, p.cat.catsub, p.cat.pages,
+                             min_pag=4, max_pag=50, n_pages=100, fraction=0.2)
+
+
+@register("threshold_sweep", O.render(
+    O.sweep_ctes(4, 50, 100),
+    "SELECT n_pages, n_centroids, " + ", ".join(O.r6(c) for c in SWEEP_COLS) + " FROM sweep"))
+def q_threshold_sweep(spark, sf_dir):
+    return _sweep(spark, sf_dir)
+
+
+@register("sweep_long", O.render(
+    O.sweep_ctes(4, 50, 100),
+    " UNION ALL ".join(
+        f"SELECT n_pages, n_centroids, '{label}' AS type, {O.r6('mean_' + k, 'mean')}, "
+        f"{O.r6('std_' + k, 'std')} FROM sweep"
+        for label, k in (("Boolean", "boolean"), ("Fractional", "fractional"),
+                         ("Hierarchical", "hierarchical")))))
+def q_sweep_long(spark, sf_dir):
+    return E.sweep_long(_sweep(spark, sf_dir))
