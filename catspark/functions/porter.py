@@ -51,13 +51,23 @@ STEP4 = [
 # SQL snippets over columns w / cv
 # ---------------------------------------------------------------------------
 
-def _cv_expr(dialect: str) -> str:
-    body = ("concat(acc, CASE WHEN x IN ('a','e','i','o','u') THEN 'v' "
-            "WHEN x = 'y' THEN (CASE WHEN acc = '' OR right(acc, 1) = 'v' "
-            "THEN 'c' ELSE 'v' END) WHEN x = '' THEN '' ELSE 'c' END)")
+_LETTERS = "abcdefghijklmnopqrstuvwxyzY"
+_CV_MAP = "".join("v" if ch in "aeiouY" else "c" for ch in _LETTERS)
+
+
+def _mark_expr(dialect: str, word: str) -> str:
+    """The word with every vowel-y upper-cased (``Y``).  A y is a vowel only
+    after a consonant; steps only cut suffixes and append y-free text, so a
+    y's role never changes and this one fold serves every step."""
+    body = ("concat(acc, CASE WHEN x = 'y' AND acc <> '' AND right(acc, 1) NOT IN "
+            "('a','e','i','o','u','Y') THEN 'Y' ELSE x END)")
     if dialect == "spark":
-        return f"aggregate(split(w, ''), '', (acc, x) -> {body})"
-    return f"list_reduce(string_split(w, ''), lambda acc, x: {body}, '')"
+        return f"aggregate(split({word}, ''), '', (acc, x) -> {body})"
+    return f"list_reduce(string_split({word}, ''), lambda acc, x: {body}, '')"
+
+
+def _cv_expr(dialect: str = "spark") -> str:
+    return f"translate(w, '{_LETTERS}', '{_CV_MAP}')"
 
 
 def _ends(suffix: str) -> str:
@@ -102,7 +112,7 @@ def _cvc(n: int) -> str:
 
 
 def _double_consonant() -> str:
-    return ("(length(w) >= 2 AND right(w, 1) = left(right(w, 2), 1) "
+    return ("(length(w) >= 2 AND lower(right(w, 1)) = lower(left(right(w, 2), 1)) "
             "AND right(cv, 1) = 'c')")
 
 
@@ -136,7 +146,7 @@ def stem_steps() -> list[tuple[str, str]]:
                f"WHEN {_double_consonant()} THEN (CASE WHEN right(w, 1) NOT IN ('l','s','z') "
                "THEN left(w, length(w) - 1) ELSE w END) "
                f"WHEN {_m_eq1(0)} AND {_cvc(0)} THEN concat(w, 'e') ELSE w END")
-    step1c = ("CASE WHEN w LIKE '%y' AND length(w) > 2 "
+    step1c = ("CASE WHEN lower(right(w, 1)) = 'y' AND length(w) > 2 "
               "AND substr(cv, length(w) - 1, 1) = 'c' "
               "THEN concat(left(w, length(w) - 1), 'i') ELSE w END")
     step2a = (f"CASE WHEN {_ends('alli')} AND {_m_gt0(4)} "
@@ -161,13 +171,13 @@ def stem_steps() -> list[tuple[str, str]]:
 def _final(word: str) -> str:
     pool = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR.items())
     return (f"CASE WHEN length({word}) <= 2 THEN {word} "
-            f"ELSE coalesce(CASE {word} {pool} END, w) END")
+            f"ELSE coalesce(CASE {word} {pool} END, lower(w)) END")
 
 
 def stem_words(words: DataFrame, word: str = "word", out: str = "stem") -> DataFrame:
     """Add ``out`` = Porter stem of ``word`` (lower-case letters only)."""
-    df = words.withColumn("w", F.col(word))
-    cv = F.expr(_cv_expr("spark"))
+    df = words.withColumn("w", F.expr(_mark_expr("spark", word)))
+    cv = F.expr(_cv_expr())
     for name, expr in stem_steps():
         df = df.withColumn("cv", cv).withColumn(name, F.expr(expr))
     return df.withColumn(out, F.expr(_final(word))).drop("w", "cv", "f")
@@ -175,8 +185,9 @@ def stem_words(words: DataFrame, word: str = "word", out: str = "stem") -> DataF
 
 def stem_words_sql(source_sql: str, word: str = "word", out: str = "stem") -> str:
     """DuckDB SQL adding ``out`` to the rows of ``source_sql``."""
-    cv = _cv_expr("duckdb")
-    sql = f"SELECT *, {word} AS w, CAST(NULL AS BOOLEAN) AS f FROM ({source_sql})"
+    cv = _cv_expr()
+    sql = (f"SELECT *, {_mark_expr('duckdb', word)} AS w, CAST(NULL AS BOOLEAN) AS f "
+           f"FROM ({source_sql})")
     for name, expr in stem_steps():
         with_cv = f"SELECT *, {cv} AS cv FROM ({sql})"
         sql = f"SELECT * EXCLUDE (cv, {name}), {expr} AS {name} FROM ({with_cv})"

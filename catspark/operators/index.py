@@ -50,21 +50,31 @@ def stems(words: DataFrame, word: str = "token") -> DataFrame:
 # counts
 # ---------------------------------------------------------------------------
 
-def term_counts(texts: DataFrame, stem: bool = True, title: str = "title",
-                text: str = "text") -> DataFrame:
-    """T5: (title, word, n) kept-token frequencies per document.
+def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
+    """(title, token, n) kept tokens per document before stemming, counted
+    with a map-side partial aggregate on the skew-free (title, token) key."""
+    return (content_tokens(tokens(texts, title, text))
+            .groupBy("title", "token").agg(F.count(F.lit(1)).alias("n")))
+
 
-    Tokens are first counted per (title, token) with a map-side partial
-    aggregate; stemming then runs once per distinct token and is joined back
-    (the join is on the already-reduced counts, not on token occurrences).
+def stem_counts(raw: DataFrame) -> DataFrame:
+    """(title, word, n): stem the distinct vocabulary once, join it back.
+
+    The stem map has one row per distinct token; AQE broadcasts it only when
+    its runtime size is under the broadcast threshold and otherwise keeps a
+    sort-merge join whose hot-token partitions it splits.
     """
-    raw = (content_tokens(tokens(texts, title, text))
-           .groupBy("title", "token").agg(F.count(F.lit(1)).alias("n")))
+    return (raw.join(stems(raw), "token")
+            .groupBy("title", "word").agg(F.sum("n").alias("n")))
+
+
+def term_counts(texts: DataFrame, stem: bool = True, title: str = "title",
+                text: str = "text") -> DataFrame:
+    """T5: (title, word, n) kept-token (stemmed) frequencies per document."""
+    raw = raw_counts(texts, title, text)
     if not stem:
         return raw.withColumnRenamed("token", "word")
-    mapping = stems(raw)
-    return (raw.join(mapping, "token")
-            .groupBy("title", "word").agg(F.sum("n").alias("n")))
+    return stem_counts(raw)
 
 
 def freq_dist(counts: DataFrame) -> DataFrame:
@@ -139,8 +149,14 @@ class Index:
     def __init__(self, texts: DataFrame, stem: bool = True, persist: bool = True):
         from ..plans.pipeline import materialise
         self.texts = texts
-        counts = term_counts(texts, stem=stem)
-        self.counts = materialise(counts, "term_counts") if persist else counts
+        if persist:
+            # tokenise once: the unstemmed counts are written, stemming joins
+            # back onto the written table, and the result is written again
+            raw = materialise(raw_counts(texts), "raw_counts")
+            counts = stem_counts(raw) if stem else raw.withColumnRenamed("token", "word")
+            self.counts = materialise(counts, "term_counts")
+        else:
+            self.counts = term_counts(texts, stem=stem)
         self.postings = postings(self.counts)
         self.n_docs = document_count(texts)
         self.vocab = vocab(self.postings, self.n_docs)

@@ -40,7 +40,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, stem: bool = True,
-                 min_pages: int = 5, fraction: float = 0.2, persist: bool = False):
+                 min_pages: int = 5, fraction: float = 0.2, persist: bool = True):
         self.spark = spark
         self.cat = Catalogue(spark, sf_dir)
         self.stem = stem
@@ -59,7 +59,8 @@ class Pipeline:
 
     @cached_property
     def holdout(self) -> DataFrame:
-        return E.holdout_split(self.cat.pages, self.fraction)
+        h = E.holdout_split(self.cat.pages, self.fraction)
+        return materialise(h, "holdout") if self.persist else h
 
     @cached_property
     def cent_cats(self) -> DataFrame:
@@ -67,7 +68,8 @@ class Pipeline:
 
     @cached_property
     def centroids(self) -> DataFrame:
-        return K.centroids(self.vectors, self.cat.catpage, self.min_pages, self.holdout)
+        c = K.centroids(self.vectors, self.cat.catpage, self.min_pages, self.holdout)
+        return materialise(c, "centroids") if self.persist else c
 
     @cached_property
     def recommended(self):
