@@ -803,3 +803,20 @@ def q_threshold_sweep(spark, sf_dir):
                          ("Hierarchical", "hierarchical")))))
 def q_sweep_long(spark, sf_dir):
     return E.sweep_long(_sweep(spark, sf_dir))
+
+
+@register("inverted_index_nested")
+def q_inverted_index_nested(spark, sf_dir):
+    idx = _p(spark, sf_dir).index
+    return I.inverted_index_nested(idx.postings, idx.vocab)
+
+
+@register("streaming_word_count", O.render(LINES, "SELECT word, title, n FROM l_counts"))
+def q_streaming_word_count(spark, sf_dir):
+    """T8 as a file stream: 500 files per micro-batch, appended to a table."""
+    from ..streaming.textdir import count_batches
+    text_dir = TD.write_text_dir(_p(spark, sf_dir).cat.texts, scratch_path(spark, "stream-in"))
+    out = scratch_path(spark, "stream-out")
+    count_batches(spark, text_dir, out, scratch_path(spark, "stream-ckpt"))
+    counts = spark.read.parquet(out)
+    return counts.select("word", TD.file_key(F.col("file")).alias("title"), "n")
