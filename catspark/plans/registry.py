@@ -325,23 +325,38 @@ NEIGHBOURS = [("neighbours", "SELECT DISTINCT cat_a, cat_b FROM (SELECT cat_name
                              "AS cat_b FROM catpage) WHERE cat_b IS NOT NULL")]
 
 
+def _miss_pairs(spark, sf_dir):
+    """(cat_a = actual category, cat_b = missed suggestion) of the hold-out
+    pages: the pairs the hierarchical measure asks about."""
+    p = _p(spark, sf_dir)
+    actual = p.cat.catpage.select(F.col("pag_title").alias("title"),
+                                  F.col("cat_name").alias("cat_a"))
+    misses = p.recs.join(p.cat.catpage.select(F.col("pag_title").alias("title"), "cat_name"),
+                         ["title", "cat_name"], "left_anti")
+    return (misses.select("title", F.col("cat_name").alias("cat_b")).join(actual, "title")
+            .select("cat_a", "cat_b").distinct()), p
+
+
+MISS_PAIRS = O.RECOMMEND + [("miss_pairs", "SELECT DISTINCT cat_a, cat_b FROM pairs")]
+
+
 @register("father_son", O.render(
-    CAT + NEIGHBOURS, "SELECT cat_a, cat_b FROM neighbours n WHERE EXISTS (SELECT 1 FROM "
-                      "catsub s WHERE (s.cat_name = n.cat_a AND s.cat_name_sub = n.cat_b) OR "
-                      "(s.cat_name = n.cat_b AND s.cat_name_sub = n.cat_a))"))
+    MISS_PAIRS, "SELECT cat_a, cat_b FROM miss_pairs n WHERE EXISTS (SELECT 1 FROM "
+                "catsub s WHERE (s.cat_name = n.cat_a AND s.cat_name_sub = n.cat_b) OR "
+                "(s.cat_name = n.cat_b AND s.cat_name_sub = n.cat_a))"))
 def q_father_son(spark, sf_dir):
-    c = _cat(spark, sf_dir)
-    return C.father_son(C.neighbour_pairs(c.catpage), c.catsub)
+    pairs, p = _miss_pairs(spark, sf_dir)
+    return C.father_son(pairs, p.cat.catsub)
 
 
 @register("brothers", O.render(
-    CAT + NEIGHBOURS, "SELECT cat_a, cat_b FROM neighbours n WHERE n.cat_a <> n.cat_b AND "
-                      "EXISTS (SELECT 1 FROM catsub s1 JOIN catsub s2 ON s1.cat_name = "
-                      "s2.cat_name WHERE s1.cat_name_sub = n.cat_a AND "
-                      "s2.cat_name_sub = n.cat_b)"))
+    MISS_PAIRS, "SELECT cat_a, cat_b FROM miss_pairs n WHERE n.cat_a <> n.cat_b AND "
+                "EXISTS (SELECT 1 FROM catsub s1 JOIN catsub s2 ON s1.cat_name = "
+                "s2.cat_name WHERE s1.cat_name_sub = n.cat_a AND "
+                "s2.cat_name_sub = n.cat_b)"))
 def q_brothers(spark, sf_dir):
-    c = _cat(spark, sf_dir)
-    return C.brothers(C.neighbour_pairs(c.catpage), c.catsub)
+    pairs, p = _miss_pairs(spark, sf_dir)
+    return C.brothers(pairs, p.cat.catsub)
 
 
 UPSERT = [
