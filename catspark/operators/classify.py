@@ -59,14 +59,28 @@ def normalise(vectors: DataFrame, key: str) -> DataFrame:
     return nz.withColumn("weight", F.col("weight") / norm)
 
 
-def cosine(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def cosine(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+           chunk: int = 20000) -> DataFrame:
     """(left_key, right_key, score) for every pair sharing a non-zero word.
 
-    Pairs without a shared word score 0.0 and are not emitted.
+    Pairs without a shared word score 0.0 and are not emitted.  A word with
+    more than ``chunk`` left entries is salted: its left rows are spread over
+    S = ceil(n / chunk) buckets by key hash and its right rows are copied to
+    every bucket, so one hot word never lands in a single task.
     """
     a = normalise(left, left_key).select(left_key, "word", F.col("weight").alias("_a"))
     b = normalise(right, right_key).select(right_key, "word", F.col("weight").alias("_b"))
-    return (a.join(b, "word")
+    hot = (a.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > chunk)
+           .select("word", F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("_s")))
+    a = (a.join(hot, "word", "left")
+         .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
+                     .otherwise(F.pmod(F.xxhash64(left_key), F.col("_s")).cast("int")))
+         .drop("_s"))
+    b = (b.join(hot, "word", "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_s", F.lit(1)) - 1)))
+         .drop("_s"))
+    return (a.join(b, ["word", "_salt"])
             .groupBy(left_key, right_key)
             .agg(F.sum(F.col("_a") * F.col("_b")).alias("score")))
 

@@ -93,3 +93,14 @@ def test_holdout_split_size(spark):
     cat = Catalogue(spark, SF0001)
     n = cat.pages.count()
     assert E.holdout_split(cat.pages, 0.2).count() == int(n * 0.2)
+
+
+def test_salted_cosine_equals_unsalted(small):
+    vec = small.vectors
+    cents = K.centroids(vec, small.cat.catpage, 5)
+    plain = {(r.title, r.cat_name): r.score for r in K.cosine(vec, cents, "title", "cat_name")
+             .collect()}
+    salted = {(r.title, r.cat_name): r.score
+              for r in K.cosine(vec, cents, "title", "cat_name", chunk=3).collect()}
+    assert set(plain) == set(salted)
+    assert max(abs(plain[k] - salted[k]) for k in plain) < 1e-9
