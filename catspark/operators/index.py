@@ -85,10 +85,15 @@ def freq_dist(counts: DataFrame) -> DataFrame:
 
 
 def dedupe_documents(texts: DataFrame, key: str = "title", order: str = "doc_id") -> DataFrame:
-    """Last text for a title wins (highest ``order`` value)."""
-    w = Window.partitionBy(key).orderBy(F.col(order).desc())
-    return (texts.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).drop("_rn"))
+    """Last text for a title wins (highest ``order`` value).
+
+    ``max_by`` is combined map-side, so a title repeated in a third of all
+    rows never gathers those rows in one task.
+    """
+    others = [c for c in texts.columns if c != key]
+    return (texts.groupBy(key)
+            .agg(F.max_by(F.struct(*others), F.col(order)).alias("_last"))
+            .select(key, *[F.col("_last").getField(c).alias(c) for c in others]))
 
 
 def file_word_count(lines: DataFrame, stem: bool = True) -> DataFrame:
@@ -130,11 +135,20 @@ def inverted_index(posts: DataFrame, voc: DataFrame) -> DataFrame:
     return posts.join(voc.select("word", "idf"), "word")
 
 
-def inverted_index_nested(posts: DataFrame, voc: DataFrame) -> DataFrame:
-    """I4 (nested view): word -> (idf, map title -> tf)."""
-    per_word = posts.groupBy("word").agg(
-        F.map_from_entries(F.collect_list(F.struct("title", "tf"))).alias("docs"))
-    return voc.select("word", "idf").join(per_word, "word")
+def inverted_index_nested(posts: DataFrame, voc: DataFrame,
+                          max_entries: int = 10000) -> DataFrame:
+    """I4 (nested view): word -> (idf, map title -> tf), in chunks.
+
+    A frequent word's postings are split into ceil(df / max_entries) hash
+    chunks, one row each, so no row (and no task) collects all documents of
+    a word.  Rows: (word, chunk, idf, docs).
+    """
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(max_entries))).cast("int")
+    keyed = (posts.join(voc.select("word", "idf", chunks.alias("_c")), "word")
+             .withColumn("chunk", F.pmod(F.xxhash64("title"), F.col("_c")).cast("int")))
+    return (keyed.groupBy("word", "chunk")
+            .agg(F.first("idf").alias("idf"),
+                 F.map_from_entries(F.collect_list(F.struct("title", "tf"))).alias("docs")))
 
 
 class Index:
