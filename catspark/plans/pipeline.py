@@ -81,9 +81,12 @@ class Pipeline:
     def recommended(self):
         """(recommendations, counts) for the hold-out pages, written once:
         both are small (n rows per page) and every measure reads them."""
-        recs, counts = K.recommend(self.vectors, self.holdout, self.cat.catpage,
-                                   self.centroids, self.cent_cats)
-        return materialise(recs, "recommendations"), materialise(counts, "counts")
+        counts = K.suggestion_counts(self.holdout, self.cat.catpage, self.cent_cats)
+        counts = materialise(counts, "counts") if self.persist else counts
+        page_vecs = self.vectors.join(self.holdout, "title", "left_semi")
+        recs = K.recommendations(K.category_scores(page_vecs, self.centroids), counts,
+                                 self.cent_cats)
+        return (materialise(recs, "recommendations") if self.persist else recs), counts
 
     @property
     def recs(self) -> DataFrame:
