@@ -31,13 +31,24 @@ XML_OPTIONS = {"rowTag": "page", "ignoreSurroundingSpaces": "false",
                "ignoreNamespace": "true", "mode": "PERMISSIVE"}
 
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """(title, ns, id, redirect, text) per page; ``text`` = last revision."""
-    raw = spark.read.option("lineSep", "</page>").text(path)
-    start = F.instr("value", "<page>")
-    record = F.concat(F.expr("substr(value, instr(value, '<page>'))"), F.lit("</page>"))
+def read_dump(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """(title, ns, id, redirect, text) per page; ``text`` = last revision.
+
+    ``prefix`` is the namespace prefix of the page elements if the dump uses
+    one (``<mw:page>`` -> ``prefix="mw"``); namespaces are ignored when the
+    record is parsed, so ``{uri}page`` and ``mw:page`` both read as ``page``.
+    """
+    tag = f"{prefix}:page" if prefix else "page"
+    raw = spark.read.option("lineSep", f"</{tag}>").text(path)
+    start = F.instr("value", f"<{tag}>")
+    record = F.concat(F.expr(f"substr(value, instr(value, '<{tag}>'))"), F.lit(f"</{tag}>"))
+    if prefix:
+        # bind the prefix so the isolated record is well-formed XML
+        record = F.regexp_replace(record, f"^<{tag}>",
+                                  f'<{tag} xmlns:{prefix}="urn:dump-prefix">')
+    options = dict(XML_OPTIONS, rowTag=tag)
     parsed = (raw.where(start > 0)
-              .select(F.from_xml(record, DUMP_SCHEMA, XML_OPTIONS).alias("p")))
+              .select(F.from_xml(record, DUMP_SCHEMA, options).alias("p")))
     return parsed.select(
         "p.title", "p.ns", "p.id", "p.redirect",
         F.element_at("p.revision", -1).getField("text").getField("_VALUE").alias("text"))

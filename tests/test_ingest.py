@@ -72,3 +72,20 @@ def test_large_dump_splits_over_tasks(spark, tmp_dir):
         assert G.valid_pages(pages).count() == 18000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_prefixed_namespace_dump(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "prefixed.xml")
+    with open(path, "w") as f:
+        f.write(f'<mw:mediawiki xmlns:mw="{NS}">\n')
+        for i in (1, 2):
+            f.write(f"<mw:page><mw:title>T {i}</mw:title><mw:ns>0</mw:ns><mw:id>{i}</mw:id>"
+                    f"<mw:revision><mw:id>{i}</mw:id><mw:text>x [[Category:C {i}]]</mw:text>"
+                    "</mw:revision></mw:page>\n")
+        f.write("</mw:mediawiki>\n")
+    pages = read_dump(spark, path, prefix="mw")
+    rows = sorted((r.title, r.ns, r.id, r.text) for r in pages.collect())
+    assert rows == [("T 1", 0, 1, "x [[Category:C 1]]"), ("T 2", 0, 2, "x [[Category:C 2]]")]
+    cp = {(r.cat_name, r.pag_title) for r in
+          G.extract_catpage(G.split_body(G.valid_pages(pages))).collect()}
+    assert cp == {("C_1", "T_1"), ("C_2", "T_2")}
