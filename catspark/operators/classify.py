@@ -53,10 +53,14 @@ def centroids(vectors: DataFrame, catpage: DataFrame, min_pages: int = 5,
 # ---------------------------------------------------------------------------
 
 def normalise(vectors: DataFrame, key: str) -> DataFrame:
-    """Unit-length vectors; zero weights and zero vectors disappear."""
+    """Unit-length vectors; zero weights and zero vectors disappear.
+
+    Norms come from a map-side-combined aggregate joined back on the key (a
+    huge vector is never sorted in one task as a window would need)."""
     nz = vectors.where(F.col("weight") != 0)
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(key)))
-    return nz.withColumn("weight", F.col("weight") / norm)
+    norms = nz.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
+    return (nz.join(norms, key)
+            .withColumn("weight", F.col("weight") / F.col("_norm")).drop("_norm"))
 
 
 def cosine(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -114,9 +118,11 @@ def _padding(counts: DataFrame, cent_cats: DataFrame, group: list[str]) -> DataF
     is paired with more than n categories.
     """
     if group:
-        w = Window.partitionBy(*group).orderBy("cat_name")
-        ranked = cent_cats.select(*group, "cat_name",
-                                  F.row_number().over(w).cast("long").alias("slot"))
+        # rank within each group = global rank - first global rank of the group
+        g = global_rank(cent_cats.select(*group, "cat_name"), [*group, "cat_name"], "_g")
+        first = g.groupBy(*group).agg(F.min("_g").alias("_g0"))
+        ranked = (g.join(first, group)
+                  .select(*group, "cat_name", (F.col("_g") - F.col("_g0") + 1).alias("slot")))
     else:
         ranked = global_rank(cent_cats.select("cat_name"), ["cat_name"], "slot")
     slots = counts.select(*group, "title",

@@ -149,7 +149,6 @@ def _link_text(source, lang):
 
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(title, ns, id, redirect_title, text) pages built from ``documents``."""
-    from pyspark.sql import Window
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     none = F.lit(None).cast("string")
     articles = docs.select(F.concat(F.lit("Doc  "), F.col("doc_id").cast("string")).alias("title"),
@@ -157,16 +156,17 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                            none.alias("redirect_title"),
                            F.concat("text", _link_text(F.col("source"), F.col("lang")))
                            .alias("text"))
-    langs = docs.select("lang").distinct()
+    from ..plans.ranking import global_rank
+    langs = global_rank(docs.select("lang").distinct(), ["lang"], "_r")
     cats = langs.select(
         F.concat(F.lit("Category:Lang  "), "lang", F.lit(" (x)")).alias("title"),
         F.lit(14).alias("ns"),
-        (F.lit(1 << 40) + F.row_number().over(Window.orderBy("lang"))).alias("id"),
+        (F.lit(1 << 40) + F.col("_r")).alias("id"),
         none.alias("redirect_title"),
         F.lit("intro [[Category:Languages (all)|x]][[Category:U.S. folks]][[Category:All]]")
         .alias("text"))
-    sources = docs.select("source").distinct()
-    sid = F.row_number().over(Window.orderBy("source"))
+    sources = global_rank(docs.select("source").distinct(), ["source"], "_r")
+    sid = F.col("_r")
     redirects = sources.select(
         F.concat(F.lit("Src "), "source").alias("title"), F.lit(0).alias("ns"),
         (F.lit(2 << 40) + sid).alias("id"),
