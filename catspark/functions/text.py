@@ -30,6 +30,12 @@ t can will just don should now d ll m o re ve y ain aren couldn didn doesn hadn
 mightn mustn needn shan shouldn wasn weren won wouldn
 """.split())
 
+# Words the Treebank rules split in two (after lower-casing).
+CONTRACTION_SPLITS = {
+    "cannot": ("can", "not"), "gimme": ("gim", "me"), "gonna": ("gon", "na"),
+    "gotta": ("got", "ta"), "lemme": ("lem", "me"), "wanna": ("wan", "na"),
+}
+
 # Link markers in page text.
 CATEGORY_MARKER = "[[Category:"
 # Article -> category links: lazy name up to the first "|" or "]".
@@ -124,6 +130,20 @@ def token_array_sql(text_sql: str) -> str:
             f"{sql_literal(TOKEN_SPLIT)})")
 
 
+def split_contractions(token: Column) -> Column:
+    """Token -> array of 1 or 2 tokens (the Treebank two-part words)."""
+    out = F.array(token)
+    for word, parts in CONTRACTION_SPLITS.items():
+        out = F.when(token == word, F.array(*[F.lit(x) for x in parts])).otherwise(out)
+    return out
+
+
+def split_contractions_sql(tok: str) -> str:
+    whens = " ".join(f"WHEN {sql_literal(w)} THEN [{', '.join(sql_literal(x) for x in parts)}]"
+                     for w, parts in CONTRACTION_SPLITS.items())
+    return f"CASE {tok} {whens} ELSE [{tok}] END"
+
+
 def is_word(token: Column) -> Column:
     """Letters-only token."""
     return token.rlike(WORD_PATTERN)

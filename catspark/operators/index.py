@@ -23,7 +23,8 @@ def tokens(texts: DataFrame, title: str = "title", text: str = "text") -> DataFr
     return (texts.where(F.col(text).isNotNull())
             .select(F.col(title).alias("title"),
                     F.explode(T.token_array(F.col(text))).alias("token"))
-            .where(F.col("token") != ""))
+            .where(F.col("token") != "")
+            .select("title", F.explode(T.split_contractions(F.col("token"))).alias("token")))
 
 
 def alpha_tokens(toks: DataFrame) -> DataFrame:

@@ -29,9 +29,9 @@ def render(ctes: list[tuple[str, str]], final: str) -> str:
 def index_ctes(text_table: str = "texts", prefix: str = "") -> list[tuple[str, str]]:
     p = prefix
     return [
-        (f"{p}toks", f"SELECT title, token FROM (SELECT title, unnest("
-                     f"{T.token_array_sql('text')}) AS token FROM {text_table} "
-                     f"WHERE text IS NOT NULL) WHERE token <> ''"),
+        (f"{p}toks", f"SELECT title, unnest({T.split_contractions_sql('token')}) AS token "
+                     f"FROM (SELECT title, unnest({T.token_array_sql('text')}) AS token "
+                     f"FROM {text_table} WHERE text IS NOT NULL) WHERE token <> ''"),
         (f"{p}ctoks", f"SELECT title, token FROM {p}toks WHERE {T.content_word_sql('token')}"),
         (f"{p}raw", f"SELECT title, token, count(*) AS n FROM {p}ctoks GROUP BY title, token"),
         (f"{p}stems", stem_words_sql(f"SELECT DISTINCT token FROM {p}raw", "token", "word")),

@@ -67,3 +67,10 @@ def test_markup_to_plain_text(spark):
     df = spark.createDataFrame([(markup,)], "m string")
     assert df.select(T.plain_text(F.col("m"))).first()[0] == \
         "Body bold shown Plain \nHead\nsite  in  end"
+
+
+def test_two_part_words(spark):
+    df = spark.createDataFrame([("p", "I cannot go, Gonna wait; gimme that")],
+                               "title string, text string")
+    toks = [r.token for r in I.tokens(df).collect()]
+    assert toks == "i can not go gon na wait gim me that".split()
