@@ -48,11 +48,13 @@ CATEGORY_LINK_TRUNCATED = r"\[\[Category:([^(.*?)\[|\]]+)"
 WS = r"[\t\n\x0B\f\r \x1c-\x1f\x85\p{Z}]"
 
 # Tokeniser rules (Treebank splits that survive the letters-only filter).
+# (The punctuation class and "..."/"--" share one pass: both only turn
+# punctuation into a space and neither can create or remove the other's
+# matches or a digit after a comma.)
 TOKEN_RULES = [
-    (r"[«“‘„»”’\"`;@#$%&?!()\[\]{}<>]", " "),
+    (r"[«“‘„»”’\"`;@#$%&?!()\[\]{}<>]|\.\.\.|--", " "),
     (r"([,:])([^0-9])", " $2"),
     (r"[,:]\z", " "),
-    (r"\.\.\.|--", " "),
     (r"([^.])\.(" + WS + r"|$)", "$1 $2"),
     (r"(?i)'(s|m|d|ll|re|ve)(" + WS + r"|$)", " $2"),
     (r"(?i)n't(" + WS + r"|$)", " $1"),
