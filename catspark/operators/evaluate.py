@@ -45,9 +45,12 @@ def evaluation(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     Returns (per-page measures, one-row summary).  ``holdout=True`` keeps the
     test pages out of the centroid sums.
     """
+    from ..plans.pipeline import materialise
     cents = K.centroids(vectors, catpage, min_pages, test_pages if holdout else None)
     cats = K.centroid_categories(catpage, min_pages)
-    recs, counts = K.recommend(vectors, test_pages, catpage, cents, cats)
+    counts = materialise(K.suggestion_counts(test_pages, catpage, cats), "eval_counts")
+    scores = K.category_scores(vectors.join(test_pages, "title", "left_semi"), cents)
+    recs = materialise(K.recommendations(scores, counts, cats), "eval_recs")
     meas = K.measures(recs, catpage, catsub, counts)
     summary = meas.agg(
         F.count(F.lit(1)).alias("n_pages"),

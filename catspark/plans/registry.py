@@ -835,3 +835,24 @@ def q_streaming_word_count(spark, sf_dir):
     count_batches(spark, text_dir, out, scratch_path(spark, "stream-ckpt"))
     counts = spark.read.parquet(out)
     return counts.select("word", TD.file_key(F.col("file")).alias("title"), "n")
+
+
+SAMPLE_EVAL = (O.INDEX + [("sampled", "SELECT title FROM page_titles ORDER BY "
+                                      "md5(concat(title, '42')), title LIMIT 100")]
+               + O.centroid_ctes(5, holdout=False) + O.scoring_ctes("sampled")
+               + O.measure_ctes())
+
+
+@register("evaluation_sample", O.render(
+    SAMPLE_EVAL,
+    "SELECT count(*) AS n_pages, CAST(sum(boolean) AS BIGINT) AS n_success, "
+    f"{O.r6('avg(boolean)', 'mean_boolean')}, {O.r6('avg(fractional)', 'mean_fractional')}, "
+    f"{O.r6('avg(hierarchical)', 'mean_hierarchical')}, "
+    f"{O.r6('avg(hierarchical_as_written)', 'mean_hierarchical_as_written')} FROM measures"))
+def q_evaluation_sample(spark, sf_dir):
+    """E3 as the reference's demo runs it: n sampled pages, centroids from all
+    pages (no hold-out), mean of the three measures."""
+    p = _p(spark, sf_dir)
+    test = E.sample_pages(p.cat.pages, 100)
+    _, summary = E.evaluation(p.vectors, p.cat.catpage, p.cat.catsub, test, 5, holdout=False)
+    return summary
