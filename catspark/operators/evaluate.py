@@ -87,8 +87,9 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     pages and score a fresh sample of ``n_pages`` hold-out pages.  Scores do
     not depend on t, so every sampled page is scored once.
     """
+    from ..plans.pipeline import materialise
     thresholds = list(range(min_pag, max_pag + 1))
-    test = holdout_split(pages, fraction, seed)
+    test = materialise(holdout_split(pages, fraction, seed), "sweep_holdout")
     cents = K.centroids(vectors, catpage, min_pag, test)
     sizes = K.centroid_categories(catpage, min_pag)
     sampled = per_threshold_samples(test, thresholds, n_pages, seed)
@@ -109,7 +110,6 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
               .select("t", "title", "n_actual", "n"))
     # small intermediates, written once: every later step reads them several
     # times (and a lost executor does not recompute the scoring)
-    from ..plans.pipeline import materialise
     scores = materialise(scores, "sweep_scores")
     counts = materialise(counts, "sweep_counts")
     recs = materialise(K.recommendations(scores, counts, cats_t, group=["t"]), "sweep_recs")
