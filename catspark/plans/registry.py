@@ -320,11 +320,6 @@ def q_small_categories(spark, sf_dir):
     return C.small_categories(_cat(spark, sf_dir).catpage, 5)
 
 
-NEIGHBOURS = [("neighbours", "SELECT DISTINCT cat_a, cat_b FROM (SELECT cat_name AS cat_a, "
-                             "lead(cat_name) OVER (PARTITION BY pag_title ORDER BY cat_name) "
-                             "AS cat_b FROM catpage) WHERE cat_b IS NOT NULL")]
-
-
 def _miss_pairs(spark, sf_dir):
     """(cat_a = actual category, cat_b = missed suggestion) of the hold-out
     pages: the pairs the hierarchical measure asks about."""

@@ -104,3 +104,16 @@ def test_salted_cosine_equals_unsalted(small):
               for r in K.cosine(vec, cents, "title", "cat_name", chunk=3).collect()}
     assert set(plain) == set(salted)
     assert max(abs(plain[k] - salted[k]) for k in plain) < 1e-9
+
+
+def test_cosine_same_for_counts_and_tf(spark, small):
+    """Raw-count x idf (new texts) and tf x idf (stored pages) differ by a
+    per-page factor, so the scores against centroids are the same."""
+    from catspark.operators import index as I
+    cents = K.centroids(small.vectors, small.cat.catpage, 5)
+    by_tf = {(r.title, r.cat_name): r.score
+             for r in K.category_scores(small.vectors, cents).collect()}
+    by_count = {(r.title, r.cat_name): r.score for r in K.category_scores(
+        I.vector_of_text(small.cat.texts, small.index.vocab), cents).collect()}
+    assert set(by_tf) == set(by_count)
+    assert max(abs(by_tf[k] - by_count[k]) for k in by_tf) < 1e-9
