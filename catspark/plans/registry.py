@@ -445,9 +445,9 @@ APPEND_CS = [
     "UNION ALL SELECT 'error', cat_name, cat_name_sub FROM bad_edges"))
 def q_append_catsub(spark, sf_dir):
     c = _cat(spark, sf_dir)
-    spark_ = c.spark
+
     labels_cats = ["labels", "quality_0", "quality_1", "toxic_0", "toxic_1"]
-    loop = spark_.range(1).select(F.lit("languages").alias("cat_name"),
+    loop = spark.range(1).select(F.lit("languages").alias("cat_name"),
                                   F.lit("languages").alias("cat_name_sub"))
     edges = (c.catsub.where(F.col("cat_name") == "labels")
              .union(c.catsub.where(F.col("cat_name") == "languages")).union(loop))

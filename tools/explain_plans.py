@@ -19,8 +19,9 @@ from catspark.operators import index as I  # noqa: E402
 from catspark.operators import ingest as G  # noqa: E402
 from catspark.operators import similarity as V  # noqa: E402
 from catspark.plans.pipeline import Pipeline  # noqa: E402
-from catspark.session import local_session  # noqa: E402
+from catspark.session import local_session, scratch_path  # noqa: E402
 from catspark.sources import dump as D  # noqa: E402
+from catspark.sources.tables import wiki_pages  # noqa: E402
 
 
 def plan_text(df) -> str:
@@ -56,6 +57,9 @@ def main():
         ("All-pairs similarity (hot words split into bucket pairs)",
          V.similarity_pairs(p.vectors, 0.1)),
         ("Biggest leaf categories", C.biggest_categories(p.cat.catpage, p.cat.catsub, 5)),
+        ("Dump scan split on </page>, parsed with from_xml, category links",
+         G.extract_catpage(G.split_body(G.valid_pages(D.read_dump(
+             spark, D.write_dump(wiki_pages(spark, sf_dir), scratch_path(spark, "dump"))))))),
     ]
     out = ["# Physical plans of the headline stages", "",
            f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local, 16 shuffle "
