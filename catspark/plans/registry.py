@@ -739,7 +739,33 @@ def q_similarity_pairs(spark, sf_dir):
     return V.similarity_pairs(_p(spark, sf_dir).vectors, min_sim=0.1)
 
 
-@register("dbscan_clusters")
+DBSCAN = SIM + [
+    ("nbr", "SELECT a, b FROM sims WHERE sim >= 0.5 UNION ALL "
+            "SELECT b, a FROM sims WHERE sim >= 0.5"),
+    ("cores", "SELECT a AS title FROM nbr GROUP BY a HAVING count(*) + 1 >= 5"),
+    ("core_edges", "SELECT a, b FROM nbr WHERE a IN (SELECT title FROM cores) "
+                   "AND b IN (SELECT title FROM cores)"),
+]
+DBSCAN_SQL = O.render(DBSCAN, """, cc AS (SELECT node, min(label) AS label FROM (
+  WITH RECURSIVE reach(node, label) AS (
+    SELECT title, title FROM cores
+    UNION
+    SELECT e.b, r.label FROM reach r JOIN core_edges e ON e.a = r.node)
+  SELECT * FROM reach) GROUP BY node),
+ids AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster_id
+        FROM (SELECT DISTINCT label FROM cc)),
+core_ids AS (SELECT c.node AS title, i.cluster_id FROM cc c JOIN ids i USING (label)),
+border AS (SELECT n.a AS title, min(k.cluster_id) AS cluster_id FROM nbr n
+           JOIN core_ids k ON k.title = n.b WHERE n.a NOT IN (SELECT title FROM cores)
+           GROUP BY n.a),
+assigned AS (SELECT * FROM core_ids UNION ALL SELECT * FROM border)
+SELECT t.title, CAST(coalesce(a.cluster_id, -1) AS INTEGER) AS cluster_id
+FROM (SELECT DISTINCT title FROM texts) t LEFT JOIN assigned a USING (title)""")
+# render() emits "WITH ... )\n" + final; the final here continues the CTE list
+DBSCAN_SQL = DBSCAN_SQL.replace("\n, cc AS", ",\ncc AS", 1)
+
+
+@register("dbscan_clusters", DBSCAN_SQL)
 def q_dbscan(spark, sf_dir):
     p = _p(spark, sf_dir)
     return V.dbscan_clusters(p.vectors, p.cat.texts, eps=0.5, min_pts=5)
