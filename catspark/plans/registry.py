@@ -535,7 +535,7 @@ INGEST = [
 ]
 
 
-@register("dump_pages")
+@register("dump_pages", O.render(INGEST, "SELECT title, ns, id, text, redirect_title FROM wiki"))
 def q_dump_pages(spark, sf_dir):
     return _dump(spark, sf_dir).select("title", "ns", "id", "text",
                                        F.col("redirect._title").alias("redirect_title"))
@@ -585,7 +585,8 @@ def q_plain_text_html(spark, sf_dir):
         "page_id", O.T.plain_text(F.col("html")).alias("text"))
 
 
-@register("limit_pages")
+@register("limit_pages", O.render(INGEST, "SELECT title, ns, id, kind FROM valid "
+                                         "ORDER BY id LIMIT 100000"))
 def q_limit_pages(spark, sf_dir):
     return G.limit_pages(_dump(spark, sf_dir), 100000).select("title", "ns", "id", "kind")
 
@@ -640,7 +641,8 @@ def _text_dir_lines(spark, sf_dir):
     return TD.read_text_dir(spark, path)
 
 
-@register("text_dir_scan")
+@register("text_dir_scan", O.render(CAT, "SELECT title, unnest(string_split(text, chr(10))) "
+                                         "AS line FROM texts"))
 def q_text_dir_scan(spark, sf_dir):
     lines = _text_dir_lines(spark, sf_dir)
     return lines.select(TD.file_key(F.col("file")).alias("title"), "line")
