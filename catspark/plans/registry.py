@@ -621,9 +621,13 @@ from ..sources import textdir as TD  # noqa: E402
 from ..sources.tables import read_table  # noqa: E402
 
 
-@register("freq_dist")
+@register("freq_dist", O.render(
+    O.INDEX, "SELECT title, to_json(map_from_entries(list_sort(list({'word': word, 'n': n}))))"
+             "::VARCHAR AS freq_json FROM counts GROUP BY title"))
 def q_freq_dist(spark, sf_dir):
-    return I.freq_dist(_p(spark, sf_dir).index.counts)
+    """T6; the map is compared as its JSON text."""
+    fd = I.freq_dist(_p(spark, sf_dir).index.counts)
+    return fd.select("title", F.to_json("freq").alias("freq_json"))
 
 
 @register("dedupe_documents", O.render(
@@ -658,10 +662,14 @@ def q_file_word_count(spark, sf_dir):
     return counts.select("word", TD.file_key(F.col("file")).alias("title"), "n")
 
 
-@register("file_word_lists")
+@register("file_word_lists", O.render(
+    LINES, "SELECT title AS file, to_json(list_sort(list({'word': word, 'n': n})))::VARCHAR "
+           "AS words_json FROM l_counts GROUP BY title"))
 def q_file_word_lists(spark, sf_dir):
+    """T9; the (word, n) list is compared as its JSON text."""
     counts = I.file_word_count(_text_dir_lines(spark, sf_dir))
-    return I.file_word_lists(counts.withColumn("file", TD.file_key(F.col("file"))))
+    lists = I.file_word_lists(counts.withColumn("file", TD.file_key(F.col("file"))))
+    return lists.select("file", F.to_json("words").alias("words_json"))
 
 
 @register("artefact_roundtrip", O.render(O.INDEX + O.HOLDOUT + O.centroid_ctes(5, True),
