@@ -51,9 +51,20 @@ def stems(words: DataFrame, word: str = "token") -> DataFrame:
 # counts
 # ---------------------------------------------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan has fewer partitions
+    than the default parallelism (e.g. one large row group), so per-row text
+    work is not stuck in a few tasks.  Well-partitioned input is untouched."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
     """(title, token, n) kept tokens per document before stemming, counted
     with a map-side partial aggregate on the skew-free (title, token) key."""
+    texts = spread(texts.select(F.col(title).alias(title), F.col(text).alias(text)))
     return (content_tokens(tokens(texts, title, text))
             .groupBy("title", "token").agg(F.count(F.lit(1)).alias("n")))
 
