@@ -88,7 +88,9 @@ HEADER = ('<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" '
 
 def write_dump(pages: DataFrame, path: str) -> str:
     """Write pages as a dump directory (header, pages, footer) and return it."""
+    from ..operators.index import spread
     spark = pages.sparkSession
+    pages = spread(pages)
     head = spark.range(1).select(F.lit(HEADER).alias("value"))
     foot = spark.range(1).select(F.lit("</mediawiki>").alias("value"))
     head.unionByName(page_xml(pages)).unionByName(foot).write.mode("overwrite").text(path)
