@@ -55,10 +55,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the cluster when its scan has fewer partitions
     than the default parallelism (e.g. one large row group), so per-row text
     work is not stuck in a few tasks.  Well-partitioned input is untouched."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
+        return df
+    return df.repartition(parallelism) if partitions < parallelism else df
 
 
 def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
