@@ -45,7 +45,7 @@ def evaluation(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     Returns (per-page measures, one-row summary).  ``holdout=True`` keeps the
     test pages out of the centroid sums.
     """
-    from ..plans.pipeline import materialise
+    from ..session import materialise
     cents = K.centroids(vectors, catpage, min_pages, test_pages if holdout else None)
     cats = K.centroid_categories(catpage, min_pages)
     counts = materialise(K.suggestion_counts(test_pages, catpage, cats), "eval_counts")
@@ -87,7 +87,7 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     pages and score a fresh sample of ``n_pages`` hold-out pages.  Scores do
     not depend on t, so every sampled page is scored once.
     """
-    from ..plans.pipeline import materialise
+    from ..session import materialise
     thresholds = list(range(min_pag, max_pag + 1))
     test = materialise(holdout_split(pages, fraction, seed), "sweep_holdout")
     cents = K.centroids(vectors, catpage, min_pag, test)

@@ -175,7 +175,7 @@ class Index:
     """
 
     def __init__(self, texts: DataFrame, stem: bool = True, persist: bool = True):
-        from ..plans.pipeline import materialise
+        from ..session import materialise
         self.texts = texts
         if persist:
             # tokenise once: the unstemmed counts are written, stemming joins

@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..operators import classify as K
 from ..operators import evaluate as E
 from ..operators.index import Index
-from ..session import scratch_path
+from ..session import materialise
 from ..sources.tables import Catalogue
 
 
@@ -30,14 +30,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder, read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, stem: bool = True,
                  min_pages: int = 5, fraction: float = 0.2, persist: bool = True):

@@ -2,16 +2,16 @@
 
 Library code never creates its own session; these helpers are for tests,
 ``bench.py`` and ``__spark_entry__.py``.  The checkpoint folder is read from
-``spark.checkpoint.dir``; a private folder is only set when the setting is
-absent (local runs and tests).
+``spark.checkpoint.dir``; a private folder is only made when the setting is
+absent and the master is local (tests, bench).
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -37,10 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_CONF, None)
+    """Return the shared checkpoint folder named by the session.
+
+    A private folder is made only for a local master (tests, bench): every
+    other cluster has to name a folder that all executors share.
+    """
+    current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="catspark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     spark.sparkContext.setCheckpointDir(current)
@@ -48,16 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{os.getpid()}-{next(_counter)}")
-
+    """A fresh path under the shared checkpoint folder for a written table."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder, read it back.
 
-_counter = _count()
+    Cuts lineage: what a lost executor held is read again, not computed again.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
