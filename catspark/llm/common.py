@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -25,9 +26,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column, separators: str = SPACES) -> Column:
     """Non-empty words of ``text``; null text has none."""
-    parts = F.split(F.coalesce(text, F.lit("")), separators)
-    # only the first and last part can be empty
-    return F.filter(parts, lambda w: w != "")
+    ends = F.lit("".join(c for c in map(chr, range(128)) if re.fullmatch(separators, c)))
+    inner = F.btrim(F.coalesce(text, F.lit("")), ends)  # else the first or last part is empty
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(
+        F.split(inner, separators))
 
 
 def lower_ascii(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import kdtree, packing, token_files
+from . import kdtree, packing, quality, token_files
 
 
 def _tokenizer(name: str) -> str:
@@ -28,6 +28,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     _tokenizer("word_bpe_49k.json"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
+                      "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
+
+
 def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -46,5 +52,5 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_packing": op1_packing, "op4_token_files": op4_token_files,
-           "op10_kd_sharding": op10_kd_sharding}
+           "op5_quality": op5_quality, "op10_kd_sharding": op10_kd_sharding}
 SQL: dict[str, str] = {}
