@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import kdtree, packing, quality, token_files
+from . import decontamination, kdtree, packing, quality, token_files
 
 
 def _tokenizer(name: str) -> str:
@@ -23,6 +23,44 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         with_ids=False)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.decontaminate(_table(spark, sf_dir, "documents"),
+                                        _table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("_id").alias("doc_id"), "n_words", "n_hit",
+                      F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                      "contaminated")
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS l,
+         array_to_string(w[p + 1 : p + least(len(w), 13)], ' ') AS k
+  FROM i, unnest(range(0, greatest(len(w) - 12, 1))) t(p) WHERE len(w) > 0),
+ls AS (SELECT DISTINCT l FROM win),
+dw AS (
+  SELECT rid, p, l, array_to_string(w[p + 1 : p + l], ' ') AS k
+  FROM d, ls, unnest(range(0, greatest(len(w) - l + 1, 0))) t(p)),
+hit AS (SELECT rid, p, l, item_id FROM dw JOIN win USING (l, k)),
+pos AS (SELECT rid, count(DISTINCT q) AS n_hit
+        FROM hit, unnest(range(p, p + l)) u(q) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+        FROM (SELECT DISTINCT rid, item_id::VARCHAR AS s FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, _table(spark, sf_dir, "documents"),
                                     _tokenizer("word_bpe_49k.json"))
@@ -51,6 +89,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op4_token_files": op4_token_files,
+QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
+           "op4_token_files": op4_token_files,
            "op5_quality": op5_quality, "op10_kd_sharding": op10_kd_sharding}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
