@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import decontamination, kdtree, packing, quality, token_files
+from . import decontamination, kdtree, packing, quality, token_files, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -61,6 +61,21 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 """
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_digest(spark, _table(spark, sf_dir, "pages"))
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+                  sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (digest)
+"""
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, _table(spark, sf_dir, "documents"),
                                     _tokenizer("word_bpe_49k.json"))
@@ -90,6 +105,6 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
-           "op4_token_files": op4_token_files,
+           "op3_warc": op3_warc, "op4_token_files": op4_token_files,
            "op5_quality": op5_quality, "op10_kd_sharding": op10_kd_sharding}
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL}
