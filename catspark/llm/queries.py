@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import decontamination, kdtree, packing, quality, token_files, warc
+from . import decontamination, kdtree, packing, quality, substring, token_files, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -87,6 +87,31 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = substring.dedup_substrings(docs)
+    return out.select(F.col("_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+             coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT rid, doc_id, p, array_to_string(w[p + 1 : p + 20], ' ') AS k
+        FROM d, unnest(range(0, greatest(len(w) - 19, 0))) t(p)),
+rep AS (SELECT rid, p FROM (SELECT rid, p, row_number() OVER (
+          PARTITION BY k ORDER BY doc_id, p) AS r FROM win) WHERE r > 1),
+cut AS (SELECT DISTINCT rid, q FROM rep, unnest(range(p, p + 20)) u(q)),
+cuts AS (SELECT rid, count(*) AS n, list(q) AS qs FROM cut GROUP BY rid),
+wd AS (SELECT rid, q, w[q + 1] AS x FROM d, unnest(range(0, len(w))) v(q)),
+kept AS (SELECT wd.rid, string_agg(x, ' ' ORDER BY wd.q) AS s
+         FROM wd LEFT JOIN cut ON wd.rid = cut.rid AND wd.q = cut.q
+         WHERE cut.q IS NULL GROUP BY wd.rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN cuts USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
 def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -106,5 +131,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
            "op3_warc": op3_warc, "op4_token_files": op4_token_files,
-           "op5_quality": op5_quality, "op10_kd_sharding": op10_kd_sharding}
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL}
+           "op5_quality": op5_quality, "op7_substring_dedup": op7_substring_dedup,
+           "op10_kd_sharding": op10_kd_sharding}
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL,
+                       "op7_substring_dedup": OP7_SQL}
