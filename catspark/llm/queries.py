@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import decontamination, kdtree, packing, quality, substring, token_files, warc
+from . import decontamination, kdtree, packing, ppm, quality, substring, token_files, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -112,6 +112,11 @@ FROM d LEFT JOIN cuts USING (rid) LEFT JOIN kept USING (rid)
 """
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ppm.score(_table(spark, sf_dir, "documents"))
+    return out.withColumnRenamed("_id", "doc_id")
+
+
 def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -132,6 +137,6 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
            "op3_warc": op3_warc, "op4_token_files": op4_token_files,
            "op5_quality": op5_quality, "op7_substring_dedup": op7_substring_dedup,
-           "op10_kd_sharding": op10_kd_sharding}
+           "op9_ppm": op9_ppm, "op10_kd_sharding": op10_kd_sharding}
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL,
                        "op7_substring_dedup": OP7_SQL}
