@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import decontamination, kdtree, packing, ppm, quality, substring, token_files, warc
+from . import decontamination, kdtree, neardup, packing, ppm, quality, substring, token_files, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -87,6 +87,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("_id").alias("doc_id"), "class_id", "n_links")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = substring.dedup_substrings(docs)
@@ -136,7 +141,8 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
            "op3_warc": op3_warc, "op4_token_files": op4_token_files,
-           "op5_quality": op5_quality, "op7_substring_dedup": op7_substring_dedup,
+           "op5_quality": op5_quality, "op6_near_duplicates": op6_near_duplicates,
+           "op7_substring_dedup": op7_substring_dedup,
            "op9_ppm": op9_ppm, "op10_kd_sharding": op10_kd_sharding}
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL,
                        "op7_substring_dedup": OP7_SQL}
