@@ -187,9 +187,11 @@ def _verify(threshold: float):
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = 0.8, shingle: int = SHINGLE, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
-    """One row per row of ``df``: _id, _h (see ``row_key``), class_id, n_links.
+    """One row per row of ``df``: _id, _h (see ``row_key``), node, class_id, n_links.
 
-    ``class_id`` is the smallest id of the class: texts connected by links of
+    ``node`` is the row's id or the number that stands for it; a class is kept
+    by keeping the row whose node is the class id.
+    ``class_id`` is the smallest node of the class: texts connected by links of
     similarity ``threshold`` or more.  ``n_links`` counts the verified links of
     the text (to other word sequences; copies share theirs).  Texts with the
     same words are copies.  A text of fewer than ``shingle`` words is one
@@ -233,7 +235,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .select("copy", F.coalesce("component", "node").alias("class_id"),
                 F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "per_copy")
     return (sk.select("_id", "_h", "node", "copy").join(per_copy, "copy", "left")
-            .select("_id", "_h", F.coalesce("class_id", "node").alias("class_id"),
+            .select("_id", "_h", "node", F.coalesce("class_id", "node").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 

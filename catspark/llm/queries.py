@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import decontamination, kdtree, neardup, packing, ppm, quality, substring, token_files, warc
+from . import decontamination, html_text, kdtree, neardup, packing, ppm, quality, substring, token_files, warc
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"),
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
                         with_ids=False)
 
 
@@ -78,7 +78,7 @@ FROM p LEFT JOIN f USING (digest)
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, _table(spark, sf_dir, "documents"),
-                                    _tokenizer("word_bpe_49k.json"))
+                                    tokenizer("word_bpe_49k.json"))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +117,10 @@ FROM d LEFT JOIN cuts USING (rid) LEFT JOIN kept USING (rid)
 """
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ppm.score(_table(spark, sf_dir, "documents"))
     return out.withColumnRenamed("_id", "doc_id")
@@ -143,6 +147,6 @@ QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontaminatio
            "op3_warc": op3_warc, "op4_token_files": op4_token_files,
            "op5_quality": op5_quality, "op6_near_duplicates": op6_near_duplicates,
            "op7_substring_dedup": op7_substring_dedup,
-           "op9_ppm": op9_ppm, "op10_kd_sharding": op10_kd_sharding}
+           "op8_html_text": op8_html_text, "op9_ppm": op9_ppm, "op10_kd_sharding": op10_kd_sharding}
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL,
                        "op7_substring_dedup": OP7_SQL}

@@ -1,12 +1,82 @@
-"""Corpus pipeline: quality rules, near-dedup, substring dedup, decontamination, packing."""
+"""Corpus pipeline: quality rules, near-dedup, substring dedup, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of their input.  Decisions are tables of (id, content
+hash) and join back by both, so repeated ids and null ids are safe, and the
+joins are shuffles that Spark may split or turn into a broadcast by size.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catspark.llm import decontamination, neardup, packing, quality, queries, substring
+from catspark.session import materialise
+
+
+def _same_row(docs: DataFrame, keys: DataFrame) -> Column:
+    """Whether a row of ``docs`` is the one that _id and _h of ``keys`` name."""
+    return docs["doc_id"].eqNullSafe(keys["_id"]) & (
+        F.xxhash64(docs["doc_id"], docs["text"]) == keys["_h"])
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    kept = quality.quality(docs).where("kept").select("_id", "_h")
+    return docs.join(kept, _same_row(docs, kept), "left_semi")
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id."""
+    firsts = neardup.near_duplicates(docs).where("node = class_id")
+    rows = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    firsts = materialise(firsts.select("_id", "_h", "node").distinct().join(rows, "node"), "firsts")
+    single = firsts.where("n = 1")
+    one = docs.join(single, _same_row(docs, single), "left_semi")
+    # rows that share an id: one of them stays
+    shared = firsts.where("n > 1").select("_id", "_h", F.col("node").alias("_shared_node"))
+    many = (docs.join(shared, _same_row(docs, shared))
+            .select(*[docs[c] for c in docs.columns], "_shared_node")
+            .dropDuplicates(["_shared_node"]).drop("_shared_node"))
+    return one.unionByName(many)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of passages that start earlier elsewhere."""
+    cut = (substring.dedup_substrings(docs).where("n_removed > 0")
+           .select("_id", "_h", F.col("text").alias("_kept")).dropDuplicates(["_id", "_h"]))
+    new = {"text": F.coalesce(cut["_kept"], docs["text"]).alias("text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(cut["_kept"].isNotNull(), F.length(cut["_kept"]).cast(kind)) \
+            .otherwise(docs["n_chars"]).alias("n_chars")
+    return (docs.join(cut, _same_row(docs, cut), "left")
+            .select(*[new.get(c, docs[c]) for c in docs.columns]))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item contaminates."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    bad = decontamination.decontaminate(docs, bench).where("contaminated").select("_id", "_h")
+    return docs.join(bad, _same_row(docs, bad), "left_anti")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 2048 token ids."""
+    return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"), with_ids=False)
+
 
-STAGES: list = []
+STAGES = [("quality", quality_stage), ("near_dedup", near_dedup_stage),
+          ("substring_dedup", substring_stage), ("decontamination", decontamination_stage),
+          ("packing", packing_stage)]
+#: the outlier estimates and the packing order have no SQL twin
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each stage's rows are written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return docs
