@@ -97,7 +97,7 @@ def _entries(table, fields, *types):
 def _spans_rows(docs: np.ndarray, owner: np.ndarray, a: np.ndarray, b: np.ndarray):
     """(h, a, b): the values of each document, packed."""
     first = first_of_runs(owner, np.zeros(len(owner), np.int8))
-    ends = np.append(first[1:], len(owner))
+    ends = np.append(first, len(owner))[1:]
     rows = [(int(docs[owner[lo], 0]), a[lo:hi].tobytes(), b[lo:hi].tobytes())
             for lo, hi in zip(first, ends, strict=True)]
     return _rows(["h", "a", "b"], ["long", "binary", "binary"], rows)
