@@ -21,7 +21,7 @@ ROW = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
-                 text_col: str = "text", end_id: int = 1, bytes_per_file: int = 256 << 20,
+                 text_col: str = "text", end_id: int = 1, text_bytes_per_file: int = 48 << 20,
                  stripe_bytes: int = 16 << 20, index_rows: int = 1000,
                  bloom_fpp: float = 0.01) -> str:
     """Write the ids of every document of ``df`` (plus ``end_id``) as ORC files under ``path``.
@@ -30,12 +30,12 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
     with equal ids follow in the order of their texts.  Null or empty text:
     the end id alone.  Empty table: a folder without rows.  Other columns are
     ignored.  ``local_start`` counts a file's ids before the document;
-    ``read_starts`` adds what the files before it hold.
+    ``with_starts`` adds what the files before it hold.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.col(text_col).cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
-    dealt = docs.repartitionByRange(parts_for(total, bytes_per_file // 4), "doc_id") \
+    dealt = docs.repartitionByRange(parts_for(total, text_bytes_per_file), "doc_id") \
         .sortWithinPartitions("doc_id", "text")
 
     def encode(batches):
@@ -70,20 +70,19 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ROW).orc(path)
 
 
-def read_starts(spark: SparkSession, path: str) -> DataFrame:
-    """Written rows with ``start``: the ids of all documents before each one."""
-    rows = read_tokens(spark, path)
-    # one row per file: its share of a prefix sum over the files
-    counts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+def with_starts(rows: DataFrame, written: DataFrame) -> DataFrame:
+    """``rows`` (with part and local_start) and ``start``: the ids of all documents before each."""
+    # one row per file, so small at any size: its share of a prefix sum over the files
+    counts = written.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n"))
                            .alias("before"))
-    return (rows.join(before, "part")
+    return (rows.join(F.broadcast(before), "part")
             .withColumn("start", F.col("before") + F.col("local_start"))
             .drop("before", "local_start", "part"))
 
 
 def ids_crc32(batches):
-    """(doc_id, start, n_tokens, ids_crc32) with ids read as little-endian unsigned 32-bit."""
+    """The rows with a checksum of the ids, as little-endian unsigned 32-bit, in their place."""
     import numpy as np
     import pyarrow as pa
     for b in batches:
@@ -93,13 +92,12 @@ def ids_crc32(batches):
         ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
         starts = [0, *ends[:-1]]
         sums = [zlib.crc32(view[4 * i:4 * j]) for i, j in zip(starts, ends, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("start"), b.column("n_tokens"),
-             pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sums, pa.int64())],
+                                         [*b.schema.names[:4], "ids_crc32"])
 
 
 def token_digest(spark: SparkSession, df: DataFrame, tokenizer_path: str) -> DataFrame:
     """Write ``df``'s tokens to the shared folder, read them back, one checksum per document."""
-    path = write_tokens(df, scratch_path(spark, "tokens"), tokenizer_path)
-    rows = read_starts(spark, path).select("doc_id", "start", "n_tokens", "ids")
-    return rows.mapInArrow(ids_crc32, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = read_tokens(spark, write_tokens(df, scratch_path(spark, "tokens"), tokenizer_path))
+    sums = rows.mapInArrow(ids_crc32, ROW.replace("ids array<int>", "ids_crc32 long"))
+    return with_starts(sums, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
