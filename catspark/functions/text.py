@@ -63,24 +63,32 @@ TOKEN_RULES = [
 TOKEN_SPLIT = WS + "+"
 WORD_PATTERN = r"^[a-z]+$"
 
+class Nested:
+    """Rules that rewrite the innermost pair only, repeated as deep as pairs nest."""
+
+    def __init__(self, opening: str, closing: str, rules):
+        self.opening, self.closing, self.rules = opening, closing, rules
+
+
 # Markup -> plain text (comments, templates, tables, footnotes, tags, links,
-# external links, emphasis, headings, entities).
-TEMPLATE = (r"\{\{[^{}]*\}\}", "")
-MARKUP_RULES = (
-    [(r"(?s)<!--.*?-->", "")]
-    + [TEMPLATE] * 6
-    + [
-        (r"(?s)\{\|.*?\|\}", ""),
-        (r"(?s)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", ""),
-        (r"<[^>]+>", ""),
-        (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),
-        (r"\[\[([^\[\]|]*)\]\]", "$1"),
-        (r"\[https?://\S+ ([^\]]*)\]", "$1"),
-        (r"\[https?://[^\]]*\]", ""),
-        (r"'{2,}", ""),
-        (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"),
-    ]
-)
+# external links, emphasis, headings, entities).  Table marks are two
+# characters, so single control characters stand in for them meanwhile.
+MARKUP_RULES = [
+    (r"[\x01\x02]", ""),
+    (r"(?s)<!--.*?-->", ""),
+    Nested("{{", "}}", [(r"\{\{[^{}]*\}\}", "")]),
+    (r"\{\|", "\x01"), (r"\|\}", "\x02"),
+    Nested("\x01", "\x02", [(r"\x01[^\x01\x02]*\x02", "")]),
+    (r"\x01", "{|"), (r"\x02", "|}"),
+    (r"(?s)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", ""),
+    (r"<[^>]+>", ""),
+    Nested("[[", "]]", [(r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),
+                        (r"\[\[([^\[\]|]*)\]\]", "$1")]),
+    (r"\[https?://\S+ ([^\]]*)\]", "$1"),
+    (r"\[https?://[^\]]*\]", ""),
+    (r"'{2,}", ""),
+    (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"),
+]
 TRIM_RULE = ("^" + WS + "+|" + WS + r"+\z", "")
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "),
             ("&amp;", "&")]
@@ -106,13 +114,49 @@ def _duck_repl(repl: str) -> str:
 
 
 def apply_rules(col: Column, rules) -> Column:
-    for pattern, repl in rules:
-        col = F.regexp_replace(col, _java(pattern), repl)
+    for rule in rules:
+        if isinstance(rule, Nested):
+            col = _apply_nested(col, rule)
+        else:
+            col = F.regexp_replace(col, _java(rule[0]), rule[1])
     return col
 
 
+def _apply_nested(col: Column, rule: Nested) -> Column:
+    """As many passes as the deepest nesting of the opening mark, counted per row."""
+    marks = f"({re.escape(rule.opening)}|{re.escape(rule.closing)})"
+
+    def passes(text: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+        return F.aggregate(
+            F.regexp_extract_all(text, F.lit(marks), 1), zero,
+            lambda a, m: F.struct(
+                F.when(m == rule.opening, a["open"] + 1)
+                .otherwise(F.greatest(a["open"] - 1, F.lit(0))).alias("open"),
+                F.greatest(a["most"], F.when(m == rule.opening, a["open"] + 1)
+                           .otherwise(0)).alias("most")))["most"]
+
+    def repeated(text: Column, n: Column) -> Column:
+        return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), text,
+                                         lambda t, _: apply_rules(t, rule.rules))).otherwise(text)
+
+    # lambda variables are computed once: the text and the number of passes
+    each = F.transform(F.array(col), lambda t: F.transform(
+        F.array(passes(t)), lambda n: repeated(t, n))[0])
+    return each[0]
+
+
 def apply_rules_sql(expr: str, rules) -> str:
-    for pattern, repl in rules:
+    for rule in rules:
+        if isinstance(rule, Nested):
+            # one pass per opening mark reaches the same fixed point
+            mark = sql_literal(rule.opening)
+            body = apply_rules_sql("t", rule.rules)
+            n = f"(length(q) - length(replace(q, {mark}, ''))) // {len(rule.opening)}"
+            expr = (f"list_transform([{expr}], lambda q: list_reduce(list_prepend(q, "
+                    f"list_transform(range({n}), lambda i: '')), lambda t, x: {body}))[1]")
+            continue
+        pattern, repl = rule
         expr = (f"regexp_replace({expr}, {sql_literal(pattern)}, "
                 f"{sql_literal(_duck_repl(repl))}, 'g')")
     return expr

@@ -1,7 +1,7 @@
 """Dump projections and filters (P2-P12): pages -> catalogue rows and texts.
 
 Input is the page table of ``sources.dump.read_dump``:
-``(title, ns, id, redirect, text)``.
+``(title, ns, id, redirect, text, malformed)``.
 """
 
 from __future__ import annotations
@@ -15,10 +15,15 @@ ARTICLE_NS, CATEGORY_NS = 0, 14
 CATEGORY_PREFIX_LEN = len("Category:")
 
 
+def _is_valid():
+    return (F.col("malformed").isNull() & F.col("ns").isin(ARTICLE_NS, CATEGORY_NS)
+            & F.col("redirect").isNull())
+
+
 def valid_pages(pages: DataFrame) -> DataFrame:
-    """P2 + P3: article or category namespace, not a redirect; adds ``kind``
-    and the normalised title."""
-    return (pages.where(F.col("ns").isin(ARTICLE_NS, CATEGORY_NS) & F.col("redirect").isNull())
+    """P2 + P3: well-formed, article or category namespace, not a redirect; adds
+    ``kind`` and the normalised title."""
+    return (pages.where(_is_valid()).drop("malformed")
             .withColumn("kind", F.when(F.col("ns") == CATEGORY_NS, "category")
                         .otherwise("article"))
             .withColumn("title", T.norm_name(F.col("title"))))
@@ -66,17 +71,20 @@ def plain_texts(split: DataFrame) -> DataFrame:
             .select("title", T.plain_text(F.col("body")).alias("text")))
 
 
-def limit_pages(pages: DataFrame, max_pages: int = 100000) -> DataFrame:
+def limit_pages(pages: DataFrame, max_pages: int) -> DataFrame:
     """P10: the first ``max_pages`` valid pages in page-id order (the cap is
-    the operator's purpose: ingest a prefix of the dump)."""
-    return valid_pages(pages).orderBy("id").limit(max_pages)
+    the operator's purpose: ingest a prefix of the dump).  Only ids are ranked;
+    texts join back to the ids that are kept."""
+    valid = valid_pages(pages)
+    first = valid.select("id").orderBy("id").limit(max_pages)
+    return valid.join(first, "id", "left_semi").select(*valid.columns)
 
 
 def ingest_stats(pages: DataFrame) -> DataFrame:
-    """Total pages and valid pages."""
-    valid = F.col("ns").isin(ARTICLE_NS, CATEGORY_NS) & F.col("redirect").isNull()
+    """Total, valid and malformed pages (records that are not well-formed XML)."""
     return pages.agg(F.count(F.lit(1)).alias("total_pages"),
-                     F.count_if(valid).alias("valid_pages"))
+                     F.count_if(_is_valid()).alias("valid_pages"),
+                     F.count_if(F.col("malformed").isNotNull()).alias("malformed_pages"))
 
 
 def derive_pages(split: DataFrame) -> DataFrame:

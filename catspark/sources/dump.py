@@ -25,14 +25,19 @@ DUMP_SCHEMA = T.StructType([
             T.StructField("_bytes", T.LongType()),
         ])),
     ]))),
+    T.StructField("_malformed", T.StringType()),
 ])
 
 XML_OPTIONS = {"rowTag": "page", "ignoreSurroundingSpaces": "false",
-               "ignoreNamespace": "true", "mode": "PERMISSIVE"}
+               "ignoreNamespace": "true", "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": "_malformed"}
 
 
 def read_dump(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """(title, ns, id, redirect, text) per page; ``text`` = last revision.
+    """(title, ns, id, redirect, text, malformed) per page; ``text`` = last revision.
+
+    A record that is not well-formed XML has only ``malformed``, its raw text:
+    it is counted by ``ingest_stats`` and is no valid page.
 
     ``prefix`` is the namespace prefix of the page elements if the dump uses
     one (``<mw:page>`` -> ``prefix="mw"``); namespaces are ignored when the
@@ -51,7 +56,8 @@ def read_dump(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
               .select(F.from_xml(record, DUMP_SCHEMA, options).alias("p")))
     return parsed.select(
         "p.title", "p.ns", "p.id", "p.redirect",
-        F.element_at("p.revision", -1).getField("text").getField("_VALUE").alias("text"))
+        F.element_at("p.revision", -1).getField("text").getField("_VALUE").alias("text"),
+        F.col("p._malformed").alias("malformed"))
 
 
 # ---------------------------------------------------------------------------
@@ -66,8 +72,11 @@ def _escape(col):
     return col
 
 
-def page_xml(pages: DataFrame) -> DataFrame:
-    """One ``<page>`` element per row of (title, ns, id, redirect_title, text)."""
+def page_xml(pages: DataFrame, prefix: str = "") -> DataFrame:
+    """One ``<page>`` element per row of (title, ns, id, redirect_title, text).
+
+    With ``prefix`` every element name carries that namespace prefix.
+    """
     redirect = F.when(F.col("redirect_title").isNotNull(),
                       F.concat(F.lit('    <redirect title="'), _escape(F.col("redirect_title")),
                                F.lit('" />\n'))).otherwise(F.lit(""))
@@ -79,19 +88,20 @@ def page_xml(pages: DataFrame) -> DataFrame:
         F.col("ns").cast("string"), F.lit("</ns>\n    <id>"), F.col("id").cast("string"),
         F.lit("</id>\n"), redirect, F.lit("    <revision>\n      <id>"),
         F.col("id").cast("string"), F.lit("</id>\n"), text,
-        F.lit("    </revision>\n  </page>")).alias("value"))
+        F.lit("    </revision>\n  </page>")).alias("value")) if not prefix else page_xml(
+            pages).select(F.regexp_replace(
+                "value", "(</?)(page|title|ns|id|redirect|revision|text)(?=[ >])",
+                f"$1{prefix}:$2").alias("value"))
 
 
 HEADER = ('<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" '
           'version="0.10" xml:lang="en">\n  <siteinfo><sitename>corpus</sitename></siteinfo>')
 
 
-def write_dump(pages: DataFrame, path: str) -> str:
+def write_dump(pages: DataFrame, path: str, prefix: str = "") -> str:
     """Write pages as a dump directory (header, pages, footer) and return it."""
-    from ..operators.index import spread
     spark = pages.sparkSession
-    pages = spread(pages)
     head = spark.range(1).select(F.lit(HEADER).alias("value"))
     foot = spark.range(1).select(F.lit("</mediawiki>").alias("value"))
-    head.unionByName(page_xml(pages)).unionByName(foot).write.mode("overwrite").text(path)
+    head.unionByName(page_xml(pages, prefix)).unionByName(foot).write.mode("overwrite").text(path)
     return path

@@ -38,7 +38,7 @@ def test_dump_sample(spark, tmp_dir):
     _write_sample(path)
     pages = read_dump(spark, path)
     stats = G.ingest_stats(pages).first()
-    assert (stats.total_pages, stats.valid_pages) == (6, 4)
+    assert tuple(stats) == (6, 4, 0)
     split = G.split_body(G.valid_pages(pages))
     assert {r.title for r in G.derive_pages(split).collect()} == {"Alan_Turing"}
     cp = {(r.cat_name, r.pag_title) for r in G.extract_catpage(split).collect()}
@@ -89,3 +89,25 @@ def test_prefixed_namespace_dump(spark, tmp_dir):
     cp = {(r.cat_name, r.pag_title) for r in
           G.extract_catpage(G.split_body(G.valid_pages(pages))).collect()}
     assert cp == {("C_1", "T_1"), ("C_2", "T_2")}
+
+
+def test_malformed_pages_are_counted(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bad.xml")
+    page = "<page><title>{t}</title><ns>0</ns><id>{i}</id><revision><text>{x}</text></revision></page>\n"
+    with open(path, "w") as f:
+        f.write(f'<mediawiki xmlns="{NS}">\n' + page.format(t="A", i=1, x="ok [[Category:C]]")
+                + page.format(t="B", i=2, x="bare & ampersand") + page.format(t="C", i=3, x="fine")
+                + "</mediawiki>\n")
+    pages = read_dump(spark, path)
+    assert tuple(G.ingest_stats(pages).first()) == (3, 2, 1)
+    bad = [r.malformed for r in pages.where("malformed is not null").collect()]
+    assert len(bad) == 1 and "bare & ampersand" in bad[0]
+    assert {r.title for r in G.valid_pages(pages).collect()} == {"A", "C"}
+
+
+def test_page_cap_keeps_the_first_ids(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "dump.xml")
+    _write_sample(path)
+    got = G.limit_pages(read_dump(spark, path), 2)
+    assert sorted((r.id, r.title) for r in got.collect()) == [
+        (1, "Alan_Turing"), (3, "Category:People_(UK)")]

@@ -69,6 +69,41 @@ def test_markup_to_plain_text(spark):
         "Body bold shown Plain \nHead\nsite  in  end"
 
 
+def test_markup_nested_to_any_depth(spark):
+    deep = "a " + "{{x|" * 10 + "y" + "}}" * 10 + " b"
+    cases = {deep: "a  b",
+             "[[File:x|thumb|see [[Paris]] and [[Rome|the city]] here]] z":
+                 "thumb|see Paris and the city here z",
+             "{| a {| b |} c |} d": "d",
+             "{{open [[Left": "{{open [[Left",
+             "{{" * 300 + "z" + "}}" * 300: ""}
+    df = spark.createDataFrame([(m, t) for m, t in cases.items()], "m string, want string")
+    for r in df.select("want", T.plain_text(F.col("m")).alias("got")).collect():
+        assert r["got"] == r["want"]
+
+
+# Word and stem pairs as the algorithm's publication prints them, written out here so that a
+# wrong rule list in the code cannot agree with itself.
+PRINTED = """caresses caress, ponies poni, caress caress, cats cat, feed feed, agreed agre,
+plastered plaster, bled bled, motoring motor, sing sing, conflated conflat, troubled troubl,
+sized size, hopping hop, tanned tan, falling fall, hissing hiss, fizzed fizz, failing fail,
+filing file, happy happi, relational relat, conditional condit, rational ration, valenci valenc,
+digitizer digit, conformabli conform, radicalli radic, differentli differ, vileli vile,
+analogousli analog, vietnamization vietnam, predication predic, operator oper, feudalism feudal,
+decisiveness decis, hopefulness hope, callousness callous, formaliti formal, sensitiviti sensit,
+sensibiliti sensibl, triplicate triplic, formative form, formalize formal, electriciti electr,
+electrical electr, hopeful hope, goodness good, revival reviv, allowance allow, inference infer,
+airliner airlin, adjustable adjust, defensible defens, irritant irrit, replacement replac,
+adjustment adjust, dependent depend, adoption adopt, homologou homolog, communism commun,
+activate activ, angulariti angular, homologous homolog, effective effect, bowdlerize bowdler,
+probate probat, rate rate, cease ceas, controll control, roll roll"""
+
+
+def test_stems_as_printed(spark):
+    want = dict(x.split() for x in PRINTED.split(","))
+    assert _stems(spark, list(want)) == want
+
+
 def test_two_part_words(spark):
     df = spark.createDataFrame([("p", "I cannot go, Gonna wait; gimme that")],
                                "title string, text string")
