@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ranking import global_rank
+from ..session import materialise
 
 SCORE_DIGITS = 9  # scores are compared at this precision when ranking
 
@@ -64,27 +64,27 @@ def normalise(vectors: DataFrame, key: str) -> DataFrame:
 
 
 def cosine(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-           chunk: int = 20000) -> DataFrame:
+           chunk: int = 2000) -> DataFrame:
     """(left_key, right_key, score) for every pair sharing a non-zero word.
 
-    Pairs without a shared word score 0.0 and are not emitted.  A word with
-    more than ``chunk`` left entries is salted: its left rows are spread over
-    S = ceil(n / chunk) buckets by key hash and its right rows are copied to
-    every bucket, so one hot word never lands in a single task.
+    Pairs without a shared word score 0.0 and are not emitted.  Both sides of
+    a word are split into blocks of about ``chunk`` entries by key hash, and
+    each pair of blocks is a join key of its own: at most chunk^2 products come
+    from one key, however frequent the word is on either side.
     """
     a = normalise(left, left_key).select(left_key, "word", F.col("weight").alias("_a"))
     b = normalise(right, right_key).select(right_key, "word", F.col("weight").alias("_b"))
-    hot = (a.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > chunk)
-           .select("word", F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("_s")))
-    a = (a.join(hot, "word", "left")
-         .withColumn("_salt", F.when(F.col("_s").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64(left_key), F.col("_s")).cast("int")))
-         .drop("_s"))
-    b = (b.join(hot, "word", "left")
-         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_s", F.lit(1)) - 1)))
-         .drop("_s"))
-    return (a.join(b, ["word", "_salt"])
+    count = lambda df, n: df.groupBy("word").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(chunk)).cast("int").alias(n))
+    blocks = count(a, "_na").join(count(b, "_nb"), "word")  # words of both sides only
+    hot = materialise(blocks.where("_na > 1 or _nb > 1"), "hot_words")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.coalesce(n, F.lit(1))).cast("int")
+    a = (a.join(hot, "word", "left").withColumn("_i", own(left_key, "_na"))
+         .withColumn("_j", every("_nb")).drop("_na", "_nb"))
+    b = (b.join(hot, "word", "left").withColumn("_j", own(right_key, "_nb"))
+         .withColumn("_i", every("_na")).drop("_na", "_nb"))
+    return (a.join(b, ["word", "_i", "_j"])
             .groupBy(left_key, right_key)
             .agg(F.sum(F.col("_a") * F.col("_b")).alias("score")))
 
@@ -111,20 +111,23 @@ def suggestion_counts(pages: DataFrame, catpage: DataFrame, cent_cats: DataFrame
     return actual.withColumn("n", F.least(F.col("n_actual"), n_cent))
 
 
-def _padding(counts: DataFrame, cent_cats: DataFrame, group: list[str]) -> DataFrame:
+def first_names(cent_cats: DataFrame, most: int, group: list[str]) -> DataFrame:
+    """([group], cat_name, slot): the first ``most`` names (of each group) in name order."""
+    if not group:
+        first = cent_cats.select("cat_name").orderBy("cat_name").limit(most)
+        return first.withColumn("slot", F.row_number().over(Window.orderBy("cat_name"))
+                                .cast("long"))  # at most `most` rows
+    w = Window.partitionBy(*group).orderBy("cat_name")
+    return (cent_cats.select(*group, "cat_name").withColumn("slot", F.row_number().over(w))
+            .where(F.col("slot") <= most).withColumn("slot", F.col("slot").cast("long")))
+
+
+def _padding(counts: DataFrame, ranked: DataFrame, group: list[str]) -> DataFrame:
     """For each page the first ``n`` centroid names (score 0 candidates).
 
-    Slots 1..n are exploded per page and equi-joined to name ranks, so no page
-    is paired with more than n categories.
+    Slots 1..n are exploded per page and equi-joined to ``first_names``, so no
+    page is paired with more than n categories.
     """
-    if group:
-        # rank within each group = global rank - first global rank of the group
-        g = global_rank(cent_cats.select(*group, "cat_name"), [*group, "cat_name"], "_g")
-        first = g.groupBy(*group).agg(F.min("_g").alias("_g0"))
-        ranked = (g.join(first, group)
-                  .select(*group, "cat_name", (F.col("_g") - F.col("_g0") + 1).alias("slot")))
-    else:
-        ranked = global_rank(cent_cats.select("cat_name"), ["cat_name"], "slot")
     slots = counts.select(*group, "title",
                           F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("slot"))
     return (slots.join(ranked, [*group, "slot"])
@@ -143,15 +146,38 @@ def recommendations(scores: DataFrame, counts: DataFrame, cent_cats: DataFrame,
     """
     group = list(group or [])
     counts = counts.where(F.col("n") >= 1)
+    most = most_suggestions(counts)
     scored = (scores.join(counts.select(*group, "title"), "title")
               .join(cent_cats.select(*group, "cat_name"), [*group, "cat_name"], "left_semi"))
-    cands = (scored.select(*group, "title", "cat_name", "score")
-             .unionByName(_padding(counts, cent_cats, group))
-             .groupBy(*group, "title", "cat_name").agg(F.max("score").alias("score")))
-    w = Window.partitionBy(*group, "title").orderBy(F.round("score", SCORE_DIGITS).desc(),
-                                                     F.col("cat_name"))
-    return (cands.join(counts.select(*group, "title", "n"), [*group, "title"])
-            .withColumn("rank", F.row_number().over(w))
+    return rank_candidates(scored, counts, first_names(cent_cats, most, group), most, group)
+
+
+def most_suggestions(counts: DataFrame) -> int:
+    """The largest n of any page."""
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
+def best_first(*keys: str):
+    """Window over the candidates of a page: best score first, then name."""
+    return Window.partitionBy(*keys).orderBy(F.round("score", SCORE_DIGITS).desc(),
+                                             F.col("cat_name"))
+
+
+def rank_candidates(scored: DataFrame, counts: DataFrame, names: DataFrame, most: int,
+                    group: list[str]) -> DataFrame:
+    """The n best of ``scored`` and the padding ``names`` per page.
+
+    The bound ``most`` is a literal, so Spark keeps at most that many rows per
+    page in each task before the shuffle by page.
+    """
+    keys = [*group, "title"]
+    top = (scored.select(*keys, "cat_name", "score")
+           .withColumn("_r", F.row_number().over(best_first(*keys)))
+           .where(F.col("_r") <= most).drop("_r"))
+    cands = (top.unionByName(_padding(counts, names, group))
+             .groupBy(*keys, "cat_name").agg(F.max("score").alias("score")))
+    return (cands.join(counts.select(*keys, "n"), keys)
+            .withColumn("rank", F.row_number().over(best_first(*keys)))
             .where(F.col("rank") <= F.col("n"))
             .select(*group, "title", F.col("rank").cast("int").alias("rank"), "cat_name",
                     "score"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.ranking import global_rank
+from ..session import materialise
 from . import classify as K
 
 SEED = "42"
@@ -45,7 +46,6 @@ def evaluation(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     Returns (per-page measures, one-row summary).  ``holdout=True`` keeps the
     test pages out of the centroid sums.
     """
-    from ..session import materialise
     cents = K.centroids(vectors, catpage, min_pages, test_pages if holdout else None)
     cats = K.centroid_categories(catpage, min_pages)
     counts = materialise(K.suggestion_counts(test_pages, catpage, cats), "eval_counts")
@@ -87,7 +87,6 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     pages and score a fresh sample of ``n_pages`` hold-out pages.  Scores do
     not depend on t, so every sampled page is scored once.
     """
-    from ..session import materialise
     thresholds = list(range(min_pag, max_pag + 1))
     test = materialise(holdout_split(pages, fraction, seed), "sweep_holdout")
     cents = K.centroids(vectors, catpage, min_pag, test)
@@ -95,12 +94,12 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     sampled = per_threshold_samples(test, thresholds, n_pages, seed)
     scored_pages = sampled.select("title").distinct()
     scores = K.category_scores(vectors.join(scored_pages, "title", "left_semi"), cents)
-    # categories alive at each threshold: explode t over [min_pag, size]
-    cats_t = (sizes.select("cat_name", F.explode(F.sequence(F.lit(min_pag),
-                                                            F.least(F.col("size"),
-                                                                    F.lit(max_pag))))
-                           .alias("t")))
-    n_cent = cats_t.groupBy("t").agg(F.count(F.lit(1)).alias("n_centroids"))
+    # a category is alive at every threshold up to its bucket
+    bucket = F.least(F.col("size"), F.lit(max_pag)).cast("int").alias("b")
+    buckets = materialise(sizes.select("cat_name", bucket), "sweep_buckets")
+    alive = F.explode(F.sequence(F.lit(min_pag), F.col("b"))).alias("t")
+    n_cent = (buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n"))  # a row per bucket
+              .select("n", alive).groupBy("t").agg(F.sum("n").alias("n_centroids")))
     actual = (catpage.join(scored_pages.withColumnRenamed("title", "pag_title"), "pag_title",
                            "left_semi")
               .groupBy("pag_title").agg(F.count(F.lit(1)).alias("n_actual"))
@@ -110,9 +109,19 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
               .select("t", "title", "n_actual", "n"))
     # small intermediates, written once: every later step reads them several
     # times (and a lost executor does not recompute the scoring)
-    scores = materialise(scores, "sweep_scores")
     counts = materialise(counts, "sweep_counts")
-    recs = materialise(K.recommendations(scores, counts, cats_t, group=["t"]), "sweep_recs")
+    most = K.most_suggestions(counts)
+    # the best at any threshold are among the best of each bucket: only those
+    # are compared at the thresholds (a category is never exploded over them)
+    best = (scores.join(buckets, "cat_name")
+            .withColumn("_r", F.row_number().over(K.best_first("title", "b")))
+            .where(F.col("_r") <= most).drop("_r"))
+    scored = materialise(best, "sweep_scores").join(counts.select("t", "title"), "title").where(
+        F.col("b") >= F.col("t"))
+    names = K.first_names(K.first_names(buckets, most, ["b"]).select("cat_name", alive), most,
+                          ["t"])
+    recs = materialise(K.rank_candidates(scored, counts.where(F.col("n") >= 1), names, most,
+                                         ["t"]), "sweep_recs")
     meas = K.measures(recs, catpage, catsub, counts, group=["t"])
     return (meas.groupBy("t").agg(
         F.avg("boolean").alias("mean_boolean"),
