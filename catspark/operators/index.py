@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.porter import stem_words
+from ..session import materialise
 
 
 # ---------------------------------------------------------------------------
@@ -52,15 +53,15 @@ def stems(words: DataFrame, word: str = "token") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan has fewer partitions
-    than the default parallelism (e.g. one large row group), so per-row text
-    work is not stuck in a few tasks.  Well-partitioned input is untouched."""
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
+    """Round-robin ``df`` over the cluster when it is read from fewer files than
+    there are cores (small input; a file may be one row group), so per-row text
+    work is not stuck in a few tasks.  Only the plan is looked at; tables of
+    many files, and streams, are untouched."""
+    if df.isStreaming:
         return df
-    return df.repartition(parallelism) if partitions < parallelism else df
+    files = len(df.inputFiles())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < files < cores else df
 
 
 def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
@@ -88,7 +89,8 @@ def term_counts(texts: DataFrame, stem: bool = True, title: str = "title",
     raw = raw_counts(texts, title, text)
     if not stem:
         return raw.withColumnRenamed("token", "word")
-    return stem_counts(raw)
+    # the stem map and the join both read the counts: write them once
+    return stem_counts(materialise(raw, "raw_counts"))
 
 
 def freq_dist(counts: DataFrame) -> DataFrame:
@@ -153,16 +155,19 @@ def inverted_index_nested(posts: DataFrame, voc: DataFrame,
                           max_entries: int = 10000) -> DataFrame:
     """I4 (nested view): word -> (idf, map title -> tf), in chunks.
 
-    A frequent word's postings are split into ceil(df / max_entries) hash
-    chunks, one row each, so no row (and no task) collects all documents of
-    a word.  Rows: (word, chunk, idf, docs).
+    A frequent word's postings are split into ceil(df / max_entries) chunks
+    by the md5 of the title, one row each, so no row (and no task) collects all
+    documents of a word.  Rows: (word, chunk, idf, docs); docs in title order.
     """
     chunks = F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(max_entries))).cast("int")
     keyed = (posts.join(voc.select("word", "idf", chunks.alias("_c")), "word")
-             .withColumn("chunk", F.pmod(F.xxhash64("title"), F.col("_c")).cast("int")))
+             .withColumn("chunk", F.pmod(
+                 F.conv(F.substring(F.md5("title"), 1, 8), 16, 10).cast("long"),
+                 F.col("_c")).cast("int")))
     return (keyed.groupBy("word", "chunk")
             .agg(F.first("idf").alias("idf"),
-                 F.map_from_entries(F.collect_list(F.struct("title", "tf"))).alias("docs")))
+                 F.map_from_entries(F.array_sort(F.collect_list(F.struct("title", "tf"))))
+                 .alias("docs")))
 
 
 class Index:
@@ -175,7 +180,6 @@ class Index:
     """
 
     def __init__(self, texts: DataFrame, stem: bool = True, persist: bool = True):
-        from ..session import materialise
         self.texts = texts
         if persist:
             # tokenise once: the unstemmed counts are written, stemming joins
@@ -216,7 +220,8 @@ def vector_of_page(vectors: DataFrame, titles: DataFrame, title: str = "title")
 
 
 def vector_of_text(texts: DataFrame, voc: DataFrame, stem: bool = True) -> DataFrame:
-    """V4: vectors of new texts: raw count x corpus idf, unknown words dropped."""
+    """V4: vectors of new texts: raw count x corpus idf, unknown words dropped.
+    The texts are tokenised once (``term_counts`` writes their raw counts)."""
     counts = term_counts(texts, stem=stem)
     return (counts.join(voc.select("word", "idf"), "word")
             .select("title", "word", (F.col("n") * F.col("idf")).alias("weight")))

@@ -1,11 +1,18 @@
 """Save and load artefacts (documents, index, centroids, clusters,
-sweep) as parquet tables; load falls back to building when absent."""
+sweep) as parquet tables; load falls back to building when absent.
+
+An artefact is a folder with ``rows`` and, written after them, ``done`` (one
+row: how many rows).  Without ``done`` the writing never finished and the
+artefact counts as absent.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def save_artefact(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -19,22 +26,26 @@ def save_artefact(df: DataFrame, path: str, partition_by: list[str] | None = Non
     writer = writer_df.write.mode("overwrite")
     if partition_by and not buckets:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(f"{path}/rows")
+    spark = df.sparkSession
+    (spark.read.parquet(f"{path}/rows").agg(F.count(F.lit(1)).alias("n"))
+     .write.mode("overwrite").parquet(f"{path}/done"))
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def is_saved(spark: SparkSession, path: str) -> bool:
+    """Whether an artefact was written to its end."""
+    try:
+        return spark.read.parquet(f"{path}/done").count() == 1
+    except AnalysisException:  # no such folder, or nothing committed in it
+        return False
 
 
 def load_artefact(spark: SparkSession, path: str,
                   build: Callable[[], DataFrame] | None = None) -> DataFrame:
-    """Read the artefact at ``path``; if missing, build it, save it, read it."""
-    if not _exists(spark, path):
+    """Read the artefact at ``path``; if absent or unfinished, build it, save it, read it."""
+    if not is_saved(spark, path):
         if build is None:
             raise FileNotFoundError(path)
         save_artefact(build(), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(f"{path}/rows")

@@ -9,7 +9,7 @@ death years), so each table grows with the corpus.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,16 +84,36 @@ def categories(cp: DataFrame, cs: DataFrame) -> DataFrame:
 
 
 class Catalogue:
-    """The bound tables of one corpus directory (lazy DataFrames)."""
+    """The bound tables of one corpus directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``store(df, name)`` may write a table and read it back; it is called when a
+    table is first asked for, so a query writes only what it reads.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store=lambda df, name: df):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.texts = texts(spark, sf_dir)
-        self.catpage = catpage(spark, sf_dir)
-        self.catsub = catsub(spark, sf_dir)
-        self.pages = page_titles(self.catpage)
-        self.categories = categories(self.catpage, self.catsub)
+        self.store = store
+
+    @cached_property
+    def texts(self) -> DataFrame:
+        return texts(self.spark, self.sf_dir)
+
+    @cached_property
+    def catpage(self) -> DataFrame:
+        return self.store(catpage(self.spark, self.sf_dir), "catpage")
+
+    @cached_property
+    def catsub(self) -> DataFrame:
+        return self.store(catsub(self.spark, self.sf_dir), "catsub")
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        return self.store(page_titles(self.catpage), "pages")
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return self.store(categories(self.catpage, self.catsub), "categories")
 
 
 # ---------------------------------------------------------------------------

@@ -3,7 +3,7 @@ the file as the document key (the map-reduce input of the reference)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,22 @@ def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")))
 
 
-def file_key(file_col, key: str = "title"):
-    """The document key encoded in a path written by ``write_text_dir``."""
-    return F.regexp_extract(file_col, f"/{key}=([^/]+)/", 1)
+def _percent_decoded(name: Column) -> Column:
+    # "+" is a plain character in paths
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def file_key(file_col, key: str = "title") -> Column:
+    """The document key encoded in a path written by ``write_text_dir``.
+
+    The path is a URI whose folder name is itself percent-encoded.
+    """
+    folder = F.regexp_extract(file_col, f"/{key}=([^/]+)/", 1)
+    name = _percent_decoded(_percent_decoded(folder))
+    return F.when(name != "__HIVE_DEFAULT_PARTITION__", name)
+
+
+def read_documents(spark: SparkSession, path: str, key: str = "title") -> DataFrame:
+    """(file, line) with ``file`` = the document key, whatever number of files it has."""
+    lines = read_text_dir(spark, path)
+    return lines.select(file_key(F.col("file"), key).alias("file"), "line")

@@ -2,9 +2,9 @@
 
 The reference buffers documents as files and counts them in batches of 500
 files.  Here a file stream does the batching: ``maxFilesPerTrigger`` files per
-micro-batch, each batch counted with the same tokeniser/stemmer plan and
-appended to a parquet table; the checkpoint location makes every file
-counted exactly once, also across restarts and lost executors.
+micro-batch, each batch counted with the same tokeniser/stemmer plan.  A batch
+overwrites a folder of its own number, so a batch that is run again after a
+crash replaces its rows, and every file is counted once.
 """
 
 from __future__ import annotations
@@ -13,26 +13,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.index import file_word_count
+from ..sources.textdir import file_key
 
 
 def count_batches(spark: SparkSession, text_dir: str, out_path: str, checkpoint: str,
                   files_per_batch: int = 500, stem: bool = True):
     """Start the stream (all files available now) and wait for it to finish.
 
-    ``out_path`` receives (word, file, n, batch) rows.
+    ``out_path`` receives one folder (word, file, n) per batch; ``file`` is the
+    document key.
     """
     lines = (spark.readStream.format("text")
              .option("maxFilesPerTrigger", files_per_batch)
              .option("recursiveFileLookup", "true")
              .load(text_dir)
-             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")))
+             .select(file_key(F.col("_metadata.file_path")).alias("file"),
+                     F.col("value").alias("line")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (file_word_count(batch, stem=stem).withColumn("batch", F.lit(batch_id))
-         .write.mode("append").parquet(out_path))
+        file_word_count(batch, stem=stem).write.mode("overwrite").parquet(
+            f"{out_path}/batch={batch_id}")
 
     query = (lines.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def batch_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """(word, file, n): a document whose files fell into several batches is added up."""
+    return (spark.read.parquet(out_path).groupBy("word", "file")
+            .agg(F.sum("n").alias("n")))

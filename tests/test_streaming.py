@@ -1,11 +1,13 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from catspark.operators import index as I
+from catspark.sources import artefacts as A
 from catspark.sources import textdir as TD
 from catspark.sources.tables import texts
-from catspark.streaming.textdir import count_batches
+from catspark.streaming.textdir import batch_counts, count_batches
 from conftest import SF0001
 
 
@@ -13,11 +15,52 @@ def test_batches_of_files_counted_once(spark, tmp_dir):
     src = TD.write_text_dir(texts(spark, SF0001), os.path.join(tmp_dir, "in"))
     out = os.path.join(tmp_dir, "out")
     count_batches(spark, src, out, os.path.join(tmp_dir, "ckpt"), files_per_batch=50)
-    got = spark.read.parquet(out)
-    assert got.select("batch").distinct().count() == 4  # 200 files / 50
-    per_file = got.select(TD.file_key(F.col("file")).alias("title"), "word", "n")
+    batches = spark.read.parquet(out)
+    assert batches.select("batch").distinct().count() == 4  # 200 files / 50
+    got = batch_counts(spark, out).select(F.col("file").alias("title"), "word", "n")
     want = I.term_counts(texts(spark, SF0001)).select("title", "word", "n")
-    assert per_file.exceptAll(want).count() == 0 and want.exceptAll(per_file).count() == 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # a restart finds nothing new: every file is counted exactly once
     count_batches(spark, src, out, os.path.join(tmp_dir, "ckpt"), files_per_batch=50)
-    assert spark.read.parquet(out).count() == got.count()
+    assert spark.read.parquet(out).count() == batches.count()
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_dir):
+    src = TD.write_text_dir(texts(spark, SF0001).limit(20), os.path.join(tmp_dir, "in"))
+    out = os.path.join(tmp_dir, "out")
+    count_batches(spark, src, out, os.path.join(tmp_dir, "ckpt"))
+    before = spark.read.parquet(out).count()
+    # the state after a crash between a batch's write and its commit: no checkpoint of it
+    count_batches(spark, src, out, os.path.join(tmp_dir, "ckpt2"))
+    assert spark.read.parquet(out).count() == before
+
+
+NAMES = ["A/B: c%d é", "x+y", "100%", "a=b?c#d", "日本 語", "plain"]
+
+
+def test_document_keys_are_decoded(spark, tmp_dir):
+    rows = [(t, f"line {i}\nwords of {i}") for i, t in enumerate(NAMES)]
+    df = spark.createDataFrame(rows, "title string, text string")
+    path = TD.write_text_dir(df, os.path.join(tmp_dir, "in"))
+    got = TD.read_documents(spark, path).collect()
+    assert {r["file"] for r in got} == set(NAMES) and len(got) == 2 * len(NAMES)
+
+
+def test_a_document_of_several_files_is_counted_as_one(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "in")
+    for part in ("cats sleep", "cats run"):
+        spark.createDataFrame([("t/1", part)], "title string, text string").write.mode(
+            "append").partitionBy("title").text(path)
+    counts = I.file_word_count(TD.read_documents(spark, path))
+    assert {(r["word"], r["file"], r["n"]) for r in counts.collect()} == {
+        ("cat", "t/1", 2), ("sleep", "t/1", 1), ("run", "t/1", 1)}
+
+
+def test_an_unfinished_artefact_counts_as_absent(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "a")
+    with pytest.raises(FileNotFoundError):
+        A.load_artefact(spark, path)
+    spark.range(3).write.parquet(f"{path}/rows")  # no "done": the writing broke off
+    assert not A.is_saved(spark, path)
+    assert A.load_artefact(spark, path, lambda: spark.range(5)).count() == 5
+    assert A.load_artefact(spark, path, lambda: spark.range(9)).count() == 5
