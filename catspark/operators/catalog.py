@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ranking import global_rank
 from .classify import brothers, category_sizes, father_son
 
 # ---------------------------------------------------------------------------
@@ -27,14 +28,26 @@ SCAN_ORDER = {
 }
 
 
-def scan(table: DataFrame, kind: str, nrows: int | None = None, offset: int = 0) -> DataFrame:
-    """Rows of ``table`` in key order; ``nrows``/``offset`` page through it."""
+def page_of(table: DataFrame, order: list[str], nrows: int | None, offset: int) -> DataFrame:
+    """Rows offset .. offset + nrows - 1 in ``order``.
+
+    A first page is a top-k; a later one is cut from distributed ranks, so no
+    task reads through all rows before it.
+    """
     if nrows is None and not offset:
         return table
-    ordered = table.orderBy(*SCAN_ORDER[kind])
-    if offset:
-        ordered = ordered.offset(offset)
-    return ordered.limit(nrows) if nrows is not None else ordered
+    if not offset:
+        return table.orderBy(*order).limit(nrows)
+    rank = F.col("_rank")
+    ranked = global_rank(table, order, "_rank").where(rank > offset)
+    if nrows is not None:
+        ranked = ranked.where(rank <= offset + nrows)
+    return ranked.drop("_rank")
+
+
+def scan(table: DataFrame, kind: str, nrows: int | None = None, offset: int = 0) -> DataFrame:
+    """Rows of ``table`` in key order; ``nrows``/``offset`` page through it."""
+    return page_of(table, SCAN_ORDER[kind], nrows, offset)
 
 
 # ---------------------------------------------------------------------------
@@ -57,10 +70,7 @@ def top_categories(catsub: DataFrame, nrows: int | None = None, offset: int = 0)
     """Q3: parents that are nobody's child."""
     subs = catsub.select(F.col("cat_name_sub").alias("cat_name"))
     roots = catsub.select("cat_name").distinct().join(subs, "cat_name", "left_anti")
-    if nrows is None and not offset:
-        return roots
-    ordered = roots.orderBy("cat_name").offset(offset)
-    return ordered.limit(nrows) if nrows is not None else ordered
+    return page_of(roots, ["cat_name"], nrows, offset)
 
 
 def biggest_categories(catpage: DataFrame, catsub: DataFrame, min_pages: int = 500) -> DataFrame:
@@ -127,6 +137,17 @@ def bulk_upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return existing.unionByName(fresh)
 
 
+def bulk_load(existing: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """C1 over the four tables (pages, categories, catpage, catsub).
+
+    Rows whose key is present are ignored, and so are edges from a category to
+    itself, which the table's check constraint refuses.
+    """
+    loops = F.col("cat_name") == F.col("cat_name_sub")
+    new = new | {"catsub": new["catsub"].where(~loops)}
+    return {kind: bulk_upsert(existing[kind], new[kind], SCAN_ORDER[kind]) for kind in SCAN_ORDER}
+
+
 def insert_conflicts(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """The new rows a strict insert would reject: (keys..., reason)."""
     clash = (new.select(*keys).distinct().join(existing.select(*keys), keys, "left_semi")

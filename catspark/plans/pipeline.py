@@ -34,13 +34,8 @@ class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, stem: bool = True,
                  min_pages: int = 5, fraction: float = 0.2, persist: bool = True):
         self.spark = spark
-        self.cat = Catalogue(spark, sf_dir)
-        if persist:
-            # the bound catalogue tables are written once, like stored tables
-            self.cat.catpage = materialise(self.cat.catpage, "catpage")
-            self.cat.catsub = materialise(self.cat.catsub, "catsub")
-            self.cat.pages = materialise(self.cat.pages, "pages")
-            self.cat.categories = materialise(self.cat.categories, "categories")
+        # the bound catalogue tables are written once, like stored tables, when first read
+        self.cat = Catalogue(spark, sf_dir, materialise) if persist else Catalogue(spark, sf_dir)
         self.stem = stem
         self.min_pages = min_pages
         self.fraction = fraction

@@ -138,6 +138,19 @@ def q_recommendations(spark, sf_dir):
     return _p(spark, sf_dir).recs
 
 
+RECOMMEND_N = [(name, sql.replace("SELECT count(*) FROM cent_cats", "3").replace(
+    "least(count(*), (3))", "3")) for name, sql in O.RECOMMEND]
+
+
+@register("recommend_n", O.render(RECOMMEND_N, "SELECT title, CAST(rank AS INTEGER) AS rank, "
+                                               f"cat_name, {O.r6('score')} FROM recs"))
+def q_recommend_n(spark, sf_dir):
+    """K5 with a given n: three categories for every held-out page."""
+    p = _p(spark, sf_dir)
+    recs, _ = K.recommend(p.vectors, p.holdout, p.cat.catpage, p.centroids, p.cent_cats, n=3)
+    return recs
+
+
 @register("suggestion_counts", O.render(O.RECOMMEND, "SELECT title, n_actual, n FROM counts_n"))
 def q_suggestion_counts(spark, sf_dir):
     return _p(spark, sf_dir).counts
@@ -227,6 +240,24 @@ def q_scan_catsub(spark, sf_dir):
     return C.scan(_cat(spark, sf_dir).catsub, "catsub")
 
 
+#: kind -> (binding in SQL, columns): pages 2 and on of each table, in key order
+PAGED = {"pages": ("page_titles", "title"), "categories": ("categories", "name"),
+         "catpage": ("catpage", "pag_title, cat_name"),
+         "catsub": ("catsub", "cat_name_sub, cat_name")}
+
+
+def _register_paged(kind: str, binding: str, order: str):
+    @register(f"scan_{kind}_paged", O.render(
+        CAT, f"SELECT * FROM {binding} ORDER BY {order} LIMIT 40 OFFSET 25"))
+    def paged(spark, sf_dir):
+        """Rows 26 to 65 in key order."""
+        return C.scan(getattr(_cat(spark, sf_dir), kind), kind, nrows=40, offset=25)
+
+
+for _kind, (_binding, _order) in PAGED.items():
+    _register_paged(_kind, _binding, _order)
+
+
 @register("n_categories", O.render(CAT, "SELECT count(*) AS n FROM categories"))
 def q_n_categories(spark, sf_dir):
     return C.row_count(_cat(spark, sf_dir).categories)
@@ -264,6 +295,13 @@ def q_top_categories(spark, sf_dir):
     return C.top_categories(_cat(spark, sf_dir).catsub)
 
 
+@register("top_categories_paged", O.render(
+    CAT, "SELECT DISTINCT cat_name FROM catsub WHERE cat_name NOT IN "
+         "(SELECT cat_name_sub FROM catsub) ORDER BY cat_name LIMIT 10 OFFSET 5"))
+def q_top_categories_paged(spark, sf_dir):
+    return C.top_categories(_cat(spark, sf_dir).catsub, nrows=10, offset=5)
+
+
 @register("biggest_categories", O.render(
     CAT, "SELECT cat_name, count(*) AS c FROM catpage WHERE cat_name NOT ILIKE '%birth%' "
          "AND cat_name NOT ILIKE '%death%' AND cat_name NOT IN (SELECT cat_name FROM catsub) "
@@ -354,105 +392,108 @@ def q_brothers(spark, sf_dir):
     return C.brothers(pairs, p.cat.catsub)
 
 
-UPSERT = [
-    ("existing", "SELECT cat_name, pag_title FROM catpage WHERE cat_name NOT LIKE 'quality_%' "
-                 "AND cat_name NOT LIKE 'toxic_%'"),
-    ("incoming", "SELECT cat_name, pag_title FROM catpage WHERE cat_name LIKE 'quality_%' "
-                 "OR cat_name LIKE 'toxic_%' OR cat_name LIKE 'lang_%'"),
+# The stored half of each table (even page titles, child names by hash) and the
+# incoming other half plus a part of the stored one; together they cover every row.
+SPLIT = [
+    ("old_cp", "SELECT * FROM catpage WHERE CAST(pag_title AS BIGINT) % 2 = 0"),
+    ("new_cp", "SELECT * FROM catpage WHERE CAST(pag_title AS BIGINT) % 2 = 1 "
+               "OR CAST(pag_title AS BIGINT) % 6 = 0"),
+    ("old_cs", "SELECT * FROM catsub WHERE substr(md5(cat_name_sub), 1, 1) < '8'"),
+    ("new_cs", "SELECT * FROM catsub WHERE substr(md5(cat_name_sub), 1, 1) >= '8' "
+               "OR substr(md5(cat_name_sub), 1, 1) < '2' "
+               "UNION ALL SELECT 'languages', 'languages'"),
+    ("old_cats", "SELECT cat_name AS name FROM old_cp UNION SELECT cat_name FROM old_cs "
+                 "UNION SELECT cat_name_sub FROM old_cs"),
+    ("new_cats", "SELECT cat_name AS name FROM new_cp UNION SELECT cat_name FROM new_cs "
+                 "UNION SELECT cat_name_sub FROM new_cs"),
+    ("old_pages", "SELECT DISTINCT pag_title AS title FROM old_cp"),
+    ("new_pages", "SELECT pag_title AS title FROM new_cp"),
 ]
 
 
-def _upsert_inputs(c):
-    q = F.col("cat_name").like("quality_%") | F.col("cat_name").like("toxic_%")
-    return c.catpage.where(~q), c.catpage.where(q | F.col("cat_name").like("lang_%"))
+def _split_tables(spark, sf_dir):
+    """(stored, incoming) tables by kind; incoming pages repeat, incoming edges hold a loop."""
+    from ..sources.tables import categories
+    c = _cat(spark, sf_dir)
+    n = F.col("pag_title").cast("long")
+    h = F.substring(F.md5("cat_name_sub"), 1, 1)
+    loop = spark.range(1).select(F.lit("languages").alias("cat_name"),
+                                 F.lit("languages").alias("cat_name_sub"))
+    old_cp, new_cp = c.catpage.where(n % 2 == 0), c.catpage.where((n % 2 == 1) | (n % 6 == 0))
+    old_cs, new_cs = c.catsub.where(h < "8"), c.catsub.where((h >= "8") | (h < "2")).union(loop)
+    titles = lambda cp: cp.select(F.col("pag_title").alias("title"))
+    return ({"pages": titles(old_cp).distinct(), "categories": categories(old_cp, old_cs),
+             "catpage": old_cp, "catsub": old_cs},
+            {"pages": titles(new_cp), "categories": categories(new_cp, new_cs),
+             "catpage": new_cp, "catsub": new_cs})
 
 
 @register("bulk_upsert", O.render(
-    CAT + UPSERT, "SELECT * FROM existing UNION ALL (SELECT DISTINCT cat_name, pag_title "
-                  "FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE "
-                  "e.cat_name = i.cat_name AND e.pag_title = i.pag_title))"))
+    CAT + SPLIT, "SELECT cat_name, pag_title FROM old_cp UNION SELECT cat_name, pag_title "
+                 "FROM new_cp"))
 def q_bulk_upsert(spark, sf_dir):
-    existing, incoming = _upsert_inputs(_cat(spark, sf_dir))
-    return C.bulk_upsert(existing, incoming, ["cat_name", "pag_title"])
-
-
-CONFLICTS = [
-    ("old_pages", "SELECT pag_title AS title FROM catpage WHERE cat_name = 'lang_en'"),
-    ("new_pages", "SELECT pag_title AS title FROM catpage WHERE cat_name LIKE 'quality_%' "
-                  "UNION ALL SELECT pag_title FROM catpage WHERE cat_name LIKE 'toxic_%'"),
-]
+    old, new = _split_tables(spark, sf_dir)
+    return C.bulk_upsert(old["catpage"], new["catpage"], ["cat_name", "pag_title"])
+
+
+@register("bulk_load", O.render(
+    CAT + SPLIT,
+    "SELECT 'pages' AS kind, title AS key1, CAST(NULL AS VARCHAR) AS key2 FROM old_pages UNION "
+    "SELECT 'pages', title, NULL FROM new_pages UNION SELECT 'categories', name, NULL FROM old_cats "
+    "UNION SELECT 'categories', name, NULL FROM new_cats UNION SELECT 'catpage', pag_title, cat_name "
+    "FROM old_cp UNION SELECT 'catpage', pag_title, cat_name FROM new_cp UNION SELECT 'catsub', "
+    "cat_name_sub, cat_name FROM old_cs UNION SELECT 'catsub', cat_name_sub, cat_name FROM new_cs "
+    "WHERE cat_name <> cat_name_sub"))
+def q_bulk_load(spark, sf_dir):
+    """C1 over the four tables; the loop among the incoming edges is ignored."""
+    from functools import reduce
+    loaded = C.bulk_load(*_split_tables(spark, sf_dir))
+    none = F.lit(None).cast("string")
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(kind).alias("kind"), F.col(C.SCAN_ORDER[kind][0]).alias("key1"),
+                  (F.col(C.SCAN_ORDER[kind][1]) if len(C.SCAN_ORDER[kind]) > 1 else none)
+                  .alias("key2")) for kind, df in loaded.items()])
 
 
 @register("insert_conflicts", O.render(
-    CAT + CONFLICTS, "SELECT DISTINCT title, 'exists' AS reason FROM new_pages WHERE title IN "
-                     "(SELECT title FROM old_pages) UNION ALL SELECT title, 'duplicate' FROM "
-                     "new_pages GROUP BY title HAVING count(*) > 1"))
+    CAT + SPLIT, "SELECT DISTINCT title, 'exists' AS reason FROM new_pages WHERE title IN "
+                 "(SELECT title FROM old_pages) UNION ALL SELECT title, 'duplicate' FROM "
+                 "new_pages GROUP BY title HAVING count(*) > 1"))
 def q_insert_conflicts(spark, sf_dir):
-    cp = _cat(spark, sf_dir).catpage
-    old = cp.where(F.col("cat_name") == "lang_en").select(F.col("pag_title").alias("title"))
-    new = (cp.where(F.col("cat_name").like("quality_%")).select(F.col("pag_title").alias("title"))
-           .union(cp.where(F.col("cat_name").like("toxic_%"))
-                  .select(F.col("pag_title").alias("title"))))
-    return C.insert_conflicts(old, new, ["title"])
-
-
-APPEND_CP = [
-    ("base_cats", "SELECT name FROM categories WHERE name NOT LIKE 'toxic_%'"),
-    ("base_cp", "SELECT * FROM catpage WHERE cat_name NOT LIKE 'toxic_%'"),
-    ("new_pairs", "SELECT cat_name, pag_title FROM catpage WHERE cat_name LIKE 'toxic_%' "
-                  "OR cat_name = 'lang_en'"),
-]
+    old, new = _split_tables(spark, sf_dir)
+    return C.insert_conflicts(old["pages"], new["pages"], ["title"])
 
 
 @register("append_catpage", O.render(
-    CAT + APPEND_CP,
+    CAT + SPLIT,
     "SELECT 'categories' AS \"table\", name AS key1, CAST(NULL AS VARCHAR) AS key2 FROM "
-    "(SELECT DISTINCT cat_name AS name FROM new_pairs) WHERE name NOT IN "
-    "(SELECT name FROM base_cats) UNION ALL SELECT 'catpage', cat_name, pag_title FROM "
-    "(SELECT DISTINCT cat_name, pag_title FROM new_pairs) n WHERE NOT EXISTS (SELECT 1 FROM "
-    "base_cp b WHERE b.cat_name = n.cat_name AND b.pag_title = n.pag_title)"))
+    "(SELECT DISTINCT cat_name AS name FROM new_cp) WHERE name NOT IN "
+    "(SELECT name FROM old_cats) UNION ALL SELECT 'catpage', cat_name, pag_title FROM "
+    "new_cp n WHERE NOT EXISTS (SELECT 1 FROM "
+    "old_cp b WHERE b.cat_name = n.cat_name AND b.pag_title = n.pag_title)"))
 def q_append_catpage(spark, sf_dir):
-    c = _cat(spark, sf_dir)
-    tox = F.col("cat_name").like("toxic_%")
-    return C.append_catpage(c.categories.where(~F.col("name").like("toxic_%")),
-                            c.catpage.where(~tox),
-                            c.catpage.where(tox | (F.col("cat_name") == "lang_en")))
-
-
-APPEND_CS = [
-    ("base_cs", "SELECT * FROM catsub WHERE cat_name <> 'labels'"),
-    ("base_cats2", "SELECT name FROM categories WHERE name NOT IN "
-                   "('labels', 'quality_0', 'quality_1', 'toxic_0', 'toxic_1')"),
-    ("new_edges", "SELECT cat_name, cat_name_sub FROM catsub WHERE cat_name = 'labels' "
-                  "UNION ALL SELECT cat_name, cat_name_sub FROM catsub WHERE cat_name = "
-                  "'languages' UNION ALL SELECT 'languages', 'languages'"),
-    ("bad_edges", "SELECT DISTINCT cat_name, cat_name_sub FROM (SELECT * FROM new_edges n "
-                  "WHERE EXISTS (SELECT 1 FROM base_cs b WHERE b.cat_name = n.cat_name AND "
-                  "b.cat_name_sub = n.cat_name_sub) UNION ALL SELECT * FROM new_edges WHERE "
-                  "cat_name = cat_name_sub UNION ALL SELECT cat_name, cat_name_sub FROM "
-                  "new_edges GROUP BY ALL HAVING count(*) > 1)"),
-]
+    old, new = _split_tables(spark, sf_dir)
+    return C.append_catpage(old["categories"], old["catpage"], new["catpage"])
+
+
+BAD_EDGES = [("bad_edges", "SELECT cat_name, cat_name_sub FROM new_cs WHERE cat_name = "
+                           "cat_name_sub UNION SELECT n.cat_name, n.cat_name_sub FROM new_cs n "
+                           "JOIN old_cs o ON o.cat_name = n.cat_name AND "
+                           "o.cat_name_sub = n.cat_name_sub")]
 
 
 @register("append_catsub", O.render(
-    CAT + APPEND_CS,
+    CAT + SPLIT + BAD_EDGES,
     "SELECT 'categories' AS \"table\", name AS key1, CAST(NULL AS VARCHAR) AS key2 FROM "
-    "(SELECT cat_name AS name FROM new_edges UNION SELECT cat_name_sub FROM new_edges) "
-    "WHERE name NOT IN (SELECT name FROM base_cats2) "
-    "UNION ALL SELECT 'catsub', cat_name, cat_name_sub FROM (SELECT DISTINCT * FROM new_edges) "
+    "(SELECT cat_name AS name FROM new_cs UNION SELECT cat_name_sub FROM new_cs) "
+    "WHERE name NOT IN (SELECT name FROM old_cats) "
+    "UNION ALL SELECT 'catsub', cat_name, cat_name_sub FROM (SELECT DISTINCT * FROM new_cs) "
     "n WHERE NOT EXISTS (SELECT 1 FROM bad_edges b WHERE b.cat_name = n.cat_name AND "
     "b.cat_name_sub = n.cat_name_sub) "
     "UNION ALL SELECT 'error', cat_name, cat_name_sub FROM bad_edges"))
 def q_append_catsub(spark, sf_dir):
-    c = _cat(spark, sf_dir)
-
-    labels_cats = ["labels", "quality_0", "quality_1", "toxic_0", "toxic_1"]
-    loop = spark.range(1).select(F.lit("languages").alias("cat_name"),
-                                  F.lit("languages").alias("cat_name_sub"))
-    edges = (c.catsub.where(F.col("cat_name") == "labels")
-             .union(c.catsub.where(F.col("cat_name") == "languages")).union(loop))
-    return C.append_catsub(c.categories.where(~F.col("name").isin(*labels_cats)),
-                           c.catsub.where(F.col("cat_name") != "labels"), edges)
+    old, new = _split_tables(spark, sf_dir)
+    return C.append_catsub(old["categories"], old["catsub"], new["catsub"])
 
 
 CHECK = [
@@ -514,6 +555,15 @@ def _split(spark, sf_dir):
 
 
 N = O.T.norm_name_sql
+@register("dump_pages_prefixed", f"SELECT title, ns, id, text, redirect_title FROM "
+                                 f"({WIKI_PAGES_SQL}) w")
+def q_dump_pages_prefixed(spark, sf_dir):
+    """A dump whose element names carry a namespace prefix."""
+    path = D.write_dump(wiki_pages(spark, sf_dir), scratch_path(spark, "dump"), prefix="mw")
+    return D.read_dump(spark, path, prefix="mw").select(
+        "title", "ns", "id", "text", F.col("redirect._title").alias("redirect_title"))
+
+
 INGEST = [
     ("wiki", WIKI_PAGES_SQL),
     ("valid", f"SELECT {N('title')} AS title, ns, id, CASE WHEN ns = 14 THEN 'category' "
@@ -586,14 +636,15 @@ def q_plain_text_html(spark, sf_dir):
 
 
 @register("limit_pages", O.render(INGEST, "SELECT title, ns, id, kind FROM valid "
-                                         "ORDER BY id LIMIT 100000"))
+                                         "ORDER BY id LIMIT 150"))
 def q_limit_pages(spark, sf_dir):
-    return G.limit_pages(_dump(spark, sf_dir), 100000).select("title", "ns", "id", "kind")
+    return G.limit_pages(_dump(spark, sf_dir), 150).select("title", "ns", "id", "kind")
 
 
 @register("ingest_stats", O.render(
     INGEST, "SELECT count(*) AS total_pages, count(*) FILTER (WHERE ns IN (0, 14) AND "
-            "redirect_title IS NULL) AS valid_pages FROM wiki"))
+            "redirect_title IS NULL) AS valid_pages, CAST(0 AS BIGINT) AS malformed_pages "
+            "FROM wiki"))
 def q_ingest_stats(spark, sf_dir):
     return G.ingest_stats(_dump(spark, sf_dir))
 
@@ -642,14 +693,13 @@ def q_dedupe(spark, sf_dir):
 
 def _text_dir_lines(spark, sf_dir):
     path = TD.write_text_dir(_p(spark, sf_dir).cat.texts, scratch_path(spark, "textdir"))
-    return TD.read_text_dir(spark, path)
+    return TD.read_documents(spark, path)
 
 
 @register("text_dir_scan", O.render(CAT, "SELECT title, unnest(string_split(text, chr(10))) "
                                          "AS line FROM texts"))
 def q_text_dir_scan(spark, sf_dir):
-    lines = _text_dir_lines(spark, sf_dir)
-    return lines.select(TD.file_key(F.col("file")).alias("title"), "line")
+    return _text_dir_lines(spark, sf_dir).withColumnRenamed("file", "title")
 
 
 LINES = CAT + [("lines_t", "SELECT title, unnest(string_split(text, chr(10))) AS text "
@@ -659,7 +709,7 @@ LINES = CAT + [("lines_t", "SELECT title, unnest(string_split(text, chr(10))) AS
 @register("file_word_count", O.render(LINES, "SELECT word, title, n FROM l_counts"))
 def q_file_word_count(spark, sf_dir):
     counts = I.file_word_count(_text_dir_lines(spark, sf_dir))
-    return counts.select("word", TD.file_key(F.col("file")).alias("title"), "n")
+    return counts.select("word", F.col("file").alias("title"), "n")
 
 
 @register("file_word_lists", O.render(
@@ -668,8 +718,7 @@ def q_file_word_count(spark, sf_dir):
 def q_file_word_lists(spark, sf_dir):
     """T9; the (word, n) list is compared as its JSON text."""
     counts = I.file_word_count(_text_dir_lines(spark, sf_dir))
-    lists = I.file_word_lists(counts.withColumn("file", TD.file_key(F.col("file"))))
-    return lists.select("file", F.to_json("words").alias("words_json"))
+    return I.file_word_lists(counts).select("file", F.to_json("words").alias("words_json"))
 
 
 @register("artefact_roundtrip", O.render(O.INDEX + O.HOLDOUT + O.centroid_ctes(5, True),
@@ -677,8 +726,28 @@ def q_file_word_lists(spark, sf_dir):
                                          "FROM centroids"))
 def q_artefact_roundtrip(spark, sf_dir):
     p = _p(spark, sf_dir)
-    path = scratch_path(spark, "centroids")
-    return A.load_artefact(spark, path, build=lambda: p.centroids)
+    return _saved_and_loaded(spark, "centroids", lambda: p.centroids)
+
+
+def _saved_and_loaded(spark, name, build):
+    """The first load builds and saves, the second reads what was saved."""
+    path = scratch_path(spark, name)
+    A.load_artefact(spark, path, build=build)
+    return A.load_artefact(spark, path)
+
+
+@register("artefact_documents", O.render(O.INDEX, "SELECT title, word, n FROM counts"))
+def q_artefact_documents(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return _saved_and_loaded(spark, "documents", lambda: p.index.counts)
+
+
+@register("artefact_index", O.render(
+    O.INDEX, f"SELECT word, {O.r6('idf')}, title, {O.r6('tf')} FROM postings "
+             "JOIN vocab USING (word)"))
+def q_artefact_index(spark, sf_dir):
+    idx = _p(spark, sf_dir).index
+    return _saved_and_loaded(spark, "index", lambda: I.inverted_index(idx.postings, idx.vocab))
 
 
 @register("vector_of_page", O.render(
@@ -781,6 +850,11 @@ def q_dbscan(spark, sf_dir):
     return V.dbscan_clusters(p.vectors, p.cat.texts, eps=0.5, min_pts=5)
 
 
+@register("artefact_clusters", DBSCAN_SQL)
+def q_artefact_clusters(spark, sf_dir):
+    return _saved_and_loaded(spark, "clusters", lambda: q_dbscan(spark, sf_dir))
+
+
 @register("categorise_texts", O.render(
     CONV_INDEX + [("conv_catpage", "SELECT DISTINCT role AS cat_name, title AS pag_title "
                                    "FROM conv_texts")]
@@ -840,6 +914,13 @@ def q_threshold_sweep(spark, sf_dir):
     return _sweep(spark, sf_dir)
 
 
+@register("artefact_sweep", O.render(
+    O.sweep_ctes(4, 50, 100),
+    "SELECT n_pages, n_centroids, " + ", ".join(O.r6(c) for c in SWEEP_COLS) + " FROM sweep"))
+def q_artefact_sweep(spark, sf_dir):
+    return _saved_and_loaded(spark, "sweep", lambda: _sweep(spark, sf_dir))
+
+
 @register("sweep_long", O.render(
     O.sweep_ctes(4, 50, 100),
     " UNION ALL ".join(
@@ -851,21 +932,30 @@ def q_sweep_long(spark, sf_dir):
     return E.sweep_long(_sweep(spark, sf_dir))
 
 
-@register("inverted_index_nested")
+@register("inverted_index_nested", O.render(
+    O.INDEX, "SELECT word, chunk, round(any_value(idf), 6) AS idf, string_agg(title || ':' || "
+             "CAST(CAST(round(tf * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY title) AS docs FROM ("
+             "SELECT word, idf, title, tf, CAST(CAST('0x' || substr(md5(title), 1, 8) AS BIGINT) % "
+             "greatest(1, CAST(ceil(df / 50.0) AS BIGINT)) AS INTEGER) AS chunk "
+             "FROM postings JOIN vocab USING (word)) GROUP BY word, chunk"))
 def q_inverted_index_nested(spark, sf_dir):
+    """I4 nested; the map is compared as title:millionths text, in title order."""
     idx = _p(spark, sf_dir).index
-    return I.inverted_index_nested(idx.postings, idx.vocab)
+    entry = lambda e: F.concat(e["key"], F.lit(":"), F.round(
+        e["value"] * 1e6).cast("long").cast("string"))
+    return I.inverted_index_nested(idx.postings, idx.vocab, max_entries=50).select(
+        "word", "chunk", "idf",
+        F.array_join(F.transform(F.map_entries("docs"), entry), ",").alias("docs"))
 
 
 @register("streaming_word_count", O.render(LINES, "SELECT word, title, n FROM l_counts"))
 def q_streaming_word_count(spark, sf_dir):
-    """T8 as a file stream: 500 files per micro-batch, appended to a table."""
-    from ..streaming.textdir import count_batches
+    """T8 as a file stream: 500 files per micro-batch, a folder of counts per batch."""
+    from ..streaming.textdir import batch_counts, count_batches
     text_dir = TD.write_text_dir(_p(spark, sf_dir).cat.texts, scratch_path(spark, "stream-in"))
     out = scratch_path(spark, "stream-out")
     count_batches(spark, text_dir, out, scratch_path(spark, "stream-ckpt"))
-    counts = spark.read.parquet(out)
-    return counts.select("word", TD.file_key(F.col("file")).alias("title"), "n")
+    return batch_counts(spark, out).withColumnRenamed("file", "title")
 
 
 SAMPLE_EVAL = (O.INDEX + [("sampled", "SELECT title FROM page_titles ORDER BY "
