@@ -31,11 +31,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         grand = materialise(parent.select("u", "f").join(upper, "f"), "grandparents")
         near = (both.join(grand.select(F.col("u").alias("v"), "gf"), "v")
                 .groupBy("u").agg(F.min("gf").alias("m")))
-        hooked = materialise(grand.join(near, "u"), "hooked")
-        moves = hooked.select("u", F.least("f", "gf", "m").alias("f"), F.col("f").alias("old"))
-        roots = hooked.select(F.col("f").alias("u"), F.col("m").alias("f"),
-                              F.lit(None).cast(moves.schema["old"].dataType).alias("old"))
-        parent = materialise(moves.union(roots).groupBy("u")
-                             .agg(F.min("f").alias("f"), F.max("old").alias("old")), "parents")
+        # a node moves to the smallest it sees, and so does the node it points to
+        moves = F.explode(F.array(
+            F.struct("u", F.least("f", "gf", "m").alias("f"), F.col("f").alias("old")),
+            F.struct(F.col("f").alias("u"), F.col("m").alias("f"),
+                     F.lit(None).cast(grand.schema["f"].dataType).alias("old"))))
+        parent = materialise(grand.join(near, "u").select(moves.alias("x")).select("x.*")
+                             .groupBy("u").agg(F.min("f").alias("f"), F.max("old").alias("old")),
+                             "parents")
         if parent.where(F.col("f") != F.col("old")).limit(1).count() == 0:
             return parent.select(F.col("u").alias("node"), F.col("f").alias("component"))
