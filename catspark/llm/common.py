@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: word classes of the contracts, as patterns of what separates words
@@ -47,3 +50,20 @@ def same_key(left: DataFrame, right: DataFrame) -> Column:
 
 def parts_for(total: int, per_part: int) -> int:
     return max(1, -(-int(total or 0) // per_part))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, whatever their import path is."""
+    root = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED or not root.is_dir():  # installed as an archive: there
+        return
+    archive = Path(tempfile.mkdtemp(prefix="catspark-ship-")) / "catspark_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))  # the driver serves it to the executors
+    _SHIPPED.add(context.applicationId)

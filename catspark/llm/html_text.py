@@ -19,6 +19,8 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: content of these is not text of the page
 UNSHOWN = frozenset("head script style noscript template title select option datalist textarea "
                     "svg math canvas iframe object audio video map".split())
@@ -289,6 +291,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
                  pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
+    ship(df.sparkSession)
     pages = df.select(F.col(id_col).cast("long").alias("page_id"),
                       F.col(url_col).cast("string").alias("url"),
                       F.col(html_col).cast("string").alias("html"))

@@ -11,8 +11,8 @@ Registers are cut into bands; texts that agree in a band share a bucket.  No
 bucket is expanded into pairs: its members are compared with the member that
 shares most buckets with others (the likely original of a group of copies),
 exactly, on their shingles.  Buckets whose members then still belong to
-different classes get twice as many centres each round, until every pair of
-members is in one class or was compared; so no link is lost to a star.
+different classes get more centres each round, until every pair of members is
+in one class or was compared; so no link is lost to a star.
 """
 
 from __future__ import annotations
@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialise
+from .common import ship
 from .grams import ASCII_LOWER, first_of_runs, mixed, rolling, starts_within, symbols
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
+#: how many times more centres each round takes from the buckets that are still open
+MORE = 8
 #: words are runs of a-z, 0-9 and non-ASCII characters, after lower-casing A-Z
 WORD_BYTES = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in ASCII_LOWER)
 SKETCH = "node long, _id long, _h long, copy binary, bands binary, shingles binary, weights binary"
@@ -147,6 +150,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names)
 
+    ship(df.sparkSession)
     # rows without an id get a number of their own, after all ids, from their text
     late = F.xxhash64(text_col).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), late).alias("node"),
@@ -242,6 +246,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _links(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of verified pairs that connect all similar members of each bucket."""
     best = F.struct(F.col("score"), (-F.col("node")).alias("order"))
+    # written, so that both sides of the join are read and Spark can split a hot bucket
     heads = materialise(shared.groupBy("bucket").agg(F.max(best).alias("m")).select(
         "bucket", (-F.col("m.order")).alias("a")), "heads")
     ordered = [F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")]
@@ -256,15 +261,13 @@ def _links(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
                 "bucket", "node", "score", F.coalesce("component", "node").alias("class")), "placed")
         # a bucket is open while its members are of different classes; who is not in the class
         # of its most central member is compared with all others, most central first
-        open_ = materialise(placed.groupBy("bucket").agg(
+        open_ = placed.groupBy("bucket").agg(
             F.min("class").alias("x"), F.max("class").alias("y"), F.max_by("class", best)
-            .alias("main")).where("x <> y").select("bucket", "main"), "open")
+            .alias("main")).where("x <> y").select("bucket", "main")
         live = materialise(placed.join(open_, "bucket"), "live")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("score"), "node"))
-        heads = materialise(live.where("class <> main").withColumn("r", rank)
-                            .where(F.col("r") <= centres)
-                            .select("bucket", F.col("node").alias("a"), F.col("class").alias("ca")),
-                            "heads")
+        heads = (live.where("class <> main").withColumn("r", rank).where(F.col("r") <= centres)
+                 .select("bucket", F.col("node").alias("a"), F.col("class").alias("ca")))
         pairs = (live.join(heads, "bucket").where("class <> ca").select(*ordered).distinct()
                  .join(checked, ["a", "b"], "left_anti"))
         pairs = materialise(pairs, "pairs")
@@ -274,7 +277,7 @@ def _links(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
         left = live.where("class <> main").groupBy("bucket").count().agg(F.max("count")).first()[0]
         if (left or 0) <= centres:
             return links
-        centres *= 2
+        centres *= MORE
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:

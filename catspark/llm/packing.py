@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import parts_for
+from .common import parts_for, ship
 from .tokens import encoder, text_batches
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -85,6 +85,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                                  piece if with_ids else None))
             yield _batch(rows)
 
+    ship(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.col(text_col).cast("string").alias("text"))
     pieces = materialise(docs.mapInArrow(place, PIECES), "pieces")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import parts_for
+from .common import parts_for, ship
 from .grams import ASCII_LOWER, first_of_runs, symbols
 
 ORDER = 5
@@ -285,6 +285,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     from.  Repeated rows count each time and get equal results.  Without
     training rows all bytes are equally likely.  Empty table: no rows.
     """
+    ship(df.sparkSession)
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
     docs = df.select(F.col(id_col).cast("long").alias("_id"),
                      F.col(text_col).cast("string").alias("text"),

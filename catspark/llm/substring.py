@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import parts_for
+from .common import parts_for, ship
 from .grams import first_of_runs, mixed, rolling, sliding_min, starts_within, symbols
 
 #: the shorter runs whose smallest hash is a window's anchor, as a share of the window
@@ -182,6 +182,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and empty texts have no words.  Empty table: no rows.  Other columns are
     ignored.  ``limit`` is the number of suffixes a task is to hold.
     """
+    ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("_id"),
                      F.xxhash64(id_col, text_col).alias("h"),
                      F.col(text_col).cast("string").alias("text"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import parts_for
+from .common import parts_for, ship
 from .tokens import encoder, text_batches
 
 ROW = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
@@ -32,6 +32,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
     ignored.  ``local_start`` counts a file's ids before the document;
     ``with_starts`` adds what the files before it hold.
     """
+    ship(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.col(text_col).cast("string").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0]

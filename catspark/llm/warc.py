@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch_path
-from .common import parts_for
+from .common import parts_for, ship
 
 DICT_MAGIC, SKIP_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0x184D2A50, 0xFD2FB528
 CLOSE = struct.pack("<II", SKIP_MAGIC, 1)  # its one byte is the row's line feed
@@ -65,6 +65,7 @@ def write_warc(pages: DataFrame, path: str, archive_bytes: int = 32 << 20,
     few or too small for that, their first bytes serve as a raw dictionary.
     Empty table: a folder without records.
     """
+    ship(pages.sparkSession)
     records = plan_records(pages, **columns)
     html = columns.get("html_col", "html")
     total = pages.agg(F.sum(F.octet_length(html))).first()[0]
@@ -193,6 +194,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
+    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(parse_all, RECORD)
 
