@@ -5,13 +5,15 @@ words meet in an internal node of the suffix tree at that depth or deeper; the
 node's first suffix (smallest document id, then start) stays, the others'
 words go.  The tree is never built whole:
 
+Copies of whole texts are set aside first: of each only the first is looked at.
+
 1. Leaves are pruned.  A window's anchor is the smallest hash of its shorter
    runs; equal windows have equal anchors, so a window whose anchor no other
    place has is a leaf above the wanted depth.  Anchors are dealt by hash in
    packed arrays, a fifth of the words and a few bytes each.
 2. The suffixes that are left are dealt by prefixes of variable length: the
-   first word, or more words where more than ``limit`` suffixes share that
-   prefix, so every group of subtrees fits a task's memory.
+   first word, or more words where more than ``limit`` suffixes fall into the
+   prefix's group, so every group of subtrees fits a task's memory.
 3. Each task sorts its suffixes, which is a suffix tree's order; runs that
    agree to the wanted depth are its deep nodes.  Edges carry 64-bit
    fingerprints of their words instead of the words.  A prefix that is still
@@ -36,6 +38,8 @@ ANCHOR_SHARE = 0.6
 #: prefix lengths tried in turn, in words; the window's length is the last
 LEVELS = (1, 2, 4, 8)
 NULL_ID = np.iinfo(np.int64).max
+#: low bits of an anchor that hold its place
+PLACE = np.uint64((1 << 20) - 1)
 BLOB = "bin long, docs binary, counts binary, a binary, b binary, c binary"
 
 
@@ -104,14 +108,21 @@ def _spans_rows(docs: np.ndarray, owner: np.ndarray, a: np.ndarray, b: np.ndarra
 
 
 def repeated_anchors(rows: DataFrame, window: int, n_bins: int) -> DataFrame:
-    """(h, a, b): runs of windows (first word, number of windows) whose anchor occurs elsewhere."""
+    """(h, a, b): runs of windows (first word, number of windows) whose anchor occurs elsewhere.
+
+    Of texts with equal ``content`` only the first (smallest ``ord``, then h) is reported.
+    """
     gram = max(1, round(window * ANCHOR_SHARE))
     span = window - gram + 1
 
     def anchors(batches):
-        for texts, hs in _slices(batches, ["text", "h"]):
+        for texts, hs, ords, contents in _slices(batches, ["text", "h", "ord", "content"]):
             flat, counts = words_of(texts)
-            low = sliding_min(mixed(rolling(symbols(flat), gram)), span)
+            # value and place of each window's anchor: windows in a row that have it from the
+            # same place differ, so only runs of such windows are sent
+            value = mixed(rolling(symbols(flat), gram))
+            place = np.arange(len(value), dtype=np.uint64) & PLACE
+            low = sliding_min((value & ~PLACE) | place, span)
             at = starts_within(counts, window)
             owner = np.repeat(np.arange(len(counts)), np.maximum(counts - window + 1, 0))
             first = first_of_runs(low[at], owner) if len(at) else np.zeros(0, np.int64)
@@ -122,22 +133,28 @@ def repeated_anchors(rows: DataFrame, window: int, n_bins: int) -> DataFrame:
                 np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps))
             n = np.diff(np.append(first, len(at)))
             start = at[first] - (np.cumsum(counts) - counts)[owner[first]]
-            value = low[at[first]]
+            value = low[at[first]] >> np.uint64(20)
             yield _blob_rows((value % np.uint64(n_bins)).astype(np.int64), owner[first],
-                             np.array(hs, "<i8").reshape(-1, 1),
-                             (value >> np.uint64(32)).astype("<u4"), start.astype("<u4"),
+                             np.array([hs, ords, contents], "<i8").T,
+                             (value >> np.uint64(12)).astype("<u4"), start.astype("<u4"),
                              n.astype("<u2"))
 
     def shared(key, table):
-        docs, owner, (value, start, n) = _entries(table, 1, "<u4", "<u4", "<u2")
+        docs, owner, (value, start, n) = _entries(table, 3, "<u4", "<u4", "<u2")
+        order = np.lexsort((docs[:, 0], docs[:, 1], docs[:, 2]))  # content, ord, h
+        first = first_of_runs(docs[order, 2], np.zeros(len(docs), np.int8))
+        head = np.repeat(order[first], np.diff(np.append(first, len(order))))
+        is_first = np.zeros(len(docs), bool)  # the same h may come in several rows
+        is_first[order] = docs[order, 0] == docs[head, 0]
+        keep = is_first[owner]
+        owner, value, start, n = owner[keep], value[keep], start[keep], n[keep]
         ordered = np.sort(value)
-        # an anchor is shared if another run has it, or its own run has two windows
+        # an anchor is shared if another run has it
         twice = np.unique(ordered[:-1][ordered[1:] == ordered[:-1]])
         i = np.searchsorted(twice, value)
         hit = np.zeros(len(value), bool)
         inside = i < len(twice)
         hit[inside] = twice[i[inside]] == value[inside]
-        hit |= n > 1
         return _spans_rows(docs, owner[hit], start[hit], n[hit].astype("<u4"))
 
     import pyarrow as pa
@@ -185,53 +202,77 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("_id"),
                      F.xxhash64(id_col, text_col).alias("h"),
+                     F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("ord"),
+                     F.xxhash64(text_col).alias("content"),
+                     F.xxhash64(F.lit(1), text_col).alias("content2"),
                      F.col(text_col).cast("string").alias("text"))
     chars = df.agg(F.sum(F.length(text_col))).first()[0]
     # about a word in five characters, an anchor in five words
-    suspects = repeated_anchors(rows.select("h", "text"), window, parts_for(chars, 25 * limit))
-    suspects = materialise(suspects, "anchors").groupBy("h").agg(
-        F.collect_list(F.struct("a", "b")).alias("spans"))  # bounded: one document's
+    suspects = materialise(repeated_anchors(rows.select("h", "ord", "content", "text"), window,
+                                            parts_for(chars, 25 * limit)), "anchors")
+    known = (suspects.select("h", "a", "b", F.lit(False).alias("copy"))
+             .union(later_copies(rows).select("h", F.lit(None), F.lit(None), F.lit(True)))
+             .groupBy("h").agg(F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "b")))
+                               .alias("spans"), F.max("copy").alias("copy")))  # one document's
     held = materialise(
-        rows.join(suspects, "h", "left").mapInArrow(
-            _first_pass(window), "_id long, h long, n_words long, sha string, text string, "
-            "at binary, print binary"), "suffixes")
+        rows.select("_id", "h", "text").join(known, "h", "left")
+        .mapInArrow(_first_pass(window), HELD), "suffixes")
     some = held.where("text is not null")
-    n = some.agg(F.sum(F.octet_length("print") / 8)).first()[0]
-    heavy = _frequent_prefixes(some, window, limit)
+    n = some.agg(F.sum(F.octet_length("at") / 4)).first()[0]
     bins = parts_for(n, limit)
-    firsts = _first_of_heavy(some, window, heavy)
-    doomed = _tree_repeats(some, window, heavy, bins).groupBy("h").agg(
+    groups = 64 * bins
+    heavy = _large_groups(some, window, limit, groups)
+    firsts = _first_of_heavy(some, window, heavy, groups)
+    doomed = _tree_repeats(some, window, heavy, groups, bins).groupBy("h").agg(
         F.collect_list(F.struct("a", "b")).alias("spans"))
     schema = "_id long, _h long, n_words long, n_removed long, spans binary, sha string, text string"
-    cut = some.join(doomed, "h", "left").mapInArrow(_last_pass(window, heavy, firsts), schema)
-    rest = held.where("text is null").select(
-        "_id", F.col("h").alias("_h"), "n_words", F.lit(0).cast("long").alias("n_removed"),
-        F.lit(None).cast("binary").alias("spans"), "sha", F.lit(None).cast("string").alias("text"))
+    # starts of suffixes are read again only for windows above the limit
+    cut = (some.select(*(SUFFIX_COLUMNS if firsts else SUFFIX_COLUMNS[:3]))
+           .join(doomed, "h", "left").mapInArrow(_last_pass(window, heavy, groups, firsts), schema))
+    rest = held.where("text is null").select("_id", F.col("h").alias("_h"), "n_words", "n_removed",
+                                             "spans", "sha", F.col("kept").alias("text"))
     return rest.union(cut).withColumnRenamed("sha", "kept_sha256")
 
 
+def later_copies(rows: DataFrame) -> DataFrame:
+    """h of texts that an earlier row (smaller ``ord``, then h) holds as a whole."""
+    slim = rows.where("text is not null").select("h", "ord", "content", "content2")
+    groups = materialise(slim.groupBy("content", "content2").agg(
+        F.min(F.struct("ord", "h")).alias("f"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("content", "content2", F.col("f.h").alias("first")), "copies")
+    # both sides are read from files, so that Spark can split the rows of a hot text
+    return slim.join(groups, ["content", "content2"]).where("h <> first").select("h").distinct()
+
+
+HELD = ("_id long, h long, n_words long, n_removed long, spans binary, sha string, kept string, "
+        "text string, at binary")
+
+
 def _first_pass(window):
-    """Word counts of all texts; text and fingerprints of the suspected suffixes where there are
-    any, else the digest of the words."""
+    """Results of texts without suspected suffixes and of copies; of the others the text and the
+    starts of those suffixes."""
+    names, types = zip(*(c.split() for c in HELD.split(", ")), strict=True)
+
     def run(batches):
-        for texts, ids, hs, spans in _slices(batches, ["text", "_id", "h", "spans"]):
-            flat, counts, at, owner = kept_windows(texts, [unpack(s) for s in spans], window)
-            prints = mixed(rolling(symbols(flat), window))[at] if len(at) else np.zeros(0, "<u8")
+        for texts, ids, hs, spans, copy in _slices(batches, ["text", "_id", "h", "spans", "copy"]):
+            known = [unpack(x) if not c else [] for x, c in zip(spans, copy, strict=True)]
+            flat, counts, at, owner = kept_windows(texts, known, window)
             first = np.cumsum(counts) - counts
             cuts = np.searchsorted(owner, np.arange(len(counts) + 1))
             out = []
             for i, t in enumerate(texts):
-                lo, hi = cuts[i], cuts[i + 1]
+                lo, hi, n = cuts[i], cuts[i + 1], int(counts[i])
                 if hi > lo:
-                    out.append((ids[i], hs[i], int(counts[i]), None, t,
-                                (at[lo:hi] - first[i]).astype("<u4").tobytes(),
-                                prints[lo:hi].astype("<u8").tobytes()))
+                    out.append((ids[i], hs[i], n, None, None, None, None, t,
+                                (at[lo:hi] - first[i]).astype("<u4").tobytes()))
+                elif copy[i] and n >= window:  # every word is in a window that starts earlier
+                    out.append((ids[i], hs[i], n, n, np.array([0, n], "<u4").tobytes(),
+                                hashlib.sha256().hexdigest(), "", None, None))
                 else:
-                    own = flat[first[i]:first[i] + counts[i]]
-                    out.append((ids[i], hs[i], int(counts[i]),
-                                hashlib.sha256(b" ".join(own)).hexdigest(), None, None, None))
-            yield _rows(["_id", "h", "n_words", "sha", "text", "at", "print"],
-                        ["long", "long", "long", "string", "string", "binary", "binary"], out)
+                    words = b" ".join(flat[first[i]:first[i] + n])
+                    out.append((ids[i], hs[i], n, 0, None, hashlib.sha256(words).hexdigest(), None,
+                                None, None))
+            yield _rows(names, types, out)
     return run
 
 
@@ -239,64 +280,68 @@ class Suffixes:
     """The suspected suffixes of a batch and the prefix group of each."""
 
     def __init__(self, batch, window):
-        texts, ids, hs, at, prints = batch
+        texts, ids, hs, at = batch
         flat, counts = words_of(texts)
         self.first = np.cumsum(counts) - counts
         self.owner = np.repeat(np.arange(len(texts)), [len(x) // 4 for x in at])
         self.start = np.frombuffer(b"".join(at), "<u4")
-        self.prints = np.frombuffer(b"".join(prints), "<u8")
         self.docs = np.array([(h, NULL_ID if d is None else d) for h, d in
                               zip(hs, ids, strict=True)], "<i8").reshape(-1, 2)
         self.flat, self.window, self.symbols, self.texts = flat, window, symbols(flat), texts
         self.words = self.first[self.owner] + self.start.astype(np.int64)
+        self.prints = mixed(rolling(self.symbols, window))[self.words]
 
     def prefix(self, level: int) -> np.ndarray:
         return mixed(rolling(self.symbols, level))[self.words] if level < self.window \
             else self.prints
 
-    def groups(self, heavy: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(hash of the shortest prefix that is not frequent, whether there is one)."""
+    def prefix_group(self, level: int, n: int) -> np.ndarray:
+        """Group of the prefix; a whole window is a group of its own."""
+        h = self.prefix(level)
+        return h if level == self.window else h % np.uint64(n)
+
+    def groups(self, heavy: dict[int, np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash of the shortest prefix whose group is not too large, whether there is one)."""
         out = np.zeros(len(self.words), np.uint64)
         todo = np.arange(len(self.words))
         for level, frequent in heavy.items():
-            h = self.prefix(level)[todo]
-            is_heavy = np.isin(h, frequent)
-            out[todo[~is_heavy]] = h[~is_heavy]
+            is_heavy = np.isin(self.prefix_group(level, n)[todo], frequent)
+            out[todo[~is_heavy]] = self.prefix(level)[todo[~is_heavy]]
             todo = todo[is_heavy]
         found = np.ones(len(out), bool)
         found[todo] = False
         return out, found
 
 
-SUFFIX_COLUMNS = ["text", "_id", "h", "at", "print"]
+SUFFIX_COLUMNS = ["text", "_id", "h", "at"]
 
 
-def _frequent_prefixes(some: DataFrame, window: int, limit: int) -> dict[int, np.ndarray]:
-    """By level the prefixes that more than ``limit`` suffixes share; the last level has no more
-    below it.  At most (number of suffixes / limit) prefixes a level come to the driver."""
-    heavy: dict[int, np.ndarray] = {}
+def _large_groups(some: DataFrame, window: int, limit: int, n: int) -> dict[int, np.ndarray]:
+    """By level the groups of prefixes that more than ``limit`` suffixes share; the last level has
+    none.  At most (number of suffixes / limit) groups a level come to the driver."""
+    large: dict[int, np.ndarray] = {}
     for level in [x for x in LEVELS if x < window] + [window]:
-        known = dict(heavy)
+        known = dict(large)
 
         def count(batches, level=level, known=known):
             for batch in _slices(batches, SUFFIX_COLUMNS):
                 s = Suffixes(batch, window)
-                _, found = s.groups(known)
-                h = s.prefix(level)[~found] if known else s.prefix(level)
-                values, n = np.unique(h, return_counts=True)
+                h = s.prefix_group(level, n)
+                h = h[~s.groups(known, n)[1]] if known else h
+                values, sums = np.unique(h, return_counts=True)
                 yield _rows(["p", "n"], ["long", "long"],
-                            list(zip(values.view(np.int64).tolist(), n.tolist(), strict=True)))
+                            list(zip(values.view(np.int64).tolist(), sums.tolist(), strict=True)))
 
         sums = (some.mapInArrow(count, "p long, n long").groupBy("p")
                 .agg(F.sum("n").alias("n")).where(F.col("n") > limit))
-        frequent = [r["p"] for r in sums.select("p").collect()]
-        heavy[level] = np.array(frequent, np.int64).view(np.uint64)
-        if not frequent:
+        found = [r["p"] for r in sums.select("p").collect()]
+        large[level] = np.array(found, np.int64).view(np.uint64)
+        if not found:
             break
-    return heavy
+    return large
 
 
-def _first_of_heavy(some: DataFrame, window: int, heavy: dict) -> dict[int, tuple]:
+def _first_of_heavy(some: DataFrame, window: int, heavy: dict, n: int) -> dict[int, tuple]:
     """fingerprint -> (id, h, start) of the first suffix of each window above the limit."""
     if window not in heavy or not len(heavy[window]):
         return {}
@@ -304,7 +349,7 @@ def _first_of_heavy(some: DataFrame, window: int, heavy: dict) -> dict[int, tupl
     def local(batches):
         for batch in _slices(batches, SUFFIX_COLUMNS):
             s = Suffixes(batch, window)
-            at = np.flatnonzero(~s.groups(heavy)[1])
+            at = np.flatnonzero(~s.groups(heavy, n)[1])
             docs = s.docs[s.owner[at]]
             order = np.lexsort((s.start[at], docs[:, 0], docs[:, 1], s.prints[at]))
             at, docs = at[order], docs[order]
@@ -318,14 +363,14 @@ def _first_of_heavy(some: DataFrame, window: int, heavy: dict) -> dict[int, tupl
     return {r["p"]: tuple(r["f"]) for r in found}
 
 
-def _tree_repeats(some: DataFrame, window: int, heavy: dict, bins: int) -> DataFrame:
+def _tree_repeats(some: DataFrame, window: int, heavy: dict, n: int, bins: int) -> DataFrame:
     """(h, a, b): windows (first word, 1) that are not the first of their node, per document."""
     import pyarrow as pa
 
     def deal(batches):
         for batch in _slices(batches, SUFFIX_COLUMNS):
             s = Suffixes(batch, window)
-            group, found = s.groups(heavy)
+            group, found = s.groups(heavy, n)
             yield _blob_rows((group[found] % np.uint64(bins)).astype(np.int64), s.owner[found],
                              s.docs, s.prints[found], s.start[found])
 
@@ -345,22 +390,22 @@ def _tree_repeats(some: DataFrame, window: int, heavy: dict, bins: int) -> DataF
         subtrees, "h long, a binary, b binary")
 
 
-def _last_pass(window: int, heavy: dict, firsts: dict):
+def _last_pass(window: int, heavy: dict, groups: int, firsts: dict):
     """Words left of each text, once the repeated windows are known."""
     def run(batches):
-        for *batch, spans in _slices(batches, [*SUFFIX_COLUMNS, "spans"]):
-            s = Suffixes(batch, window)
+        for *batch, spans in _slices(
+                batches, [*(SUFFIX_COLUMNS if firsts else SUFFIX_COLUMNS[:3]), "spans"]):
+            texts, ids, hs = batch[:3]
             gone = [[a.astype(np.int64) for a, _ in unpack(x)] for x in spans]
             if firsts:
-                for j in np.flatnonzero(~s.groups(heavy)[1]):
+                s = Suffixes(batch, window)
+                for j in np.flatnonzero(~s.groups(heavy, groups)[1]):
                     doc = s.docs[s.owner[j]]
                     if firsts[int(s.prints[j].view(np.int64))] != (doc[1], doc[0], s.start[j]):
                         gone[s.owner[j]].append(np.array([s.start[j]], np.int64))
             out = []
-            texts, ids, hs = batch[:3]
-            bounds = np.append(s.first, len(s.flat))
-            for i in range(len(texts)):
-                own = s.flat[bounds[i]:bounds[i + 1]]
+            for i, text in enumerate(texts):
+                own = text.encode().split()
                 marks = np.zeros(len(own) + 1, np.int64)
                 if gone[i]:
                     at = np.concatenate(gone[i])
