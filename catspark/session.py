@@ -65,5 +65,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # the shared folder is the scarce part
     return spark.read.schema(df.schema).parquet(path)
