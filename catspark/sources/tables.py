@@ -158,7 +158,8 @@ def with_bindings(body: str) -> str:
 # ---------------------------------------------------------------------------
 # Articles: every document, titled "Doc  <id>" (two spaces), its whole text
 # followed by three category links; category pages: one per language, with
-# parent links; redirects and template pages: one per source.
+# parent links, and one per labelled document; redirects and template pages:
+# one per source.
 
 def _link_text(source, lang):
     nl = F.lit("\n")
@@ -196,7 +197,18 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Template:"), "source").alias("title"), F.lit(10).alias("ns"),
         (F.lit(3 << 40) + sid).alias("id"), none.alias("redirect_title"),
         F.lit("[[Category:T]]").alias("text"))
-    return articles.unionByName(cats).unionByName(redirects).unionByName(templates)
+    # category pages that grow with the corpus: one per labelled document
+    labels = read_table(spark, sf_dir, "labels")
+    q, t = (F.col(c).cast("string") for c in ("quality", "toxic"))
+    sets = labels.select(
+        F.concat(F.lit("Category:Doc  "), F.col("doc_id").cast("string"), F.lit(" (q"), q,
+                 F.lit(")")).alias("title"),
+        F.lit(14).alias("ns"), (F.lit(4 << 40) + F.col("doc_id")).alias("id"),
+        none.alias("redirect_title"),
+        F.concat(F.lit("intro [[Category:Quality ("), q, F.lit(")|x]][[Category:U.S. toxic "), t,
+                 F.lit("]]")).alias("text"))
+    return (articles.unionByName(cats).unionByName(redirects).unionByName(templates)
+            .unionByName(sets))
 
 
 WIKI_PAGES_SQL = f"""SELECT concat('Doc  ', CAST(doc_id AS VARCHAR)) AS title, 0 AS ns,
@@ -211,4 +223,8 @@ UNION ALL SELECT concat('Category:Lang  ', lang, ' (x)'), 14,
 UNION ALL SELECT concat('Src ', source), 0, {2 << 40} + row_number() OVER (ORDER BY source),
   concat('Category:', source), '#REDIRECT [[Category:X]]' FROM (SELECT DISTINCT source FROM documents)
 UNION ALL SELECT concat('Template:', source), 10, {3 << 40} + row_number() OVER (ORDER BY source),
-  CAST(NULL AS VARCHAR), '[[Category:T]]' FROM (SELECT DISTINCT source FROM documents)"""
+  CAST(NULL AS VARCHAR), '[[Category:T]]' FROM (SELECT DISTINCT source FROM documents)
+UNION ALL SELECT concat('Category:Doc  ', CAST(doc_id AS VARCHAR), ' (q', CAST(quality AS VARCHAR),
+  ')'), 14, {4 << 40} + doc_id, CAST(NULL AS VARCHAR), concat('intro [[Category:Quality (',
+  CAST(quality AS VARCHAR), ')|x]][[Category:U.S. toxic ', CAST(toxic AS VARCHAR), ']]')
+  FROM labels"""
