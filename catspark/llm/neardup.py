@@ -191,13 +191,13 @@ def _verify(threshold: float):
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = 0.8, shingle: int = SHINGLE, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
-    """One row per row of ``df``: _id, _h (see ``row_key``), node, class_id, n_links.
+    """One row per row of ``df``: _id, _h (see ``row_key``), node, class_id, n_verified.
 
     ``node`` is the row's id or the number that stands for it; a class is kept
     by keeping the row whose node is the class id.
     ``class_id`` is the smallest node of the class: texts connected by links of
-    similarity ``threshold`` or more.  ``n_links`` counts the verified links of
-    the text (to other word sequences; copies share theirs).  Texts with the
+    similarity ``threshold`` or more.  ``n_verified`` counts the pairs of the text
+    that were compared and linked, not all that exist (copies share theirs).  Texts with the
     same words are copies.  A text of fewer than ``shingle`` words is one
     shingle; texts without words (null, empty) are linked with nothing.  Rows
     with one id are one document; rows without an id are known by their text
@@ -230,17 +230,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = _links(shared, bags, threshold)
     classes = materialise(connected_components(same_id.union(links.select("a", "b"))), "classes")
     degree = (links.select("a", "b").union(links.select("b", "a")).groupBy("a")
-              .agg(F.count(F.lit(1)).alias("n_links")))
+              .agg(F.count(F.lit(1)).alias("n_verified")))
     # of a word sequence: its member, the member's class and links
     per_copy = materialise(
         copies.select("copy", "node")
         .join(classes.withColumnsRenamed({"node": "n2"}), F.col("node") == F.col("n2"), "left")
         .join(degree, F.col("node") == F.col("a"), "left")
         .select("copy", F.coalesce("component", "node").alias("class_id"),
-                F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "per_copy")
+                F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified")), "per_copy")
     return (sk.select("_id", "_h", "node", "copy").join(per_copy, "copy", "left")
             .select("_id", "_h", "node", F.coalesce("class_id", "node").alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified")))
 
 
 def _links(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:

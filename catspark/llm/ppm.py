@@ -30,7 +30,7 @@ from .grams import ASCII_LOWER, first_of_runs, symbols
 ORDER = 5
 #: ends a text and fills the context before it; no UTF-8 text holds this byte
 END = 0xFF
-CHUNK_CHARS, BLOCK_CHARS, CHUNKS_PER_SALT = 16_000_000, 3_000_000, 64
+CHUNK_CHARS, BLOCK_CHARS, CHUNKS_PER_SALT = 24_000_000, 3_000_000, 64
 RUNS, WORDS = 0, 1
 BLOB = "kind int, bin long, chunk long, salt long, keys binary, counts binary"
 
@@ -307,7 +307,8 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                            F.lit(salts - 1).cast("long"))))
-    answers = (blobs.groupBy("kind", "bin", "salt").cogroup(salted.groupBy("kind", "bin", "salt"))
+    asked = blobs.drop("counts")
+    answers = (asked.groupBy("kind", "bin", "salt").cogroup(salted.groupBy("kind", "bin", "salt"))
                .applyInArrow(answer(short), "kind int, chunk long, keys binary, vals binary"))
     scored = docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score_chunk, "_id long, train boolean, n_tokens long, n_known long, logs double, "

@@ -89,7 +89,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(_table(spark, sf_dir, "documents"))
-    return out.select(F.col("_id").alias("doc_id"), "class_id", "n_links")
+    return out.select(F.col("_id").alias("doc_id"), "class_id", "n_verified")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,7 @@ def test_near_duplicates_of_a_star_whose_copies_differ_from_each_other(spark):
     assert cases.similarity(bags[0], bags[1]) > 0.8 > cases.similarity(bags[1], bags[2])
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["class_id"] for r in got} == {min(i for i, _ in rows)}
-    assert all(r["n_links"] >= 1 for r in got)
+    assert all(r["n_verified"] >= 1 for r in got)
 
 
 def test_prob_minhash_estimates_probability_jaccard():
