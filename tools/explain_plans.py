@@ -47,14 +47,14 @@ def main():
         ("Stemming: distinct vocabulary, stem, join back", I.stem_counts(raw)),
         ("Page vectors (postings x vocabulary)", I.page_vectors(p.index.postings, p.index.vocab)),
         ("Centroids with hold-out", K.centroids(p.vectors, p.cat.catpage, 5, p.holdout)),
-        ("Cosine scores of hold-out pages (salted word join)",
+        ("Cosine scores of hold-out pages (both sides of a word split)",
          K.category_scores(p.vectors.join(p.holdout, "title", "left_semi"), p.centroids)),
         ("Top-n with zero-score padding",
          K.recommendations(K.category_scores(p.vectors.join(p.holdout, "title", "left_semi"),
                                              p.centroids), p.counts, p.cent_cats)),
         ("Per-threshold samples (partial group limit)",
          E.per_threshold_samples(p.holdout, list(range(4, 51)), 100)),
-        ("All-pairs similarity (hot words split into bucket pairs)",
+        ("All-pairs similarity (pruned words, verified candidates)",
          V.similarity_pairs(p.vectors, 0.1)),
         ("Biggest leaf categories", C.biggest_categories(p.cat.catpage, p.cat.catsub, 5)),
         ("Dump scan split on </page>, parsed with from_xml, category links",
