@@ -113,7 +113,7 @@ def collect_chunk(bins: int, salts: int):
             keys, counts, where = keys[order], counts[order], where[order]
             cuts = np.append(first_of_runs(where, np.zeros(len(where), np.int8)), len(where))
             rows += [(kind, int(where[lo]), chunk, chunk % salts,
-                      keys[lo:hi].astype("<u8").tobytes(), counts[lo:hi].astype("<u4").tobytes())
+                      pack(keys[lo:hi]), counts[lo:hi].astype("<u4").tobytes())
                      for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         return _table([c.split()[0] for c in BLOB.split(", ")], types, rows)
@@ -127,6 +127,23 @@ def bin_of(kind: int, keys: np.ndarray, bins: int) -> np.ndarray:
     return (keys % np.uint64(bins)).astype(np.int64)
 
 
+def pack(keys: np.ndarray) -> bytes:
+    """Low halves, then high halves: of ascending runs the latter hardly change, so they compress."""
+    return np.concatenate([keys & np.uint64(0xFFFFFFFF), keys >> np.uint64(32)]).astype(
+        "<u4").tobytes()
+
+
+def unpacked(table) -> list[np.ndarray]:
+    """The packed keys of each row."""
+    halves = [np.frombuffer(x, "<u4").reshape(2, -1).astype(np.uint64)
+              for x in table["keys"].to_pylist()]
+    return [low | (high << np.uint64(32)) for low, high in halves]
+
+
+def all_keys(table) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *unpacked(table)])
+
+
 def _joined(table, column, kind):
     return np.frombuffer(b"".join(table[column].to_pylist()), kind)
 
@@ -135,10 +152,10 @@ def merge_counts(key, table):
     """Trained keys of a bin with the sums of their counts."""
     import pyarrow as pa
     counts = _joined(table, "counts", "<u4" if "salt" in table.column_names else "<i8")
-    keys, counts = summed(_joined(table, "keys", "<u8"), counts.astype(np.int64))
+    keys, counts = summed(all_keys(table), counts.astype(np.int64))
     keys, counts = keys[counts > 0], counts[counts > 0]
     row = (key[0].as_py(), key[1].as_py(), len(keys), int(counts.sum()),
-           keys.astype("<u8").tobytes(), counts.astype("<i8").tobytes())
+           pack(keys), counts.astype("<i8").tobytes())
     types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     return _table(["kind", "bin", "distinct", "total", "keys", "counts"], types, [row])
 
@@ -150,7 +167,7 @@ def short_runs(batches):
     """Sums of the training counts per three-byte run, for each batch of bins."""
     import pyarrow as pa
     for b in batches:
-        keys, counts = summed(_joined(b, "keys", "<u8") & mask(2), _joined(b, "counts", "<i8"))
+        keys, counts = summed(all_keys(b) & mask(2), _joined(b, "counts", "<i8"))
         yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)],
                                          ["run", "n"])
 
@@ -226,8 +243,8 @@ def answer(short):
     def run(key, asked, model):
         import pyarrow as pa
         kind = key[0].as_py()
-        keys = _joined(asked, "keys", "<u8")
-        known = _joined(model, "keys", "<u8"), _joined(model, "counts", "<i8")
+        keys = all_keys(asked)
+        known = all_keys(model), _joined(model, "counts", "<i8")
         distinct, back = np.unique(keys, return_inverse=True)
         if kind == RUNS:
             values = ppm_costs(distinct, levels_of(*known, short))
@@ -250,7 +267,7 @@ def score_chunk(docs, answers):
     found = {}
     for kind, t in ((RUNS, "<f4"), (WORDS, "<f8")):
         part = answers.filter(pa.array(kinds == kind))
-        keys, values = _joined(part, "keys", "<u8"), _joined(part, "vals", t)
+        keys, values = all_keys(part), _joined(part, "vals", t)
         order = np.argsort(keys)
         found[kind] = keys[order], values[order]
     rows = []
