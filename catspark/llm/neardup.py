@@ -266,18 +266,19 @@ def _links(shared: DataFrame, keys: DataFrame, bags: DataFrame, threshold: float
     pairs = shared.join(heads, "bucket").where("node <> a").select(*ordered).distinct()
     checked = materialise(pairs, "pairs")
     links = _verified(checked, bags, threshold)
-    centres = 1
+    centres, moved = 1, True
     while True:
-        classes = connected_components(links.select("a", "b"))
-        placed = materialise(
-            shared.join(classes, "node", "left").select(
-                "bucket", "node", "score", F.coalesce("component", "node").alias("class")), "placed")
-        # a bucket is open while its members are of different classes; who is not in the class
-        # of its most central member is compared with all others, most central first
-        open_ = placed.groupBy("bucket").agg(
-            F.min("class").alias("x"), F.max("class").alias("y"), F.max_by("class", best)
-            .alias("main")).where("x <> y").select("bucket", "main")
-        live = materialise(placed.join(open_, "bucket").join(keys, "node"), "live")
+        if moved:  # classes change with new links only
+            classes = connected_components(links.select("a", "b"))
+            placed = materialise(
+                shared.join(classes, "node", "left").select(
+                    "bucket", "node", "score", F.coalesce("component", "node").alias("class")), "placed")
+            # a bucket is open while its members are of different classes; who is not in the class
+            # of its most central member is compared with all others, most central first
+            open_ = placed.groupBy("bucket").agg(
+                F.min("class").alias("x"), F.max("class").alias("y"), F.max_by("class", best)
+                .alias("main")).where("x <> y").select("bucket", "main")
+            live = materialise(placed.join(open_, "bucket").join(keys, "node"), "live")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("score"), "node"))
         heads = (live.where("class <> main").withColumn("r", rank).where(F.col("r") <= centres)
                  .select(F.col("bucket").alias("b2"), F.col("node").alias("a"),
@@ -288,8 +289,12 @@ def _links(shared: DataFrame, keys: DataFrame, bags: DataFrame, threshold: float
                  .join(checked, ["a", "b"], "left_anti"))
         pairs = materialise(pairs, "pairs")
         if pairs.limit(1).count():
-            links = links.union(_verified(pairs, bags, threshold))
+            found = _verified(pairs, bags, threshold)
             checked = checked.union(pairs)
+            moved = found.limit(1).count() > 0
+            links = links.union(found) if moved else links
+        else:
+            moved = False
         left = live.where("class <> main").groupBy("bucket").count().agg(F.max("count")).first()[0]
         if (left or 0) <= centres:
             return links
