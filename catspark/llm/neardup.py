@@ -5,7 +5,9 @@ Each shingle's arrivals form a Poisson process with its weight as rate; every
 arrival falls into one of the registers, and a register keeps the shingle that
 arrives first.  A shingle stops once its next arrival is later than every
 register's, so most stop after few steps.  Registers of two texts agree with
-the probability Jaccard similarity of their weighted shingles.
+the probability Jaccard similarity of their weighted shingles.  A text that
+repeats shingles gets a second sketch with all weights 1, whose registers agree
+with the plain Jaccard similarity; without repeats the two sketches are one.
 
 Registers are cut into bands; texts that agree in a band share a bucket.  No
 bucket is expanded into pairs: its members are compared with the member that
@@ -98,6 +100,22 @@ def band_keys(sketch: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
+def text_keys(shingles, weights, owner, n_texts: int, bands: int, rows: int) -> list[np.ndarray]:
+    """Per text the distinct keys of its bands, weighted and with all weights 1."""
+    keys = band_keys(prob_minhash(shingles, weights, owner, n_texts, bands * rows), bands)
+    repeats = np.unique(owner[weights > 1])
+    if not len(repeats):
+        return list(keys)
+    of = np.isin(owner, repeats)
+    plain = band_keys(prob_minhash(shingles[of], np.ones(of.sum(), "<u4"),
+                                   np.searchsorted(repeats, owner[of]), len(repeats),
+                                   bands * rows), bands)
+    out = list(keys)
+    for i, k in zip(repeats.tolist(), plain, strict=True):
+        out[i] = np.union1d(keys[i], k)
+    return out
+
+
 def probability_jaccard(a, wa, b, wb) -> float:
     """Sum over common shingles of 1 / sum_j max(a_j / a_i, b_j / b_i)."""
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -140,8 +158,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
                 texts, nodes, ids, hs = (c[start:end] for c in cols)
                 start, chars = end, 0
                 copies, owner, values, weights = shingle_bags(texts, shingle)
-                sketch = prob_minhash(values, weights, owner, len(texts), bands * rows)
-                keys = band_keys(sketch, bands)
+                keys = text_keys(values, weights, owner, len(texts), bands, rows)
                 cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
                 out = []
                 for i in range(len(texts)):
@@ -223,7 +240,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         .where(F.col("n") > 1), "sizes")
     shared = materialise(members.join(sizes, "bucket"), "shared")
     central = materialise(shared.groupBy("node").agg(
-        F.sum("n").alias("score"), F.collect_set("bucket").alias("keys")), "central")  # <= bands
+        F.sum("n").alias("score"), F.collect_set("bucket").alias("keys")), "central")  # <= 2 bands
     shared = materialise(shared.drop("n").join(central.select("node", "score"), "node"), "ranked")
     wanted = materialise(central.select("node").join(first, F.col("node") == F.col("n2"))
                          .select("node", F.col("h2").alias("_h")), "wanted")

@@ -81,6 +81,24 @@ def test_near_duplicates_of_a_star_whose_copies_differ_from_each_other(spark):
     assert all(r["n_verified"] >= 1 for r in got)
 
 
+def test_near_duplicates_that_repeat_a_passage_equal_brute_force(spark):
+    """Plain Jaccard 0.8 and more, probability Jaccard far less: both kinds of bands are needed."""
+    r = random.Random(7)
+    texts = []
+    for m, w in [(10, 20), (10, 100), (40, 3), (30, 50)]:
+        base = [f"w{r.randrange(10 ** 6)}" for _ in range(204)]
+        passage = [f"p{r.randrange(10 ** 6)}" for _ in range(m)]
+        texts += [" ".join(base), " ".join(base + passage * w), " ".join(base[:150])]
+        # both repeat something, not the same
+        texts.append(" ".join(base[:100] * w + base[100:]))
+    bags = [cases.shingles(t) for t in texts]
+    assert cases.similarity(bags[4], bags[5]) > 0.8 > 0.3 > cases.probability_jaccard(
+        bags[4], bags[5])
+    rows = list(enumerate(texts))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["node"]: r["class_id"] for r in got} == cases.classes(rows)
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     a, b = np.arange(0, 300, dtype="<u4"), np.arange(60, 360, dtype="<u4")
