@@ -14,13 +14,15 @@ bucket is expanded into pairs: its members are compared with the member that
 shares most buckets with others (the likely original of a group of copies),
 exactly, on their shingles.  Buckets whose members then still belong to
 different classes get more centres each round, until every pair of members is
-in one class, was compared, or agrees in too few bands.
+in one class, was compared, or cannot be similar: a bitmap of each text's
+shingles gives a number of shingles that the other text is sure to lack, and
+with it upper bounds of both similarities.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -31,9 +33,9 @@ from .grams import ASCII_LOWER, first_of_runs, mixed, rolling, starts_within, sy
 #: two texts of similarity 0.8 agree in 10 of the 48 bands on average, and in none with odds of
 #: 1e-5; texts of similarity 0.4 in none with odds of 0.92
 SHINGLE, BANDS, ROWS = 5, 48, 7
-#: bands in which members of an open bucket have to agree to be compared with each other;
-#: texts of similarity 0.8 agree in fewer with odds of 0.005 (0.85: 5e-5, 0.6: 0.95)
-AGREE = 4
+#: 64-bit words of the bitmap of a text's shingles
+WORDS = 32
+BITMAP = [f"s{i}" for i in range(WORDS)]
 #: most (id, hash) rows that are broadcast, 16 bytes each
 BROADCAST_ROWS = 500_000
 #: how many times more centres each round takes from the buckets that are still open
@@ -144,6 +146,48 @@ def similarity(a, wa, b, wb) -> float:
     return max(plain, probability_jaccard(a, wa, b, wb))
 
 
+def bitmaps(bags: DataFrame) -> DataFrame:
+    """Per node: distinct shingles, total weight, and the bitmap of the shingles with its bits set."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            bags = [np.frombuffer(x, "<u4") for x in b.column("shingles").to_pylist()]
+            n = np.array([len(x) for x in bags], np.int64)
+            w = [np.frombuffer(x, "<u4").sum() if x else k
+                 for x, k in zip(b.column("weights").to_pylist(), n, strict=True)]
+            bits = np.zeros((len(bags), 64 * WORDS), bool)
+            place = mixed(np.concatenate([*bags, np.zeros(0, "<u4")]).astype(np.uint64))
+            bits[np.repeat(np.arange(len(bags)), n), place % np.uint64(64 * WORDS)] = True
+            packed = np.packbits(bits, axis=1).view("<i8")
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), pa.array(n), pa.array(np.array(w, np.int64)),
+                 pa.array(bits.sum(axis=1, dtype=np.int64)), *map(pa.array, packed.T.copy())],
+                ["node", "n", "w", "bits", *BITMAP])
+
+    longs = ", ".join(f"{c} long" for c in ["node", "n", "w", "bits", *BITMAP])
+    return bags.mapInArrow(run, longs)
+
+
+def may_be_similar(threshold: float, other: str) -> Column:
+    """False only for texts whose plain and probability Jaccard are both below ``threshold``.
+
+    A bit that one bitmap has alone stands for one or more shingles, of weight 1 or more, that the
+    other text lacks.  With x and y the weights left on either side, probability Jaccard is at
+    most 1 / (w / x + w' / y - 1): in its sum over common shingles i of 1 / sum_j max(a_j / a_i,
+    b_j / b_i) the inner sum is at least (w - x) / a_i + w' / b_i, and 1 / (p / a + q / b) summed
+    over pairs is at most its value at the sums.
+    """
+    both = sum((F.bit_count(F.col(c).bitwiseAND(F.col(other + c))) for c in BITMAP), F.lit(0))
+    lack, lack2 = F.col("bits") - both, F.col(f"{other}bits") - both
+    n, n2 = F.col("n"), F.col(f"{other}n")
+    common = F.least(n - lack, n2 - lack2)
+    w, w2 = F.col("w").cast("double"), F.col(f"{other}w").cast("double")
+    x, y = w - lack, w2 - lack2
+    least = threshold - 1e-9  # for rounding
+    return ((common >= least * (n + n2 - common))
+            | (x * y >= least * (w * y + w2 * x - x * y)))
+
+
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
              bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     def run(batches):
@@ -239,9 +283,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sizes = materialise(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
                         .where(F.col("n") > 1), "sizes")
     shared = materialise(members.join(sizes, "bucket"), "shared")
-    central = materialise(shared.groupBy("node").agg(
-        F.sum("n").alias("score"), F.collect_set("bucket").alias("keys")), "central")  # <= 2 bands
-    shared = materialise(shared.drop("n").join(central.select("node", "score"), "node"), "ranked")
+    central = materialise(shared.groupBy("node").agg(F.sum("n").alias("score")), "central")
+    shared = materialise(shared.drop("n").join(central, "node"), "ranked")
     wanted = materialise(central.select("node").join(first, F.col("node") == F.col("n2"))
                          .select("node", F.col("h2").alias("_h")), "wanted")
     # sketches are the large side; what is wanted of them is broadcast if it is small enough
@@ -257,7 +300,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         sk.where("copy is not null").select("copy", "node").distinct().join(texts, "node")
         .join(copies.select("copy", F.col("node").alias("a")), "copy")
         .select("a", F.col("node").alias("b")).where("a <> b"), "same_id")
-    links = _links(shared, central.select("node", "keys"), bags, threshold)
+    links = _links(shared, materialise(bitmaps(bags), "bitmaps"), bags, threshold)
     classes = materialise(connected_components(same_id.union(links.select("a", "b"))), "classes")
     degree = (links.select("a", "b").union(links.select("b", "a")).groupBy("a")
               .agg(F.count(F.lit(1)).alias("n_verified")))
@@ -273,7 +316,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified")))
 
 
-def _links(shared: DataFrame, keys: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+def _links(shared: DataFrame, marks: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of verified pairs that connect all similar members of each bucket."""
     best = F.struct(F.col("score"), (-F.col("node")).alias("order"))
     # written, so that both sides of the join are read and Spark can split a hot bucket
@@ -295,13 +338,14 @@ def _links(shared: DataFrame, keys: DataFrame, bags: DataFrame, threshold: float
             open_ = placed.groupBy("bucket").agg(
                 F.min("class").alias("x"), F.max("class").alias("y"), F.max_by("class", best)
                 .alias("main")).where("x <> y").select("bucket", "main")
-            live = materialise(placed.join(open_, "bucket").join(keys, "node"), "live")
+            live = materialise(placed.join(open_, "bucket").join(marks, "node"), "live")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("score"), "node"))
         heads = (live.where("class <> main").withColumn("r", rank).where(F.col("r") <= centres)
                  .select(F.col("bucket").alias("b2"), F.col("node").alias("a"),
-                         F.col("class").alias("ca"), F.col("keys").alias("ka")))
+                         F.col("class").alias("ca"),
+                         *[F.col(c).alias(f"o_{c}") for c in ("n", "w", "bits", *BITMAP)]))
         alike = ((F.col("bucket") == F.col("b2")) & (F.col("class") != F.col("ca"))
-                 & (F.size(F.array_intersect("keys", "ka")) >= AGREE))
+                 & may_be_similar(threshold, "o_"))
         pairs = (live.join(heads, alike).select(*ordered).distinct()
                  .join(checked, ["a", "b"], "left_anti"))
         pairs = materialise(pairs, "pairs")

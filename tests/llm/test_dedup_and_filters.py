@@ -99,6 +99,43 @@ def test_near_duplicates_that_repeat_a_passage_equal_brute_force(spark):
     assert {r["node"]: r["class_id"] for r in got} == cases.classes(rows)
 
 
+def test_near_duplicates_in_a_bucket_whose_centre_is_like_neither(spark):
+    """One band only: a pair shares no other bucket, and no third text connects it."""
+    r = random.Random(5)
+    new = lambda k: [f"w{r.randrange(10 ** 6)}" for _ in range(k)]
+    template = new(300)
+    texts = [" ".join(template + new(150)) for _ in range(20)]
+    texts[12] = texts[11].rsplit(" ", 8)[0] + " " + " ".join(new(8))
+    texts[15] = texts[14] + " " + " ".join(new(20) * 6)  # with a repeated passage
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = cases.classes(rows)
+    assert sorted(n for n, c in want.items() if n != c) == [12, 15]
+    got = neardup.near_duplicates(df, bands=1, rows=1).collect()
+    assert {x["node"]: x["class_id"] for x in got} == want
+
+
+def test_bitmap_bounds_hold_for_random_texts(spark):
+    rng = np.random.default_rng(9)
+    rows, bags = [], []
+    for i in range(60):
+        a = np.unique(rng.integers(0, rng.integers(20, 900), rng.integers(5, 600))).astype("<u4")
+        a = a * np.uint32(2654435761)
+        w = rng.integers(1, 2 + i % 4, len(a)).astype("<u4")
+        a.sort()
+        bags.append((a, w))
+        rows.append((i, a.tobytes(), w.tobytes() if (w > 1).any() else None))
+    marks = neardup.bitmaps(spark.createDataFrame(
+        rows, "node long, shingles binary, weights binary")).cache()
+    other = marks.select([F.col(c).alias(f"o_{c}") for c in marks.columns])
+    for threshold in (0.3, 0.5, 0.8):
+        kept = {tuple(x) for x in marks.join(other, neardup.may_be_similar(threshold, "o_"))
+                .select("node", "o_node").collect()}
+        similar = {(i, j) for i, (a, wa) in enumerate(bags) for j, (b, wb) in enumerate(bags)
+                   if neardup.similarity(a, wa, b, wb) >= threshold}
+        assert similar <= kept and len(kept) < 3600 * 0.9
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     a, b = np.arange(0, 300, dtype="<u4"), np.arange(60, 360, dtype="<u4")
