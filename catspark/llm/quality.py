@@ -96,8 +96,9 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``support`` is the share of a group that the estimate rests on; a text is
     rejected when its distance would be met by a share of ``tail`` of normal
     vectors.  A group with fewer than ``min_group`` texts past the base rules
-    takes the estimate of its first group column (language); if that is too
-    small as well, the base rules decide alone.  Null group values are a group
+    takes the estimate of its first group column (language), which rests on all
+    texts of the language past the base rules; if those are too few as well, the
+    base rules decide alone.  Null group values are a group
     of their own.  Null, empty and one-word texts fail the base rules.
     Repeated rows get equal results.  Empty table: no rows.
     """
@@ -110,10 +111,14 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = materialise(base_statistics(held, "_text").drop("_text").withColumns(vector()), "stats")
     passing = rows.where(~F.col("base_failed"))
     counts = passing.groupBy("fine", "coarse").agg(F.count(F.lit(1)).alias("n"))
-    keys = materialise(counts.select(
-        "fine", F.when(F.col("n") >= min_group, F.col("fine")).otherwise(F.col("coarse"))
-        .alias("key")), "keys")
-    keyed = materialise(passing.join(keys, "fine").select("key", *names), "vectors")
+    sized = materialise(counts.withColumn("large", F.col("n") >= min_group), "groups")
+    keys = sized.select("fine", F.when(F.col("large"), F.col("fine")).otherwise(F.col("coarse"))
+                          .alias("key"))
+    # a language's estimate rests on its large groups too, and is made if a small one needs it
+    needed = sized.where(~F.col("large")).select("coarse").distinct()
+    fits = materialise(sized.where("large").select("fine", F.col("fine").alias("key")).union(
+        sized.join(needed, "coarse").select("fine", F.col("coarse").alias("key"))), "fits")
+    keyed = materialise(passing.join(fits, "fine").select("key", *names), "vectors")
     estimates = mcd(keyed, names, support, min_group)
     cut = chi2_quantile(1 - tail, len(names)) * consistency(support, len(names))
     scored = (rows.join(keys, "fine", "left").join(estimates, "key", "left")

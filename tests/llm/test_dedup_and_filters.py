@@ -259,6 +259,43 @@ def test_outliers_equal_brute_force(spark):
     assert 20 <= rejected <= 40
 
 
+def test_outliers_of_a_small_source_are_judged_by_all_texts_of_its_language(spark):
+    r = random.Random(13)
+    vocab = ["".join(r.choice("aeiounrst") for _ in range(r.randint(2, 9))) for _ in range(500)]
+    rows = []
+    for i in range(400):
+        w = [r.choice(vocab) for _ in range(int(r.lognormvariate(4.5, 0.5)) + 12)]
+        small = i >= 340 and i % 2 == 0  # 30 texts, most of them outliers
+        odd = small and i % 6 != 0
+        rows.append((i, " ".join(x + "$$$" for x in w) if odd else " ".join(w), "en",
+                     "small" if small else "large", 0))
+    rows += [(1000 + i, " ".join(r.choice(vocab) for _ in range(40)), "fr", "few", 0)
+             for i in range(20)]
+    df = spark.createDataFrame(rows, cases.DOC)
+    got = {x["_id"]: x for x in quality.quality(df).collect()}
+    names = list(quality.FLOORS)
+    vec = {x["doc_id"]: [x[n] for n in names] for x in quality.base_statistics(df).withColumns(
+        quality.vector()).where("not base_failed").collect()}
+    floors = np.array([quality.FLOORS[n] * quality.SCALE for n in names])
+    cut = quality.chi2_quantile(1 - 1e-6, 5) * quality.consistency(0.75, 5)
+    judged = {"large": "large", "small": ""}
+    rejected = 0
+    for source, basis in judged.items():
+        x = np.array([vec[i] for i, _, lang, s, _ in rows
+                      if i in vec and lang == "en" and (not basis or s == basis)])
+        mean, scatter = brute_mcd(x, 0.75, floors)
+        for i in [i for i, _, _, s, _ in rows if i in vec and s == source]:
+            z = np.array(vec[i]) - mean
+            d = z @ np.linalg.inv(scatter) @ z
+            assert abs(got[i]["distance2"] - d) < 1e-6 * max(1, d)
+            assert got[i]["kept"] == (d <= cut)
+            rejected += source == "small" and not got[i]["kept"]
+    assert rejected >= 15
+    # a language that is too small as a whole: the base rules alone
+    assert all(x["distance2"] is None and x["kept"] != x["base_failed"]
+               for i, x in got.items() if i >= 1000)
+
+
 def test_chi_squared_values():
     # published 0.95 and 0.999 quantiles for 5 degrees of freedom
     assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-3
