@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import decontamination, html_text, kdtree, neardup, packing, ppm, quality, substring, token_files, warc
+from . import (codes, cuckoo, decontamination, dialogue, html_text, kdtree, neardup, packing, ppm,
+               quality, substring, token_files, warc)
 
 
 def tokenizer(name: str) -> str:
@@ -143,10 +144,43 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+    return codes.with_label_error(out).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dialogue.repair_digest(_table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
+                      "audit", "repaired_sha256")
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cuckoo.exact_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+                      F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
+                  AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+
 QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
            "op3_warc": op3_warc, "op4_token_files": op4_token_files,
            "op5_quality": op5_quality, "op6_near_duplicates": op6_near_duplicates,
            "op7_substring_dedup": op7_substring_dedup,
-           "op8_html_text": op8_html_text, "op9_ppm": op9_ppm, "op10_kd_sharding": op10_kd_sharding}
+           "op8_html_text": op8_html_text, "op9_ppm": op9_ppm, "op10_kd_sharding": op10_kd_sharding,
+           "op11_vector_codes": op11_vector_codes,
+           "op12_conversation_repair": op12_conversation_repair,
+           "op13_exact_dedup": op13_exact_dedup}
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL,
-                       "op7_substring_dedup": OP7_SQL}
+                       "op7_substring_dedup": OP7_SQL,
+                       "op13_exact_dedup": OP13_SQL}
