@@ -13,6 +13,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .markup import strip_marks, unguarded
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
 # ---------------------------------------------------------------------------
@@ -64,16 +66,17 @@ TOKEN_SPLIT = WS + "+"
 WORD_PATTERN = r"^[a-z]+$"
 
 class Nested:
-    """Rules that rewrite the innermost pair only, repeated as deep as pairs nest."""
+    """Rules that rewrite the innermost pair only, repeated as often as marks open (SQL)."""
 
     def __init__(self, opening: str, closing: str, rules):
         self.opening, self.closing, self.rules = opening, closing, rules
 
 
-# Markup -> plain text (comments, templates, tables, footnotes, tags, links,
-# external links, emphasis, headings, entities).  Table marks are two
-# characters, so single control characters stand in for them meanwhile.
-MARKUP_RULES = [
+# Markup -> plain text: the marks that nest are read by ``functions.markup``; the
+# SQL twin rewrites them pair by pair, which gives the same text where marks nest
+# properly.  (Table marks are two characters, so single control characters stand
+# in for them meanwhile.)
+MARK_RULES = [
     (r"[\x01\x02]", ""),
     (r"(?s)<!--.*?-->", ""),
     Nested("{{", "}}", [(r"\{\{[^{}]*\}\}", "")]),
@@ -86,6 +89,8 @@ MARKUP_RULES = [
                         (r"\[\[([^\[\]|]*)\]\]", "$1")]),
     (r"\[https?://\S+ ([^\]]*)\]", "$1"),
     (r"\[https?://[^\]]*\]", ""),
+]
+LINE_RULES = [
     (r"'{2,}", ""),
     (r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1"),
 ]
@@ -114,38 +119,11 @@ def _duck_repl(repl: str) -> str:
 
 
 def apply_rules(col: Column, rules) -> Column:
-    for rule in rules:
-        if isinstance(rule, Nested):
-            col = _apply_nested(col, rule)
-        else:
-            col = F.regexp_replace(col, _java(rule[0]), rule[1])
+    for pattern, repl in rules:
+        col = F.regexp_replace(col, _java(pattern), repl)
     return col
 
 
-def _apply_nested(col: Column, rule: Nested) -> Column:
-    """As many passes as the deepest nesting of the opening mark, counted per row."""
-    marks = f"({re.escape(rule.opening)}|{re.escape(rule.closing)})"
-
-    def passes(text: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
-        return F.aggregate(
-            F.regexp_extract_all(text, F.lit(marks), 1), zero,
-            lambda a, m: F.struct(
-                F.when(m == rule.opening, a["open"] + 1)
-                .otherwise(F.greatest(a["open"] - 1, F.lit(0))).alias("open"),
-                F.greatest(a["most"], F.when(m == rule.opening, a["open"] + 1)
-                           .otherwise(0)).alias("most")))["most"]
-
-    def repeated(text: Column, n: Column) -> Column:
-        return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), text,
-                                         lambda t, _: apply_rules(t, rule.rules))).otherwise(text)
-
-    # lambda variables are computed once: the text and the number of passes
-    each = F.transform(F.array(col), lambda t: F.transform(
-        F.array(passes(t)), lambda n: repeated(t, n))[0])
-    return each[0]
-
-
 def apply_rules_sql(expr: str, rules) -> str:
     for rule in rules:
         if isinstance(rule, Nested):
@@ -240,14 +218,14 @@ def category_links_sql(expr: str, truncate: bool = False) -> str:
 # ---------------------------------------------------------------------------
 
 def plain_text(markup: Column) -> Column:
-    col = apply_rules(markup, MARKUP_RULES)
+    col = apply_rules(strip_marks(markup), LINE_RULES)
     for ent, ch in ENTITIES:
         col = F.replace(col, F.lit(ent), F.lit(ch))
-    return apply_rules(col, [TRIM_RULE])
+    return apply_rules(unguarded(col), [TRIM_RULE])
 
 
 def plain_text_sql(expr: str) -> str:
-    expr = apply_rules_sql(expr, MARKUP_RULES)
+    expr = apply_rules_sql(expr, MARK_RULES + LINE_RULES)
     for ent, ch in ENTITIES:
         expr = f"replace({expr}, {sql_literal(ent)}, {sql_literal(ch)})"
     return apply_rules_sql(expr, [TRIM_RULE])

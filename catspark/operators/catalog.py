@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ranking import global_rank
+from ..plans.selection import rows_between
 from .classify import brothers, category_sizes, father_son
 
 # ---------------------------------------------------------------------------
@@ -31,18 +31,15 @@ SCAN_ORDER = {
 def page_of(table: DataFrame, order: list[str], nrows: int | None, offset: int) -> DataFrame:
     """Rows offset .. offset + nrows - 1 in ``order``.
 
-    A first page is a top-k; a later one is cut from distributed ranks, so no
-    task reads through all rows before it.
+    A first page is a top-k; a later one is a filter between two keys that
+    counting finds, so the rows before it are neither sorted nor moved.
     """
     if nrows is None and not offset:
         return table
     if not offset:
         return table.orderBy(*order).limit(nrows)
-    rank = F.col("_rank")
-    ranked = global_rank(table, order, "_rank").where(rank > offset)
-    if nrows is not None:
-        ranked = ranked.where(rank <= offset + nrows)
-    return ranked.drop("_rank")
+    rows = rows_between(table, order, offset, nrows)
+    return rows if nrows is None else rows.orderBy(*order)
 
 
 def scan(table: DataFrame, kind: str, nrows: int | None = None, offset: int = 0) -> DataFrame:

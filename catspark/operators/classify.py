@@ -274,10 +274,14 @@ def recommendation_report(recs: DataFrame, catpage: DataFrame, meas: DataFrame)
 
 def recommend(vectors: DataFrame, pages: DataFrame, catpage: DataFrame,
               cents: DataFrame, cent_cats: DataFrame, n: int | None = None):
-    """K3-K5 for ``pages(title)``: returns (recommendations, counts)."""
+    """K4-K5 for ``pages(title)``: returns (recommendations, counts).
+
+    Only categories that can enter a page's best n are scored.
+    """
+    from .topn import best_categories
     counts = suggestion_counts(pages, catpage, cent_cats, n)
     page_vecs = vectors.join(pages.select("title"), "title", "left_semi")
-    scores = category_scores(page_vecs, cents)
+    scores = best_categories(page_vecs, cents, counts, cent_cats)
     return recommendations(scores, counts, cent_cats), counts
 
 
@@ -288,10 +292,11 @@ def categorise_texts(texts: DataFrame, voc: DataFrame, cents: DataFrame,
     (vectors = raw counts x corpus idf) and score them against the texts' own
     category lists.  Returns (recommendations, measures)."""
     from .index import vector_of_text
+    from .topn import best_categories
     own = texts.select(F.explode(F.array_distinct("categories")).alias("cat_name"),
                        F.col("title").alias("pag_title"))
     vecs = vector_of_text(texts.select("title", "text"), voc, stem=stem)
     pages = texts.select("title")
     counts = suggestion_counts(pages, own, cent_cats, n)
-    recs = recommendations(category_scores(vecs, cents), counts, cent_cats)
+    recs = recommendations(best_categories(vecs, cents, counts, cent_cats), counts, cent_cats)
     return recs, measures(recs, own, catsub, counts)

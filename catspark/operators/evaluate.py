@@ -6,12 +6,15 @@ threshold for the per-threshold samples), the same order in any engine.
 
 from __future__ import annotations
 
+from math import floor
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ranking import global_rank
+from ..plans.selection import first_rows
 from ..session import materialise
 from . import classify as K
+from .topn import best_categories
 
 SEED = "42"
 
@@ -31,12 +34,10 @@ def sample_pages(pages: DataFrame, n: int, seed: str = SEED) -> DataFrame:
 def holdout_split(pages: DataFrame, fraction: float = 0.2, seed: str = SEED) -> DataFrame:
     """The first floor(N * fraction) pages in sample order.
 
-    Ranked with a distributed sort (no single-task window, no driver list).
+    The last key of the sample is found by counting; the sample is a filter.
     """
-    n_pages = pages.agg(F.count(F.lit(1))).scalar()
     keyed = pages.select("title", _sample_key(seed).alias("_h"))
-    ranked = global_rank(keyed, ["_h", "title"], "_rank")
-    return ranked.where(F.col("_rank") <= F.floor(n_pages * F.lit(fraction))).select("title")
+    return first_rows(keyed, ["_h", "title"], floor(pages.count() * fraction)).select("title")
 
 
 def evaluation(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
@@ -49,7 +50,7 @@ def evaluation(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     cents = K.centroids(vectors, catpage, min_pages, test_pages if holdout else None)
     cats = K.centroid_categories(catpage, min_pages)
     counts = materialise(K.suggestion_counts(test_pages, catpage, cats), "eval_counts")
-    scores = K.category_scores(vectors.join(test_pages, "title", "left_semi"), cents)
+    scores = best_categories(vectors.join(test_pages, "title", "left_semi"), cents, counts, cats)
     recs = materialise(K.recommendations(scores, counts, cats), "eval_recs")
     meas = K.measures(recs, catpage, catsub, counts)
     summary = meas.agg(

@@ -53,15 +53,15 @@ def stems(words: DataFrame, word: str = "token") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it is read from fewer files than
+    """Round-robin ``df`` over the cluster when it is read by fewer tasks than
     there are cores (small input; a file may be one row group), so per-row text
-    work is not stuck in a few tasks.  Only the plan is looked at; tables of
-    many files, and streams, are untouched."""
+    work is not stuck in a few tasks.  Only the plan is looked at; larger
+    tables, and streams, are untouched."""
     if df.isStreaming:
         return df
-    files = len(df.inputFiles())
+    parts = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < files < cores else df
+    return df.repartition(cores) if 0 < parts < cores else df
 
 
 def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
@@ -101,14 +101,16 @@ def freq_dist(counts: DataFrame) -> DataFrame:
 
 
 def dedupe_documents(texts: DataFrame, key: str = "title", order: str = "doc_id") -> DataFrame:
-    """Last text for a title wins (highest ``order`` value).
+    """Last text for a title wins (highest ``order`` value; of rows that agree
+    in it, the highest by the other columns in their order).
 
-    ``max_by`` is combined map-side, so a title repeated in a third of all
+    The maximum is combined map-side, so a title repeated in a third of all
     rows never gathers those rows in one task.
     """
     others = [c for c in texts.columns if c != key]
+    ranked = [order, *[c for c in others if c != order]]
     return (texts.groupBy(key)
-            .agg(F.max_by(F.struct(*others), F.col(order)).alias("_last"))
+            .agg(F.max(F.struct(*ranked)).alias("_last"))
             .select(key, *[F.col("_last").getField(c).alias(c) for c in others]))
 
 

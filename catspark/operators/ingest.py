@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..plans.selection import first_rows
+from ..session import materialise
 
 ARTICLE_NS, CATEGORY_NS = 0, 14
 CATEGORY_PREFIX_LEN = len("Category:")
@@ -73,11 +75,11 @@ def plain_texts(split: DataFrame) -> DataFrame:
 
 def limit_pages(pages: DataFrame, max_pages: int) -> DataFrame:
     """P10: the first ``max_pages`` valid pages in page-id order (the cap is
-    the operator's purpose: ingest a prefix of the dump).  Only ids are ranked;
-    texts join back to the ids that are kept."""
+    the operator's purpose: ingest a prefix of the dump).  The last id is found
+    by counting, so nothing is sorted."""
     valid = valid_pages(pages)
-    first = valid.select("id").orderBy("id").limit(max_pages)
-    return valid.join(first, "id", "left_semi").select(*valid.columns)
+    ids = materialise(valid.select("id"), "page_ids")  # the dump is parsed once for them
+    return first_rows(valid, ["id"], max_pages, counted=ids)
 
 
 def ingest_stats(pages: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..operators import classify as K
 from ..operators import evaluate as E
 from ..operators.index import Index
+from ..operators.topn import best_categories
 from ..session import materialise
 from ..sources.tables import Catalogue
 
@@ -71,8 +72,8 @@ class Pipeline:
         counts = K.suggestion_counts(self.holdout, self.cat.catpage, self.cent_cats)
         counts = materialise(counts, "counts") if self.persist else counts
         page_vecs = self.vectors.join(self.holdout, "title", "left_semi")
-        recs = K.recommendations(K.category_scores(page_vecs, self.centroids), counts,
-                                 self.cent_cats)
+        scores = best_categories(page_vecs, self.centroids, counts, self.cent_cats)
+        recs = K.recommendations(scores, counts, self.cent_cats)
         return (materialise(recs, "recommendations") if self.persist else recs), counts
 
     @property

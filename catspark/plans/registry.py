@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import classify as K
 from ..operators import evaluate as E
 from ..operators import index as I
+from ..operators import sentences as S
 from . import oracle as O
 from .pipeline import Pipeline, rounded
 
@@ -31,6 +32,9 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+CORPUS = O.BASE + S.sentence_ctes()
+
+
 def _p(spark, sf_dir, **kw) -> Pipeline:
     return Pipeline(spark, sf_dir, **kw)
 
@@ -56,6 +60,26 @@ def q_content_tokens(spark, sf_dir):
     return I.content_tokens(I.tokens(_p(spark, sf_dir).cat.texts))
 
 
+@register("abbreviations", O.render(CORPUS, f"SELECT type, n_with, n_without, {O.r6('score')} "
+                                            "FROM abbrs"))
+def q_abbreviations(spark, sf_dir):
+    """Abbreviations that the corpus itself shows."""
+    return S.abbreviations(S.words(_p(spark, sf_dir).cat.texts))
+
+
+@register("sentence_starters", O.render(CORPUS, f"SELECT type, n, n_first, {O.r6('ratio')} "
+                                                "FROM starts"))
+def q_sentence_starters(spark, sf_dir):
+    found = S.words(_p(spark, sf_dir).cat.texts)
+    return S.sentence_starters(found, S.abbreviations(found))
+
+
+@register("sentence_tokens", O.render(CORPUS, "SELECT title, token FROM s_toks"))
+def q_sentence_tokens(spark, sf_dir):
+    """T1 where abbreviations keep their period."""
+    return S.sentence_tokens(_p(spark, sf_dir).cat.texts)
+
+
 @register("stems", O.render(O.INDEX, "SELECT token, word FROM stems"))
 def q_stems(spark, sf_dir):
     return I.stems(I.content_tokens(I.tokens(_p(spark, sf_dir).cat.texts)))
@@ -635,6 +659,21 @@ def q_plain_text_html(spark, sf_dir):
         "page_id", O.T.plain_text(F.col("html")).alias("text"))
 
 
+NESTED = ("concat('{{box|{| ', source, ' [[x|', lang, ']] |}}} [[File:', lang, '|{{q|{| a |}}}', "
+          "body, ' [[', source, '|', lang, ']]]] {{open [[tail ', source)")
+
+
+@register("plain_text_nested", "SELECT doc_id, " + O.T.apply_rules_sql(
+    "concat(' ', regexp_replace(text, '[^A-Za-z \n]', '', 'g'), ' ', lang, ' {{open [[tail ', source)",
+    [O.T.TRIM_RULE]) + " AS text FROM documents WHERE text IS NOT NULL")
+def q_plain_text_nested(spark, sf_dir):
+    """P9 where templates, tables and links hold each other and marks stay open."""
+    from ..sources.tables import read_table
+    docs = read_table(spark, sf_dir, "documents").where("text IS NOT NULL").withColumn(
+        "body", F.regexp_replace("text", "[^A-Za-z \n]", ""))
+    return docs.select("doc_id", O.T.plain_text(F.expr(NESTED)).alias("text"))
+
+
 @register("limit_pages", O.render(INGEST, "SELECT title, ns, id, kind FROM valid "
                                          "ORDER BY id LIMIT 150"))
 def q_limit_pages(spark, sf_dir):
@@ -649,6 +688,19 @@ def q_ingest_stats(spark, sf_dir):
     return G.ingest_stats(_dump(spark, sf_dir))
 
 
+@register("ingest_stats_malformed", O.render(
+    INGEST, "SELECT (SELECT count(*) FROM wiki) + (SELECT count(*) FROM labels) AS total_pages, "
+            "(SELECT count(*) FROM valid) AS valid_pages, "
+            "(SELECT count(*) FROM labels) AS malformed_pages"))
+def q_ingest_stats_malformed(spark, sf_dir):
+    """P11 over a dump that also holds a broken page for every labelled document."""
+    path = D.write_dump(wiki_pages(spark, sf_dir), scratch_path(spark, "dump"))
+    labels = read_table(spark, sf_dir, "labels")
+    labels.select(F.concat(F.lit("  <page>\n    <title>Broken "), F.col("doc_id").cast("string"),
+                           F.lit("</ns>\n  </page>")).alias("value")).write.mode("append").text(path)
+    return G.ingest_stats(D.read_dump(spark, path))
+
+
 @register("derive_pages", O.render(INGEST, "SELECT DISTINCT title FROM split "
                                            "WHERE kind = 'article'"))
 def q_derive_pages(spark, sf_dir):
@@ -691,9 +743,41 @@ def q_dedupe(spark, sf_dir):
     return I.dedupe_documents(docs, "title", "doc_id")
 
 
+REPLACED = [("texts", "SELECT CAST(doc_id AS VARCHAR) AS title, CASE WHEN doc_id % 20 = 0 THEN "
+                      "concat(text, ' ', source, ' replaced') WHEN doc_id % 10 = 0 THEN "
+                      "concat('only ', lang, ' is left') ELSE text END AS text FROM documents")]
+REPLACED += [c for c in O.INDEX if c[0] != "texts"]
+
+
+def _replaced(spark, sf_dir):
+    """A store that got every document, and then every tenth a second time with another text."""
+    from ..operators.store import DocumentStore
+    docs = read_table(spark, sf_dir, "documents").withColumn("title", F.col("doc_id").cast("string"))
+    store = DocumentStore(spark, scratch_path(spark, "store"))
+    store.put(docs.select("title", "text"), 0)
+    longer = F.concat("text", F.lit(" "), "source", F.lit(" replaced"))
+    short = F.concat(F.lit("only "), "lang", F.lit(" is left"))
+    store.put(docs.where("doc_id % 10 = 0").select(
+        "title", F.when(F.col("doc_id") % 20 == 0, longer).otherwise(short).alias("text")), 1)
+    return store
+
+
+@register("replaced_documents", O.render(REPLACED, "SELECT title, word, n FROM counts"))
+def q_replaced_documents(spark, sf_dir):
+    """Counts after a tenth of the titles was sent twice, equal to a rebuild."""
+    return _replaced(spark, sf_dir).counts()
+
+
+@register("replaced_vocab", O.render(REPLACED, f"SELECT word, df, {O.r6('idf')} FROM vocab"))
+def q_replaced_vocab(spark, sf_dir):
+    """I2/I3 of the same store, from signed document frequencies."""
+    return _replaced(spark, sf_dir).vocab()
+
+
 def _text_dir_lines(spark, sf_dir):
-    path = TD.write_text_dir(_p(spark, sf_dir).cat.texts, scratch_path(spark, "textdir"))
-    return TD.read_documents(spark, path)
+    """Documents written as containers (many a file) and read back line by line."""
+    path = TD.write_containers(_p(spark, sf_dir).cat.texts, scratch_path(spark, "containers"))
+    return TD.read_containers(spark, path)
 
 
 @register("text_dir_scan", O.render(CAT, "SELECT title, unnest(string_split(text, chr(10))) "
@@ -726,13 +810,13 @@ def q_file_word_lists(spark, sf_dir):
                                          "FROM centroids"))
 def q_artefact_roundtrip(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return _saved_and_loaded(spark, "centroids", lambda: p.centroids)
+    return _saved_and_loaded(spark, "centroids", lambda: p.centroids, bucket_by=["word"])
 
 
-def _saved_and_loaded(spark, name, build):
+def _saved_and_loaded(spark, name, build, **layout):
     """The first load builds and saves, the second reads what was saved."""
     path = scratch_path(spark, name)
-    A.load_artefact(spark, path, build=build)
+    A.load_artefact(spark, path, build=build, **layout)
     return A.load_artefact(spark, path)
 
 
@@ -747,7 +831,18 @@ def q_artefact_documents(spark, sf_dir):
              "JOIN vocab USING (word)"))
 def q_artefact_index(spark, sf_dir):
     idx = _p(spark, sf_dir).index
-    return _saved_and_loaded(spark, "index", lambda: I.inverted_index(idx.postings, idx.vocab))
+    return _saved_and_loaded(spark, "index", lambda: I.inverted_index(idx.postings, idx.vocab),
+                             bucket_by=["word"])
+
+
+@register("artefact_vectors", O.render(
+    O.INDEX + O.HOLDOUT, f"SELECT title, word, {O.r6('weight')} FROM vectors "
+                         "WHERE title IN (SELECT title FROM holdout)"))
+def q_artefact_vectors(spark, sf_dir):
+    """V3 over saved vectors, bucketed by title: the lookup moves the titles only."""
+    p = _p(spark, sf_dir)
+    saved = _saved_and_loaded(spark, "vectors", lambda: p.vectors, bucket_by=["title"])
+    return I.vector_of_page(saved, p.holdout)
 
 
 @register("vector_of_page", O.render(
@@ -950,11 +1045,13 @@ def q_inverted_index_nested(spark, sf_dir):
 
 @register("streaming_word_count", O.render(LINES, "SELECT word, title, n FROM l_counts"))
 def q_streaming_word_count(spark, sf_dir):
-    """T8 as a file stream: 500 files per micro-batch, a folder of counts per batch."""
+    """T8 as a stream of containers: three per micro-batch, a folder of counts per batch."""
     from ..streaming.textdir import batch_counts, count_batches
-    text_dir = TD.write_text_dir(_p(spark, sf_dir).cat.texts, scratch_path(spark, "stream-in"))
+    text_dir = TD.write_containers(_p(spark, sf_dir).cat.texts, scratch_path(spark, "stream-in"),
+                                   files=8)
     out = scratch_path(spark, "stream-out")
-    count_batches(spark, text_dir, out, scratch_path(spark, "stream-ckpt"))
+    count_batches(spark, text_dir, out, scratch_path(spark, "stream-ckpt"), files_per_batch=3,
+                  containers=True)
     return batch_counts(spark, out).withColumnRenamed("file", "title")
 
 

@@ -56,11 +56,76 @@ def test_a_document_of_several_files_is_counted_as_one(spark, tmp_dir):
         ("cat", "t/1", 2), ("sleep", "t/1", 1), ("run", "t/1", 1)}
 
 
+def failing(spark, n=5):
+    """Rows whose last one cannot be computed."""
+    broken = F.when(F.col("id") == n - 1, F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+    return spark.range(n).repartition(3).select(broken.cast("long").alias("id"))
+
+
 def test_an_unfinished_artefact_counts_as_absent(spark, tmp_dir):
     path = os.path.join(tmp_dir, "a")
     with pytest.raises(FileNotFoundError):
         A.load_artefact(spark, path)
-    spark.range(3).write.parquet(f"{path}/rows")  # no "done": the writing broke off
+    with pytest.raises(Exception, match="lost"):
+        A.save_artefact(failing(spark), path)
     assert not A.is_saved(spark, path)
     assert A.load_artefact(spark, path, lambda: spark.range(5)).count() == 5
     assert A.load_artefact(spark, path, lambda: spark.range(9)).count() == 5
+
+
+@pytest.mark.parametrize("layout", [{}, {"bucket_by": ["id"], "buckets": 4}])
+def test_a_failed_second_save_leaves_the_first(spark, tmp_dir, layout):
+    path = os.path.join(tmp_dir, "a")
+    A.save_artefact(spark.range(7), path, **layout)
+    first = A.load_artefact(spark, path)
+    with pytest.raises(Exception, match="lost"):
+        A.save_artefact(failing(spark), path, **layout)
+    assert A.load_artefact(spark, path, lambda: spark.range(1)).count() == 7
+    A.save_artefact(spark.range(3), path, **layout)
+    assert A.load_artefact(spark, path).count() == 3
+    assert first.count() == 7  # a reader of the first version goes on
+
+
+def test_a_bucketed_artefact_joins_without_moving(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "a")
+    vec = spark.range(5000).select((F.col("id") % 700).cast("string").alias("title"),
+                                   F.col("id").cast("string").alias("word"),
+                                   F.lit(1.0).alias("weight"))
+    A.save_artefact(vec, path, bucket_by=["title"])
+    saved = A.load_artefact(spark, path)
+    asked = spark.range(300).select(F.col("id").cast("string").alias("title"))
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = saved.join(asked, "title")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == vec.join(asked, "title").count()
+        summed = saved.groupBy("title").agg(F.sum("weight"))
+        alone = summed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert plan.count("Exchange hashpartitioning") == 1  # the asked titles
+    assert "Exchange" not in alone
+    assert saved.schema == vec.schema or [f.name for f in saved.schema] == ["title", "word", "weight"]
+
+
+def test_containers_hold_many_documents(spark, tmp_dir):
+    rows = [(t, f"line {i}\r\nwords\x1e of\x10e {i}\n") for i, t in enumerate(NAMES)]
+    rows += [("null", None), ("empty", ""), (None, "no key"), ("two\nlines", "a\n\nb"), ("-", "dash")]
+    rows += [(f"doc{i}", "word " * (i % 7)) for i in range(500)]
+    df = spark.createDataFrame(rows, "title string, text string")
+    path = TD.write_containers(df, os.path.join(tmp_dir, "in"), files=2)
+    assert sum(f.startswith("part-") for f in os.listdir(path)) == 2
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        lines = TD.read_containers(spark, path)
+        assert lines.rdd.getNumPartitions() > 4  # a container is cut at its records
+        got = sorted((r["file"] or "", r["line"]) for r in lines.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted((t or "", x) for t, text in rows if text is not None for x in text.split("\n"))
+    out = os.path.join(tmp_dir, "out")
+    count_batches(spark, path, out, os.path.join(tmp_dir, "ckpt"), files_per_batch=1, containers=True)
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2
+    n = {r["file"]: r["n"] for r in batch_counts(spark, out).where("word = 'word'").collect()}
+    assert n["doc6"] == 6 and n["doc13"] == 6 and "doc7" not in n
