@@ -12,11 +12,14 @@ with the plain Jaccard similarity; without repeats the two sketches are one.
 Registers are cut into bands; texts that agree in a band share a bucket.  No
 bucket is expanded into pairs: its members are compared with the member that
 shares most buckets with others (the likely original of a group of copies),
-exactly, on their shingles.  Buckets whose members then still belong to
-different classes get more centres each round, until every pair of members is
-in one class, was compared, or cannot be similar: a bitmap of each text's
-shingles gives a number of shingles that the other text is sure to lack, and
-with it upper bounds of both similarities.
+exactly, on their shingles.  Texts of buckets whose members then still belong
+to different classes meet once more, on their rarest shingles: two texts of
+similarity 0.8 share one among the fifth of their shingles that is rarest, by
+number or by weight.  Of those pairs the ones of different classes are left, a
+bitmap of each text's shingles drops the pairs whose similarities are bounded
+below the threshold, and the rest is compared exactly.  So no pair of similar
+texts in a bucket is lost, and texts that share frequent passages only, do not
+meet.
 """
 
 from __future__ import annotations
@@ -38,11 +41,10 @@ WORDS = 32
 BITMAP = [f"s{i}" for i in range(WORDS)]
 #: most (id, hash) rows that are broadcast, 16 bytes each
 BROADCAST_ROWS = 500_000
-#: how many times more centres each round takes from the buckets that are still open
-MORE = 8
 #: words are runs of a-z, 0-9 and non-ASCII characters, after lower-casing A-Z
 WORD_BYTES = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in ASCII_LOWER)
 SKETCH = "node long, _id long, _h long, copy binary, bands binary, shingles binary, weights binary"
+EXPLODED = "member long, shingle long, weight long, n long, w long"
 
 
 def shingle_bags(texts: list[str | None], width: int):
@@ -147,7 +149,7 @@ def similarity(a, wa, b, wb) -> float:
 
 
 def bitmaps(bags: DataFrame) -> DataFrame:
-    """Per node: distinct shingles, total weight, and the bitmap of the shingles with its bits set."""
+    """Per member: distinct shingles, total weight, and the bitmap of the shingles with its bits set."""
     def run(batches):
         import pyarrow as pa
         for b in batches:
@@ -160,11 +162,11 @@ def bitmaps(bags: DataFrame) -> DataFrame:
             bits[np.repeat(np.arange(len(bags)), n), place % np.uint64(64 * WORDS)] = True
             packed = np.packbits(bits, axis=1).view("<i8")
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array(n), pa.array(np.array(w, np.int64)),
+                [b.column("member"), pa.array(n), pa.array(np.array(w, np.int64)),
                  pa.array(bits.sum(axis=1, dtype=np.int64)), *map(pa.array, packed.T.copy())],
-                ["node", "n", "w", "bits", *BITMAP])
+                ["member", "n", "w", "bits", *BITMAP])
 
-    longs = ", ".join(f"{c} long" for c in ["node", "n", "w", "bits", *BITMAP])
+    longs = ", ".join(f"{c} long" for c in ["member", "n", "w", "bits", *BITMAP])
     return bags.mapInArrow(run, longs)
 
 
@@ -232,10 +234,28 @@ def _explode_bands(batches):
     import pyarrow as pa
     for b in batches:
         keys = [np.frombuffer(x, "<i8") for x in b.column("bands").to_pylist()]
-        nodes = np.repeat(b.column("node").to_numpy(), [len(k) for k in keys])
+        members = np.repeat(b.column("member").to_numpy(), [len(k) for k in keys])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), pa.array(nodes)],
-            ["bucket", "node"])
+            [pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), pa.array(members)],
+            ["bucket", "member"])
+
+
+def _explode_shingles(batches):
+    import pyarrow as pa
+    for b in batches:
+        for at in range(0, b.num_rows, 1000):  # a text may have very many shingles
+            part = b.slice(at, 1000)
+            bags = [np.frombuffer(x, "<u4") for x in part.column("shingles").to_pylist()]
+            weights = [np.frombuffer(x, "<u4") if x else np.ones(len(k), "<u4") for x, k in
+                       zip(part.column("weights").to_pylist(), bags, strict=True)]
+            n = np.array([len(k) for k in bags], np.int64)
+            w = np.array([int(k.sum(dtype=np.int64)) for k in weights], np.int64)
+            flat = lambda parts: np.concatenate(
+                [*parts, np.zeros(0, "<u4")]).astype(np.int64)
+            columns = [np.repeat(part.column("member").to_numpy(), n), flat(bags), flat(weights),
+                       np.repeat(n, n), np.repeat(w, n)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
+                                             ["member", "shingle", "weight", "n", "w"])
 
 
 def _verify(threshold: float):
@@ -268,98 +288,132 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     that were compared and linked, not all that exist (copies share theirs).  Texts with the
     same words are copies.  A text of fewer than ``shingle`` words is one
     shingle; texts without words (null, empty) are linked with nothing.  Rows
-    with one id are one document; rows without an id are known by their text
-    and come after all ids.  Empty table: no rows.  Other columns are ignored.
+    with one id are one document, whatever their texts: each text is compared,
+    and what is linked with any of them is in their class.  Rows without an id
+    are known by their text and come after all ids.  Very long texts are
+    compared whole.  Empty table: no rows.  Other columns are ignored.
     """
-    sk = materialise(sketches(df, id_col, text_col, shingle, bands, rows), "sketches")
-    # one member per word sequence, whatever the number of its copies
-    copies = materialise(sk.where("copy is not null").groupBy("copy").agg(
-        F.min(F.struct("node", "_h")).alias("m")).select("copy", "m.*"), "copies")
-    first = copies.select(F.col("node").alias("n2"), F.col("_h").alias("h2"))
-    is_first = (F.col("node") == F.col("n2")) & (F.col("_h") == F.col("h2"))
+    sk = materialise(sketches(df, id_col, text_col, shingle, bands, rows)
+                     .withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # one member per word sequence, whatever the number of its copies and ids
+    copies = materialise(
+        sk.where("copy is not null").groupBy("copy").agg(F.min(F.struct("node", "row")).alias("m"))
+        .select("copy", "m.*").withColumn("member", F.monotonically_increasing_id()), "copies")
+    chosen = copies.select("row", "member")
     members = materialise(
-        sk.where("bands is not null").select("bands", "node", "_h").join(first, is_first, "left_semi")
-        .select("bands", "node").mapInArrow(_explode_bands, "bucket long, node long"), "members")
+        sk.where("bands is not null").select("bands", "row").join(chosen, "row")
+        .select("bands", "member").mapInArrow(_explode_bands, "bucket long, member long"), "members")
     sizes = materialise(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
                         .where(F.col("n") > 1), "sizes")
     shared = materialise(members.join(sizes, "bucket"), "shared")
-    central = materialise(shared.groupBy("node").agg(F.sum("n").alias("score")), "central")
-    shared = materialise(shared.drop("n").join(central, "node"), "ranked")
-    wanted = materialise(central.select("node").join(first, F.col("node") == F.col("n2"))
-                         .select("node", F.col("h2").alias("_h")), "wanted")
+    central = materialise(shared.groupBy("member").agg(F.sum("n").alias("score")), "central")
+    shared = materialise(shared.drop("n").join(central, "member"), "ranked")
+    wanted = materialise(chosen.join(central.select("member"), "member"), "wanted")
     # sketches are the large side; what is wanted of them is broadcast if it is small enough
     small = wanted.count() <= BROADCAST_ROWS
-    bags = materialise(
-        sk.select("node", "_h", "shingles", "weights")
-        .join(F.broadcast(wanted) if small else wanted, ["node", "_h"], "left_semi")
-        .dropDuplicates(["node"]).drop("_h"), "bags")
+    bags = materialise(sk.select("row", "shingles", "weights")
+                       .join(F.broadcast(wanted) if small else wanted, "row").drop("row"), "bags")
+    links = _links(shared, bags, threshold)
     # different texts under one id are one document
-    texts = sk.where("copy is not null").groupBy("node").agg(
-        F.min("copy").alias("x"), F.max("copy").alias("y")).where("x <> y").select("node")
+    several = (sk.where("copy is not null").groupBy("node").agg(
+        F.min("copy").alias("x"), F.max("copy").alias("y")).where("x <> y").select("node", "x"))
+    of_id = sk.where("copy is not null").select("copy", "node").join(several, "node").distinct()
+    numbers = copies.select("copy", "member")
     same_id = materialise(
-        sk.where("copy is not null").select("copy", "node").distinct().join(texts, "node")
-        .join(copies.select("copy", F.col("node").alias("a")), "copy")
-        .select("a", F.col("node").alias("b")).where("a <> b"), "same_id")
-    links = _links(shared, materialise(bitmaps(bags), "bitmaps"), bags, threshold)
-    classes = materialise(connected_components(same_id.union(links.select("a", "b"))), "classes")
+        of_id.join(numbers.withColumnsRenamed({"copy": "x", "member": "a"}), "x")
+        .join(numbers.withColumnRenamed("member", "b"), "copy").select("a", "b").where("a <> b"),
+        "same_id")
+    classes = connected_components(same_id.union(links.select("a", "b")))
     degree = (links.select("a", "b").union(links.select("b", "a")).groupBy("a")
               .agg(F.count(F.lit(1)).alias("n_verified")))
-    # of a word sequence: its member, the member's class and links
-    per_copy = materialise(
-        copies.select("copy", "node")
-        .join(classes.withColumnsRenamed({"node": "n2"}), F.col("node") == F.col("n2"), "left")
-        .join(degree, F.col("node") == F.col("a"), "left")
-        .select("copy", F.coalesce("component", "node").alias("class_id"),
-                F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified")), "per_copy")
+    placed = materialise(
+        copies.select("copy", "node", "member")
+        .join(classes.withColumnsRenamed({"node": "m2"}), F.col("member") == F.col("m2"), "left")
+        .join(degree, F.col("member") == F.col("a"), "left")
+        .select("copy", "node", F.coalesce("component", "member").alias("component"),
+                F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified")), "placed")
+    # a class is named after its smallest node
+    names = materialise(placed.groupBy("component").agg(F.min("node").alias("class_id")), "names")
+    per_copy = materialise(placed.join(names, "component").select("copy", "class_id", "n_verified"),
+                           "per_copy")
     return (sk.select("_id", "_h", "node", "copy").join(per_copy, "copy", "left")
             .select("_id", "_h", "node", F.coalesce("class_id", "node").alias("class_id"),
                     F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified")))
 
 
-def _links(shared: DataFrame, marks: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity) of verified pairs that connect all similar members of each bucket."""
-    best = F.struct(F.col("score"), (-F.col("node")).alias("order"))
+def _links(shared: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity) of verified pairs that connect all similar members of each bucket.
+
+    ``shared(bucket, member, score)``: buckets of two and more members.
+    """
+    best = F.struct(F.col("score"), (-F.col("member")).alias("order"))
     # written, so that both sides of the join are read and Spark can split a hot bucket
     heads = materialise(shared.groupBy("bucket").agg(F.max(best).alias("m")).select(
         "bucket", (-F.col("m.order")).alias("a")), "heads")
-    ordered = [F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")]
-    pairs = shared.join(heads, "bucket").where("node <> a").select(*ordered).distinct()
+    ordered = [F.least("a", "member").alias("a"), F.greatest("a", "member").alias("b")]
+    pairs = shared.join(heads, "bucket").where("member <> a").select(*ordered).distinct()
     checked = materialise(pairs, "pairs")
     links = _verified(checked, bags, threshold)
-    centres, moved = 1, True
-    while True:
-        if moved:  # classes change with new links only
-            classes = connected_components(links.select("a", "b"))
-            placed = materialise(
-                shared.join(classes, "node", "left").select(
-                    "bucket", "node", "score", F.coalesce("component", "node").alias("class")), "placed")
-            # a bucket is open while its members are of different classes; who is not in the class
-            # of its most central member is compared with all others, most central first
-            open_ = placed.groupBy("bucket").agg(
-                F.min("class").alias("x"), F.max("class").alias("y"), F.max_by("class", best)
-                .alias("main")).where("x <> y").select("bucket", "main")
-            live = materialise(placed.join(open_, "bucket").join(marks, "node"), "live")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("score"), "node"))
-        heads = (live.where("class <> main").withColumn("r", rank).where(F.col("r") <= centres)
-                 .select(F.col("bucket").alias("b2"), F.col("node").alias("a"),
-                         F.col("class").alias("ca"),
-                         *[F.col(c).alias(f"o_{c}") for c in ("n", "w", "bits", *BITMAP)]))
-        alike = ((F.col("bucket") == F.col("b2")) & (F.col("class") != F.col("ca"))
-                 & may_be_similar(threshold, "o_"))
-        pairs = (live.join(heads, alike).select(*ordered).distinct()
-                 .join(checked, ["a", "b"], "left_anti"))
-        pairs = materialise(pairs, "pairs")
-        if pairs.limit(1).count():
-            found = _verified(pairs, bags, threshold)
-            checked = checked.union(pairs)
-            moved = found.limit(1).count() > 0
-            links = links.union(found) if moved else links
-        else:
-            moved = False
-        left = live.where("class <> main").groupBy("bucket").count().agg(F.max("count")).first()[0]
-        if (left or 0) <= centres:
-            return links
-        centres *= MORE
+    classes = connected_components(links.select("a", "b")).withColumnsRenamed(
+        {"node": "member", "component": "class"})
+    placed = materialise(shared.select("bucket", "member").join(classes, "member", "left").select(
+        "bucket", "member", F.coalesce("class", "member").alias("class")), "placed")
+    # a bucket is open while its members are of different classes
+    open_ = materialise(placed.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y"))
+                        .where("x <> y").select("bucket"), "open")
+    live = materialise(placed.join(open_, "bucket").select("member", "class").distinct(), "live")
+    rest = materialise(rare_pairs(live, bags, threshold).join(checked, ["a", "b"], "left_anti"), "pairs")
+    return links.union(_verified(rest, bags, threshold))
+
+
+def rare_pairs(live: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of all similar members of ``live(member, class)`` that are of different classes.
+
+    Shingles are ordered from rare to frequent.  Before the first shingle that
+    two similar texts share, either has at most 1 - threshold of its shingles
+    (plain Jaccard) or of its weight (probability Jaccard), because the other
+    lacks them; so both hold that shingle in this first part.  Of the classes
+    that meet in a shingle the largest is not paired with itself.
+    """
+    some = materialise(bags.join(live, "member").select("member", "class", "shingles", "weights"), "texts")
+    rows = materialise(some.mapInArrow(_explode_shingles, EXPLODED), "shingles")
+    df = materialise(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "df")
+    held = rows.join(df, "shingle")
+    mine = Window.partitionBy("member")  # the shingles of one text
+    before = mine.orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    # what no other text has comes first in the order and is not in these rows
+    n_before = (F.col("n") - F.count(F.lit(1)).over(mine)
+                + F.count(F.lit(1)).over(before))
+    w_before = (F.col("w") - F.sum("weight").over(mine)
+                + F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    room = 1 - threshold + 1e-9
+    first = (held.withColumn("nb", n_before).withColumn("wb", w_before)
+             .where((F.col("nb") <= room * F.col("n")) | (F.col("wb") <= room * F.col("w")))
+             .select("shingle", "member", "n", "w").join(live, "member"))
+    first = materialise(first, "rare")
+    per_class = first.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("k"))
+    mixed_ = materialise(per_class.groupBy("shingle").agg(
+        F.max_by("class", "k").alias("main"), F.count(F.lit(1)).alias("classes"))
+        .where("classes > 1").select("shingle", "main"), "met")
+    meeting = materialise(first.join(mixed_, "shingle"), "meeting")
+    others = meeting.where("class <> main").select(
+        F.col("shingle").alias("s2"), F.col("member").alias("m2"), F.col("class").alias("c2"),
+        F.col("n").alias("n2"), F.col("w").alias("w2"))
+    least = threshold - 1e-9
+    # plain Jaccard bounds the numbers of shingles; probability Jaccard does not, where any repeat
+    alike = ((F.least("n", "n2") >= least * F.greatest("n", "n2"))
+             | (F.col("w") > F.col("n")) | (F.col("w2") > F.col("n2")))
+    # two members outside the main class meet twice: the smaller one keeps the pair
+    once = (F.col("class") == F.col("main")) | (F.col("member") < F.col("m2"))
+    pairs = (meeting.join(others, (F.col("shingle") == F.col("s2")) & (F.col("class") != F.col("c2"))
+                          & once & alike)
+             .select(F.least("member", "m2").alias("a"), F.greatest("member", "m2").alias("b")).distinct())
+    marks = materialise(bitmaps(some), "bitmaps")
+    left = marks.withColumnRenamed("member", "a")
+    right = marks.select(F.col("member").alias("b"),
+                         *[F.col(c).alias(f"o_{c}") for c in ("n", "w", "bits", *BITMAP)])
+    met = materialise(pairs, "met_pairs")
+    return met.join(left, "a").join(right, "b").where(may_be_similar(threshold, "o_")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
@@ -368,8 +422,8 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def _with_bags(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    left = bags.select(F.col("node").alias("a"), F.col("shingles").alias("sa"),
+    left = bags.select(F.col("member").alias("a"), F.col("shingles").alias("sa"),
                        F.col("weights").alias("wa"))
-    right = bags.select(F.col("node").alias("b"), F.col("shingles").alias("sb"),
+    right = bags.select(F.col("member").alias("b"), F.col("shingles").alias("sb"),
                         F.col("weights").alias("wb"))
     return pairs.join(right, "b").join(left, "a")

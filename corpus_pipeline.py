@@ -28,10 +28,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id."""
+    """Of each class of near duplicates the document with the smallest id.
+
+    Of rows that share that id the one whose text has the smallest hash stays,
+    once.  Texts without words, null ones too, are in no class and stay.
+    """
     firsts = neardup.near_duplicates(docs).where("node = class_id")
-    rows = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    firsts = materialise(firsts.select("_id", "_h", "node").distinct().join(rows, "node"), "firsts")
+    rows = firsts.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("_h").alias("_least"))
+    firsts = materialise(firsts.select("_id", "_h", "node").distinct().join(rows, "node")
+                         .where("_h = _least").drop("_least"), "firsts")
     single = firsts.where("n = 1")
     one = docs.join(single, _same_row(docs, single), "left_semi")
     # rows that share an id: one of them stays
