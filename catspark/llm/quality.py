@@ -5,9 +5,11 @@ minimum-covariance-determinant estimate gives a centre and a scatter that
 outliers cannot pull, and texts too far from it by Mahalanobis distance are
 rejected.  Only DataFrame expressions are used.
 
-The estimate starts from medians and quartiles and repeats concentration
-steps: the ``support`` share of a group's rows with the smallest distances
-gives the next mean and covariance, as long as the determinant falls.  Vectors
+Concentration steps run from three starts: medians and quartiles, mean and
+covariance of all rows, and those of the half nearest to the medians.  In each
+step the ``support`` share of a group's rows with the smallest distances gives the
+next mean and covariance, as long as the determinant falls; of the three ends
+the one with the least determinant is the estimate.  Vectors
 are whole numbers (steps of 1/SCALE), so all sums are exact and do not depend
 on the order of rows; the share is found from counts per distance bin, so no
 group is ever sorted or gathered in one task.
@@ -16,6 +18,7 @@ group is ever sorted or gathered in one task.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,15 @@ SCALE, DISTANCE_BINS = 200, 200
 FLOORS = {"log_words": 0.75, "log_word_length": 0.15, "symbol_share": 0.3,
           "log_dup_lines": 0.7, "repeat_share": 0.1}
 RUN = 5
+#: name of the group of all texts
+ALL = "all"
+
+
+def group_name(kind: str, *columns: str) -> Column:
+    """Text that names a group: its kind and its values, nulls included."""
+    values = F.to_json(F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(columns)]),
+                       {"ignoreNullFields": "false"})
+    return F.concat(F.lit(f"{kind} "), values)
 
 
 def base_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -97,27 +109,32 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rejected when its distance would be met by a share of ``tail`` of normal
     vectors.  A group with fewer than ``min_group`` texts past the base rules
     takes the estimate of its first group column (language), which rests on all
-    texts of the language past the base rules; if those are too few as well, the
-    base rules decide alone.  Null group values are a group
-    of their own.  Null, empty and one-word texts fail the base rules.
-    Repeated rows get equal results.  Empty table: no rows.
+    texts of the language past the base rules; if those are too few as well, it
+    takes the estimate of all texts past the base rules.  A table with fewer
+    than ``min_group`` such texts has no estimate: the base rules decide alone.
+    Null group values are a group of their own.  Null, empty and one-word texts
+    fail the base rules.  Very long texts are counted whole.  Repeated rows get
+    equal results.  Empty table: no rows.  Other columns are ignored.
     """
     names = list(FLOORS)
     held = df.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text_col).alias("_h"),
                      F.col(text_col).alias("_text"),
-                     F.to_json(F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)]))
-                     .alias("fine"),
-                     F.to_json(F.struct(F.col(groups[0]).alias("only"))).alias("coarse"))
+                     group_name("source", *groups).alias("fine"),
+                     group_name("language", groups[0]).alias("coarse"))
     rows = materialise(base_statistics(held, "_text").drop("_text").withColumns(vector()), "stats")
     passing = rows.where(~F.col("base_failed"))
     counts = passing.groupBy("fine", "coarse").agg(F.count(F.lit(1)).alias("n"))
-    sized = materialise(counts.withColumn("large", F.col("n") >= min_group), "groups")
-    keys = sized.select("fine", F.when(F.col("large"), F.col("fine")).otherwise(F.col("coarse"))
-                          .alias("key"))
-    # a language's estimate rests on its large groups too, and is made if a small one needs it
-    needed = sized.where(~F.col("large")).select("coarse").distinct()
-    fits = materialise(sized.where("large").select("fine", F.col("fine").alias("key")).union(
-        sized.join(needed, "coarse").select("fine", F.col("coarse").alias("key"))), "fits")
+    coarse = counts.groupBy("coarse").agg(F.sum("n").alias("n_coarse"))
+    key = (F.when(F.col("n") >= min_group, F.col("fine"))
+           .when(F.col("n_coarse") >= min_group, F.col("coarse")).otherwise(F.lit(ALL)))
+    sized = materialise(counts.join(coarse, "coarse").select("fine", "coarse", key.alias("key")),
+                        "groups")  # a row per source and language
+    keys = sized.select("fine", "key")
+    # an estimate of a language, or of all, rests on its large groups too
+    needed = sized.select(F.col("key").alias("k")).distinct()
+    fits = materialise(reduce(DataFrame.union, [
+        sized.join(needed, F.col("k") == of, "left_semi").select("fine", of.alias("key"))
+        for of in (F.col("fine"), F.col("coarse"), F.lit(ALL))]), "fits")
     keyed = materialise(passing.join(fits, "fine").select("key", *names), "vectors")
     estimates = mcd(keyed, names, support, min_group)
     cut = chi2_quantile(1 - tail, len(names)) * consistency(support, len(names))
@@ -130,27 +147,44 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mcd(rows: DataFrame, names: list[str], support: float, min_group: int) -> DataFrame:
     """Per key: mean (m_i) and Cholesky factor (l_i_j) of the scatter, by concentration steps."""
-    best = materialise(_start(rows, names, min_group), "mcd")
+    quartiles = materialise(_start(rows, names, min_group), "mcd_start")
+    sizes = quartiles.select("key", "size")
+    whole = _factor(_moments(rows.join(sizes, "key").groupBy("key", "size"), names), names)
+    half = _concentrate(rows, quartiles, names, 0.5)
+    state = ["key", "size", *[c for c in quartiles.columns if c[:2] in ("m_", "l_")]]
+    starts = [df.select(F.lit(i).alias("start"), *state)
+              for i, df in enumerate((quartiles, whole, half))]
+    best = materialise(reduce(DataFrame.unionByName, starts).withColumns({
+        "active": F.lit(True), "steps": F.lit(0), "log_det": F.lit(0.0)}), "mcd")
     while best.where("active").limit(1).count():
-        placed = (rows.join(best.where("active"), "key")
-                  .withColumn("bin", F.floor(F.log1p(mahalanobis2(names)) * DISTANCE_BINS)))
-        bins = placed.groupBy("key", "size", "bin").agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("key").orderBy("bin"))  # bounded: bins of a key
-        limits = materialise(bins.withColumn("upto", upto)
-                             .where(F.col("upto") >= F.ceil(F.col("size") * support))
-                             .groupBy("key").agg(F.min("bin").alias("limit")), "limits")
-        inner = placed.join(limits, "key").where(F.col("bin") <= F.col("limit"))
-        step = _factor(_moments(inner.groupBy("key", "size"), names), names)
-        old = best.select("key", F.col("log_det").alias("old"), F.col("steps").alias("done"))
-        step = (step.join(old, "key").withColumn("steps", F.col("done") + 1)
+        step = _concentrate(rows, best.where("active"), names, support)
+        old = best.select("key", "start", F.col("log_det").alias("old"), F.col("steps").alias("done"))
+        step = (step.join(old, ["key", "start"]).withColumn("steps", F.col("done") + 1)
                 .withColumn("active", (F.col("done") == 0)
                             | (F.col("log_det") < F.col("old") - 1e-3)))
-        # a group whose determinant no longer falls keeps what it had
+        # a start whose determinant no longer falls keeps what it had
         falling = step.where("active").select(best.columns)
-        rest = (best.join(falling.select("key"), "key", "left_anti")
+        rest = (best.join(falling.select("key", "start"), ["key", "start"], "left_anti")
                 .withColumn("active", F.lit(False)))
         best = materialise(rest.unionByName(falling), "mcd")
-    return best
+    least = F.min(F.struct(F.round("log_det", 9).alias("d"), "start")).alias("least")
+    chosen = best.groupBy("key").agg(least).select("key", F.col("least.start").alias("start"))
+    return materialise(best.join(chosen, ["key", "start"]), "mcd").drop("start")
+
+
+def _concentrate(rows: DataFrame, estimate: DataFrame, names: list[str], share: float) -> DataFrame:
+    """Mean and factor of the ``share`` of each key's rows that are nearest by ``estimate``."""
+    by = [c for c in ("key", "start", "size") if c in estimate.columns]
+    placed = (rows.join(estimate, "key")
+              .withColumn("bin", F.floor(F.log1p(mahalanobis2(names)) * DISTANCE_BINS)))
+    bins = placed.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    # bounded: the distance bins of a key
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("bin"))
+    limits = materialise(bins.withColumn("upto", upto)
+                         .where(F.col("upto") >= F.ceil(F.col("size") * share))
+                         .groupBy(*by).agg(F.min("bin").alias("limit")), "limits")
+    inner = placed.join(limits, by).where(F.col("bin") <= F.col("limit"))
+    return _factor(_moments(inner.groupBy(*by), names, by), names)
 
 
 def _start(rows: DataFrame, names: list[str], min_group: int) -> DataFrame:
@@ -174,11 +208,10 @@ def _start(rows: DataFrame, names: list[str], min_group: int) -> DataFrame:
         for j in range(i + 1):
             cols[f"l_{i}_{j}"] = (F.greatest((F.col(f"b_{i}") - F.col(f"a_{i}")) / 1.349,
                                              F.lit(floor)) if i == j else F.lit(0.0))
-    return wide.select("key", "size", F.lit(True).alias("active"), F.lit(0).alias("steps"),
-                       F.lit(0.0).alias("log_det"), *[c.alias(k) for k, c in cols.items()])
+    return wide.select("key", "size", *[c.alias(k) for k, c in cols.items()])
 
 
-def _moments(grouped, names: list[str]) -> DataFrame:
+def _moments(grouped, names: list[str], by: tuple[str, ...] = ("key", "size")) -> DataFrame:
     """Means m_i and covariances c_i_j (with the squared floors on the diagonal)."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, a in enumerate(names):
@@ -191,7 +224,7 @@ def _moments(grouped, names: list[str]) -> DataFrame:
             cov = (F.col(f"p_{i}_{j}") / F.col("n")
                    - (F.col(f"s_{i}") / F.col("n")) * (F.col(f"s_{j}") / F.col("n")))
             cols[f"c_{i}_{j}"] = cov + (FLOORS[a] * SCALE) ** 2 if i == j else cov
-    return sums.select("key", "size", *[c.alias(k) for k, c in cols.items()])
+    return sums.select(*by, *[c.alias(k) for k, c in cols.items()])
 
 
 def _factor(df: DataFrame, names: list[str]) -> DataFrame:

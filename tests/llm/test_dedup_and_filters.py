@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import cases
 import numpy as np
@@ -115,6 +116,49 @@ def test_near_duplicates_in_a_bucket_whose_centre_is_like_neither(spark):
     assert {x["node"]: x["class_id"] for x in got} == want
 
 
+def test_rare_pairs_equal_brute_force(spark):
+    """All similar pairs of different classes meet, also those similar by weight only."""
+    rng = np.random.default_rng(4)
+    bags, rows = [], []
+    base = np.unique(rng.integers(0, 1 << 32, 400)).astype("<u4")
+    for i in range(120):
+        if i % 3 and bags:  # an edited copy, or one with other weights
+            a, w = (x.copy() for x in bags[rng.integers(0, len(bags))])
+            drop = rng.random(len(a)) < rng.choice([0.02, 0.1, 0.2])
+            a, w = a[~drop], w[~drop]
+            if i % 5 == 0:
+                w[rng.random(len(w)) < 0.3] += np.uint32(rng.integers(1, 40))
+        else:  # frequent shingles and some of its own
+            own = rng.integers(0, 1 << 32, rng.integers(0, 60)).astype("<u4")
+            a = np.unique(np.r_[rng.choice(base, rng.integers(5, 200), replace=False), own])
+            w = np.ones(len(a), "<u4")
+        order = np.argsort(a)
+        bags.append((a[order], w[order].astype("<u4")))
+        rows.append((i, i % 7 if i % 2 else i, bags[-1][0].tobytes(),
+                     bags[-1][1].tobytes() if (w > 1).any() else None))
+    df = spark.createDataFrame(rows, "member long, class long, shingles binary, weights binary")
+    got = {tuple(r) for r in neardup.rare_pairs(df.select("member", "class"), df.drop("class"), 0.8)
+           .collect()}
+    similar = {(i, j) for i in range(120) for j in range(i + 1, 120)
+               if rows[i][1] != rows[j][1] and neardup.similarity(*bags[i], *bags[j]) >= 0.8}
+    assert len(similar) > 30 and similar <= got and len(got) < 2000
+
+
+def test_near_duplicates_of_an_id_with_several_texts(spark):
+    """Each text of an id is compared, whichever comes first."""
+    r = random.Random(6)
+    new = lambda k: [f"w{r.randrange(10 ** 6)}" for _ in range(k)]
+    a, b = new(300), new(300)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a[:-2] + new(2))),
+            (3, " ".join(b[:-2] + new(2))), (4, " ".join(new(300))), (1, " ".join(a))]
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = neardup.near_duplicates(df).collect()
+        assert len(got) == 6
+        assert {x["node"]: x["class_id"] for x in got} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_bitmap_bounds_hold_for_random_texts(spark):
     rng = np.random.default_rng(9)
     rows, bags = [], []
@@ -126,11 +170,11 @@ def test_bitmap_bounds_hold_for_random_texts(spark):
         bags.append((a, w))
         rows.append((i, a.tobytes(), w.tobytes() if (w > 1).any() else None))
     marks = neardup.bitmaps(spark.createDataFrame(
-        rows, "node long, shingles binary, weights binary")).cache()
+        rows, "member long, shingles binary, weights binary")).cache()
     other = marks.select([F.col(c).alias(f"o_{c}") for c in marks.columns])
     for threshold in (0.3, 0.5, 0.8):
         kept = {tuple(x) for x in marks.join(other, neardup.may_be_similar(threshold, "o_"))
-                .select("node", "o_node").collect()}
+                .select("member", "o_member").collect()}
         similar = {(i, j) for i, (a, wa) in enumerate(bags) for j, (b, wb) in enumerate(bags)
                    if neardup.similarity(a, wa, b, wb) >= threshold}
         assert similar <= kept and len(kept) < 3600 * 0.9
@@ -200,29 +244,73 @@ def test_quality_statistics_equal_brute_force(spark):
 
 
 def brute_mcd(x, support, floors):
-    """Concentration steps on whole-number vectors, as the operator documents them."""
+    """Concentration steps from three starts on whole-number vectors, as documented."""
     n, p = x.shape
     q = np.sort(x, axis=0)
     at = lambda s: q[int(np.ceil(n * s)) - 1]
-    mean, scatter = at(0.5).astype(float), np.diag(
-        np.maximum((at(0.75) - at(0.25)) / 1.349, floors) ** 2)
-    best, old = None, np.inf
-    while True:
+
+    def moments(rows):
+        return rows.mean(axis=0), np.cov(rows.T, bias=True) + np.diag(floors ** 2)
+
+    def inner(mean, scatter, share):
         d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
         bins = np.floor(np.log1p(d) * quality.DISTANCE_BINS)
-        limit = np.sort(bins)[int(np.ceil(n * support)) - 1]
-        inner = x[bins <= limit]
-        mean = inner.mean(axis=0)
-        scatter = np.cov(inner.T, bias=True) + np.diag(floors ** 2)
-        det = np.linalg.slogdet(scatter)[1]
-        if best is not None and det >= old - 1e-3:
-            return best
-        best, old = (mean, scatter), det
+        return moments(x[bins <= np.sort(bins)[int(np.ceil(n * share)) - 1]])
+
+    quartiles = (at(0.5).astype(float),
+                 np.diag(np.maximum((at(0.75) - at(0.25)) / 1.349, floors) ** 2))
+    ends = []
+    for i, now in enumerate((quartiles, moments(x), inner(*quartiles, 0.5))):
+        best, old = None, np.inf
+        while True:
+            now = inner(*now, support)
+            det = np.linalg.slogdet(now[1])[1]
+            if best is not None and det >= old - 1e-3:
+                break
+            best, old = now, det
+        ends.append((round(old, 9), i, best))
+    return min(ends, key=lambda e: e[:2])[2]
+
+
+def outliers(spark, rows):
+    """Check distances and verdicts of ``rows`` against brute force; (verdicts, group per id)."""
+    df = spark.createDataFrame(rows, cases.DOC)
+    got = {r["_id"]: (r["kept"], r["distance2"]) for r in quality.quality(df).collect()}
+    names = list(quality.FLOORS)
+    vec = {r["doc_id"]: [r[n] for n in names] for r in quality.base_statistics(df).withColumns(
+        quality.vector()).where("not base_failed").collect()}
+    past = [r for r in rows if r[0] in vec]
+    levels = [lambda r: (r[2], r[3]), lambda r: (r[2],), lambda r: ()]
+    counts = [Counter(map(level, past)) for level in levels]
+    group = {}
+    for r in past:
+        fits = [i for i, level in enumerate(levels) if counts[i][level(r)] >= 50]
+        group[r[0]] = (fits[0], levels[fits[0]](r)) if fits else None
+    floors = np.array([quality.FLOORS[n] * quality.SCALE for n in names])
+    cut = quality.chi2_quantile(1 - 1e-6, 5) * quality.consistency(0.75, 5)
+    for g in set(group.values()):
+        ids = [i for i in group if group[i] == g]
+        if g is None:
+            assert all(got[i] == (True, None) for i in ids)
+            continue
+        x = np.array([vec[r[0]] for r in past if levels[g[0]](r) == g[1]])
+        mean, scatter = brute_mcd(x, 0.75, floors)
+        for i in ids:
+            z = np.array(vec[i]) - mean
+            d = z @ np.linalg.inv(scatter) @ z
+            assert abs(got[i][1] - d) < 1e-6 * max(1, d)
+            assert got[i][0] == (d <= cut)
+    assert all(got[r[0]] == (False, None) for r in rows if r[0] not in vec)
+    return {i: k for i, (k, _) in got.items()}, group
+
+
+def vocabulary(r):
+    return ["".join(r.choice("aeiounrst") for _ in range(r.randint(2, 9))) for _ in range(500)]
 
 
 def test_outliers_equal_brute_force(spark):
     r = random.Random(11)
-    vocab = ["".join(r.choice("aeiounrst") for _ in range(r.randint(2, 9))) for _ in range(500)]
+    vocab = vocabulary(r)
     rows = []
     for i in range(400):
         w = [r.choice(vocab) for _ in range(int(r.lognormvariate(4.5, 0.7)) + 12)]
@@ -231,37 +319,14 @@ def test_outliers_equal_brute_force(spark):
         if i % 33 == 0:
             w = ["q" * 40 for _ in w[:9]] + [f"{x}{k}" * 6 for k, x in enumerate(w)]
         rows.append((i, " ".join(w), "en" if i % 2 else "fr", "s" if i % 4 else f"t{i}", 0))
-    df = spark.createDataFrame(rows, cases.DOC)
-    got = {r["_id"]: (r["kept"], r["distance2"]) for r in quality.quality(df).collect()}
-    names = list(quality.FLOORS)
-    vec = {r["doc_id"]: [r[n] for n in names] for r in quality.base_statistics(df).withColumns(
-        quality.vector()).where("not base_failed").collect()}
-    counts = {}
-    for i, _, lang, source, _ in rows:
-        counts[lang, source] = counts.get((lang, source), 0) + (i in vec)
-    group = {i: (lang, source if counts[lang, source] >= 50 else None)
-             for i, _, lang, source, _ in rows if i in vec}
-    floors = np.array([quality.FLOORS[n] * quality.SCALE for n in names])
-    cut = quality.chi2_quantile(1 - 1e-6, 5) * quality.consistency(0.75, 5)
-    rejected = 0
-    for g in set(group.values()):
-        ids = [i for i in vec if group[i] == g]
-        if len(ids) < 50:
-            assert all(got[i] == (True, None) for i in ids)
-            continue
-        x = np.array([vec[i] for i in ids])
-        mean, scatter = brute_mcd(x, 0.75, floors)
-        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(scatter), x - mean)
-        for i, di in zip(ids, d, strict=True):
-            assert abs(got[i][1] - di) < 1e-6 * max(1, di)
-            assert got[i][0] == (di <= cut)
-            rejected += not got[i][0]
-    assert 20 <= rejected <= 40
+    kept, group = outliers(spark, rows)
+    assert {g[0] for g in group.values()} == {0, 1}
+    assert 20 <= sum(not kept[i] for i in group) <= 40
 
 
-def test_outliers_of_a_small_source_are_judged_by_all_texts_of_its_language(spark):
+def test_outliers_of_small_groups_are_judged_by_larger_ones(spark):
     r = random.Random(13)
-    vocab = ["".join(r.choice("aeiounrst") for _ in range(r.randint(2, 9))) for _ in range(500)]
+    vocab = vocabulary(r)
     rows = []
     for i in range(400):
         w = [r.choice(vocab) for _ in range(int(r.lognormvariate(4.5, 0.5)) + 12)]
@@ -269,31 +334,32 @@ def test_outliers_of_a_small_source_are_judged_by_all_texts_of_its_language(spar
         odd = small and i % 6 != 0
         rows.append((i, " ".join(x + "$$$" for x in w) if odd else " ".join(w), "en",
                      "small" if small else "large", 0))
-    rows += [(1000 + i, " ".join(r.choice(vocab) for _ in range(40)), "fr", "few", 0)
-             for i in range(20)]
-    df = spark.createDataFrame(rows, cases.DOC)
-    got = {x["_id"]: x for x in quality.quality(df).collect()}
-    names = list(quality.FLOORS)
-    vec = {x["doc_id"]: [x[n] for n in names] for x in quality.base_statistics(df).withColumns(
-        quality.vector()).where("not base_failed").collect()}
-    floors = np.array([quality.FLOORS[n] * quality.SCALE for n in names])
-    cut = quality.chi2_quantile(1 - 1e-6, 5) * quality.consistency(0.75, 5)
-    judged = {"large": "large", "small": ""}
-    rejected = 0
-    for source, basis in judged.items():
-        x = np.array([vec[i] for i, _, lang, s, _ in rows
-                      if i in vec and lang == "en" and (not basis or s == basis)])
-        mean, scatter = brute_mcd(x, 0.75, floors)
-        for i in [i for i, _, _, s, _ in rows if i in vec and s == source]:
-            z = np.array(vec[i]) - mean
-            d = z @ np.linalg.inv(scatter) @ z
-            assert abs(got[i]["distance2"] - d) < 1e-6 * max(1, d)
-            assert got[i]["kept"] == (d <= cut)
-            rejected += source == "small" and not got[i]["kept"]
-    assert rejected >= 15
-    # a language that is too small as a whole: the base rules alone
-    assert all(x["distance2"] is None and x["kept"] != x["base_failed"]
-               for i, x in got.items() if i >= 1000)
+    for i in range(20):  # a language too small for an estimate of its own
+        w = [r.choice(vocab) for _ in range(60)]
+        rows.append((1000 + i, " ".join(x + "$$$" for x in w) if i % 2 else " ".join(w), "fr", "few", 0))
+    kept, group = outliers(spark, rows)
+    assert {group[i][0] for i in range(1000, 1020)} == {2}
+    assert sum(not kept[i] for i in range(340, 400, 2)) >= 15
+    assert [kept[1000 + i] for i in range(20)] == [i % 2 == 0 for i in range(20)]
+
+
+def test_null_groups_are_groups_of_their_own(spark):
+    r = random.Random(17)
+    vocab = vocabulary(r)
+    groups = [(None, None), (None, "s"), ("en", None), ("en", "s"), (None, "t")]
+    rows = []
+    for i in range(330):
+        w = [r.choice(vocab)[:9 - i % 5] for _ in range(int(r.lognormvariate(4 + i % 5 / 4, 0.5)) + 12)]
+        lang, source = groups[i % 5] if i < 300 else (None, f"u{i}")
+        rows.append((i, " ".join(w), lang, source, 0))
+    _, group = outliers(spark, rows)
+    assert {g for g in group.values()} == {(0, g) for g in groups} | {(1, (None,))}
+
+
+def test_a_table_too_small_for_an_estimate(spark):
+    rows = [(i, " ".join(f"word{i}x{k}" for k in range(5 + i)), "en", "s", 0) for i in range(30)]
+    kept, group = outliers(spark, rows)
+    assert set(group.values()) == {None} and sum(kept.values()) == 25
 
 
 def test_chi_squared_values():
