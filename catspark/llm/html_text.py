@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -23,23 +23,27 @@ from .common import ship
 
 #: content of these is not text of the page
 UNSHOWN = frozenset("head script style noscript template title select option datalist textarea "
-                    "svg math canvas iframe object audio video map".split())
+                    "svg canvas iframe object audio video map annotation".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: elements that stay within a line; all others begin and end a block
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label "
                    "mark q rp rt ruby s samp small span strike strong sub sup td th time tt u "
-                   "var wbr br img".split())
+                   "var wbr br img math mi mn mo mrow ms mtext msub msup msubsup mfrac msqrt "
+                   "mroot mover munder semantics".split())
 #: a start tag that ends an open element of these names
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 BOILER_TAGS = frozenset("nav footer aside form button dialog menu fieldset".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 BOILER_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav\w*|menu\w*|foot(?:er)?\w*|header|masthead|side(?:bar)?|widget\w*|ads?|"
+    r"(?:^|[\s_-])(?:nav\w*|menu\w*|foot(?:er)?\w*|masthead|side(?:bar)?|widget\w*|ads?|"
     r"advert\w*|promo\w*|sponsor\w*|banner\w*|cookie\w*|consent\w*|gdpr|notice\w*|alert\w*|popup|"
-    r"modal|overlay|comment\w*|repl(?:y|ies)|respond|disqus|discussion|share\w*|social\w*|"
-    r"related\w*|recommend\w*|breadcrumb\w*|pag(?:er|ination)|subscri\w*|newsletter|signup|login|"
-    r"search\w*|toolbar|copyright|legal|tags?|meta|author-bio|skip\w*)(?:$|[\s_-])", re.I)
+    r"modal|overlay|comment\w*|repl(?:y|ies)|respond|disqus|discussion|breadcrumb\w*|"
+    r"subscri\w*|newsletter|signup|author-bio|skip\w*)(?:$|[\s_-])", re.I)
+#: names that say little about what lies inside an article: prose there may well bear them
+WEAK_NAMES = re.compile(
+    r"(?:^|[\s_-])(?:header|share\w*|social\w*|related\w*|recommend\w*|pag(?:er|ination)|login|"
+    r"search\w*|toolbar|copyright|legal|tags?|meta)(?:$|[\s_-])", re.I)
 CONTENT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:article\w*|content|entry|post|story\w*|main|body|text)(?:$|[\s_-])", re.I)
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert "
@@ -50,43 +54,41 @@ WEIGHTS = {"bias": -0.6, "nearest": 4.5, "outer": 0.5, "link_share": -4.0, "log_
            "sentence": 0.7, "heading": 0.3, "hidden": -9.0}
 #: capacities of the edges, and their unit: flows are whole numbers
 NEXT, SIBLING, UNIT = 0.9, 0.6, 1000
+#: what a weak name counts for inside an article, against 1 of any other
+WEAK = 0.1
 
 
 class Element:
-    __slots__ = ("name", "parent", "depth", "sign", "hidden")
+    """An open element, with what its ancestors say about content: nothing above is visited again."""
+
+    __slots__ = ("name", "parent", "depth", "hidden", "inside", "nearest", "outer")
 
     def __init__(self, name, attrs, parent):
         self.name, self.parent = name, parent
         self.depth = parent.depth + 1 if parent else 0
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".strip()
-        role = (attrs.get("role") or "").lower()
         self.hidden = bool(parent and parent.hidden or "hidden" in attrs
                            or attrs.get("aria-hidden") == "true"
                            or HIDDEN.search(attrs.get("style") or ""))
-        # 1: content, -1: boilerplate, 0: says nothing
-        if name in BOILER_TAGS or role in BOILER_ROLES or names and BOILER_NAMES.search(names):
-            self.sign = -1
-        elif name == "header":  # that of the page, not of an article
-            self.sign = 0 if self.within(CONTENT_TAGS) else -1
-        elif name in CONTENT_TAGS or role in CONTENT_TAGS or names and CONTENT_NAMES.search(names):
-            self.sign = 1
-        else:
-            self.sign = 0
-
-    def within(self, names) -> bool:
-        e = self.parent
-        while e:
-            if e.name in names:
-                return True
-            e = e.parent
-        return False
-
-    def path(self) -> list:
-        out, e = [], self
-        while e:
-            out.append(e)
-            e = e.parent
-        return out
+        within = bool(parent and parent.inside)
+        self.inside = within or name in CONTENT_TAGS
+        sign = self.sign(attrs, within)
+        # the sign of the nearest element that says something, and the sum of those above it
+        self.nearest, self.outer = (parent.nearest, parent.outer) if parent else (0, 0)
+        if sign:
+            self.nearest, self.outer = sign, self.outer + self.nearest
+
+    def sign(self, attrs, within: bool) -> float:
+        """1: content, -1: boilerplate, 0: says nothing; weak names inside an article say little."""
+        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".strip()
+        role = (attrs.get("role") or "").lower()
+        if self.name in BOILER_TAGS or role in BOILER_ROLES or BOILER_NAMES.search(names):
+            return -1
+        if self.name == "header" and not within:  # that of the page, not of an article
+            return -1
+        if WEAK_NAMES.search(names):
+            return -WEAK if within else -1
+        return int(self.name in CONTENT_TAGS or role in CONTENT_TAGS
+                   or CONTENT_NAMES.search(names) is not None)
 
 
 class Blocks(HTMLParser):
@@ -95,6 +97,7 @@ class Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open = [Element("", {}, None)]
+        self.named: Counter = Counter()  # open elements by name
         self.unshown: list[str] = []
         self.links, self.linked, self.parts, self.blocks = 0, 0, [], []
 
@@ -121,9 +124,13 @@ class Blocks(HTMLParser):
             return
         self.end_block()
         if self.open[-1].name == "p":  # a block ends an open paragraph
-            self.open.pop()
+            self.pop()
         if tag not in VOID:
             self.open.append(Element(tag, dict(attrs), self.open[-1]))
+            self.named[tag] += 1
+
+    def pop(self):
+        self.named[self.open.pop().name] -= 1
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID or tag in INLINE and tag != "a":
@@ -135,7 +142,7 @@ class Blocks(HTMLParser):
     def close_open(self, names, stop):
         if self.open[-1].name in names:
             self.end_block()
-            self.open.pop()
+            self.pop()
         if self.unshown and self.unshown[-1] in names:
             self.unshown.pop()
 
@@ -149,12 +156,12 @@ class Blocks(HTMLParser):
             if tag == "a":
                 self.links = max(0, self.links - 1)
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].name == tag:
-                self.end_block()
-                del self.open[i:]
-                self.links = 0
-                return
+        if self.named[tag]:
+            self.end_block()
+            while self.open[-1].name != tag:
+                self.pop()
+            self.pop()
+            self.links = 0
 
     def handle_data(self, data):
         if not self.unshown:
@@ -177,9 +184,8 @@ def log_odds(text: str, element: Element, linked: int) -> float:
     z += WEIGHTS["link_share"] * min(1.0, linked / len(text))
     z += WEIGHTS["sentence"] * (text[-1] in ".!?…:;\"'»”)")
     z += WEIGHTS["heading"] * (re.fullmatch("h[1-6]", element.name) is not None)
-    signs = [e.sign for e in element.path() if e.sign]
-    if signs:  # the nearest element that says something counts most
-        z += WEIGHTS["nearest"] * signs[0] + WEIGHTS["outer"] * sum(signs[1:])
+    # the nearest element that says something counts most
+    z += WEIGHTS["nearest"] * element.nearest + WEIGHTS["outer"] * element.outer
     return z + WEIGHTS["hidden"] * element.hidden
 
 
@@ -278,8 +284,8 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """page_id, url, text (main text, empty if none) and n_chars of every page.
 
     Null or empty html has no text.  Broken markup is read as far as it goes:
-    unclosed elements end with the page, a tag cut off by the page's end is
-    dropped.  Repeated rows, ties and null ids or urls are carried over.  Empty
+    unclosed elements end with the page, however deep they nest, a tag cut off
+    by the page's end is dropped.  Repeated rows, ties and null ids or urls are carried over.  Empty
     table: no rows.  Other columns are ignored.
     """
     def run(batches):
