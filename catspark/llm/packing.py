@@ -9,7 +9,6 @@ all tasks (mostly those still open at a task's end) are merged by best fit.
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 
 from pyspark.sql import DataFrame
@@ -19,8 +18,10 @@ from ..session import materialise
 from .common import parts_for, ship
 from .tokens import encoder, text_batches
 
-PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-          "window_id long, window_offset long, ids binary")
+#: a window: its pieces in order, and their ids (little-endian unsigned 32-bit) one after the other
+PIECE = "doc_id long, start long, length long, doc_tokens long, offset long"
+WINDOW = "sequence_id long, fill long, pieces array<struct<{}>>, ids binary".format(
+    ", ".join(c.replace(" ", ": ") for c in PIECE.split(", ")))
 #: leftover windows that one merging task gets (16 bytes each)
 MERGE_ROWS = 100_000
 
@@ -32,6 +33,7 @@ class OpenWindows:
         self.size, self.space = size, space
         self.rooms: list[tuple[int, int]] = []  # (free, window), ascending
         self.made = 0
+        self.emitted: list[int] = []  # full, or the fullest when none fitted
 
     def new(self) -> int:
         self.made += 1
@@ -40,39 +42,43 @@ class OpenWindows:
     def place(self, n: int) -> tuple[int, int]:
         """(window, offset) for a piece of ``n`` ids."""
         if n == self.size:
-            return self.new(), 0
+            self.emitted.append(self.new())
+            return self.emitted[-1], 0
         i = bisect_left(self.rooms, (n, -1))
         if i < len(self.rooms):  # the window with the least room that is enough
             free, window = self.rooms.pop(i)
         else:
             if len(self.rooms) == self.space:
-                self.rooms.pop(0)  # none fits: emit the fullest
+                self.emitted.append(self.rooms.pop(0)[1])  # none fits: emit the fullest
             free, window = self.size, self.new()
         if free > n:
             insort(self.rooms, (free - n, window))
+        else:
+            self.emitted.append(window)
         return window, self.size - free
 
 
-def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         size: int = 2048, space: int = 256, end_id: int = 1, with_ids: bool = True) -> DataFrame:
-    """Pieces of every document of ``df`` packed into sequences of at most ``size`` ids.
+def sequences(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+              size: int = 2048, space: int = 256, end_id: int = 1) -> DataFrame:
+    """All documents of ``df`` packed into sequences of at most ``size`` ids.
 
-    Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
-    and, with ``with_ids``, the piece's ids (little-endian unsigned 32-bit).
-    Each id lies in exactly one piece; offsets are gapless from 0 within a
-    sequence; sequence ids are unique, not gapless.
+    Returns sequence_id (unique, not gapless), fill (ids before the padding),
+    pieces (array of doc_id, start, length, doc_tokens, offset; gapless from
+    offset 0) and ids: ``size`` little-endian unsigned 32-bit numbers, padded
+    with 0.  Each id of a document lies in exactly one piece.
 
     Null or empty text: the end id alone.  Null ids and repeated rows are
     documents of their own.  Very long texts: full windows plus a rest.  Empty
     table: no rows.  Other columns are ignored.
 
-    The placement depends on the order of rows, so it is written once and only
-    that table is read afterwards; a lost executor cannot change it.
+    The placement depends on the order of rows, so windows are written once and
+    only that table is read afterwards; a lost executor cannot change it.
     """
     def place(batches):
         from pyspark import TaskContext
         base = TaskContext.get().partitionId() << 32
         codes, windows = encoder(tokenizer_path), OpenWindows(size, space)
+        held: dict[int, tuple[list, list]] = {}  # pieces and ids of the open windows
         for ids, texts in text_batches(batches):
             rows = []
             for doc, data in zip(ids, codes.encode(texts, end_id), strict=True):
@@ -80,23 +86,48 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
                 for start in range(0, n, size):
                     length = min(size, n - start)
                     window, offset = windows.place(length)
-                    piece = data[4 * start:4 * (start + length)]
-                    rows.append((doc, start, length, zlib.crc32(piece), n, base + window, offset,
-                                 piece if with_ids else None))
+                    pieces, parts = held.setdefault(window, ([], []))
+                    pieces.append((doc, start, length, n, offset))
+                    parts.append(data[4 * start:4 * (start + length)])
+                    rows += [(base + w, *held.pop(w)) for w in windows.emitted]
+                    windows.emitted.clear()
             yield _batch(rows)
+        yield _batch([(base + w, *x) for w, x in held.items()])
 
     ship(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.col(text_col).cast("string").alias("text"))
-    pieces = materialise(docs.mapInArrow(place, PIECES), "pieces")
-    fills = pieces.groupBy("window_id").agg(F.sum("length").alias("fill"))
-    left = materialise(fills.where(F.col("fill") < size), "leftovers")
+    windows = materialise(docs.mapInArrow(place, WINDOW), "windows")
+    part = windows.where(F.col("fill") < size)
+    left = materialise(part.select(F.col("sequence_id").alias("window_id"), "fill"), "leftovers")
     moves = merge_leftovers(left, left.count(), size)
-    out = (pieces.join(moves, "window_id", "left")
-           .select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                   F.coalesce("sequence_id", "window_id").alias("sequence_id"),
-                   (F.col("window_offset") + F.coalesce("shift", F.lit(0))).alias("offset"), "ids"))
-    return out if with_ids else out.drop("ids")
+    # only part-filled windows move; a sequence holds at most ``size`` ids
+    moved = part.withColumnRenamed("sequence_id", "window_id").join(moves, "window_id")
+    shifted = F.transform("pieces", lambda p: p.withField("offset", p["offset"] + F.col("shift")))
+    merged = (moved.groupBy("sequence_id").agg(
+        F.sum("fill").alias("fill"),
+        F.array_sort(F.collect_list(F.struct("shift", "ids", shifted.alias("pieces")))).alias("w"))
+        .select("sequence_id", "fill", F.flatten(F.col("w.pieces")).alias("pieces"),
+                F.aggregate("w", F.lit(b""), lambda x, w: F.concat(x, w["ids"])).alias("ids")))
+    padding = F.rpad("ids", 4 * size, F.lit(b"\0"))
+    return (windows.where(F.col("fill") >= size).unionByName(materialise(merged, "merged_windows"))
+            .select("sequence_id", "fill", "pieces", padding.alias("ids")))
+
+
+def pieces(packed: DataFrame, with_ids: bool = True) -> DataFrame:
+    """One row per piece of ``sequences``, its checksum computed from the sequence's ids."""
+    ids = F.substring(F.col("ids"), 4 * F.col("p.offset") + 1, 4 * F.col("p.length"))
+    rows = packed.select("sequence_id", "ids", F.explode("pieces").alias("p")).select(
+        "p.doc_id", "p.start", "p.length", F.crc32(ids).alias("ids_crc32"), "p.doc_tokens",
+        "sequence_id", "p.offset", ids.alias("ids"))
+    return rows if with_ids else rows.drop("ids")
+
+
+def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+         size: int = 2048, space: int = 256, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+    """Pieces of ``sequences``: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
+    and, with ``with_ids``, the piece's ids."""
+    return pieces(sequences(df, tokenizer_path, id_col, text_col, size, space, end_id), with_ids)
 
 
 def merge_leftovers(left: DataFrame, n: int, size: int) -> DataFrame:
@@ -122,8 +153,17 @@ def merge_leftovers(left: DataFrame, n: int, size: int) -> DataFrame:
 
 
 def _batch(rows):
+    """Rows (window, pieces, parts of ids) as one Arrow batch."""
     import pyarrow as pa
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "window_id", "window_offset"]
-    arrays = [pa.array(c, pa.int64()) for c in cols[:7]] + [pa.array(cols[7], pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, [*names, "ids"])
+    names = [c.split()[0] for c in PIECE.split(", ")]
+    flat = list(zip(*[p for _, ps, _ in rows for p in ps], strict=True)) or [[]] * len(names)
+    ends = [0]
+    for _, ps, _ in rows:
+        ends.append(ends[-1] + len(ps))
+    struct = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in flat], names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([w for w, _, _ in rows], pa.int64()),
+         pa.array([sum(p[2] for p in ps) for _, ps, _ in rows], pa.int64()),
+         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct),
+         pa.array([b"".join(x) for _, _, x in rows], pa.binary())],
+        ["sequence_id", "fill", "pieces", "ids"])

@@ -20,8 +20,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
-                        with_ids=False)
+    written = packing.sequences(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return packing.pieces(written, with_ids=False)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

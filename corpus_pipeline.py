@@ -3,7 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of their input.  Decisions are tables of (id, content
 hash) and join back by both, so repeated ids and null ids are safe, and the
-joins are shuffles that Spark may split or turn into a broadcast by size.
+joins are shuffles that Spark may split or turn into a broadcast by size.  Texts
+of any length are read whole, extra columns are carried through all stages but
+the last, whatever their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,11 @@ def _same_row(docs: DataFrame, keys: DataFrame) -> Column:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null, empty and short texts fail them; repeated rows stay or go together;
+    null languages and sources are groups of their own.
+    """
     kept = quality.quality(docs).where("kept").select("_id", "_h")
     return docs.join(kept, _same_row(docs, kept), "left_semi")
 
@@ -48,7 +54,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words of passages that start earlier elsewhere."""
+    """Documents without the words of passages that start earlier elsewhere.
+
+    Null and empty texts stay as they are; a text that loses all its words stays
+    as an empty one.  Rows that agree in id and text are one document, so
+    repeated rows keep the same words.
+    """
     cut = (substring.dedup_substrings(docs).where("n_removed > 0")
            .select("_id", "_h", F.col("text").alias("_kept")).dropDuplicates(["_id", "_h"]))
     new = {"text": F.coalesce(cut["_kept"], docs["text"]).alias("text")}
@@ -61,15 +72,23 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item contaminates."""
+    """Documents that no benchmark item contaminates.
+
+    Null and empty texts, and all texts if there are no items, are clean;
+    repeated rows stay or go together.
+    """
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     bad = decontamination.decontaminate(docs, bench).where("contaminated").select("_id", "_h")
     return docs.join(bad, _same_row(docs, bad), "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2048 token ids."""
-    return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"), with_ids=False)
+    """Pieces of the documents in sequences of 2048 token ids, with their ids.
+
+    A null or empty text is the end id alone; repeated rows are pieces of their
+    own; very long texts are cut into full sequences and a rest.
+    """
+    return packing.pack(docs, queries.tokenizer("byte_bpe_50k.json"))
 
 
 STAGES = [("quality", quality_stage), ("near_dedup", near_dedup_stage),

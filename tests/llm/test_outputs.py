@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,6 +10,7 @@ import cases
 import corpus_pipeline
 import numpy as np
 import public_tokenizers as P
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -59,6 +61,14 @@ def test_packing_holds_every_id_once(spark):
             assert offset == end
             end += length
         assert end <= 256
+    whole = packing.sequences(df, BYTE, size=256, space=8).collect()
+    for r in whole:  # padded, and the pieces lie in it one after the other
+        assert len(r["ids"]) == 4 * 256 and sum(p["length"] for p in r["pieces"]) == r["fill"]
+        assert not any(r["ids"][4 * r["fill"]:])
+        assert [p["offset"] for p in r["pieces"]] == list(
+            np.cumsum([0] + [p["length"] for p in r["pieces"]])[:-1])
+    assert len({r["sequence_id"] for r in whole}) == len(whole)
+    assert sum(r["fill"] for r in whole) == sum(r["length"] for r in got)
     padding = 1 - sum(r["length"] for r in got) / (256 * len(seqs))
     assert padding < 0.05
     assert packing.pack(cases.empty(spark), BYTE).count() == 0
@@ -175,6 +185,35 @@ def test_html_main_text(spark):
     assert by[7].count("\n") == 2999
 
 
+PROSE = "The committee met on Tuesday and agreed that the plan should go ahead next year."
+
+
+@pytest.mark.parametrize("block,kept", [
+    ('<p class="share">{}</p>', True), ('<p class="text-tag tag">{}</p>', True),
+    ('<section class="search"><p>{}</p></section>', True),
+    ('<div id="header-1"><h2>Second part</h2><p>{}</p></div>', True),
+    ('<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> {}</p>', True),
+    ('<div class="comments"><p>{}</p></div>', False), ('<div class="ad">{}</div>', False),
+    ('<div class="notice"><p>{}</p></div>', False), ('<form><p>{}</p></form>', False),
+    ('<div class="related"><ul><li><a href="1">{}</a></li><li><a href="2">{}</a></li></ul></div>', False),
+])
+def test_names_of_article_blocks(block, kept):
+    html = (f'<html><body><nav><a href="x">Home</a> <a href="y">News</a></nav><article><h1>A title</h1>'
+            f'<p>{PROSE}</p>{block.format("Middle: " + PROSE, PROSE)}<p>{PROSE}</p></article>'
+            f'<footer>Copyright 2020</footer></body></html>')
+    text = html_text.main_text(html)
+    assert ("Middle: " in text or "so x=2 Middle" in text) == kept
+    assert text.startswith(f"A title\n{PROSE}\n") and text.endswith(f"\n{PROSE}")
+
+
+@pytest.mark.parametrize("html", ["<div>text here " * 30_000, "<div>" * 20_000 + "x" + "</b></q></section>" * 20_000,
+                                  "<p class=ad><article>" * 20_000 + "y"])
+def test_deep_pages_take_time_by_length(html):
+    t0 = time.time()
+    html_text.main_text(html)
+    assert time.time() - t0 < 20
+
+
 def test_minimum_cut_equals_all_labellings():
     r = random.Random(2)
     for _ in range(60):
