@@ -30,9 +30,11 @@ from .grams import ASCII_LOWER, first_of_runs, symbols
 ORDER = 5
 #: ends a text and fills the context before it; no UTF-8 text holds this byte
 END = 0xFF
-CHUNK_CHARS, BLOCK_CHARS, CHUNKS_PER_SALT = 16_000_000, 3_000_000, 64
+CHUNK_CHARS, BLOCK_CHARS = 16_000_000, 3_000_000
+#: bytes of packed keys that one task is to hold of a bin; a larger bin is split by chunks
+BIN_BYTES = 128_000_000
 RUNS, WORDS = 0, 1
-BLOB = "kind int, bin long, chunk long, salt long, keys binary, counts binary"
+BLOB = "kind int, bin long, chunk long, keys binary, counts binary"
 
 
 def mask(order: int) -> np.uint64:
@@ -94,7 +96,7 @@ def _table(names, types, rows):
     return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
 
-def collect_chunk(bins: int, salts: int):
+def collect_chunk(bins: int):
     def run(key, table):
         import pyarrow as pa
         parts = {RUNS: [], WORDS: []}
@@ -112,10 +114,10 @@ def collect_chunk(bins: int, salts: int):
             order = np.argsort(where, kind="stable")
             keys, counts, where = keys[order], counts[order], where[order]
             cuts = np.append(first_of_runs(where, np.zeros(len(where), np.int8)), len(where))
-            rows += [(kind, int(where[lo]), chunk, chunk % salts,
+            rows += [(kind, int(where[lo]), chunk,
                       pack(keys[lo:hi]), counts[lo:hi].astype("<u4").tobytes())
                      for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         return _table([c.split()[0] for c in BLOB.split(", ")], types, rows)
     return run
 
@@ -289,6 +291,21 @@ def score_chunk(docs, answers):
                   rows)
 
 
+def salted(blobs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(blobs with a salt, (kind, bin, salts) of the bins that need more than one, or None).
+
+    A bin of a very common context gets keys from all chunks: it is split by
+    chunk into as many tasks as its measured bytes ask for.
+    """
+    sizes = blobs.groupBy("kind", "bin").agg(F.sum(F.length("keys")).alias("bytes"))
+    large = materialise(sizes.where(F.col("bytes") > BIN_BYTES).select(
+        "kind", "bin", F.ceil(F.col("bytes") / F.lit(BIN_BYTES)).alias("salts")), "large_bins")
+    if not large.limit(1).count():
+        return blobs.withColumn("salt", F.lit(0).cast("long")), None
+    own = F.pmod("chunk", F.coalesce("salts", F.lit(1).cast("long")))
+    return (blobs.join(large, ["kind", "bin"], "left").withColumn("salt", own).drop("salts"), large)
+
+
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           folds: int = 7, held_fold: int = 2) -> DataFrame:
     """One row per row of ``df``: _id, held_out, n_tokens, n_known, train_tokens, base_score, score.
@@ -299,8 +316,9 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``base_score`` that of its words and an end under add-one unigram counts.
 
     Null or empty texts are an end alone.  Rows with a null id are learned
-    from.  Repeated rows count each time and get equal results.  Without
-    training rows all bytes are equally likely.  Empty table: no rows.
+    from.  Repeated rows count each time and get equal results.  Very long
+    texts are scored whole.  Without training rows all bytes are equally likely.
+    Empty table: no rows.  Other columns are ignored.
     """
     ship(df.sparkSession)
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % folds
@@ -309,10 +327,9 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      (fold != held_fold).alias("train"))
     size = docs.agg(F.sum(F.length("text") + 1), F.sum(F.col("train").cast("long"))).first()
     chunks = parts_for(size[0], CHUNK_CHARS)
-    salts = parts_for(chunks, CHUNKS_PER_SALT)
     docs = docs.withColumn("chunk", F.pmod(F.xxhash64("_id", "text"), F.lit(chunks)))
-    blobs = materialise(docs.groupBy("chunk").applyInArrow(collect_chunk(chunks, salts), BLOB),
-                        "runs")
+    blobs = materialise(docs.groupBy("chunk").applyInArrow(collect_chunk(chunks), BLOB), "runs")
+    blobs, large = salted(blobs)
     partial = blobs.groupBy("kind", "bin", "salt").applyInArrow(merge_counts, MODEL)
     model = materialise(partial.groupBy("kind", "bin").applyInArrow(merge_counts, MODEL), "trie")
     short = (model.where(F.col("kind") == RUNS).mapInArrow(short_runs, "run long, n long")
@@ -322,10 +339,12 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = size[1] or 0
     total, vocabulary = (words[0] or 0) + ends, (words[1] or 0) + (ends > 0)
 
-    salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                           F.lit(salts - 1).cast("long"))))
+    # only the model of a large bin is sent more than once
+    copies = model.withColumn("salt", F.lit(0).cast("long")) if large is None else (
+        model.join(large, ["kind", "bin"], "left").withColumn("salt", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.coalesce("salts", F.lit(1).cast("long")) - 1))).drop("salts"))
     asked = blobs.drop("counts")
-    answers = (asked.groupBy("kind", "bin", "salt").cogroup(salted.groupBy("kind", "bin", "salt"))
+    answers = (asked.groupBy("kind", "bin", "salt").cogroup(copies.groupBy("kind", "bin", "salt"))
                .applyInArrow(answer(short), "kind int, chunk long, keys binary, vals binary"))
     scored = docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score_chunk, "_id long, train boolean, n_tokens long, n_known long, logs double, "

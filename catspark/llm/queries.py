@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.ranking import global_rank
 from ..session import materialise
 from . import (codes, cuckoo, decontamination, dialogue, html_text, kdtree, neardup, packing, ppm,
                quality, substring, token_files, warc)
@@ -130,10 +131,14 @@ def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
+    placed = docs
+    for name in ("lang", "source"):  # in name order, so that a median parts neighbours by name
+        ranks = global_rank(docs.select(name).where(F.col(name).isNotNull()).distinct(), [name],
+                            f"{name}_rank")
+        placed = placed.join(ranks, name, "left")
     dims = {"size": F.floor(F.log2(F.octet_length(text) + 1) * 1000),
-            "lang": F.crc32(F.coalesce("lang", F.lit(""))) % 1000,
-            "source": F.crc32(F.coalesce("source", F.lit(""))) % 1000}
-    shards = materialise(kdtree.kd_shards(docs, "text", dims, shards=8), "shards")
+            "lang": F.col("lang_rank"), "source": F.col("source_rank")}
+    shards = materialise(kdtree.kd_shards(placed, "text", dims, shards=8), "shards")
     rows = docs.select(
         "doc_id", F.coalesce(F.octet_length("text") + 1, F.lit(1)).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), kdtree.group_key("text").alias("key"))

@@ -261,8 +261,8 @@ def brute_ppm(train):
 
 
 def test_ppm_scores_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ppm, "CHUNK_CHARS", 9000)  # several chunks and salts
-    monkeypatch.setattr(ppm, "CHUNKS_PER_SALT", 3)
+    monkeypatch.setattr(ppm, "CHUNK_CHARS", 9000)  # several chunks, and bins that are split
+    monkeypatch.setattr(ppm, "BIN_BYTES", 20_000)
     df, rows = cases.documents(spark)
     held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
     train = [r[1] for r in rows if not held(r[0])]
@@ -283,6 +283,16 @@ def test_ppm_scores_equal_brute_force(spark, monkeypatch):
     assert ppm.score(cases.empty(spark)).count() == 0
 
 
+def test_only_large_bins_are_split(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "BIN_BYTES", 100)
+    rows = [(0, 0, c, bytes(80 if c < 5 else 0), b"") for c in range(9)]
+    rows += [(0, 1, c, bytes(8), b"") for c in range(9)]
+    blobs, large = ppm.salted(spark.createDataFrame(rows, ppm.BLOB))
+    assert [tuple(r) for r in large.collect()] == [(0, 0, 4)]
+    salts = {(r["bin"], r["chunk"]): r["salt"] for r in blobs.collect()}
+    assert salts == {(b, c): c % 4 if b == 0 else 0 for b in (0, 1) for c in range(9)}
+
+
 def test_ppm_without_training_rows(spark):
     rows = [(i, "ab", "", "", 0) for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
     got = ppm.score(spark.createDataFrame(rows, cases.DOC)).collect()
