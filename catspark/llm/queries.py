@@ -156,12 +156,130 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(codes.books_sha256(books)).alias("codebooks_sha256"))
 
 
+def _lloyd_sql(rounds: int) -> str:
+    """Codebook b{i} and assignment a{i} of every round, then the final assignment."""
+    near = ("SELECT rid, part, any_value(q) AS q, min({{'d': list_sum(list_transform(range(1, len(q) + 1), "
+            "lambda i: (q[i] - c[i]) * (q[i] - c[i])))::BIGINT, 'k': entry}}) AS m "
+            "FROM p JOIN b{0} USING (part) GROUP BY rid, part")
+    mean = ("SELECT part, k AS entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS c FROM ("
+            "SELECT part, m.k AS k, pos, sum(q[pos])::BIGINT AS s, count(*) AS n "
+            "FROM a{0}, unnest(range(1, len(q) + 1)) u(pos) GROUP BY part, m.k, pos) GROUP BY part, k")
+    parts = []
+    for i in range(rounds):
+        parts += [f"a{i} AS ({near.format(i)})", f"m{i} AS ({mean.format(i)})",
+                  f"b{i + 1} AS (SELECT b{i}.part, b{i}.entry, coalesce(m{i}.c, b{i}.c) AS c "
+                  f"FROM b{i} LEFT JOIN m{i} USING (part, entry))"]
+    return ",\n".join([*parts, f"a{rounds} AS ({near.format(rounds)})"])
+
+
+OP11_SQL = f"""
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER () AS rid,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+f AS (SELECT rid, len(e) AS n, row_number() OVER (ORDER BY vec_id NULLS LAST, e) - 1 AS entry FROM v),
+w AS (SELECT n // 16 AS w, n FROM f WHERE entry = 0),
+p AS (SELECT rid, j AS part, e[j * w + 1 : (j + 1) * w] AS q
+      FROM v, w, unnest(range(16)) t(j) WHERE len(e) = w.n),
+b0 AS (SELECT part, entry, q AS c FROM p JOIN f USING (rid) WHERE entry < 64),
+{_lloyd_sql(2)},
+codes AS (SELECT rid, string_agg(printf('%02x', m.k), '' ORDER BY part) AS code,
+                 sum(m.d)::BIGINT AS error FROM a2 GROUP BY rid)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b2)
+         AS codebooks_sha256
+FROM v JOIN codes USING (rid)
+"""
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dialogue.repair_digest(_table(spark, sf_dir, "conversations"))
     return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
                       "audit", "repaired_sha256")
 
 
+def _edits_sql() -> str:
+    """Rows (state, edits, initial needed, next state, cost, inserted role, new role).
+
+    States: 0 nothing yet, 1 after system, 2 after user, 3 after assistant.
+    """
+    after, role = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+    rows = []
+    for s in range(4):
+        for put in (False, True):
+            at, lead, cost = (after[s], "I", 3) if put else (s, "", 0)
+            new = f"'{role[at]}'" if put else "NULL"
+            to = after[at]
+            rows.append((s, lead + "D", "", at, cost + 4, new, "NULL"))
+            rows.append((s, lead + "R", "", to, cost + 3, new, f"'{role[to]}'"))
+            rows.append((s, lead + "K", role[to][0], to, cost, new, "NULL"))
+            if at == 0:
+                rows.append((s, lead + "K", "s", 1, cost, new, "NULL"))
+    return ", ".join(f"({s}, '{e}', '{need}', {to}, {c}, {put}, {new})"
+                     for s, e, need, to, c, put, new in rows)
+
+
+_CRC_SQL = ("xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), "
+            "lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), "
+            "[0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 "
+            "THEN 3988292384::BIGINT ELSE 0::BIGINT END))))")
+OP12_SQL = rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hashed AS (SELECT *, {_CRC_SQL} % 20 AS r FROM raw),
+damaged AS (
+  SELECT conv_id AS conv, turn, CASE WHEN r = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN r = 1 THEN '' WHEN r = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, unnest(CASE WHEN r = 3 THEN [0, 1] ELSE [0] END) c(copy) WHERE r <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS pos,
+         CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE '?' END AS initial,
+         regexp_replace(text, '[\x20\x09-\x0D]+\z', '') AS body FROM damaged),
+rows_ AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1
+                 THEN 'duplicate' WHEN body[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv ORDER BY pos) AS before FROM ordered),
+edits(s, e, need, ns, c, put, new) AS (VALUES {_edits_sql()}),
+dp(conv, i, s, cost, audit, lines) AS (
+  SELECT DISTINCT conv, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM rows_
+  UNION ALL
+  SELECT conv, i, s, cost, audit, lines FROM (
+    SELECT d.conv, d.i + 1 AS i, t.ns AS s,
+           d.cost + t.c + CASE WHEN r.fault = 'truncated' AND t.e[-1] <> 'D' THEN 3 ELSE 0 END AS cost,
+           d.audit || t.e AS audit,
+           d.lines || CASE WHEN t.put IS NULL THEN []::VARCHAR[] ELSE [t.put || ':'] END
+             || CASE t.e[-1] WHEN 'D' THEN []::VARCHAR[]
+                             ELSE [coalesce(t.new, r.role) || ':' || r.text] END AS lines
+    FROM dp d JOIN rows_ r ON r.conv IS NOT DISTINCT FROM d.conv AND r.pos = d.i + 1
+    JOIN edits t ON t.s = d.s AND (t.need = '' OR t.need = r.initial)
+     AND (t.e[-1] = 'D' OR r.fault NOT IN ('blank', 'duplicate')))
+  QUALIFY row_number() OVER (PARTITION BY conv, s ORDER BY cost, audit) = 1),
+counts AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv),
+ends AS (
+  SELECT d.conv, d.cost + f.c AS cost, d.audit || f.e AS audit, d.lines || f.l AS lines
+  FROM dp d JOIN counts k ON k.conv IS NOT DISTINCT FROM d.conv AND k.n = d.i
+  JOIN (VALUES (0, '', 0, []::VARCHAR[]), (3, '', 0, []::VARCHAR[]), (2, 'I', 3, ['assistant:']),
+               (1, 'II', 6, ['user:', 'assistant:'])) f(s, e, c, l) ON f.s = d.s
+  QUALIFY row_number() OVER (PARTITION BY d.conv ORDER BY d.cost + f.c, d.audit || f.e) = 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts k ON k.conv IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends x ON x.conv IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cuckoo.exact_duplicates(_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
@@ -188,4 +306,5 @@ QUERIES = {"op1_packing": op1_packing, "op2_decontamination": op2_decontaminatio
            "op13_exact_dedup": op13_exact_dedup}
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL,
                        "op7_substring_dedup": OP7_SQL,
+                       "op11_vector_codes": OP11_SQL, "op12_conversation_repair": OP12_SQL,
                        "op13_exact_dedup": OP13_SQL}
