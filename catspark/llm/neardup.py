@@ -373,7 +373,8 @@ def rare_pairs(live: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     two similar texts share, either has at most 1 - threshold of its shingles
     (plain Jaccard) or of its weight (probability Jaccard), because the other
     lacks them; so both hold that shingle in this first part.  Of the classes
-    that meet in a shingle the largest is not paired with itself.
+    that meet in a shingle the largest is not paired with itself; bitmaps and the
+    numbers of shingles before the common one drop pairs within the join.
     """
     some = materialise(bags.join(live, "member").select("member", "class", "shingles", "weights"), "texts")
     rows = materialise(some.mapInArrow(_explode_shingles, EXPLODED), "shingles")
@@ -389,31 +390,27 @@ def rare_pairs(live: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     room = 1 - threshold + 1e-9
     first = (held.withColumn("nb", n_before).withColumn("wb", w_before)
              .where((F.col("nb") <= room * F.col("n")) | (F.col("wb") <= room * F.col("w")))
-             .select("shingle", "member", "n", "w").join(live, "member"))
+             .select("shingle", "member", "nb").join(live, "member"))
     first = materialise(first, "rare")
     per_class = first.groupBy("shingle", "class").agg(F.count(F.lit(1)).alias("k"))
     mixed_ = materialise(per_class.groupBy("shingle").agg(
         F.max_by("class", "k").alias("main"), F.count(F.lit(1)).alias("classes"))
         .where("classes > 1").select("shingle", "main"), "met")
-    meeting = materialise(first.join(mixed_, "shingle"), "meeting")
+    meeting = materialise(first.join(mixed_, "shingle").join(bitmaps(some), "member"), "meeting")
     others = meeting.where("class <> main").select(
-        F.col("shingle").alias("s2"), F.col("member").alias("m2"), F.col("class").alias("c2"),
-        F.col("n").alias("n2"), F.col("w").alias("w2"))
-    least = threshold - 1e-9
-    # plain Jaccard bounds the numbers of shingles; probability Jaccard does not, where any repeat
-    alike = ((F.least("n", "n2") >= least * F.greatest("n", "n2"))
-             | (F.col("w") > F.col("n")) | (F.col("w2") > F.col("n2")))
+        [F.col(c).alias(f"o_{c}") for c in meeting.columns])
     # two members outside the main class meet twice: the smaller one keeps the pair
-    once = (F.col("class") == F.col("main")) | (F.col("member") < F.col("m2"))
-    pairs = (meeting.join(others, (F.col("shingle") == F.col("s2")) & (F.col("class") != F.col("c2"))
-                          & once & alike)
-             .select(F.least("member", "m2").alias("a"), F.greatest("member", "m2").alias("b")).distinct())
-    marks = materialise(bitmaps(some), "bitmaps")
-    left = marks.withColumnRenamed("member", "a")
-    right = marks.select(F.col("member").alias("b"),
-                         *[F.col(c).alias(f"o_{c}") for c in ("n", "w", "bits", *BITMAP)])
-    met = materialise(pairs, "met_pairs")
-    return met.join(left, "a").join(right, "b").where(may_be_similar(threshold, "o_")).select("a", "b")
+    once = (F.col("class") == F.col("main")) | (F.col("member") < F.col("o_member"))
+    # at their first common shingle, what comes before it in either text is not common; where
+    # shingles repeat, numbers do not bound probability Jaccard
+    after = F.least(F.col("n") - F.col("nb"), F.col("o_n") - F.col("o_nb"))
+    share = (threshold - 1e-9) / (1 + threshold)
+    left = ((after >= share * (F.col("n") + F.col("o_n")))
+            | (F.col("w") > F.col("n")) | (F.col("o_w") > F.col("o_n")))
+    alike = ((F.col("shingle") == F.col("o_shingle")) & (F.col("class") != F.col("o_class"))
+             & once & left & may_be_similar(threshold, "o_"))
+    return meeting.join(others, alike).select(
+        F.least("member", "o_member").alias("a"), F.greatest("member", "o_member").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
