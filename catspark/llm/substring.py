@@ -1,9 +1,9 @@
-"""Substring dedup (operator 7): prefix-partitioned suffix trees over words.
+"""Substring dedup (operator 7): windows that start earlier elsewhere, by prefix groups.
 
 A suffix starts at every word.  Two suffixes that share their first ``window``
-words meet in an internal node of the suffix tree at that depth or deeper; the
+words meet in an internal node of a suffix tree at that depth or deeper; the
 node's first suffix (smallest document id, then start) stays, the others'
-words go.  The tree is never built whole:
+words go.  No tree is built; its nodes of that depth are found as groups:
 
 Copies of whole texts are set aside first: of each only the first is looked at.
 
@@ -13,12 +13,11 @@ Copies of whole texts are set aside first: of each only the first is looked at.
    packed arrays, a fifth of the words and a few bytes each.
 2. The suffixes that are left are dealt by prefixes of variable length: the
    first word, or more words where more than ``limit`` suffixes fall into the
-   prefix's group, so every group of subtrees fits a task's memory.
-3. Each task sorts its suffixes, which is a suffix tree's order; runs that
-   agree to the wanted depth are its deep nodes.  Edges carry 64-bit
-   fingerprints of their words instead of the words.  A prefix that is still
-   too frequent at full depth is one node; its first suffix comes from an
-   aggregate, whatever its size.
+   prefix's group, so every group fits a task's memory.
+3. Each task sorts its suffixes by a 64-bit fingerprint of their window and by
+   place; equal fingerprints are one node.  A prefix that is still too frequent
+   at full depth is one node; its first suffix comes from an aggregate,
+   whatever its size.
 """
 
 from __future__ import annotations
