@@ -1,23 +1,28 @@
-"""Substring dedup (operator 7): windows that start earlier elsewhere, by prefix groups.
+"""Substring dedup (operator 7): prefix-partitioned suffix trees over words.
 
 A suffix starts at every word.  Two suffixes that share their first ``window``
-words meet in an internal node of a suffix tree at that depth or deeper; the
+words meet in an internal node of the suffix tree at that depth or deeper; the
 node's first suffix (smallest document id, then start) stays, the others'
-words go.  No tree is built; its nodes of that depth are found as groups:
+words go, and the words that go in a row are the span of a maximal repeat.
+The trees are truncated at ``window`` words: every window inside a longer
+repeat is a node of its own, so nothing is lost below that depth.
 
 Copies of whole texts are set aside first: of each only the first is looked at.
 
 1. Leaves are pruned.  A window's anchor is the smallest hash of its shorter
    runs; equal windows have equal anchors, so a window whose anchor no other
    place has is a leaf above the wanted depth.  Anchors are dealt by hash in
-   packed arrays, a fifth of the words and a few bytes each.
+   packed arrays, a fifth of the words and a few bytes each.  An anchor that a
+   batch holds more than once is sent once a batch, however often it occurs.
 2. The suffixes that are left are dealt by prefixes of variable length: the
    first word, or more words where more than ``limit`` suffixes fall into the
    prefix's group, so every group fits a task's memory.
-3. Each task sorts its suffixes by a 64-bit fingerprint of their window and by
-   place; equal fingerprints are one node.  A prefix that is still too frequent
-   at full depth is one node; its first suffix comes from an aggregate,
-   whatever its size.
+3. Each task sorts its suffixes by their words, takes the common prefix of each
+   with the one before, and cuts the order into the nodes at full depth.  A word
+   is written as 16 bits of its hash and a suffix also carries 64 bits of its
+   window's: different windows are one node only if both agree.  A prefix that
+   is still too frequent at full depth is one node; its first suffix comes from
+   an aggregate, whatever its size.
 """
 
 from __future__ import annotations
@@ -116,7 +121,12 @@ def repeated_anchors(rows: DataFrame, window: int, n_bins: int) -> DataFrame:
 
     def anchors(batches):
         for texts, hs, ords, contents in _slices(batches, ["text", "h", "ord", "content"]):
-            flat, counts = words_of(texts)
+            # later copies within the batch are never reported
+            hs, ords, contents = (np.array(x, np.int64) for x in (hs, ords, contents))
+            order = np.lexsort((hs, ords, contents))
+            of = np.sort(order[first_of_runs(contents[order], np.zeros(len(hs), np.int8))])
+            hs, ords, contents = hs[of], ords[of], contents[of]
+            flat, counts = words_of([texts[i] for i in of])
             # value and place of each window's anchor: windows in a row that have it from the
             # same place differ, so only runs of such windows are sent
             value = mixed(rolling(symbols(flat), gram))
@@ -133,23 +143,39 @@ def repeated_anchors(rows: DataFrame, window: int, n_bins: int) -> DataFrame:
             n = np.diff(np.append(first, len(at)))
             start = at[first] - (np.cumsum(counts) - counts)[owner[first]]
             value = low[at[first]] >> np.uint64(20)
-            yield _blob_rows((value % np.uint64(n_bins)).astype(np.int64), owner[first],
-                             np.array([hs, ords, contents], "<i8").T,
-                             (value >> np.uint64(12)).astype("<u4"), start.astype("<u4"),
-                             n.astype("<u2"))
+            docs, owner = np.array([hs, ords, contents], "<i8").T, owner[first]
+            # what the batch holds twice is known to be shared: its runs are passed on in a bin
+            # of the batch's own, and one entry without windows tells the anchor's bin
+            _, rep, group, times = np.unique(value, return_index=True, return_inverse=True,
+                                             return_counts=True)
+            known = (times > 1)[group]
+            send = ~known
+            send[rep] = True
+            cols = [(value >> np.uint64(12)).astype("<u4"), start.astype("<u4"), n.astype("<u2")]
+            if known.any():
+                own = -1 - int(hs[0]) % n_bins
+                yield _blob_rows(np.full(int(known.sum()), own), owner[known], docs,
+                                 *[c[known] for c in cols])
+            cols[2] = np.where(known, 0, n).astype("<u2")
+            yield _blob_rows((value % np.uint64(n_bins)).astype(np.int64)[send], owner[send], docs,
+                             *[c[send] for c in cols])
 
     def shared(key, table):
         docs, owner, (value, start, n) = _entries(table, 3, "<u4", "<u4", "<u2")
+        if key[0].as_py() < 0:
+            return _spans_rows(docs, owner, start, n.astype("<u4"))
+        told = value[n == 0]
         order = np.lexsort((docs[:, 0], docs[:, 1], docs[:, 2]))  # content, ord, h
         first = first_of_runs(docs[order, 2], np.zeros(len(docs), np.int8))
-        head = np.repeat(order[first], np.diff(np.append(first, len(order))))
-        is_first = np.zeros(len(docs), bool)  # the same h may come in several rows
-        is_first[order] = docs[order, 0] == docs[head, 0]
-        keep = is_first[owner]
+        is_first = np.zeros(len(docs), bool)
+        is_first[order[first]] = True
+        # the same document may come in several rows: its entries are in the first of them, or
+        # were passed on by the batch of the others
+        keep = is_first[owner] & (n > 0)
         owner, value, start, n = owner[keep], value[keep], start[keep], n[keep]
         ordered = np.sort(value)
-        # an anchor is shared if another run has it
-        twice = np.unique(ordered[:-1][ordered[1:] == ordered[:-1]])
+        # an anchor is shared if another run has it, or a batch said so
+        twice = np.union1d(ordered[:-1][ordered[1:] == ordered[:-1]], told)
         i = np.searchsorted(twice, value)
         hit = np.zeros(len(value), bool)
         inside = i < len(twice)
@@ -185,7 +211,7 @@ def unpack(pairs) -> list:
 
 
 def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     window: int = 20, limit: int = 2_000_000) -> DataFrame:
+                     window: int = 20, limit: int = 1_000_000) -> DataFrame:
     """One row per row of ``df``: _id, _h (see ``row_key``), n_words, n_removed,
     spans (removed words as (first word, number) pairs), kept_sha256 and, where words were
     removed, text: the kept words joined by one space.
@@ -208,7 +234,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chars = df.agg(F.sum(F.length(text_col))).first()[0]
     # about a word in five characters, an anchor in five words
     suspects = materialise(repeated_anchors(rows.select("h", "ord", "content", "text"), window,
-                                            parts_for(chars, 25 * limit)), "anchors")
+                                            parts_for(chars, 50 * limit)), "anchors")
     known = (suspects.select("h", "a", "b", F.lit(False).alias("copy"))
              .union(later_copies(rows).select("h", F.lit(None), F.lit(None), F.lit(True)))
              .groupBy("h").agg(F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "b")))
@@ -290,6 +316,11 @@ class Suffixes:
         self.words = self.first[self.owner] + self.start.astype(np.int64)
         self.prints = mixed(rolling(self.symbols, window))[self.words]
 
+    def codes(self, which: np.ndarray) -> np.ndarray:
+        """Words of the named suffixes down to the window's depth, 16 bits each; one row a suffix."""
+        short = (mixed(self.symbols) >> np.uint64(48)).astype(">u2")
+        return np.lib.stride_tricks.sliding_window_view(short, self.window)[self.words[which]]
+
     def prefix(self, level: int) -> np.ndarray:
         return mixed(rolling(self.symbols, level))[self.words] if level < self.window \
             else self.prints
@@ -362,6 +393,30 @@ def _first_of_heavy(some: DataFrame, window: int, heavy: dict, n: int) -> dict[i
     return {r["p"]: tuple(r["f"]) for r in found}
 
 
+def sort_keys(codes: np.ndarray) -> np.ndarray:
+    """Rows of 16-bit words as rows of 64-bit numbers in the same order; the rest is zero."""
+    n, window = codes.shape
+    wide = np.zeros((n, -(-window // 4) * 4), ">u2")
+    wide[:, :window] = codes
+    return wide.view(">u8").astype(np.uint64)
+
+
+def common_prefixes(keys: np.ndarray, prints: np.ndarray, window: int) -> np.ndarray:
+    """Words that each suffix, in sorted order, shares with the one before (0 for the first).
+
+    ``prints`` decide about the last word where all codes agree.
+    """
+    out = np.zeros(len(keys), np.int64)
+    if len(keys) > 1:
+        first = np.full(len(keys) - 1, window)
+        for i in reversed(range(keys.shape[1])):
+            x = keys[1:, i] ^ keys[:-1, i]
+            same = sum((x < np.uint64(1 << bits)).astype(np.int64) for bits in (48, 32, 16))
+            first = np.where(x != 0, 4 * i + same, first)
+        out[1:] = np.where((first >= window) & (prints[1:] != prints[:-1]), window - 1, first)
+    return out
+
+
 def _tree_repeats(some: DataFrame, window: int, heavy: dict, n: int, bins: int) -> DataFrame:
     """(h, a, b): windows (first word, 1) that are not the first of their node, per document."""
     import pyarrow as pa
@@ -371,14 +426,16 @@ def _tree_repeats(some: DataFrame, window: int, heavy: dict, n: int, bins: int)
             s = Suffixes(batch, window)
             group, found = s.groups(heavy, n)
             yield _blob_rows((group[found] % np.uint64(bins)).astype(np.int64), s.owner[found],
-                             s.docs, s.prints[found], s.start[found])
+                             s.docs, s.prints[found], s.start[found], s.codes(found))
 
     def subtrees(key, table):
-        docs, owner, (prints, start) = _entries(table, 2, "<u8", "<u4")
-        order = np.lexsort((start, docs[owner, 0], docs[owner, 1], prints))
-        node = prints[order]
-        first = first_of_runs(node, np.zeros(len(node), np.int8))
-        head = np.repeat(order[first], np.diff(np.append(first, len(node))))
+        docs, owner, (prints, start, codes) = _entries(table, 2, "<u8", "<u4", ">u2")
+        keys = sort_keys(codes.reshape(-1, window))
+        del codes
+        order = np.lexsort((start, docs[owner, 0], docs[owner, 1], prints, *keys.T[::-1]))
+        depth = common_prefixes(keys[order], prints[order], window)
+        first = np.flatnonzero(depth < window)  # where another node, or a leaf, begins
+        head = np.repeat(order[first], np.diff(np.append(first, len(order))))
         # repeated rows are the same document: their suffixes are the first one too
         later = (docs[owner[order], 0] != docs[owner[head], 0]) | (start[order] != start[head])
         hit = np.sort(order[later])

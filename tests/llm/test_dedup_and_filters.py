@@ -37,6 +37,44 @@ def test_substring_dedup_when_prefixes_exceed_a_task(spark):
     assert sorted(map(tuple, normal), key=key) == sorted(map(tuple, tight), key=key)
 
 
+@pytest.mark.parametrize("window", [3, 4, 20])
+def test_suffix_order_and_common_prefixes(window):
+    """Sorted keys are in the order of the words, and neighbours' prefixes are counted in words."""
+    rng = np.random.default_rng(window)
+    codes = rng.choice([0, 1, 255, 256, 65535], (500, window), p=[.6, .1, .1, .1, .1])
+    codes = np.concatenate([codes, codes[:100]])
+    prints = rng.integers(0, 2, len(codes)).astype(np.uint64)
+    keys = substring.sort_keys(codes.astype(">u2"))
+    order = np.lexsort((prints, *keys.T[::-1]))
+    rows = [(*codes[i].tolist(), int(prints[i])) for i in order]
+    assert rows == sorted(rows)
+    expect = [0]
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        same = next((i for i in range(window) if a[i] != b[i]), window)
+        expect.append(window - 1 if same == window and a[-1] != b[-1] else same)
+    assert substring.common_prefixes(keys[order], prints[order], window).tolist() == expect
+
+
+def test_substring_anchors_known_within_a_batch(spark):
+    """Copies and shared passages in one batch and over batches, whichever row comes first."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    own = lambda k, n=30: " ".join(f"w{k}x{i}" for i in range(n))
+    texts = [own(k) + " " + passage + " " + own(k + 100) for k in range(6)] + [passage + " " + own(7)]
+    rows = [(i + 10, t) for i, t in enumerate(texts)]
+    rows += [(3, texts[2]), (30, texts[0]), (30, texts[0]), (31, own(50) + " " + own(50))]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")
+        want = cases.removed_words(rows, 20)
+        got = {(r["_id"], r["kept_sha256"], r["n_removed"])
+               for r in substring.dedup_substrings(df).collect()}
+        expect = set()
+        for d, t in rows:
+            w, gone = want[False, d, t]
+            left = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+            expect.add((d, hashlib.sha256(left.encode()).hexdigest(), sum(gone)))
+        assert got == expect
+
+
 def test_substring_spans_name_the_removed_words(spark):
     df, rows = cases.documents(spark)
     want = cases.removed_words(rows, 20)
