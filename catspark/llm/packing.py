@@ -10,6 +10,7 @@ all tasks (mostly those still open at a task's end) are merged by best fit.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +102,10 @@ def sequences(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
     part = windows.where(F.col("fill") < size)
     left = materialise(part.select(F.col("sequence_id").alias("window_id"), "fill"), "leftovers")
     moves = merge_leftovers(left, left.count(), size)
-    # only part-filled windows move; a sequence holds at most ``size`` ids
+    # only windows that share a sequence move, most stay where they are; a sequence holds at most
+    # ``size`` ids
+    stay = part.join(moves.select(F.col("window_id").alias("sequence_id")), "sequence_id",
+                     "left_anti")
     moved = part.withColumnRenamed("sequence_id", "window_id").join(moves, "window_id")
     shifted = F.transform("pieces", lambda p: p.withField("offset", p["offset"] + F.col("shift")))
     merged = (moved.groupBy("sequence_id").agg(
@@ -110,7 +114,8 @@ def sequences(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
         .select("sequence_id", "fill", F.flatten(F.col("w.pieces")).alias("pieces"),
                 F.aggregate("w", F.lit(b""), lambda x, w: F.concat(x, w["ids"])).alias("ids")))
     padding = F.rpad("ids", 4 * size, F.lit(b"\0"))
-    return (windows.where(F.col("fill") >= size).unionByName(materialise(merged, "merged_windows"))
+    return (windows.where(F.col("fill") >= size).unionByName(stay)
+            .unionByName(materialise(merged, "merged_windows"))
             .select("sequence_id", "fill", "pieces", padding.alias("ids")))
 
 
@@ -134,18 +139,20 @@ def merge_leftovers(left: DataFrame, n: int, size: int) -> DataFrame:
     """(window_id, sequence_id, shift) that joins part-filled windows, fullest first, by best fit.
 
     Tasks get a bounded number of windows each, in random order, so that fills
-    of all sizes meet.  A window keeps its own id when it is the first of a sequence.
+    of all sizes meet.  A window keeps its own id when it is the first of a sequence; windows
+    that share theirs with no other are left out.
     """
     def merge(frames):
         import pandas as pd
         parts = list(frames)  # bounded: about MERGE_ROWS rows
         rows = pd.concat(parts) if parts else pd.DataFrame({"window_id": [], "fill": []})
         rows = rows.sort_values(["fill", "window_id"], ascending=[False, True])
-        windows, first, out = OpenWindows(size, len(rows)), {}, []
+        windows, first, out, times = OpenWindows(size, len(rows)), {}, [], Counter()
         for window_id, fill in zip(rows["window_id"], rows["fill"], strict=True):
             seq, shift = windows.place(int(fill))
             out.append((window_id, first.setdefault(seq, window_id), shift))
-        yield pd.DataFrame(out, columns=["window_id", "sequence_id", "shift"])
+            times[out[-1][1]] += 1
+        yield pd.DataFrame([x for x in out if times[x[1]] > 1], columns=["window_id", "sequence_id", "shift"])
 
     dealt = left.repartition(parts_for(n, MERGE_ROWS), F.xxhash64("window_id"))
     return materialise(dealt.mapInPandas(merge, "window_id long, sequence_id long, shift long"),
