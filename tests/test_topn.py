@@ -64,3 +64,31 @@ def test_pages_and_centroids_without_shared_words(spark):
     assert [tuple(r) for r in got] == [("p", "c", 1.0)]
     recs = best(K.recommendations(topn.best_categories(vec, cents, counts, cats), counts, cats))
     assert recs == {("p", 1): ("c", 1.0), ("p", 2): ("d", 0.0), ("q", 1): ("c", 0.0), ("q", 2): ("d", 0.0)}
+
+
+def test_sums_over_chunks_of_words_equal_full_scores(spark, monkeypatch):
+    p = Pipeline(spark, SF0001)
+    counts = K.suggestion_counts(p.cat.pages, p.cat.catpage, p.cent_cats)
+    plain = {(r["title"], r["cat_name"]): r["score"]
+             for r in K.cosine(p.vectors, p.centroids, "title", "cat_name").collect()}
+    sent = []
+
+    def recorded(page_rows, words, *args, **kw):
+        sent.append(page_rows)
+        return summed(page_rows, words, *args, **kw)
+
+    summed = topn.summed_scores
+    monkeypatch.setattr(topn, "summed_scores", recorded)
+    monkeypatch.setattr(topn, "COPIES", 0)
+    for entries, blocks in ((10_000_000, 64), (3000, 64), (3000, 2)):
+        monkeypatch.setattr(topn, "CHUNK_ENTRIES", entries)
+        monkeypatch.setattr(topn, "CHUNK_BLOCKS", blocks)
+        scores = {(r["title"], r["cat_name"]): r["score"]
+                  for r in K.category_scores(p.vectors, p.centroids).collect()}
+        assert scores.keys() == plain.keys()
+        assert all(abs(scores[k] - plain[k]) < 1e-12 for k in plain)
+        few = topn.best_categories(p.vectors, p.centroids, counts, p.cent_cats)
+        full = K.recommendations(K.category_scores(p.vectors, p.centroids), counts, p.cent_cats)
+        assert best(K.recommendations(few, counts, p.cent_cats)) == best(full)
+        assert few.count() < len(plain)
+    assert len(sent) == 9
