@@ -109,3 +109,29 @@ def test_two_part_words(spark):
                                "title string, text string")
     toks = [r.token for r in I.tokens(df).collect()]
     assert toks == "i can not go gon na wait gim me that".split()
+
+
+def test_two_part_words_split_in_the_text_as_per_token(spark):
+    r = random.Random(4)
+    bits = ["cannot", "gonna", "Wanna", "CANNOT", "n't", "'s", "'", ",", ":", ".", "...", " ", "\n",
+            "\x85", "\x1f", "x", "3", "(", "gimmes", "cannot's", "lemme", "gotta,", "\u0130"]
+    rows = [(str(i), "".join(r.choice(bits) + r.choice(["", " "]) for _ in range(r.randint(0, 9))))
+            for i in range(2000)] + [("n", None), ("e", "")]
+    texts = spark.createDataFrame(rows, "title string, text string")
+    plain = F.split(F.lower(T.apply_rules(F.col("text"), T.TOKEN_RULES)), "(?d)" + T.TOKEN_SPLIT)
+    want = (texts.where("text IS NOT NULL").select("title", F.explode(plain).alias("token"))
+            .where("token <> ''").select("title", F.explode(T.split_contractions(F.col("token")))))
+    got = I.tokens(texts)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_written_counts_hold_the_totals_of_documents(spark):
+    texts = spark.createDataFrame([("a", "red reds blue"), ("a", "red green"), (None, "blue"),
+                                   (None, "sky"), ("c", None)], "title string, text string")
+    idx = I.Index(texts)
+    plan = idx.postings._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    got = sorted((r.title or "", r.word, round(r.tf, 6)) for r in idx.postings.collect())
+    assert got == [("", "blue", 0.5), ("", "sky", 0.5), ("a", "blue", 0.2), ("a", "green", 0.2),
+                   ("a", "red", 0.6)]
+    assert idx.counts.columns == ["title", "word", "n"]
