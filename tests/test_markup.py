@@ -62,3 +62,14 @@ def test_time_grows_with_the_length(mark):
     t0 = time.time()
     assert len(STRIP(mark * 100_000)) <= len(mark) * 100_000
     assert time.time() - t0 < 10
+
+
+def test_batches_are_cut_into_slices_of_bounded_text(spark, monkeypatch):
+    from catspark.functions import markup
+    rows = [(i, None if i % 7 == 0 else "" if i % 5 == 0 else f"{{{{box}}}} [[a|b{i}]] <i>t</i>")
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, text string").coalesce(1)
+    strip = markup.make_strip()
+    monkeypatch.setattr(markup, "SLICE_BYTES", 100)  # far less than the batch
+    got = dict(df.select("i", markup.strip_marks(F.col("text"))).collect())
+    assert got == {i: strip(t) for i, t in rows}
