@@ -52,6 +52,20 @@ def words(texts: DataFrame) -> DataFrame:
                        F.coalesce(F.col("next").rlike(CAPITAL), F.lit(False)).alias("next_capital"))
 
 
+def counted(found: DataFrame) -> DataFrame:
+    """(type, period, next_type, k), written: how often each word comes, by what follows its period.
+
+    Both models read this table in place of ``words``, so the texts are split once."""
+    follows = F.when(F.col("period"), F.col("next_type")).alias("next_type")
+    rows = found.where("type IS NOT NULL").groupBy("type", "period", follows)
+    return materialise(rows.agg(F.count(F.lit(1)).alias("k")), "counted_words")
+
+
+def _times(found: DataFrame) -> Column:
+    """How many words a row of ``words`` or ``counted`` stands for."""
+    return F.col("k") if "k" in found.columns else F.lit(1).cast("long")
+
+
 def _times_log(n: Column, p: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).otherwise(n * F.log(p))
 
@@ -69,10 +83,11 @@ def abbreviation_score(with_: Column, without: Column, type_: Column, periods: C
 
 
 def abbreviations(found: DataFrame) -> DataFrame:
-    """(type, n_with, n_without, score) of the abbreviations in ``words``."""
+    """(type, n_with, n_without, score) of the abbreviations in ``words`` (or ``counted``)."""
+    none, k = F.lit(0).cast("long"), _times(found)
     counts = materialise(found.where("type IS NOT NULL").groupBy("type").agg(
-        F.count_if("period").alias("n_with"), F.count_if(~F.col("period")).alias("n_without")),
-        "types")
+        F.sum(F.when(F.col("period"), k).otherwise(none)).alias("n_with"),
+        F.sum(F.when(F.col("period"), none).otherwise(k)).alias("n_without")), "types")
     periods = counts.agg(F.sum("n_with")).scalar()
     total = counts.agg(F.sum(F.col("n_with") + F.col("n_without"))).scalar()
     score = abbreviation_score(F.col("n_with"), F.col("n_without"), F.col("type"), periods, total)
@@ -95,11 +110,11 @@ def collocation_ratio(a: Column, b: Column, ab: Column, n: Column) -> Column:
 def sentence_starters(found: DataFrame, abbrs: DataFrame) -> DataFrame:
     """(type, n, n_first, ratio) of the words that start sentences more often than by chance."""
     ends = (found.where("period AND type IS NOT NULL AND next_type IS NOT NULL")
-            .groupBy("type", F.col("next_type")).agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("type", F.col("next_type")).agg(F.sum(_times(found)).alias("k"))
             .join(abbrs.select("type"), "type", "left_anti"))
     first = ends.groupBy(F.col("next_type").alias("type")).agg(F.sum("k").alias("n_first"))
     counts = materialise(found.where("type IS NOT NULL").groupBy("type").agg(
-        F.count(F.lit(1)).alias("n")).join(first, "type", "left"), "first_words")
+        F.sum(_times(found)).alias("n")).join(first, "type", "left"), "first_words")
     total, ends_ = counts.agg(F.sum("n")).scalar(), counts.agg(F.sum("n_first")).scalar()
     ratio = collocation_ratio(ends_, F.col("n"), F.col("n_first"), total)
     return (counts.where("n_first > 0").withColumn("ratio", ratio)
@@ -115,8 +130,9 @@ def sentence_tokens(texts: DataFrame) -> DataFrame:
     sentence starter follows; every other word is split as in ``tokens``.
     """
     found = words(texts)
-    abbrs = materialise(abbreviations(found), "abbreviations")
-    starts = materialise(sentence_starters(found, abbrs), "starters")
+    counts = counted(found)
+    abbrs = materialise(abbreviations(counts), "abbreviations")
+    starts = materialise(sentence_starters(counts, abbrs), "starters")
     with_period = F.col("period") & F.col("type").isNotNull()
     marked = (found.where(with_period).join(abbrs.select("type", F.lit(True).alias("_abbr")),
                                             "type", "left")

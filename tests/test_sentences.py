@@ -68,3 +68,21 @@ def test_words_split_alone_give_the_same_tokens(spark):
     alone = (S.words(df).select("title", F.explode(T.token_array(F.col("raw"))).alias("token"))
              .where("token <> ''").select("title", F.explode(T.split_contractions(F.col("token")))))
     assert Counter(tuple(r) for r in alone.collect()) == whole
+
+
+def test_counted_words_give_the_same_models_and_split_texts_once(spark):
+    from pyspark.sql import functions as F
+
+    from catspark.sources.tables import texts
+    from conftest import SF0001
+    found = S.words(texts(spark, SF0001).union(spark.createDataFrame(
+        [("x", "Mr. Lee met Mr. Ode. The end. The sky. The"), (None, "Mr. A"), ("y", None)],
+        "title string, text string")))
+    counts = S.counted(found)
+    assert counts.agg(F.sum("k")).first()[0] == found.where("type IS NOT NULL").count()
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    abbrs = S.abbreviations(counts)
+    assert rows(abbrs) == rows(S.abbreviations(found))
+    starts = S.sentence_starters(counts, abbrs)
+    assert rows(starts) == rows(S.sentence_starters(found, abbrs))
+    assert not any("documents" in f for f in counts.inputFiles())  # read from the written counts
