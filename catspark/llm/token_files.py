@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import parts_for, ship
-from .tokens import encoder, text_batches
+from .tokens import encoder, forget, text_batches
 
 ROW = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
@@ -86,6 +86,7 @@ def ids_crc32(batches):
     """The rows with a checksum of the ids, as little-endian unsigned 32-bit, in their place."""
     import numpy as np
     import pyarrow as pa
+    forget()
     for b in batches:
         lists = b.column("ids")
         ids = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<i4")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import islice
 
 SPACE = r" \t\n\r\x0b\x0c"
 #: white space that is not ASCII's, or only for some libraries: texts are not cut after it
@@ -24,8 +25,8 @@ EVEN = re.compile(f"\\n?[^{SPACE}{ODD}]+")
 #: letters of Latin-1 are letters in every Unicode version; ASCII marks after them (but for the
 #: apostrophe of contractions) are a token run
 PLAIN = re.compile(r"(\n?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
-#: most pieces kept per Python worker, and the longest piece kept
-KEPT_PIECES, KEPT_CHARS = 700_000, 64
+#: most pieces kept per table of a Python worker (400 bytes each), and the longest piece kept
+KEPT_PIECES, KEPT_CHARS = 450_000, 64
 
 
 def byte_letters() -> dict[int, int]:
@@ -48,9 +49,16 @@ class Table(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.encode(piece)
         if len(piece) <= KEPT_CHARS:
+            if len(self) >= KEPT_PIECES:
+                self.drop_newest()
             self[piece] = ids
         return ids
 
+    def drop_newest(self) -> None:
+        """Keep the older half: what comes often comes early."""
+        for old in list(islice(self, len(self) // 2, None)):
+            del self[old]
+
 
 class Uneven(ValueError):
     """A text is not cut by single spaces and line feeds."""
@@ -73,7 +81,9 @@ class Encoder:
 
     def _run(self, text: str) -> bytes:
         """Ids of one pre-token."""
-        mapped = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+        # letters of ASCII stand for themselves
+        mapped = text if text.isascii() and text.isalpha() else (
+            text.encode().decode("latin-1").translate(BYTE_LETTERS))
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
     def _piece(self, piece: str) -> bytes:
@@ -95,9 +105,6 @@ class Encoder:
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """Ids of each text followed by ``end_id``; null is an empty text."""
-        for table in (self.pieces, self.spaced, self.marks):
-            if len(table) > KEPT_PIECES:
-                table.clear()
         end = int(end_id).to_bytes(4, "little")
         return [self._text(t) + end if t else end for t in texts]
 
@@ -135,7 +142,14 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def text_batches(batches, max_bytes: int = 4_000_000, columns=("doc_id", "text")):
+def forget() -> None:
+    """Give back the memory of the worker's encoders: a worker outlives the stage that encodes."""
+    import pyarrow as pa
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def text_batches(batches, max_bytes: int = 1_000_000, columns=("doc_id", "text")):
     """Lists of (id, text) from Arrow batches, of about ``max_bytes`` of text at most."""
     import numpy as np
     import pyarrow.compute as pc

@@ -3,12 +3,14 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from conftest import SF001
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from catspark.llm import token_files, tokens
 from catspark.llm.tokens import Encoder
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -43,3 +45,25 @@ def test_pieces_give_the_ids_of_whole_texts(name):
 def test_random_texts(name, text):
     assert ENCODERS[name].encode([text, None], 1) == [
         library_ids(name, [text])[0] + b"\1\0\0\0", b"\1\0\0\0"]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_piece_tables_stay_small_within_a_call(name, monkeypatch):
+    """One long list of texts with more pieces than are kept: the ids stay right."""
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 40)
+    texts = [" ".join(f"common w{i * j}x, {chr(97 + i % 26)}é{j}" for j in range(9)) for i in range(60)]
+    codes = Encoder(P.path(name))
+    want = [x + b"\1\0\0\0" for x in library_ids(name, texts)]
+    assert codes.encode(texts, 1) == want == codes.encode(texts, 1)
+    assert max(len(t) for t in (codes.pieces, codes.spaced, codes.marks)) <= 40
+
+
+def test_reading_ids_back_frees_the_encoders():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2]), pa.array([0, 0]), pa.array([0, 2]), pa.array([2, 1]),
+         pa.array([[5, 1], [1]], pa.list_(pa.int32()))],
+        ["doc_id", "part", "local_start", "n_tokens", "ids"])
+    tokens.encoder(P.path(FILES[0])).encode(["a text"], 1)
+    sums = [r for b in token_files.ids_crc32([batch]) for r in b.column("ids_crc32").to_pylist()]
+    assert sums == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ([5, 1], [1])]
+    assert not tokens._ENCODERS
