@@ -91,17 +91,26 @@ class Encoder:
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def _spaced(self, key: str) -> bytes:
+        if key.isascii() and key.isalpha():
+            return self._letters(key)
         m = PLAIN.fullmatch(key)
         if m is None:
             if not EVEN.fullmatch(key):
                 raise Uneven
             return self._piece(key if key[0] == "\n" else " " + key)
         feed, letters, marks = m.groups()
+        if self.plain == "lower":
+            feed, letters = "", letters.lower()
         if marks:
             return self.spaced[feed + letters] + self.marks[marks]
-        if self.plain == "lower":
-            return self._run(letters.lower())
-        return self.marks["\n"] + self._run(letters) if feed else self._run(" " + letters)
+        return self.marks["\n"] + self._run(letters) if feed else self._letters(letters)
+
+    def _letters(self, letters: str) -> bytes:
+        """Ids of plain letters after a space; of a word in several cases only one is worked out."""
+        if self.plain != "lower":
+            return self._run(" " + letters)
+        lower = letters.lower()
+        return self._run(lower) if lower == letters else self.spaced[lower]
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """Ids of each text followed by ``end_id``; null is an empty text."""
