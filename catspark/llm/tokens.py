@@ -103,7 +103,9 @@ class Encoder:
             feed, letters = "", letters.lower()
         if marks:
             return self.spaced[feed + letters] + self.marks[marks]
-        return self.marks["\n"] + self._run(letters) if feed else self._letters(letters)
+        if feed:
+            return self.marks["\n"] + self._run(letters)
+        return self._letters(letters) if letters == key else self.spaced[letters]
 
     def _letters(self, letters: str) -> bytes:
         """Ids of plain letters after a space; of a word in several cases only one is worked out."""
