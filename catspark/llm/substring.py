@@ -32,6 +32,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialise
 from .common import parts_for, ship
@@ -44,6 +45,8 @@ LEVELS = (1, 2, 4, 8)
 NULL_ID = np.iinfo(np.int64).max
 #: low bits of an anchor that hold its place
 PLACE = np.uint64((1 << 20) - 1)
+#: the column that holds the other columns of a row
+CARRIED = "row"
 BLOB = "bin long, docs binary, counts binary, a binary, b binary, c binary"
 
 
@@ -54,9 +57,10 @@ def words_of(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
 
 
 def _slices(batches, columns, max_chars=4_000_000):
-    """Batches as lists of columns, the first of which is a text, in bounded pieces."""
+    """Batches as lists of columns, the first of which is a text, in bounded pieces; the carried
+    column stays an Arrow array."""
     for b in batches:
-        cols = [b.column(c).to_pylist() for c in columns]
+        cols = [b.column(c) if c == CARRIED else b.column(c).to_pylist() for c in columns]
         start = chars = 0
         for i, t in enumerate(cols[0]):
             chars += len(t or "") + 1
@@ -211,7 +215,7 @@ def unpack(pairs) -> list:
 
 
 def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     window: int = 20, limit: int = 1_000_000) -> DataFrame:
+                     window: int = 20, limit: int = 1_000_000, carry: bool = False) -> DataFrame:
     """One row per row of ``df``: _id, _h (see ``row_key``), n_words, n_removed,
     spans (removed words as (first word, number) pairs), kept_sha256 and, where words were
     removed, text: the kept words joined by one space.
@@ -222,7 +226,9 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     input.  Rows with equal id and text are one document; of different texts
     with the same id the smaller ``_h`` comes first; null ids come last.  Null
     and empty texts have no words.  Empty table: no rows.  Other columns are
-    ignored.  ``limit`` is the number of suffixes a task is to hold.
+    ignored.  ``limit`` is the number of suffixes a task is to hold.  ``carry`` adds
+    row, a struct of all columns but the text, and gives every row's text: the
+    kept words where some were removed, else the text as it was.
     """
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("_id"),
@@ -230,7 +236,11 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("ord"),
                      F.xxhash64(text_col).alias("content"),
                      F.xxhash64(F.lit(1), text_col).alias("content2"),
-                     F.col(text_col).cast("string").alias("text"))
+                     F.col(text_col).cast("string").alias("text"),
+                     *([F.struct(*[df[c] for c in df.columns if c != text_col]).alias(CARRIED)]
+                       if carry else []))
+    carried = [f for f in rows.schema if f.name == CARRIED]
+    own = [f.name for f in carried]
     chars = df.agg(F.sum(F.length(text_col))).first()[0]
     # about a word in five characters, an anchor in five words
     suspects = materialise(repeated_anchors(rows.select("h", "ord", "content", "text"), window,
@@ -240,9 +250,9 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .groupBy("h").agg(F.collect_list(F.when(F.col("a").isNotNull(), F.struct("a", "b")))
                                .alias("spans"), F.max("copy").alias("copy")))  # one document's
     held = materialise(
-        rows.select("_id", "h", "text").join(known, "h", "left")
-        .mapInArrow(_first_pass(window), HELD), "suffixes")
-    some = held.where("text is not null")
+        rows.select("_id", "h", "text", *own).join(known, "h", "left")
+        .mapInArrow(_first_pass(window, carry), _with(HELD, carried)), "suffixes")
+    some = held.where("at is not null")
     n = some.agg(F.sum(F.octet_length("at") / 4)).first()[0]
     bins = parts_for(n, limit)
     groups = 64 * bins
@@ -252,10 +262,12 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("a", "b")).alias("spans"))
     schema = "_id long, _h long, n_words long, n_removed long, spans binary, sha string, text string"
     # starts of suffixes are read again only for windows above the limit
-    cut = (some.select(*(SUFFIX_COLUMNS if firsts else SUFFIX_COLUMNS[:3]))
-           .join(doomed, "h", "left").mapInArrow(_last_pass(window, heavy, groups, firsts), schema))
-    rest = held.where("text is null").select("_id", F.col("h").alias("_h"), "n_words", "n_removed",
-                                             "spans", "sha", F.col("kept").alias("text"))
+    cut = (some.select(*(SUFFIX_COLUMNS if firsts else SUFFIX_COLUMNS[:3]), *own)
+           .join(doomed, "h", "left")
+           .mapInArrow(_last_pass(window, heavy, groups, firsts, carry), _with(schema, carried)))
+    rest = held.where("at is null").select(
+        "_id", F.col("h").alias("_h"), "n_words", "n_removed", "spans", "sha",
+        (F.coalesce("kept", "text") if carry else F.col("kept")).alias("text"), *own)
     return rest.union(cut).withColumnRenamed("sha", "kept_sha256")
 
 
@@ -273,13 +285,26 @@ HELD = ("_id long, h long, n_words long, n_removed long, spans binary, sha strin
         "text string, at binary")
 
 
-def _first_pass(window):
+def _with(schema: str, carried: list) -> StructType:
+    """A schema and the carried column, if there is one."""
+    return StructType([*StructType.fromDDL(schema), *carried])
+
+
+def _and_row(batch, row: list):
+    """A batch of rows and what is carried with them, if anything is."""
+    import pyarrow as pa
+    return pa.RecordBatch.from_arrays([*batch.columns, *row],
+                                      [*batch.schema.names, *[CARRIED] * len(row)])
+
+
+def _first_pass(window, carry=False):
     """Results of texts without suspected suffixes and of copies; of the others the text and the
     starts of those suffixes."""
     names, types = zip(*(c.split() for c in HELD.split(", ")), strict=True)
 
     def run(batches):
-        for texts, ids, hs, spans, copy in _slices(batches, ["text", "_id", "h", "spans", "copy"]):
+        for texts, ids, hs, spans, copy, *row in _slices(
+                batches, ["text", "_id", "h", "spans", "copy", *[CARRIED] * carry]):
             known = [unpack(x) if not c else [] for x, c in zip(spans, copy, strict=True)]
             flat, counts, at, owner = kept_windows(texts, known, window)
             first = np.cumsum(counts) - counts
@@ -296,8 +321,8 @@ def _first_pass(window):
                 else:
                     words = b" ".join(flat[first[i]:first[i] + n])
                     out.append((ids[i], hs[i], n, 0, None, hashlib.sha256(words).hexdigest(), None,
-                                None, None))
-            yield _rows(names, types, out)
+                                t if carry else None, None))
+            yield _and_row(_rows(names, types, out), row)
     return run
 
 
@@ -446,11 +471,13 @@ def _tree_repeats(some: DataFrame, window: int, heavy: dict, n: int, bins: int)
         subtrees, "h long, a binary, b binary")
 
 
-def _last_pass(window: int, heavy: dict, groups: int, firsts: dict):
+def _last_pass(window: int, heavy: dict, groups: int, firsts: dict, carry: bool = False):
     """Words left of each text, once the repeated windows are known."""
+    columns = [*(SUFFIX_COLUMNS if firsts else SUFFIX_COLUMNS[:3]), "spans"]
+
     def run(batches):
-        for *batch, spans in _slices(
-                batches, [*(SUFFIX_COLUMNS if firsts else SUFFIX_COLUMNS[:3]), "spans"]):
+        for cols in _slices(batches, [*columns, *[CARRIED] * carry]):
+            (*batch, spans), row = cols[:len(columns)], cols[len(columns):]
             texts, ids, hs = batch[:3]
             gone = [[a.astype(np.int64) for a, _ in unpack(x)] for x in spans]
             if firsts:
@@ -473,7 +500,9 @@ def _last_pass(window: int, heavy: dict, groups: int, firsts: dict):
                 spans_ = np.stack([edges[::2], edges[1::2] - edges[::2]], 1).astype("<u4")
                 n = int(cut.sum())
                 out.append((ids[i], hs[i], len(own), n, spans_.tobytes() if n else None,
-                            hashlib.sha256(kept).hexdigest(), kept.decode() if n else None))
-            yield _rows(["_id", "_h", "n_words", "n_removed", "spans", "sha", "text"],
-                        ["long", "long", "long", "long", "binary", "string", "string"], out)
+                            hashlib.sha256(kept).hexdigest(),
+                            kept.decode() if n else text if carry else None))
+            yield _and_row(_rows(
+                ["_id", "_h", "n_words", "n_removed", "spans", "sha", "text"],
+                ["long", "long", "long", "long", "binary", "string", "string"], out), row)
     return run

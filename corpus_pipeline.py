@@ -60,15 +60,13 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     as an empty one.  Rows that agree in id and text are one document, so
     repeated rows keep the same words.
     """
-    cut = (substring.dedup_substrings(docs).where("n_removed > 0")
-           .select("_id", "_h", F.col("text").alias("_kept")).dropDuplicates(["_id", "_h"]))
-    new = {"text": F.coalesce(cut["_kept"], docs["text"]).alias("text")}
+    out = substring.dedup_substrings(docs, carry=True)
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(cut["_kept"].isNotNull(), F.length(cut["_kept"]).cast(kind)) \
-            .otherwise(docs["n_chars"]).alias("n_chars")
-    return (docs.join(cut, _same_row(docs, cut), "left")
-            .select(*[new.get(c, docs[c]) for c in docs.columns]))
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)) \
+            .otherwise(F.col("row")["n_chars"])
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,23 @@ def test_substring_dedup_equals_brute_force(spark, window):
     assert sorted(map(tuple, got), key=key) == sorted(expect, key=key)
 
 
+def test_substring_dedup_carries_whole_rows(spark):
+    """With ``carry`` every row comes back with its other columns and the text that is left."""
+    df, rows = cases.documents(spark)
+    plain = {(r["_id"], r["_h"]): r["text"] for r in substring.dedup_substrings(df).collect()}
+    got = substring.dedup_substrings(df, carry=True).collect()
+    assert sorted((tuple(r["row"]) for r in got), key=key) == sorted(
+        (tuple(x for x, c in zip(r, df.columns, strict=True) if c != "text") for r in df.collect()),
+        key=key)
+    whole = {(r["_id"], r["_h"]): r["text"] for r in
+             df.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id", "text").alias("_h"),
+                       "text").collect()}
+    assert any(r["n_removed"] for r in got)
+    for r in got:
+        k = r["_id"], r["_h"]
+        assert r["text"] == (plain[k] if r["n_removed"] else whole[k])
+
+
 def test_substring_dedup_when_prefixes_exceed_a_task(spark):
     """A tiny limit sends prefixes to longer ones, and the commonest windows to an aggregate."""
     df, rows = cases.documents(spark)
