@@ -135,3 +135,18 @@ def test_written_counts_hold_the_totals_of_documents(spark):
     assert got == [("", "blue", 0.5), ("", "sky", 0.5), ("a", "blue", 0.2), ("a", "green", 0.2),
                    ("a", "red", 0.6)]
     assert idx.counts.columns == ["title", "word", "n"]
+
+
+def test_counts_of_a_row_equal_the_token_rules(spark):
+    """One pass over a row gives the words of the rules; rows of a title are added up."""
+    odd = ["I cannot, don't! it's (gonna) ...a.b a... U.S. Mr. x,, y:z 1,000 n't 'S", "K K İ ſ 'ſ",
+           "word.Word word. word, Word;\x1cword\x85word ​word", "", " , .", "a--b é. rock'n'roll'",
+           "wanna. Lemme\ncannot's", None]
+    df = spark.createDataFrame(list(enumerate(odd)), "title int, text string")
+    want = (I.content_tokens(I.tokens(df)).groupBy("title", "token").agg(F.count(F.lit(1)).alias("n")))
+    assert {tuple(r) for r in I.row_counts(df).collect()} == {tuple(r) for r in want.collect()}
+    twice = df.withColumn("title", F.col("title") % 2).unionByName(df.withColumn(
+        "title", F.lit(None).cast("int")))
+    want = (I.content_tokens(I.tokens(twice)).groupBy("title", "token").agg(F.count(F.lit(1)).alias("n")))
+    for got in (I.raw_counts(twice), I.Index(twice, stem=False).counts):
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF(*got.columns).collect()))
