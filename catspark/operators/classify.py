@@ -299,7 +299,9 @@ def categorise_texts(texts: DataFrame, voc: DataFrame, cents: DataFrame,
     from .topn import best_categories
     own = texts.select(F.explode(F.array_distinct("categories")).alias("cat_name"),
                        F.col("title").alias("pag_title"))
-    vecs = vector_of_text(texts.select("title", "text"), voc, stem=stem)
+    # read for the norms and for the entries
+    vecs = materialise(vector_of_text(texts.select("title", "text"), voc, stem=stem),
+                       "text_vectors")
     pages = texts.select("title")
     counts = suggestion_counts(pages, own, cent_cats, n)
     recs = recommendations(best_categories(vecs, cents, counts, cent_cats), counts, cent_cats)

@@ -47,7 +47,8 @@ def evaluation(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     Returns (per-page measures, one-row summary).  ``holdout=True`` keeps the
     test pages out of the centroid sums.
     """
-    cents = K.centroids(vectors, catpage, min_pages, test_pages if holdout else None)
+    cents = materialise(K.centroids(vectors, catpage, min_pages, test_pages if holdout else None),
+                        "eval_centroids")  # read for the norms and for the entries
     cats = K.centroid_categories(catpage, min_pages)
     counts = materialise(K.suggestion_counts(test_pages, catpage, cats), "eval_counts")
     scores = best_categories(vectors.join(test_pages, "title", "left_semi"), cents, counts, cats)
@@ -90,7 +91,7 @@ def threshold_sweep(vectors: DataFrame, catpage: DataFrame, catsub: DataFrame,
     """
     thresholds = list(range(min_pag, max_pag + 1))
     test = materialise(holdout_split(pages, fraction, seed), "sweep_holdout")
-    cents = K.centroids(vectors, catpage, min_pag, test)
+    cents = materialise(K.centroids(vectors, catpage, min_pag, test), "sweep_centroids")
     sizes = K.centroid_categories(catpage, min_pag)
     sampled = per_threshold_samples(test, thresholds, n_pages, seed)
     scored_pages = sampled.select("title").distinct()

@@ -29,6 +29,8 @@ MARGIN = 1e-8
 BLOCK, CHUNK_BLOCKS, CHUNK_WORDS, CHUNK_PAGES = 4, 64, 1_000_000, 512
 #: rows that the grid may send to its tasks, and centroid entries of a chunk of words
 COPIES, CHUNK_ENTRIES = 20_000_000, 12_000_000
+#: of a centroid entry in a shuffle
+ENTRY_BYTES = 10
 
 
 def _unit(rows: DataFrame, key: str, names: DataFrame, numbers: list[str]) -> DataFrame:
@@ -130,6 +132,23 @@ def _pruned_scores(page_rows: DataFrame, words: DataFrame, n_chunks: int,
         grid, "page long, cat long, score double")
 
 
+def deal(size: int, n_cats: int, pages: int, cores: int) -> tuple[int, int, int]:
+    """(spans, chunks, parts) of ``summed_scores`` for ``size`` centroid entries.
+
+    Where the least number of chunks leaves cores idle, words are cut into more chunks or pages into
+    parts: a part copies the entries of its chunk, a chunk sends a row of partial scores per page.
+    What moves less is taken.
+    """
+    span = BLOCK * CHUNK_BLOCKS
+    spans, least = max(1, -(-n_cats // span)), max(1, -(-size // CHUNK_ENTRIES))
+    split = lambda chunks: max(1, cores // (spans * chunks))
+    moved = lambda chunks: (size * split(chunks) * ENTRY_BYTES
+                            + pages * chunks * spans * min(span, n_cats) * 8)
+    full = [c for c in range(least + 1, cores // spans + 1) if cores // spans % c == 0]
+    chunks = min([least, *full], key=moved)
+    return spans, chunks, split(chunks)
+
+
 def summed_scores(page_rows: DataFrame, words: DataFrame, size: int, n_cats: int, n_pages: int,
                   best: bool) -> DataFrame:
     """(page, cat, score): words are dealt to chunks, and a page's scores are sums over the chunks.
@@ -140,10 +159,8 @@ def summed_scores(page_rows: DataFrame, words: DataFrame, size: int, n_cats: int
     ``best`` keeps the n best of each span (and ties), else all pairs that share a word.
     """
     span = BLOCK * CHUNK_BLOCKS
-    spans, chunks = max(1, -(-n_cats // span)), max(1, -(-size // CHUNK_ENTRIES))
-    # few chunks are shared by several tasks, each with a part of the pages
     cores = page_rows.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, cores // (spans * chunks))
+    spans, chunks, parts = deal(size, n_cats, n_pages * CHUNK_PAGES, cores)
     chunk = F.pmod(F.xxhash64("w"), F.lit(chunks))
     key = ((F.col("c") * chunks + chunk) * parts + F.col("p")).cast("int").alias("k")
     none = lambda kind: F.lit(None).cast(kind)

@@ -563,7 +563,7 @@ def q_check_constraints(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 from ..operators import ingest as G  # noqa: E402
-from ..session import scratch_path  # noqa: E402
+from ..session import materialise, scratch_path  # noqa: E402
 from ..sources import dump as D  # noqa: E402
 from ..sources.tables import WIKI_PAGES_SQL, wiki_pages  # noqa: E402
 
@@ -963,7 +963,7 @@ def q_categorise_texts(spark, sf_dir):
     p = _p(spark, sf_dir)
     conv = _conv_texts(spark, sf_dir).select("title", "text",
                                              F.array("role").alias("categories"))
-    cents = K.centroids(p.vectors, p.cat.catpage, 5)
+    cents = materialise(K.centroids(p.vectors, p.cat.catpage, 5), "centroids")
     recs, meas = K.categorise_texts(conv, p.index.vocab, cents, p.cent_cats, p.cat.catsub)
     return recs.join(meas.select("title", "boolean", "fractional", "hierarchical"), "title")
 

@@ -117,3 +117,27 @@ def test_cosine_same_for_counts_and_tf(spark, small):
         I.vector_of_text(small.cat.texts, small.index.vocab), cents).collect()}
     assert set(by_tf) == set(by_count)
     assert max(abs(by_tf[k] - by_count[k]) for k in by_tf) < 1e-9
+
+
+def _read(spark, df):
+    """``df`` with a count of the rows that were read from it, and that count."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(rows, df.schema), seen
+
+
+def test_centroids_and_text_vectors_are_made_once(spark, small):
+    vectors, seen = _read(spark, small.vectors)
+    E.evaluation(vectors, small.cat.catpage, small.cat.catsub, small.holdout, 5)[0].collect()
+    # for the centroids, for the norms of the test pages and for their entries
+    assert seen.value <= 3 * small.vectors.count()
+    voc, seen = _read(spark, small.index.vocab)
+    texts = small.cat.texts.limit(20).withColumn("categories", F.array(F.lit("lang_en")))
+    recs, meas = K.categorise_texts(texts, voc, small.centroids, small.cent_cats, small.cat.catsub)
+    assert recs.count() and meas.count()
+    assert seen.value == small.index.vocab.count()

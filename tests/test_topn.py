@@ -92,3 +92,21 @@ def test_sums_over_chunks_of_words_equal_full_scores(spark, monkeypatch):
         assert best(K.recommendations(few, counts, p.cent_cats)) == best(full)
         assert few.count() < len(plain)
     assert len(sent) == 9
+
+
+def test_idle_cores_share_words_or_pages_by_what_moves(spark, monkeypatch):
+    # 6 million entries and 10,000 pages on 8 cores: copies for 8 parts of the pages would be 480 MB
+    spans, chunks, parts = topn.deal(6_000_000, 190, 10_000, 8)
+    assert spans * chunks * parts == 8
+    assert 6_000_000 * parts * topn.ENTRY_BYTES + 10_000 * chunks * 190 * 8 < 200_000_000
+    assert topn.deal(100_000_000, 190, 10_000, 8)[1:] == (9, 1)
+    assert topn.deal(100, 190, 10_000_000, 8) == (1, 1, 8)
+    assert topn.deal(0, 0, 0, 8)[0] == 1
+    p = Pipeline(spark, SF0001)
+    found = []
+    for bytes_ in (0, 1 << 40):  # parts only, chunks only
+        monkeypatch.setattr(topn, "ENTRY_BYTES", bytes_)
+        found.append({(r["title"], r["cat_name"]): r["score"]
+                      for r in K.category_scores(p.vectors, p.centroids).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert all(abs(found[0][k] - found[1][k]) < 1e-12 for k in found[0])
