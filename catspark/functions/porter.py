@@ -8,6 +8,8 @@ subset that Spark SQL and DuckDB share, so the oracle runs the very same
 steps.  Only the ``cv`` fold differs by dialect (lambda syntax).
 
 It is meant to run on the distinct vocabulary, never per token occurrence.
+``make_stemmer`` runs the same steps in a task that counts words, where a stem that is known is
+looked up, so that counts need not move to meet their stems.
 """
 
 from __future__ import annotations
@@ -192,3 +194,94 @@ def stem_words_sql(source_sql: str, word: str = "word", out: str = "stem") -> st
         with_cv = f"SELECT *, {cv} AS cv FROM ({sql})"
         sql = f"SELECT * EXCLUDE (cv, {name}), {expr} AS {name} FROM ({with_cv})"
     return f"SELECT * EXCLUDE (w, f), {_final(word)} AS {out} FROM ({sql})"
+
+
+# ---------------------------------------------------------------------------
+# The same steps within a task
+# ---------------------------------------------------------------------------
+
+def make_stemmer(max_kept: int = 300_000):
+    """Stem of a word of the letters a-z, as a function that carries all it needs."""
+    irregular, step2, step3, step4 = dict(IRREGULAR), [*STEP2], [*STEP3], [*STEP4]
+    pattern, kept = str.maketrans(_LETTERS, _CV_MAP), {}
+
+    def marked(word: str) -> str:
+        if "y" not in word[1:]:
+            return word
+        out = word[0]
+        for x in word[1:]:
+            out += "Y" if x == "y" and out[-1] not in "aeiouY" else x
+        return out
+
+    def m(w: str, cut: int = 0) -> int:
+        return w[:len(w) - cut].translate(pattern).count("vc")
+
+    def vowel(w: str, cut: int) -> bool:
+        return "v" in w[:len(w) - cut].translate(pattern)
+
+    def cvc(w: str, cut: int = 0) -> bool:
+        w = w[:len(w) - cut]
+        cv = w.translate(pattern)
+        return cv == "vc" or (cv[-3:] == "cvc" and w[-1] not in "wxy")
+
+    def first_rule(w: str, rules, least: int) -> str:
+        for suffix, replacement in rules:
+            if w.endswith(suffix):
+                # "logi" tests the measure with the "l" kept in the stem
+                cut = 3 if suffix == "logi" else len(suffix)
+                held = m(w, cut) > least and (suffix != "ion" or w[-4:-3] in ("s", "t"))
+                return w[:len(w) - len(suffix)] + replacement if held else w
+        return w
+
+    step2.append(("logi", "log"))
+    step4 = [(suffix, "") for suffix in step4]
+
+    def steps(word: str) -> str:
+        if len(word) <= 2:
+            return word
+        if word in irregular:
+            return irregular[word]
+        w = marked(word)
+        if w.endswith("ies") and len(w) == 4:
+            w = w[0] + "ie"
+        elif w.endswith(("sses", "ies")):
+            w = w[:-2]
+        elif w.endswith("s") and not w.endswith("ss"):
+            w = w[:-1]
+        if w.endswith("ied"):
+            w = w[0] + "ie" if len(w) == 4 else w[:-3] + "i"
+        elif w.endswith("eed"):
+            w = w[:-1] if m(w, 3) > 0 else w
+        else:
+            cut = 2 if w.endswith("ed") and vowel(w, 2) else 3 if w.endswith("ing") and vowel(w, 3) else 0
+            if cut:
+                w = w[:-cut]
+                if w.endswith(("at", "bl", "iz")):
+                    w += "e"
+                elif (len(w) >= 2 and w[-1].lower() == w[-2].lower()
+                      and w[-1].translate(pattern) == "c"):
+                    w = w if w[-1] in "lsz" else w[:-1]
+                elif m(w) == 1 and cvc(w):
+                    w += "e"
+        if len(w) > 2 and w[-1] in "yY" and w[-2].translate(pattern) == "c":
+            w = w[:-1] + "i"
+        if w.endswith("alli") and m(w, 4) > 0:
+            w = w[:-2]
+        w = first_rule(w, step2, 0)
+        w = first_rule(w, step3, 0)
+        w = first_rule(w, step4, 1)
+        if w.endswith("e") and (m(w, 1) > 1 or (m(w, 1) == 1 and not cvc(w, 1))):
+            w = w[:-1]
+        if w.endswith("ll") and m(w, 1) > 1:
+            w = w[:-1]
+        return w.lower()
+
+    def stem(word: str) -> str:
+        found = kept.get(word)
+        if found is None:
+            if len(kept) >= max_kept:
+                kept.clear()
+            found = kept[word] = steps(word)
+        return found
+
+    return stem

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import text as T
-from ..functions.porter import stem_words
+from ..functions.porter import make_stemmer, stem_words
 from ..session import materialise
 
 
@@ -52,8 +52,8 @@ def stems(words: DataFrame, word: str = "token") -> DataFrame:
 # counts
 # ---------------------------------------------------------------------------
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it is read by fewer tasks than
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """``df`` over the cluster, round-robin or by ``key``, when it is read by fewer tasks than
     there are cores (small input; a file may be one row group), so per-row text
     work is not stuck in a few tasks.  Only the plan is looked at; larger
     tables, and streams, are untouched."""
@@ -61,35 +61,104 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     parts = df.rdd.getNumPartitions()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < parts < cores else df
+    return df.repartition(cores, *[c for c in [key] if c]) if 0 < parts < cores else df
 
 
-def row_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
-    """(title, token, n) kept tokens (T1-T3) of each row before stemming.  Null texts have none."""
+#: distinct words of rows in sequence after which a new run begins
+RUN_WORDS = 200_000
+
+
+def run_counts(texts: DataFrame, stem: bool = True, title: str = "title", text: str = "text",
+               lines: bool = False) -> DataFrame:
+    """(title, word, n, total, run) kept tokens (T1-T4) of each run: rows of one title that a task
+    reads in sequence, numbered within the task.  Null texts have none.  ``lines``: a document is many rows.
+    """
     texts = spread(texts.select(F.col(title).alias("title"), F.col(text).cast("string").alias("text"))
-                   .where("text is not null"))
-    count_words = T.make_word_counts()
+                   .where("text is not null"), "title" if lines else None)
+    count_words, stem_of, most = T.make_word_counts(), make_stemmer() if stem else None, RUN_WORDS
 
     # the function is sent to the tasks by value, without this package
     def count(batches):
         import pyarrow as pa
+        now, found, run, chars, kind = None, {}, 0, 0, None
+        titles, rows, words, ns, totals, runs = [], [], [], [], [], []
+
+        def close():
+            nonlocal run
+            if stem_of is None:
+                counts = found
+            else:
+                counts = {}
+                for token, n in found.items():
+                    word = stem_of(token)
+                    counts[word] = counts.get(word, 0) + n
+            if counts:
+                rows.extend([len(titles)] * len(counts))
+                titles.append(now)
+                words.extend(counts)
+                ns.extend(counts.values())
+                totals.extend([sum(counts.values())] * len(counts))
+                runs.extend([run] * len(counts))
+                run += 1
+
+        def closed():
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(titles, kind).take(pa.array(rows, pa.int64())), pa.array(words, pa.string()),
+                 pa.array(ns, pa.int64()), pa.array(totals, pa.int64()), pa.array(runs, pa.int64())],
+                ["title", "word", "n", "total", "run"])
+            for x in (titles, rows, words, ns, totals, runs):
+                x.clear()
+            return out
+
         for batch in batches:
-            titles, rows, tokens, ns, chars = batch.column("title"), [], [], [], 0
-            for i, value in enumerate(batch.column("text")):
-                value = value.as_py()
-                found = count_words(value)
-                rows += [i] * len(found)
-                tokens += found
-                ns += found.values()
+            kind = batch.schema.field("title").type
+            for name, value in zip(batch.column("title"), batch.column("text"), strict=True):
+                name, value = name.as_py(), value.as_py()
+                if name != now or len(found) >= most:
+                    close()
+                    now, found = name, {}
+                more = count_words(value)
+                if found:
+                    for token, n in more.items():
+                        found[token] = found.get(token, 0) + n
+                else:
+                    found = more
                 chars += len(value)
-                if chars >= 1_000_000 or i == len(titles) - 1:
-                    yield pa.RecordBatch.from_arrays(
-                        [titles.take(pa.array(rows, pa.int64())), pa.array(tokens, pa.string()),
-                         pa.array(ns, pa.int64())], ["title", "token", "n"])
-                    rows, tokens, ns, chars = [], [], [], 0
+                if chars >= 1_000_000:
+                    yield closed()
+                    chars = 0
+        if kind is not None:
+            close()
+            yield closed()
 
     return texts.mapInArrow(count, StructType([
-        texts.schema["title"], StructField("token", StringType()), StructField("n", LongType())]))
+        texts.schema["title"], StructField("word", StringType()), StructField("n", LongType()),
+        StructField("total", LongType()), StructField("run", LongType())]))
+
+
+def row_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
+    """(title, token, n) kept tokens (T1-T3) of each run of rows before stemming."""
+    return run_counts(texts, False, title, text).select("title", F.col("word").alias("token"), "n")
+
+
+def add_up(rows: DataFrame, key: str, runs: list[str]) -> DataFrame:
+    """``rows(key, word, n)``, and ``total`` if they have it, with one row per key and word.
+
+    Words are unique per key and ``runs``, so only the rows of keys that come in several runs
+    are moved and added up.
+    """
+    several = materialise(rows.select(key, *runs).distinct().groupBy(key)
+                          .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                          .select(F.col(key).alias("_key")), "several_runs")
+    rows = rows.drop(*runs)
+    if several.limit(1).count() == 0:
+        return rows
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    joint = (rows.join(several, same, "left_semi").repartition(key)
+             .groupBy(key, "word").agg(F.sum("n").alias("n")))
+    if "total" in rows.columns:
+        joint = joint.withColumn("total", F.sum("n").over(Window.partitionBy(key)))
+    return materialise(rows.join(several, same, "left_anti").unionByName(joint), "added_up")
 
 
 def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> DataFrame:
@@ -99,39 +168,30 @@ def raw_counts(texts: DataFrame, title: str = "title", text: str = "text") -> Da
 
 
 def stem_counts(raw: DataFrame) -> DataFrame:
-    """(title, word, n): stem the distinct vocabulary once, join it back.
+    """(title, word, n) of counts that are not stemmed: stem the distinct vocabulary once, join it back.
 
     The stem map has one row per distinct token; AQE broadcasts it only when
     its runtime size is under the broadcast threshold and otherwise keeps a
     sort-merge join whose hot-token partitions it splits.
     """
-    return _stemmed(raw).groupBy("title", "word").agg(F.sum("n").alias("n"))
-
+    return (raw.join(stems(raw), "token").select("title", "word", "n")
+            .groupBy("title", "word").agg(F.sum("n").alias("n")))
 
-def _stemmed(raw: DataFrame) -> DataFrame:
-    """(title, word, n): a row per unstemmed token."""
-    return raw.join(stems(raw), "token").select("title", "word", "n")
 
-
-def counts_with_totals(raw: DataFrame, stem: bool = True) -> DataFrame:
-    """(title, word, n, total): ``stem_counts`` and the kept tokens of the document.
-
-    Rows move once, by title, for the counts and the totals together; there is
-    one row per distinct token of a document, however often its title comes.
-    """
-    words = _stemmed(raw) if stem else raw.withColumnRenamed("token", "word")
-    counts = words.repartition("title").groupBy("title", "word").agg(F.sum("n").alias("n"))
-    return counts.withColumn("total", F.sum("n").over(Window.partitionBy("title")))
+def counts_with_totals(texts: DataFrame, stem: bool = True, title: str = "title",
+                       text: str = "text", lines: bool = False) -> DataFrame:
+    """(title, word, n, total), written: ``term_counts`` and the kept tokens of the document."""
+    runs = run_counts(texts, stem, title, text, lines).withColumn("task", F.spark_partition_id())
+    return add_up(materialise(runs, "term_counts"), "title", ["task", "run"])
 
 
 def term_counts(texts: DataFrame, stem: bool = True, title: str = "title",
-                text: str = "text") -> DataFrame:
-    """T5: (title, word, n) kept-token (stemmed) frequencies per document."""
-    raw = raw_counts(texts, title, text)
-    if not stem:
-        return raw.withColumnRenamed("token", "word")
-    # the stem map and the join both read the counts: write them once
-    return stem_counts(materialise(raw, "raw_counts"))
+                text: str = "text", lines: bool = False) -> DataFrame:
+    """T5: (title, word, n) kept-token (stemmed) frequencies per document, written.
+
+    A word is stemmed in the task that counts it; only the rows of titles that come in several
+    runs of rows (``lines``: a document is many) are moved."""
+    return counts_with_totals(texts, stem, title, text, lines).select("title", "word", "n")
 
 
 def freq_dist(counts: DataFrame) -> DataFrame:
@@ -158,7 +218,7 @@ def dedupe_documents(texts: DataFrame, key: str = "title", order: str = "doc_id"
 def file_word_count(lines: DataFrame, stem: bool = True) -> DataFrame:
     """((word, file), count) over a line-wise text scan (file, line)."""
     counts = term_counts(lines.select(F.col("file").alias("title"),
-                                      F.col("line").alias("text")), stem=stem)
+                                      F.col("line").alias("text")), stem=stem, lines=True)
     return counts.select(F.col("word"), F.col("title").alias("file"), "n")
 
 
@@ -227,12 +287,7 @@ class Index:
     def __init__(self, texts: DataFrame, stem: bool = True, persist: bool = True):
         self.texts = texts
         if persist:
-            # tokenise once: the unstemmed counts are written, stemming joins
-            # back onto the written table, and the result is written again
-            # where no title repeats, a row's counts are those of its document
-            n, titles = texts.agg(F.count(F.lit(1)), F.count_distinct("title")).first()
-            raw = materialise(row_counts(texts) if n == titles else raw_counts(texts), "raw_counts")
-            counts = materialise(counts_with_totals(raw, stem), "term_counts")
+            counts = counts_with_totals(texts, stem)
         else:
             counts = term_counts(texts, stem=stem)
         self.counts = counts.select("title", "word", "n")
@@ -268,7 +323,7 @@ def vector_of_page(vectors: DataFrame, titles: DataFrame, title: str = "title")
 
 def vector_of_text(texts: DataFrame, voc: DataFrame, stem: bool = True) -> DataFrame:
     """V4: vectors of new texts: raw count x corpus idf, unknown words dropped.
-    The texts are tokenised once (``term_counts`` writes their raw counts)."""
+    The texts are tokenised once (``term_counts`` writes their counts)."""
     counts = term_counts(texts, stem=stem)
     return (counts.join(voc.select("word", "idf"), "word")
             .select("title", "word", (F.col("n") * F.col("idf")).alias("weight")))

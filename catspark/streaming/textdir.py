@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.index import file_word_count
+from ..operators.index import add_up, file_word_count
 from ..operators.store import DocumentStore
 from ..sources.textdir import file_key, stream_containers
 
@@ -68,5 +68,4 @@ def store_batches(store: DocumentStore, source: str, checkpoint: str, files_per_
 
 def batch_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """(word, file, n): a document whose files fell into several batches is added up."""
-    return (spark.read.parquet(out_path).groupBy("word", "file")
-            .agg(F.sum("n").alias("n")))
+    return add_up(spark.read.parquet(out_path), "file", ["batch"])

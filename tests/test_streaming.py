@@ -129,3 +129,22 @@ def test_containers_hold_many_documents(spark, tmp_dir):
     assert spark.read.parquet(out).select("batch").distinct().count() == 2
     n = {r["file"]: r["n"] for r in batch_counts(spark, out).where("word = 'word'").collect()}
     assert n["doc6"] == 6 and n["doc13"] == 6 and "doc7" not in n
+
+
+def test_counts_of_a_stream_move_only_split_documents(spark, tmp_dir):
+    """A document in one file is counted where it is read; one that a later file goes on with is added up."""
+    path, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    whole = spark.createDataFrame([(f"doc{i}", "cats\ncat dog") for i in range(30)], "title string, text string")
+    TD.write_containers(whole, path, files=2)
+    count_batches(spark, path, out, os.path.join(tmp_dir, "ckpt"), files_per_batch=1, containers=True)
+    plan = batch_counts(spark, out)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    more = TD.write_containers(spark.createDataFrame([("doc3", "dogs"), (None, "sky")], "title string, text string"),
+                               os.path.join(tmp_dir, "more"), files=1)
+    for f in os.listdir(more):
+        if f.startswith("part-"):
+            os.link(os.path.join(more, f), os.path.join(path, f))
+    count_batches(spark, path, out, os.path.join(tmp_dir, "ckpt"), files_per_batch=1, containers=True)
+    got = {(r.file, r.word): r.n for r in batch_counts(spark, out).collect()}
+    want = {(f"doc{i}", w): n for i in range(30) for w, n in (("cat", 2), ("dog", 1))}
+    assert got == want | {("doc3", "dog"): 2, (None, "sky"): 1}

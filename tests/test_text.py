@@ -1,11 +1,12 @@
 import random
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from catspark.functions import text as T
-from catspark.functions.porter import stem_words
+from catspark.functions.porter import IRREGULAR, make_stemmer, stem_words
 from catspark.operators import index as I
 from porter_reference import stem as ref_stem
 
@@ -150,3 +151,39 @@ def test_counts_of_a_row_equal_the_token_rules(spark):
     want = (I.content_tokens(I.tokens(twice)).groupBy("title", "token").agg(F.count(F.lit(1)).alias("n")))
     for got in (I.raw_counts(twice), I.Index(twice, stem=False).counts):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF(*got.columns).collect()))
+
+
+def test_stems_of_a_task_equal_the_sql_steps(spark):
+    r = random.Random(3)
+    ends = ["", "s", "ies", "ied", "eed", "ed", "ing", "ational", "logi", "alli", "ion", "sion", "ement",
+            "y", "ll", "e", "yed", "ness"]
+    words = {"".join(r.choice("abcdelostyyz") for _ in range(r.randint(1, 6))) + r.choice(ends)
+             for _ in range(3000)} | set(IRREGULAR)
+    stem = make_stemmer(max_kept=50)
+    assert {w: stem(w) for w in words} == _stems(spark, list(words))
+
+
+def test_rows_of_a_title_apart_from_each_other_are_added_up(spark, monkeypatch):
+    """Rows in sequence are one run; only titles of several runs are moved, nulls among them."""
+    rows = [("a", "red reds cats"), ("a", "red"), ("b", "cat"), ("a", "blue"), (None, "sky"), ("c", None),
+            (None, "sky skies"), ("b", "cat dog"), ("d", "sun")] * 2
+    texts = spark.createDataFrame(rows, "title string, text string")
+    want = Counter()
+    for title, text in rows:
+        for w in (text or "").split():
+            want[title, {"reds": "red", "cats": "cat", "skies": "sky"}.get(w, w)] += 1
+    for most in (200_000, 1):
+        monkeypatch.setattr(I, "RUN_WORDS", most)
+        for df, lines in ((texts.coalesce(1), True), (texts.repartition(4), False)):
+            got = I.counts_with_totals(df, lines=lines).collect()
+            assert {(r.title, r.word): r.n for r in got} == dict(want) and len(got) == len(want)
+            for r in got:
+                assert r.total == sum(n for (t, _), n in want.items() if t == r.title)
+
+
+def test_counts_of_whole_documents_do_not_move(spark):
+    texts = spark.createDataFrame([(f"t{i}", "cats run " * (i % 3)) for i in range(40)],
+                                  "title string, text string")
+    for counts in (I.term_counts(texts), I.Index(texts).counts):
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
