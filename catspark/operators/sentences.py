@@ -6,6 +6,8 @@ more often than words in general: the log-likelihood ratio of Kiss and Strunk
 its length, its inner periods and how often it comes without a period.  A word
 starts sentences if it follows other periods far more often than chance has
 it.  Both models are aggregates over all texts, applied by joins on the word.
+``words`` says it in columns; ``sentence_tokens`` reads words within tasks, which look up
+a word that they have seen.
 
 Abbreviations keep their period inside a sentence, so ``Mr.`` is no letters-only
 token and leaves the counts, while the last word of a sentence stays in them.
@@ -15,9 +17,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from ..functions import text as T
 from ..session import materialise
+from .index import spread
 
 #: fixed values of the published method
 ABBREVIATION, STARTER, P_ABBREVIATION = 0.3, 30.0, 0.99
@@ -61,6 +65,191 @@ def counted(found: DataFrame) -> DataFrame:
     return materialise(rows.agg(F.count(F.lit(1)).alias("k")), "counted_words")
 
 
+def make_word_parts(max_kept: int = 200_000):
+    """What ``words`` says of a single word, as a function that carries all it needs.
+
+    The result looks up ``word -> (core, type, period, capital, tokens)``; tokens are those of
+    ``token_array`` with the two-part words split.  Words that were seen are kept.
+    """
+    import re
+    from unicodedata import category
+    rules, parts = T.run_rules(), dict(T.CONTRACTION_SPLITS)
+    kind_of = lambda x: category(x)[0]
+    typed = re.compile(r"[a-z][a-z0-9.\-]*")
+    plain = re.compile(r"([^\W\d_]+)(\.?)([;@#$%&?!()\[\]{}<>\"`]*|[,:])").fullmatch
+
+    def known(word: str):
+        # letters and marks behind them: what the steps below give
+        simple = plain(word)
+        if simple:
+            letters, period, _ = simple.groups()
+            core = letters.lower()
+            if letters.isalpha() and core.isalpha():
+                return core + period, core, period == ".", category(letters[0]) == "Lu", parts.get(core, (core,))
+        core, end = word.lower(), len(word.lower())
+        start = next((i for i, x in enumerate(core) if kind_of(x) in "LN"), end)
+        while end > start and core[end - 1] != "." and kind_of(core[end - 1]) not in "LN":
+            end -= 1
+        core = core[start:end]
+        bare = core.rstrip(".")
+        if bare.isascii():
+            is_type = typed.fullmatch(bare) is not None
+        else:
+            is_type = kind_of(bare[0]) == "L" and all(x in ".-" or kind_of(x) in "LN" for x in bare)
+        first = next((x for x in word if kind_of(x) in "LN"), None)
+        run = word
+        for pattern, replacement in rules:
+            run = pattern.sub(replacement, run)
+        tokens = tuple(x for t in run.lower().split() for x in parts.get(t, (t,)))
+        return (core, bare if is_type else None, core.endswith(".") and core[-2:-1] not in ("", "."),
+                first is not None and category(first) == "Lu", tokens)
+
+    class Words(dict):
+        """Kept words; those of the time before are forgotten unless they come again."""
+        before: dict = {}
+
+        def __missing__(self, word):
+            found = self.before.get(word) or known(word)
+            if len(self) >= max_kept:
+                self.before = dict(self)
+                self.clear()
+            if len(word) <= 64:
+                self[word] = found
+            return found
+
+    return Words()
+
+
+def make_runs(most: int = 1_000_000):
+    """Lists of the words of a text, about ``most`` characters a list, the next word with each list."""
+    import re
+    space = re.compile(r"\s")
+
+    def runs(text: str):
+        held, at = [], 0
+        while at < len(text):
+            cut = space.search(text, at + most) if at + most < len(text) else None
+            end = cut.start() if cut else len(text)
+            held += text[at:end].split()
+            at = end
+            if len(held) > 1 and at < len(text):
+                yield held[:-1], held[-1]
+                held = held[-1:]
+        if held:
+            yield held, None
+
+    return runs
+
+
+def _texts(texts: DataFrame) -> DataFrame:
+    return spread(texts.where(F.col("text").isNotNull()).select("title", F.col("text").cast("string").alias("text")))
+
+
+def counted_words(texts: DataFrame) -> DataFrame:
+    """The same as ``counted`` of ``words``: a task counts its words where it reads them."""
+    parts, runs_of, most = make_word_parts(), make_runs(), 200_000
+
+    # the functions are sent to the tasks by value, without this package
+    def count(batches):
+        from collections import Counter
+        import pyarrow as pa
+        plain, ended = Counter(), Counter()  # by type; by type and the type that follows
+
+        def counts():
+            plain.pop(None, None)
+            types = [*plain, *(k[0] for k in ended)]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(types, pa.string()), pa.array([False] * len(plain) + [True] * len(ended), pa.bool_()),
+                 pa.array([None] * len(plain) + [k[1] for k in ended], pa.string()),
+                 pa.array([*plain.values(), *ended.values()], pa.int64())],
+                ["type", "period", "next_type", "k"])
+            plain.clear()
+            ended.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column("text"):
+                for runs, after in runs_of(text.as_py()):
+                    known = [parts[w] for w in runs]
+                    plain.update([x[1] for x in known if not x[2]])
+                    follow = known[1:] + [parts[after] if after is not None else None]
+                    ended.update([(x[1], y and y[1]) for x, y in zip(known, follow, strict=True)
+                                  if x[2] and x[1] is not None])
+                if len(plain) + len(ended) >= most:
+                    yield counts()
+        yield counts()
+
+    rows = _texts(texts).mapInArrow(count, "type string, period boolean, next_type string, k long")
+    return materialise(rows.groupBy("type", "period", "next_type").agg(F.sum("k").alias("k")), "counted_words")
+
+
+def _plain_tokens(texts: DataFrame) -> DataFrame:
+    """(title, token) of the words that cannot be abbreviations: without a period or no words."""
+    parts, runs_of = make_word_parts(), make_runs()
+
+    def tokens(batches):
+        import pyarrow as pa
+        for batch in batches:
+            titles, texts = batch.column("title"), batch.column("text")
+            rows, found = [], []
+            for i in range(batch.num_rows):
+                for runs, _ in runs_of(texts[i].as_py()):
+                    n = len(found)
+                    found += [t for w in runs for x in (parts[w],) if not x[2] or x[1] is None for t in x[4]]
+                    rows += [i] * (len(found) - n)
+                    if len(found) >= 200_000:
+                        yield pa.RecordBatch.from_arrays(
+                            [titles.take(pa.array(rows, pa.int64())), pa.array(found, pa.string())],
+                            ["title", "token"])
+                        rows, found = [], []
+            yield pa.RecordBatch.from_arrays(
+                [titles.take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], ["title", "token"])
+
+    texts = _texts(texts)
+    return texts.mapInArrow(tokens, StructType([texts.schema["title"], StructField("token", StringType())]))
+
+
+def _words_with_period(texts: DataFrame) -> DataFrame:
+    """(title, core, type, next_type, next_capital, tokens) of the words that may be abbreviations."""
+    parts, runs_of = make_word_parts(), make_runs()
+    kinds = {"core": StringType(), "type": StringType(), "next_type": StringType(),
+             "next_capital": BooleanType(), "tokens": ArrayType(StringType())}
+    names = ["title", *kinds]
+
+    def marked(batches):
+        import pyarrow as pa
+        for batch in batches:
+            titles, texts = batch.column("title"), batch.column("text")
+            rows, found = [], []
+
+            def out():
+                columns = [*zip(*found, strict=True)] or [()] * 5
+                arrays = [pa.array(c, k) for c, k in zip(columns, [
+                    pa.string(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string())], strict=True)]
+                made = pa.RecordBatch.from_arrays([titles.take(pa.array(rows, pa.int64())), *arrays], names)
+                rows.clear()
+                found.clear()
+                return made
+
+            for i in range(batch.num_rows):
+                for runs, after in runs_of(texts[i].as_py()):
+                    n, last = len(found), len(runs) - 1
+                    for j in [j for j, w in enumerate(runs) if "." in w]:
+                        x = parts[runs[j]]
+                        if x[2] and x[1] is not None:
+                            y = runs[j + 1] if j < last else after
+                            y = parts[y] if y is not None else (None, None, None, False)
+                            found.append((x[0], x[1], y[1], y[3], x[4]))
+                    rows += [i] * (len(found) - n)
+                    if len(found) >= 50_000:
+                        yield out()
+            yield out()
+
+    texts = _texts(texts)
+    return texts.mapInArrow(marked, StructType(
+        [texts.schema["title"], *[StructField(n, k) for n, k in kinds.items()]]))
+
+
 def _times(found: DataFrame) -> Column:
     """How many words a row of ``words`` or ``counted`` stands for."""
     return F.col("k") if "k" in found.columns else F.lit(1).cast("long")
@@ -127,25 +316,21 @@ def sentence_tokens(texts: DataFrame) -> DataFrame:
     """(title, token) where abbreviations inside a sentence keep their period.
 
     An abbreviation ends a sentence where the text ends or a capitalised
-    sentence starter follows; every other word is split as in ``tokens``.
+    sentence starter follows; every other word is split as in ``tokens``.  Only words with a
+    period meet the models; the others become tokens where they are read.
     """
-    found = words(texts)
-    counts = counted(found)
+    counts = counted_words(texts)
     abbrs = materialise(abbreviations(counts), "abbreviations")
     starts = materialise(sentence_starters(counts, abbrs), "starters")
-    with_period = F.col("period") & F.col("type").isNotNull()
-    marked = (found.where(with_period).join(abbrs.select("type", F.lit(True).alias("_abbr")),
-                                            "type", "left")
+    marked = (_words_with_period(texts)
+              .join(abbrs.select("type", F.lit(True).alias("_abbr")), "type", "left")
               .join(starts.select(F.col("type").alias("next_type"), F.lit(True).alias("_start")),
                     "next_type", "left"))
     whole = F.col("_abbr").isNotNull() & F.col("next_type").isNotNull() & ~(
         F.col("_start").isNotNull() & F.col("next_capital"))
-    kept = marked.select("title", F.when(whole, F.array("core")).otherwise(
-        T.token_array(F.col("raw"))).alias("t"))
-    plain = found.where(~with_period).select("title", T.token_array(F.col("raw")).alias("t"))
-    return (kept.unionByName(plain).select("title", F.explode("t").alias("token"))
-            .where(F.col("token") != "")
-            .select("title", F.explode(T.split_contractions(F.col("token"))).alias("token")))
+    kept = marked.select("title", F.explode(F.when(whole, F.array("core")).otherwise(
+        F.col("tokens"))).alias("token"))
+    return _plain_tokens(texts).unionByName(kept)
 
 
 # ---------------------------------------------------------------------------

@@ -70,7 +70,7 @@ def q_abbreviations(spark, sf_dir):
 @register("sentence_starters", O.render(CORPUS, f"SELECT type, n, n_first, {O.r6('ratio')} "
                                                 "FROM starts"))
 def q_sentence_starters(spark, sf_dir):
-    found = S.counted(S.words(_p(spark, sf_dir).cat.texts))
+    found = S.counted_words(_p(spark, sf_dir).cat.texts)
     return S.sentence_starters(found, S.abbreviations(found))
 
 

@@ -86,3 +86,43 @@ def test_counted_words_give_the_same_models_and_split_texts_once(spark):
     starts = S.sentence_starters(counts, abbrs)
     assert rows(starts) == rows(S.sentence_starters(found, abbrs))
     assert not any("documents" in f for f in counts.inputFiles())  # read from the written counts
+
+
+ODD = ["Mr. Smith's (cat) can't. It... is 'here'", "gonna cannot. Wanna, U.S. e.g. The.%%% ende.### q***", ". , ... --", "",
+       "Élan Ñoño. ÄÖ. ßen, ΑΣ. Σ İstanbul. ﬁn.\xa0x\x85y z\x1cw", "a.b.c. 1,000 3.14. x-y. Dr.\n\nAnd Mr.,", "²x x² Ⅷ. ǅ. ª. ñ.&&& a..  .a. a.:b",
+       "Dr. Dr. mr. The end", "K ſ 'ſ don't'S", "word." * 40, "A" * 80 + ". b", None]
+
+
+def _token_rows(found, counts):
+    """The tokens by columns: every word is worked out where it stands."""
+    abbrs = S.abbreviations(counts)
+    starts = S.sentence_starters(counts, abbrs)
+    abbrs, starts = ({r["type"] for r in x.collect()} for x in (abbrs, starts))
+    rows = found.select("*", T.split_token_array(F.col("raw")).alias("t")).collect()
+    return Counter((r["title"], t) for r in rows for t in (
+        [r["core"]] if r["period"] and r["type"] in abbrs and r["next_type"] is not None
+        and not (r["next_type"] in starts and r["next_capital"]) else r["t"]) if t)
+
+
+def test_words_read_in_tasks_equal_the_columns(spark, monkeypatch):
+    df, rows = corpus(spark)
+    texts = df.unionByName(spark.createDataFrame(
+        [(None if i == 3 else f"odd{i}", t) for i, t in enumerate(ODD)] * 2, df.schema))
+    found = S.words(texts)
+    counts = S.counted(found)
+    want = Counter(map(tuple, counts.collect()))
+    small = S.make_word_parts, S.make_runs
+    for cuts in (False, True):
+        if cuts:  # long texts are read in parts, words are forgotten
+            monkeypatch.setattr(S, "make_word_parts", lambda: small[0](max_kept=3))
+            monkeypatch.setattr(S, "make_runs", lambda: small[1](most=4))
+        assert Counter(map(tuple, S.counted_words(texts).select(*counts.columns).collect())) == want
+        got = Counter((r["title"], r["token"]) for r in S.sentence_tokens(texts).collect())
+        assert got == _token_rows(found, counts)
+        assert got["odd7", "dr."] == 4
+
+
+def test_words_are_not_taken_apart_by_the_plan(spark):
+    """The texts are split in the tasks that read them; no pattern runs per row of a word."""
+    plan = S.sentence_tokens(corpus(spark)[0])._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and "RLIKE" not in plan
